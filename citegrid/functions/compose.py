@@ -142,17 +142,19 @@ class ComposerText:
 MAX_COMPOSED_MARKERS = 12
 
 
-def compose(hits: Column, k: Column | int, text: ComposerText = ComposerText()) -> Column:
+def compose(hits: Column, k: Column | int, text: ComposerText = ComposerText(),
+            mblocks: Column | None = None) -> Column:
     """A formatted answer built only from the evidence.
 
     Up to 12 markers (alphabetical), each bulleted with the blocks that contain
-    it; the answer sentences and takeaways cite blocks that exist (the union
+    it (``mblocks``: precomputed E7 rows, optional); the answer sentences and takeaways cite blocks that exist (the union
     of the listed markers' blocks, capped at k).  No marker -> the fixed
     "None" answer, which cites [1].
     """
     kk = F.lit(k) if isinstance(k, int) else col(k)
-    rows = M.marker_blocks(M.evidence_markers(evidence_text(hits)), hits, kk)
-    rows = F.filter(rows, lambda r: F.size(r["blocks"]) > 0)
+    if mblocks is None:
+        mblocks = M.marker_blocks(M.evidence_markers(evidence_text(hits)), hits, kk)
+    rows = F.filter(mblocks, lambda r: F.size(r["blocks"]) > 0)
     top = F.slice(rows, 1, MAX_COMPOSED_MARKERS)
     cited = F.slice(F.array_sort(F.array_distinct(F.flatten(F.transform(top, lambda r: r["blocks"])))), 1, kk)
     first = F.slice(cited, 1, 1)

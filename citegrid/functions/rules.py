@@ -154,13 +154,14 @@ def bullets_cited(lines: Column, k: Column | int) -> Column:
                     & _all_in_range(citations(ln), k))
 
 
-def issues(answer: Column | str, evidence: Column | str, k: Column | int) -> Column:
+def issues(answer: Column | str, evidence: Column | str, k: Column | int,
+           leaked: Column | None = None) -> Column:
     """The ordered list of rule messages (empty list = ok)."""
     a = nz(answer)
     kk = _k(k)
     mb = bullets(marker_section(a))
     tb = bullets(takeaway_section(a))
-    leaked = M.leaked_tokens(a, evidence)
+    leaked = M.leaked_tokens(a, evidence) if leaked is None else leaked
     msgs = [
         F.when(has_references(a), F.lit(MSG_REFERENCES)),
         F.when(has_not_relevant(a), F.lit(MSG_NOT_RELEVANT)),
@@ -179,14 +180,27 @@ def issues(answer: Column | str, evidence: Column | str, k: Column | int) -> Col
     return F.filter(F.array(*msgs), lambda m: m.isNotNull())
 
 
-def validate(answer: Column | str, evidence: Column | str, k: Column | int) -> Column:
+def validate(answer: Column | str, evidence: Column | str, k: Column | int,
+             markers: Column | None = None, leaked: Column | None = None) -> Column:
     """V11 record: ``struct<ok, issues, leaked_tokens, citations,
-    biomarkers_in_evidence>``."""
-    iss = issues(answer, evidence, k)
+    biomarkers_in_evidence>``.  ``markers``/``leaked`` may be passed as
+    already-computed columns (see ``with_validation``)."""
+    leaked = M.leaked_tokens(answer, evidence) if leaked is None else leaked
+    iss = issues(answer, evidence, k, leaked)
     return F.struct(
         (F.size(iss) == 0).alias("ok"),
         iss.alias("issues"),
-        M.leaked_tokens(answer, evidence).alias("leaked_tokens"),
+        leaked.alias("leaked_tokens"),
         citations(answer).alias("citations"),
-        M.evidence_markers(evidence).alias("biomarkers_in_evidence"),
+        (M.evidence_markers(evidence) if markers is None else markers).alias("biomarkers_in_evidence"),
     )
+
+
+def with_validation(df, answer: str = "answer", evidence: str = "evidence", k: Column | int = 5,
+                    markers: str | None = "markers", out: str = "validation"):
+    """Adds the V11 record as column ``out``, computing the leaked tokens once
+    in their own projection (Catalyst keeps a non-cheap expression that is
+    used twice in a separate projection instead of duplicating it)."""
+    mk = F.col(markers) if markers and markers in df.columns else None
+    d = df.withColumn("_leaked", M.leaked_tokens(F.col(answer), F.col(evidence)))
+    return d.withColumn(out, validate(F.col(answer), F.col(evidence), k, mk, F.col("_leaked"))).drop("_leaked")

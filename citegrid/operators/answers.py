@@ -43,19 +43,20 @@ def generate(prompts: DataFrame, generator: Generator, attempt: int = 0) -> Data
 
 def checked(df: DataFrame, k: int, answer_col: str = "answer") -> DataFrame:
     """G2 + V11 on an answer column (needs ``evidence``)."""
-    return (df.withColumn(answer_col, R.normalize(F.col(answer_col)))
-            .withColumn("validation", R.validate(F.col(answer_col), F.col("evidence"), k)))
+    return R.with_validation(df.withColumn(answer_col, R.normalize(F.col(answer_col))), answer_col, "evidence", k)
 
 
 def with_fallback(df: DataFrame, k: int, text: C.ComposerText = C.ComposerText()) -> DataFrame:
     """Replace still-invalid answers by the composed extractive answer
     (needs ``hits``, ``evidence``, ``answer``, ``validation``)."""
     bad = ~F.col("validation.ok")
+    mb = F.col("mblocks") if "mblocks" in df.columns else None
     out = (df.withColumn("used_fallback", bad)
-           .withColumn("answer", F.when(bad, R.normalize(C.compose(F.col("hits"), k, text)))
+           .withColumn("answer", F.when(bad, R.normalize(C.compose(F.col("hits"), k, text, mb)))
                        .otherwise(F.col("answer"))))
-    return out.withColumn("validation", F.when(F.col("used_fallback"), R.validate(
-        F.col("answer"), F.col("evidence"), k)).otherwise(F.col("validation")))
+    out = R.with_validation(out, "answer", "evidence", k, out="_v2")
+    return out.withColumn("validation", F.when(F.col("used_fallback"), F.col("_v2"))
+                          .otherwise(F.col("validation"))).drop("_v2")
 
 
 def answer_questions(ctx: DataFrame, generator: Generator, k: int, max_retries: int = 3,

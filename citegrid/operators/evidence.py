@@ -16,13 +16,15 @@ from citegrid.functions import markers as M
 
 def with_evidence(qh: DataFrame, k: int, prompt_style: str = "strict", snippet: str | None = None,
                   question_col: str = "question") -> DataFrame:
-    """Adds ``evidence``, ``markers``, ``context`` and ``prompt`` columns.
+    """Adds ``evidence``, ``markers``, ``mblocks`` (E7), ``context`` and
+    ``prompt`` columns.
 
     ``prompt_style``: ``strict`` (answering path: head+tail snippets, rules,
     marker list) or ``simple`` (evaluation path: 550-char snippets)."""
     snippet = snippet or ("head_tail" if prompt_style == "strict" else "words")
     ev = C.evidence_text(F.col("hits"))
     df = qh.withColumn("evidence", ev).withColumn("markers", M.evidence_markers(F.col("evidence")))
+    df = df.withColumn("mblocks", M.marker_blocks(F.col("markers"), F.col("hits"), k))
     df = df.withColumn("context", C.context_blocks(F.col("hits"), snippet))
     if prompt_style == "strict":
         prompt = C.prompt_strict(F.col(question_col), F.col("context"), F.col("markers"), k)

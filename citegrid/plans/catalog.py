@@ -6,8 +6,6 @@ cross-engine value check compares plain columns.
 """
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,14 +135,12 @@ def mutate(answer: Column, qid: Column) -> Column:
 
 def _answers(spark, sf):
     ctx = _ctx(spark, sf)
-    return ctx.withColumn("raw", mutate(C.compose(F.col("hits"), K), F.col("qid")))
+    return ctx.withColumn("raw", mutate(C.compose(F.col("hits"), K, mblocks=F.col("mblocks")), F.col("qid")))
 
 
 def q_compose_answer(spark, sf):
-    ctx = _ctx(spark, sf)
-    ans = C.compose(F.col("hits"), K)
-    return ctx.select("qid", ans.alias("answer"),
-                      R.validate(ans, F.col("evidence"), K)["ok"].alias("ok"))
+    ctx = _ctx(spark, sf).withColumn("answer", C.compose(F.col("hits"), K, mblocks=F.col("mblocks")))
+    return R.with_validation(ctx, k=K).select("qid", "answer", F.col("validation.ok").alias("ok"))
 
 
 def q_normalize_headers(spark, sf):
@@ -200,7 +196,7 @@ def q_rule_leakage(spark, sf):
 
 
 def q_validate_answer(spark, sf):
-    d = _norm(spark, sf).withColumn("v", R.validate("answer", "evidence", K))
+    d = R.with_validation(_norm(spark, sf), k=K, out="v")
     return d.select("qid", F.col("v.ok").alias("ok"), F.array_join("v.issues", SEP).alias("issues"),
                     F.array_join("v.leaked_tokens", ",").alias("leaked_tokens"),
                     _ints(F.col("v.citations")).alias("citations"),
@@ -232,7 +228,7 @@ def _eval(spark, sf, run_llm=True):
     answers = None
     if run_llm:
         qh = EV.with_evidence(r.hit_arrays.join(r.questions, "qid"), K, "simple")
-        answers = qh.select("qid", C.compose(F.col("hits"), K).alias("answer"))
+        answers = qh.select("qid", C.compose(F.col("hits"), K, mblocks=F.col("mblocks")).alias("answer"))
     return r, answers
 
 

@@ -1,11 +1,107 @@
 """Oracle statements keyed like the registered queries."""
-from oracle.sql import ARTICLES, LEXICAL, lexical_search, silver, with_
+from oracle import sql as S
+from oracle.sql import ARTICLES, LEXICAL, QH, lexical_search, silver, with_
 
 K = 5
-PREFIX = with_(ARTICLES, silver(), LEXICAL, lexical_search(K))
+RET = [ARTICLES, silver(), LEXICAL, lexical_search(K)]
+PREFIX = with_(*RET)
+CTX = with_(*RET, QH, S.evidence_ctx(K, "head_tail"))
+CTX_SIMPLE = with_(*RET, QH, S.evidence_ctx(K, "words"))
+ANS = with_(*RET, QH, S.evidence_ctx(K, "head_tail"),
+            f"comp AS (SELECT *, {S.compose(K)} AS composed FROM ctx2)",
+            f"raw AS (SELECT *, {S.mutate('composed')} AS raw FROM comp)",
+            f"norm AS (SELECT *, {S.normalize('raw')} AS answer FROM raw)",
+            f"lk AS (SELECT *, {S.leaked('answer', 'evidence')} AS leaked FROM norm)",
+            f"val AS (SELECT *, {S.issues('answer', 'evidence', K)} AS issues FROM norm)")
 
 STATEMENTS = {
+    "doc_text": with_(ARTICLES) + f"SELECT pmid, {S.DOC_TEXT} AS doc_text FROM articles",
+    "l2_normalize": f"""
+        WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm_in FROM e),
+        o AS (SELECT vec_id, norm_in, list_transform(v, lambda x: x / norm_in) AS nv FROM n)
+        SELECT vec_id, round(norm_in, 6) AS norm_in,
+               round(sqrt(list_sum(list_transform(nv, lambda x: x * x))), 6) AS norm_out,
+               array_to_string(list_transform(nv, lambda x: printf('%.6f', x)), ',') AS vec FROM o""",
+    "lexical_vectors": with_(ARTICLES, LEXICAL) + "SELECT pmid, term, round(w, 6) AS w FROM postings",
     "silver_questions": with_(ARTICLES, silver()) + "SELECT * FROM silver",
     "knn_lexical": PREFIX + "SELECT qid, rank, pmid, score FROM top",
     "hits_with_docs": PREFIX + "SELECT * FROM hits",
+    "hit_at_k": with_(*RET, QH) + """
+        SELECT s.qid, CASE WHEN list_has_any(coalesce(list_transform(qh.hits, lambda h: h.pmid), []),
+                                             list_filter(string_split_regex(trim(s.relevant_pmids), '[,|;\\s]+'), lambda p: p <> ''))
+                           THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS recall_at_k
+        FROM silver s LEFT JOIN qh USING (qid)""",
+    "evidence_text": CTX + "SELECT qid, evidence FROM ctx2",
+    "markers": CTX + "SELECT qid, array_to_string(markers, ',') AS markers, CAST(len(markers) AS INTEGER) AS n_markers FROM ctx2",
+    "marker_blocks": CTX + f"""
+        SELECT qid, m.marker AS marker, {S.ints('m.blocks')} AS blocks
+        FROM (SELECT qid, unnest(mblocks) AS m FROM ctx2)""",
+    "snippet_head_tail": with_(ARTICLES) + f"SELECT pmid, {S.snippet_head_tail('abstract')} AS snippet FROM articles",
+    "snippet_words": with_(ARTICLES) + f"SELECT pmid, {S.snippet_words('abstract')} AS snippet FROM articles",
+    "context_blocks": CTX + "SELECT qid, context FROM ctx2",
+    "prompt_strict": CTX + f"SELECT qid, {S.prompt_strict(K)} AS prompt FROM ctx2",
+    "prompt_simple": CTX_SIMPLE + f"SELECT qid, {S.prompt_simple()} AS prompt FROM ctx2",
+    "compose_answer": with_(*RET, QH, S.evidence_ctx(K, "head_tail"),
+                            f"comp AS (SELECT *, {S.compose(K)} AS answer FROM ctx2)",
+                            f"val AS (SELECT *, {S.issues('answer', 'evidence', K)} AS issues FROM comp)")
+    + "SELECT qid, answer, len(issues) = 0 AS ok FROM val",
+    "normalize_headers": ANS + "SELECT qid, answer FROM norm",
+    "section_split": ANS + f"""SELECT qid, {S.ans_sec('answer')} AS answer_sec, {S.mark_sec('answer')} AS marker_sec,
+                                      {S.take_sec('answer')} AS takeaway_sec FROM norm""",
+    "citations": ANS + f"SELECT qid, {S.ints(S.citations('answer'))} AS citations FROM norm",
+    "rule_references": ANS + f"SELECT qid, {S.has_refs('answer')} AS has_references FROM norm",
+    "rule_not_relevant": ANS + f"SELECT qid, {S.not_relevant('answer')} AS has_not_relevant FROM norm",
+    "rule_range": ANS + f"""SELECT qid, {S.cites_in_range('answer', K)} AS in_range,
+                                   {S.present('answer')} AS citations_present,
+                                   CAST({S.cites_in_range('answer', K)} AS INTEGER) AS citations_valid FROM norm""",
+    "rule_sentences": ANS + f"""SELECT qid, CAST(len({S.sentences(S.ans_sec('answer'))}) AS INTEGER) AS n_sentences,
+                                       {S.each_cited(S.ans_sec('answer'))} AS all_cited FROM norm""",
+    "rule_bullets": ANS + f"""
+        SELECT qid, CAST(len(mb) AS INTEGER) AS n_marker_bullets, {S.bullets_cited('mb', K)} AS markers_cited,
+               CAST(len(tb) AS INTEGER) AS n_takeaways, {S.bullets_cited('tb', K)} AS takeaways_cited
+        FROM (SELECT qid, {S.bullets(S.mark_sec('answer'))} AS mb, {S.bullets(S.take_sec('answer'))} AS tb FROM norm)""",
+    "rule_leakage": ANS + "SELECT qid, array_to_string(leaked, ',') AS leaked FROM lk",
+    "validate_answer": ANS + f"""
+        SELECT val.qid, len(issues) = 0 AS ok, array_to_string(issues, ' || ') AS issues,
+               array_to_string(lk.leaked, ',') AS leaked_tokens, {S.ints(S.citations('val.answer'))} AS citations,
+               array_to_string(val.markers, ',') AS biomarkers_in_evidence
+        FROM val JOIN lk USING (qid)""",
+    "repair_fallback": ANS + f"""
+        , fb AS (SELECT qid, used_fallback, CASE WHEN used_fallback THEN {S.normalize('composed')} ELSE answer END AS answer, evidence
+                 FROM (SELECT *, len(issues) > 0 AS used_fallback FROM val)),
+        fbv AS (SELECT *, {S.issues('answer', 'evidence', K)} AS issues FROM fb)
+        SELECT qid, answer, used_fallback, len(issues) = 0 AS ok FROM fbv""",
+    "parse_relevant": f"""
+        WITH r AS (SELECT CAST(doc_id AS VARCHAR) AS pmid,
+                          concat_ws(' ', '', CAST(doc_id AS VARCHAR), '|', CAST(n_chars AS VARCHAR), ';', source, ',,') AS raw,
+                          CAST(n_chars AS DOUBLE) AS num FROM documents),
+        p AS (SELECT pmid, list_filter(string_split_regex({S.strip('raw')}, '[,|;\\s]+'), lambda x: x <> '') AS parsed,
+                     CASE WHEN num IS NULL OR isnan(num) THEN [] WHEN num = floor(num) THEN [CAST(CAST(num AS DECIMAL(38,0)) AS VARCHAR)]
+                          ELSE [CAST(num AS VARCHAR)] END AS numeric FROM r)
+        SELECT pmid, CAST(len(parsed) AS INTEGER) AS n_relevant, array_to_string(parsed, ',') AS relevant,
+               array_to_string(numeric, ',') AS numeric FROM p""",
 }
+
+EVAL = with_(*RET, QH, S.evidence_ctx(K, "words"),
+             f"ans AS (SELECT qid, {S.compose(K)} AS answer FROM ctx2)",
+             f"""rows AS (
+                SELECT s.qid,
+                       CASE WHEN list_has_any(coalesce(list_transform(qh.hits, lambda h: h.pmid), []),
+                                              list_filter(string_split_regex(trim(s.relevant_pmids), '[,|;\\s]+'), lambda p: p <> ''))
+                            THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS recall_at_k,
+                       {S.present("coalesce(a.answer, '')")} AS citations_present,
+                       CAST({S.cites_in_range("coalesce(a.answer, '')", K)} AS INTEGER) AS citations_valid,
+                       s.question, s.relevant_pmids, qh.hits, coalesce(a.answer, '') AS answer
+                FROM silver s LEFT JOIN qh USING (qid) LEFT JOIN ans a USING (qid))""")
+
+STATEMENTS["eval_table"] = EVAL + "SELECT qid, recall_at_k, citations_present, citations_valid FROM rows"
+STATEMENTS["eval_metrics"] = EVAL + f"""
+    SELECT round(avg(recall_at_k), 6) AS recall_at_k, round(avg(citations_present), 6) AS citations_present_rate,
+           round(avg(citations_valid), 6) AS citations_valid_rate, {K} AS k, 'lexical-tfidf' AS embed_model,
+           'extractive-composer' AS llm, count(*) AS n_questions, 'silver' AS eval_csv FROM rows"""
+STATEMENTS["eval_runs"] = EVAL + """
+    SELECT qid, question,
+           array_to_string(list_filter(string_split_regex(trim(relevant_pmids), '[,|;\\s]+'), lambda p: p <> ''), ',') AS relevant_pmids,
+           array_to_string(list_transform(coalesce(hits, []), lambda h: CAST(h.rank AS VARCHAR) || ':' || h.pmid || ':' || printf('%.6f', h.score)), ';') AS retrieval,
+           answer FROM rows"""
