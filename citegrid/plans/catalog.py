@@ -17,7 +17,7 @@ from citegrid.functions import vectors as V
 from citegrid.operators import answers as A
 from citegrid.operators import evaluate as E
 from citegrid.operators import evidence as EV
-from citegrid.operators import lexical
+from citegrid.operators import dense, lexical
 from citegrid.plans import retrieval
 from citegrid.sources import corpus
 
@@ -53,6 +53,24 @@ def q_lexical_vectors(spark, sf):
     return postings.select("pmid", "term", F.round("w", 6).alias("w"))
 
 
+def _dense(spark, sf, **kw):
+    e = corpus.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("qid"), F.col("vec_id").alias("neighbor"), F.col("embedding").alias("vector"))
+    top = dense.knn(e.select("qid", "vector"), e.select("neighbor", "vector"), K, qid="qid", did="neighbor",
+                    exclude_self=True, **kw)
+    return top.select("qid", F.col("rank").cast("int").alias("rank"), "neighbor", "score")
+
+
+def q_knn_dense(spark, sf):
+    """Every vector's 5 nearest other vectors (broadcast strategy)."""
+    return _dense(spark, sf)
+
+
+def q_knn_dense_block(spark, sf):
+    """Same result through the tiled strategy (small tiles force many pairs)."""
+    return _dense(spark, sf, strategy="tiled", tile_rows=128, block_rows=128)
+
+
 def q_knn_lexical(spark, sf):
     r = retrieval.lexical_retrieval(spark, sf, K)
     return r.top.select("qid", F.col("rank").cast("int").alias("rank"), "pmid", "score")
@@ -260,6 +278,8 @@ REGISTRY = {
     "doc_text": q_doc_text,
     "l2_normalize": q_l2_normalize,
     "lexical_vectors": q_lexical_vectors,
+    "knn_dense": q_knn_dense,
+    "knn_dense_block": q_knn_dense_block,
     "knn_lexical": q_knn_lexical,
     "hits_with_docs": q_hits_with_docs,
     "silver_questions": q_silver_questions,

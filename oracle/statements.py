@@ -105,3 +105,12 @@ STATEMENTS["eval_runs"] = EVAL + """
            array_to_string(list_filter(string_split_regex(trim(relevant_pmids), '[,|;\\s]+'), lambda p: p <> ''), ',') AS relevant_pmids,
            array_to_string(list_transform(coalesce(hits, []), lambda h: CAST(h.rank AS VARCHAR) || ':' || h.pmid || ':' || printf('%.6f', h.score)), ';') AS retrieval,
            answer FROM rows"""
+
+DENSE = f"""
+    WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    s AS (SELECT a.vec_id AS qid, b.vec_id AS neighbor, round(list_dot_product(a.v, b.v), 6) AS score
+          FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+    t AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, neighbor) AS INTEGER) AS rank FROM s)
+    SELECT qid, rank, neighbor, score FROM t WHERE rank <= {K}"""
+STATEMENTS["knn_dense"] = DENSE
+STATEMENTS["knn_dense_block"] = DENSE
