@@ -19,7 +19,7 @@ from citegrid.operators import evaluate as E
 from citegrid.operators import evidence as EV
 from citegrid.operators import dense, lexical
 from citegrid.plans import retrieval
-from citegrid.sources import corpus
+from citegrid.sources import cascade, corpus, markup
 
 K = 5
 SEP = " || "
@@ -274,6 +274,54 @@ def q_eval_runs(spark, sf):
                        retr.alias("retrieval"), "answer")
 
 
+# --------------------------------------------------------------- ingestion
+
+def _pages(spark, sf):
+    return markup.flatten_pages(corpus.table(spark, sf, "pages"))
+
+
+def q_ingest_markup_flatten(spark, sf):
+    return _pages(spark, sf)
+
+
+def q_ingest_filter_nonempty(spark, sf):
+    return markup.keep_nonempty(_pages(spark, sf))
+
+
+def q_ingest_dedup_keep_first(spark, sf):
+    return markup.dedup_keep_first(markup.keep_nonempty(_pages(spark, sf)), "pmid", ["page_id"])
+
+
+def corpus_levels():
+    """The reference's query cascade followed by two levels that the test
+    corpus can satisfy (its licence lines)."""
+    return cascade.dedup_levels(cascade.reference_levels() + [
+        cascade.Level('"apache license"[Title/Abstract]', cascade.tiab("apache license")),
+        cascade.Level('mit[Title/Abstract] AND license[Title/Abstract]',
+                      cascade.tiab("mit") & cascade.tiab("license")),
+    ])
+
+
+def q_ingest_query_cascade(spark, sf):
+    return cascade.choose_level(retrieval.articles(spark, sf), corpus_levels())
+
+
+N_DOCS = 800
+
+
+def q_ingest_semi_fetch(spark, sf):
+    arts = retrieval.articles(spark, sf)
+    ids, _ = cascade.search(arts, corpus_levels(), N_DOCS)
+    return markup.semi_fetch(arts, ids).select("pmid", "title")
+
+
+def q_ingest_meta(spark, sf):
+    arts = retrieval.articles(spark, sf)
+    ids, used = cascade.search(arts, corpus_levels(), N_DOCS)
+    fetched = markup.dedup_keep_first(markup.semi_fetch(arts, ids), "pmid", ["pmid"])
+    return corpus.fetch_meta(fetched, used, N_DOCS)
+
+
 REGISTRY = {
     "doc_text": q_doc_text,
     "l2_normalize": q_l2_normalize,
@@ -308,4 +356,10 @@ REGISTRY = {
     "eval_table": q_eval_table,
     "eval_metrics": q_eval_metrics,
     "eval_runs": q_eval_runs,
+    "ingest_markup_flatten": q_ingest_markup_flatten,
+    "ingest_filter_nonempty": q_ingest_filter_nonempty,
+    "ingest_dedup_keep_first": q_ingest_dedup_keep_first,
+    "ingest_query_cascade": q_ingest_query_cascade,
+    "ingest_semi_fetch": q_ingest_semi_fetch,
+    "ingest_meta": q_ingest_meta,
 }

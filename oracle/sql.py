@@ -316,3 +316,38 @@ def issues(a: str, ev: str, k: int) -> str:
         f"CASE WHEN len({lk}) > 0 THEN {sq(R.MSG_LEAKED)} || array_to_string(list_slice({lk}, 1, 20), ', ') END",
     ]
     return f"list_filter([{', '.join(msgs)}], lambda m: m IS NOT NULL)"
+
+
+# ----------------------------------------------------------------- ingestion
+
+def markup_text(frag: str) -> str:
+    nodes = f"regexp_split_to_array(coalesce({frag}, ''), '<[^>]*>')"
+    dec = ("replace(replace(replace(replace(replace(replace(replace(n, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
+           "'&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&')")
+    return f"array_to_string(list_filter(list_transform({nodes}, lambda n: {strip(dec)}), lambda n: n <> ''), ' ')"
+
+
+PAGES = f"""
+pclean AS (
+  SELECT page_id, url, regexp_replace(coalesce(html, ''), '(?is)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->', ' ', 'g') AS c
+  FROM pages),
+flat AS (
+  SELECT page_id,
+         CASE WHEN regexp_extract(url, '/([a-z]{{2}}/[0-9]+)', 1) <> '' THEN regexp_extract(url, '/([a-z]{{2}}/[0-9]+)', 1) END AS pmid,
+         {markup_text("regexp_extract(c, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title,
+         {markup_text("regexp_replace(regexp_extract(c, '(?is)<article[^>]*>(.*?)</article>', 1), '(?is)<h1[^>]*>.*?</h1>', ' ', 'g')")} AS abstract
+  FROM pclean),
+nonempty AS (SELECT * FROM flat WHERE pmid IS NOT NULL AND (title <> '' OR abstract <> ''))"""
+
+
+def tiab(phrase: str) -> str:
+    import re
+    words = " ".join(w.lower() for w in re.findall(r"[A-Za-z0-9]+", phrase))
+    return f"contains(hay, ' {words} ')"
+
+
+HAY = f"""
+hay AS (
+  SELECT pmid, title, abstract,
+         ' ' || array_to_string(list_transform(regexp_extract_all(title || ' ' || abstract, '[A-Za-z0-9]+'), lambda t: lower(t)), ' ') || ' ' AS hay
+  FROM articles)"""

@@ -114,3 +114,39 @@ DENSE = f"""
     SELECT qid, rank, neighbor, score FROM t WHERE rank <= {K}"""
 STATEMENTS["knn_dense"] = DENSE
 STATEMENTS["knn_dense_block"] = DENSE
+
+STATEMENTS["ingest_markup_flatten"] = with_(S.PAGES) + "SELECT page_id, pmid, title, abstract FROM flat"
+STATEMENTS["ingest_filter_nonempty"] = with_(S.PAGES) + "SELECT page_id, pmid, title, abstract FROM nonempty"
+STATEMENTS["ingest_dedup_keep_first"] = with_(S.PAGES) + """
+    SELECT pmid, page_id, title, abstract FROM (
+      SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY page_id) AS rn FROM nonempty) WHERE rn = 1"""
+
+_T = S.tiab
+LEVELS = [
+    ('(breast cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract] '
+     'OR transcriptomic[Title/Abstract])',
+     f"{_T('breast cancer')} AND ({_T('biomarker')} OR {_T('gene expression')} OR {_T('transcriptomic')})"),
+    ('(breast cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract])',
+     f"{_T('breast cancer')} AND ({_T('biomarker')} OR {_T('gene expression')})"),
+    ('(cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract])',
+     f"{_T('cancer')} AND ({_T('biomarker')} OR {_T('gene expression')})"),
+    ('biomarker[Title/Abstract] AND "gene expression"[Title/Abstract]', f"{_T('biomarker')} AND {_T('gene expression')}"),
+    ("cancer[Title/Abstract]", _T("cancer")),
+    ('"apache license"[Title/Abstract]', _T("apache license")),
+    ("mit[Title/Abstract] AND license[Title/Abstract]", f"{_T('mit')} AND {_T('license')}"),
+]
+_counts = ", ".join(f"count_if({p}) AS n_{i}" for i, (_, p) in enumerate(LEVELS))
+_union = " UNION ALL ".join(f"SELECT {i} AS level, {S.sq(n)} AS query_used, n_{i} AS n_matched FROM counts"
+                            for i, (n, _) in enumerate(LEVELS))
+CASCADE = with_(ARTICLES, S.HAY, f"counts AS (SELECT {_counts} FROM hay)",
+                f"levels AS ({_union})",
+                "chosen AS (SELECT * FROM levels WHERE n_matched > 0 ORDER BY level LIMIT 1)")
+STATEMENTS["ingest_query_cascade"] = CASCADE + "SELECT level, query_used, n_matched FROM chosen"
+_case = " ".join(f"WHEN {i} THEN {p}" for i, (_, p) in enumerate(LEVELS))
+FETCH = CASCADE.rstrip() + f""",
+ids AS (SELECT pmid FROM hay WHERE CASE (SELECT level FROM chosen) {_case} END ORDER BY pmid LIMIT 800),
+fetched AS (SELECT pmid, title FROM articles WHERE pmid IN (SELECT pmid FROM ids))
+"""
+STATEMENTS["ingest_semi_fetch"] = FETCH + "SELECT pmid, title FROM fetched"
+STATEMENTS["ingest_meta"] = FETCH + """SELECT (SELECT query_used FROM chosen) AS query_used, 800 AS requested_n_docs,
+    count(*) AS saved_n_docs FROM fetched"""
