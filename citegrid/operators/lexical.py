@@ -67,12 +67,26 @@ def query_vectors(questions: DataFrame, vocab: DataFrame, qid: str = "qid",
     return _normalise(weighted, qid)
 
 
-def scores(qvec: DataFrame, postings: DataFrame, qid: str = "qid") -> DataFrame:
-    """Cosine score of every (question, document) pair sharing a term."""
-    return (qvec.withColumnRenamed("w", "qw").join(postings, "term")
+# Query-term rows shipped to every task at most (≈ 40 bytes each).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def scores(qvec: DataFrame, postings: DataFrame, qid: str = "qid",
+           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Cosine score of every (question, document) pair sharing a term.
+
+    The query-term side is broadcast when its row count (checked with one
+    small job) is within ``broadcast_max_rows``: the postings are then only
+    scanned, never shuffled.  Larger question sets fall back to a shuffle
+    join, where AQE splits a hot term's partition."""
+    q = qvec.withColumnRenamed("w", "qw")
+    if broadcast_max_rows is not None and q.count() <= broadcast_max_rows:
+        q = F.broadcast(q)
+    return (q.join(postings, "term")
             .groupBy(qid, "pmid").agg(F.sum(F.col("qw") * F.col("w")).alias("score")))
 
 
-def search(questions: DataFrame, postings: DataFrame, vocab: DataFrame, k: int) -> DataFrame:
+def search(questions: DataFrame, postings: DataFrame, vocab: DataFrame, k: int,
+           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """R1 + R2 + R3: ``(qid, pmid, score, rank)``, k per question."""
-    return top_k(scores(query_vectors(questions, vocab), postings), k)
+    return top_k(scores(query_vectors(questions, vocab), postings, broadcast_max_rows=broadcast_max_rows), k)

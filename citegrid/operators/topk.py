@@ -23,12 +23,14 @@ def top_k(scored: DataFrame, k: int, group: str = "qid", item: str = "pmid",
             .where(F.col("rank") <= k))
 
 
-def hits_with_docs(top: DataFrame, articles: DataFrame) -> DataFrame:
+def hits_with_docs(top: DataFrame, articles: DataFrame, broadcast_hits: bool = False) -> DataFrame:
     """Attach title/abstract to the ranked ids (by key, never by position).
-    The hit side is Q·k rows, so AQE broadcasts it and the corpus is only
-    scanned; documents are fetched after the top-k, never before."""
+    Documents are fetched after the top-k, never before.  The hit side is
+    Q·k rows; with ``broadcast_hits`` (caller checked Q·k) the corpus is only
+    scanned, otherwise AQE decides from runtime sizes."""
     docs = articles.select("pmid", "title", "abstract")
-    return (top.join(docs, "pmid", "inner")
+    hits = F.broadcast(top) if broadcast_hits else top
+    return (hits.join(docs, "pmid", "inner")
             .select("qid", F.col("rank").cast("int").alias("rank"), "pmid", "title", "abstract",
                     F.col("score").cast("double").alias("score")))
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from citegrid.operators import lexical, silver, topk
+from citegrid.plans import index
 from citegrid.sources import corpus
 
 
@@ -31,13 +32,15 @@ def lexical_retrieval(spark: SparkSession, sf_dir: str, k: int = 5, questions: D
                       vocab: DataFrame | None = None) -> Retrieval:
     """Silver questions (or the given ones) against the lexical index.
 
-    ``postings``/``vocab`` may be a pre-built (written) index; otherwise the
-    index is derived from the documents in the same plan."""
+    ``postings``/``vocab`` may be given; otherwise the written index of the
+    documents is read (and built once if absent, see ``plans.index``)."""
     arts = articles(spark, sf_dir)
     qs = questions if questions is not None else silver.silver_questions(
         arts, n=n_questions, seed=seed, check_size=False)
     if postings is None or vocab is None:
-        postings, vocab = lexical.build_index(arts)
+        postings, vocab = index.lexical_index(
+            spark, lambda: articles(spark, sf_dir), [f"{sf_dir.rstrip('/')}/documents.parquet"])
     top = lexical.search(qs, postings, vocab, k)
-    hits = topk.hits_with_docs(top, arts)
+    small = questions is None or qs.count() * k <= lexical.BROADCAST_MAX_ROWS
+    hits = topk.hits_with_docs(top, arts, broadcast_hits=small)
     return Retrieval(arts, qs, top, hits, topk.hit_arrays(hits))

@@ -12,6 +12,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # runtime (measured) size bound under which AQE turns a join into a broadcast
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

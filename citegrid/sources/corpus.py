@@ -9,8 +9,20 @@ from citegrid import schemas
 from citegrid.functions.text import nz, split_title
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """CPU-heavy text work needs at least one task per core.  A scan splits
+    by file/row group, so a small table stored as one row group arrives as one
+    partition; only then is it redistributed (round-robin).  A large scan
+    already has many splits and is left untouched (no shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:
