@@ -27,3 +27,14 @@ def dot(a: Column | str, b: Column | str) -> Column:
     """Inner product of two equal-length vectors (row-wise, for checks)."""
     return F.aggregate(F.zip_with(col(a).cast("array<double>"), col(b).cast("array<double>"),
                                   lambda x, y: x * y), F.lit(0.0), lambda s, p: s + p)
+
+
+def encoder_udf(make_predict_fn, dim: int, batch_size: int = 256):
+    """P2 encoder slot: ``make_predict_fn()`` returns a function from a NumPy
+    array of strings to an (n, dim) float array; it is called once per Python
+    worker and fed Arrow batches (``predict_batch_udf``).  Output vectors are
+    L2-normalised afterwards with ``l2_normalize``."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import ArrayType, FloatType
+    return predict_batch_udf(make_predict_fn, return_type=ArrayType(FloatType()), batch_size=batch_size,
+                             input_tensor_shapes=None)

@@ -61,3 +61,12 @@ def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source
         postings, vocab = lexical.build_index(articles())
         write_lexical_index(postings, vocab, path)
     return read_lexical_index(spark, path)
+
+
+def write_dense_index(docs: DataFrame, path: str, id_col: str = "pmid", vec_col: str = "vector") -> DataFrame:
+    """The dense index is the table of unit vectors keyed by id
+    (normalised once at write time so cosine = inner product)."""
+    from citegrid.functions.vectors import as_float_vector, l2_normalize
+    out = docs.select(id_col, as_float_vector(l2_normalize(vec_col)).alias(vec_col))
+    out.write.mode("overwrite").parquet(path)
+    return docs.sparkSession.read.parquet(path)

@@ -1,0 +1,39 @@
+"""Questions arriving as a stream of CSV files, answered micro-batch by micro-batch.
+
+The reference answers one question per process; here new question files
+dropped into a folder are picked up by Structured Streaming and each
+micro-batch runs the same L3 job (retrieve, evidence, answer, validate)
+against the written index.  ``foreachBatch`` writes each batch to its own
+``epoch=<id>`` folder with overwrite, so a batch replayed after a failure
+replaces its earlier output instead of duplicating it (the checkpoint
+location records which files were consumed).
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from citegrid import schemas
+from citegrid.operators import answers as A
+from citegrid.plans import jobs
+
+
+def question_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 100) -> DataFrame:
+    return (spark.readStream.schema(schemas.QUESTIONS_CSV).option("header", True)
+            .option("multiLine", True).option("quote", '"').option("escape", '"')
+            .option("maxFilesPerTrigger", max_files_per_trigger).csv(folder).na.fill(""))
+
+
+def answer_stream(spark: SparkSession, folder: str, articles: DataFrame, postings: DataFrame,
+                  vocab: DataFrame, out_path: str, checkpoint: str, k: int = 6,
+                  generator: A.Generator | None = None, max_retries: int = 3,
+                  available_now: bool = True) -> StreamingQuery:
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        jobs.answer(batch, articles, postings, vocab, k, generator, max_retries,
+                    out_path=f"{out_path}/epoch={epoch_id}")
+
+    w = question_stream(spark, folder).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
