@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from citegrid.functions import compose as C
 from citegrid.functions import rules as R
-from citegrid.session import materialize
+from citegrid.session import materialize, ship_package
 
 Generator = Callable[[pd.DataFrame], pd.Series]
 
@@ -37,6 +37,7 @@ def generate(prompts: DataFrame, generator: Generator, attempt: int = 0) -> Data
                 err = pd.Series([repr(e)[:500]] * len(pdf), dtype="string")
             yield pd.DataFrame({"qid": pdf["qid"].values, "raw_answer": out.values, "gen_error": err.values})
 
+    ship_package(prompts.sparkSession)
     return prompts.select("qid", "prompt").mapInPandas(
         run, "qid string, raw_answer string, gen_error string")
 

@@ -28,10 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citegrid.operators.topk import top_k
+from citegrid.session import ship_package
 
 TIE_EPS = 1e-6
 
@@ -63,6 +65,14 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float32) for v in vectors]).astype(np.float64)
 
 
+def _arrow_matrix(lists: pa.Array) -> np.ndarray:
+    """A list<float> Arrow column of equal-length vectors as an (n, d) matrix
+    without per-row Python work."""
+    n = len(lists)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float32).astype(np.float64)
+    return flat.reshape(n, -1) if n else np.zeros((0, 0))
+
+
 def _score(Q: np.ndarray, qids: np.ndarray, D: np.ndarray, dids: np.ndarray, k: int,
            exclude_self: bool, chunk: int = 1024) -> pd.DataFrame:
     out = []
@@ -81,6 +91,7 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
                    block_rows: int = 4096, strategy: str = "auto") -> DataFrame:
     """Raw candidates ``(qid, did, score)`` (≥ k per query, ties kept)."""
     spark = queries.sparkSession
+    ship_package(spark)
     qtype = dict(queries.dtypes)[qid]
     dtype_ = dict(docs.dtypes)[did]
     schema = f"{qid} {qtype}, {did} {dtype_}, score double"
@@ -93,20 +104,25 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
         qpdf = queries.select(qid, qvec).toPandas()          # bounded by the size check above
         bc = spark.sparkContext.broadcast((qpdf[qid].to_numpy(), _matrix(qpdf[qvec])))
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out_schema = spark.createDataFrame([], schema).schema
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qids, Q = bc.value
             acc = []
-            for pdf in batches:
-                if len(pdf) == 0 or len(qids) == 0:
+            for rb in batches:
+                if rb.num_rows == 0 or len(qids) == 0:
                     continue
-                acc.append(_score(Q, qids, _matrix(pdf[dvec]), pdf[did].to_numpy(), k, exclude_self))
+                ids = rb.column(did).to_numpy(zero_copy_only=False)
+                acc.append(_score(Q, qids, _arrow_matrix(rb.column(dvec)), ids, k, exclude_self))
                 if sum(len(a) for a in acc) > 8 * len(qids) * (k + 4):
                     acc = [_prune(pd.concat(acc, ignore_index=True), k)]
             if acc:
                 c = _prune(pd.concat(acc, ignore_index=True), k)
-                yield pd.DataFrame({qid: c["q"].to_numpy(), did: c["d"].to_numpy(), "score": c["score"].to_numpy()})
+                yield pa.RecordBatch.from_pandas(
+                    pd.DataFrame({qid: c["q"].to_numpy(), did: c["d"].to_numpy(), "score": c["score"].to_numpy()}),
+                    preserve_index=False)
 
-        return docs.select(did, dvec).mapInPandas(run, schema)
+        return docs.select(did, dvec).mapInArrow(run, out_schema)
 
     # tiled: bounded query tiles x bounded document blocks, paired by an equi-join
     nd = docs.count()

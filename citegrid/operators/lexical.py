@@ -1,25 +1,38 @@
 """Lexical vectors (P7) and lexical kNN (R1, sparse form).
 
-A document vector is a set of rows ``(pmid, term, w)`` with smoothed TF-IDF
-weights, L2-normalised per document; cosine similarity is then the sum of
-``w_q * w_d`` over shared terms, computed by an equi-join on ``term`` and a
-``(qid, pmid)`` aggregation — term-at-a-time scoring as a Spark plan.
-
-Scale notes
-* The index is built once and written (``plans.index``); queries only scan it.
-* Query terms are Q × |question| rows: AQE broadcasts them from runtime
-  size statistics, so the postings side is streamed, never shuffled, and a
-  hot term (one in a third of all documents) causes no skewed partition.
-* The ``(qid, pmid)`` aggregation is map-side combined; the top-k window
-  then moves only k rows per question per map partition.
+A document vector holds smoothed TF-IDF weights, L2-normalised per
+document; cosine similarity is the sum of ``w_q * w_d`` over shared terms.
+Two forms of the same index: ``postings(pmid, term, w)`` (one row per term
+occurrence) and ``doc vectors(pmid, terms[], ws[])`` (one row per document,
+what is written to disk; postings are an ``explode`` of it).
+
+Two scoring plans, chosen by a size check on the question side:
+
+* **block** (bounded question set): the query-term matrix (Q × T_q, checked
+  against ``max_query_bytes``) is broadcast; each task scores its documents
+  with a vectorised sparse-dense product in NumPy and keeps a running top-k
+  per question.  No (question, document) pair ever reaches a shuffle — a
+  term shared by a third of the corpus costs arithmetic, not exchange
+  volume; the final top-k moves tasks × Q × k rows.
+* **join** (question set too large to broadcast): equi-join on ``term`` and a
+  ``(qid, pmid)`` aggregation (map-side combined; AQE splits hot-term
+  partitions), then the windowed top-k with a partial limit before the
+  exchange.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citegrid.functions.text import doc_text, nz
 from citegrid.operators.topk import top_k
+from citegrid.session import ship_package
 
 # Fixed value: lexical token shape (ASCII letters/digits, lower-cased after).
 TOKEN_PATTERN = r"[A-Za-z0-9]+"
@@ -59,6 +72,22 @@ def build_index(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _normalise(weighted, "pmid"), vocab
 
 
+def to_doc_vectors(postings: DataFrame) -> DataFrame:
+    """Postings -> one row per document (terms sorted).  After the per-document
+    normalisation window the rows are already partitioned by ``pmid``, so
+    this grouping adds no exchange."""
+    pairs = F.array_sort(F.collect_list(F.struct("term", "w")))
+    return postings.groupBy("pmid").agg(pairs.alias("_p")).select(
+        "pmid", F.transform("_p", lambda x: x["term"]).alias("terms"),
+        F.transform("_p", lambda x: x["w"]).alias("ws"))
+
+
+def to_postings(docvecs: DataFrame) -> DataFrame:
+    """Doc vectors -> postings (narrow: an explode, no shuffle)."""
+    return docvecs.select("pmid", F.explode(F.arrays_zip("terms", "ws")).alias("_z")).select(
+        "pmid", F.col("_z.terms").alias("term"), F.col("_z.ws").alias("w"))
+
+
 def query_vectors(questions: DataFrame, vocab: DataFrame, qid: str = "qid",
                   text: str = "question") -> DataFrame:
     """Question vectors in the same space; terms unknown to the corpus are dropped."""
@@ -86,7 +115,74 @@ def scores(qvec: DataFrame, postings: DataFrame, qid: str = "qid",
             .groupBy(qid, "pmid").agg(F.sum(F.col("qw") * F.col("w")).alias("score")))
 
 
-def search(questions: DataFrame, postings: DataFrame, vocab: DataFrame, k: int,
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """R1 + R2 + R3: ``(qid, pmid, score, rank)``, k per question."""
-    return top_k(scores(query_vectors(questions, vocab), postings, broadcast_max_rows=broadcast_max_rows), k)
+MAX_QUERY_BYTES = 256 << 20
+
+
+def block_candidates(qvec: DataFrame, docvecs: DataFrame, k: int, n_q: int, n_t: int) -> DataFrame:
+    """Per-task top-k candidates ``(qid, pmid, score)`` from a broadcast
+    query-term matrix (caller checked n_q × n_t)."""
+    from citegrid.operators.dense import _local_topk, _prune
+    spark = qvec.sparkSession
+    ship_package(spark)
+    q = qvec.toPandas()                      # bounded: n_q × n_t checked by the caller
+    qids = np.array(sorted(q["qid"].unique()), dtype=object)
+    tvals = np.array(sorted(q["term"].unique()), dtype=object)
+    Qm = np.zeros((len(qids), len(tvals)))
+    Qm[pd.Index(qids).get_indexer(q["qid"]), pd.Index(tvals).get_indexer(q["term"])] = q["w"].to_numpy()
+    bc = spark.sparkContext.broadcast((qids, tvals, Qm))
+    chunk = max(64, min(4096, int(8_000_000 / max(len(tvals), 1))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qids, tvals, Qm = bc.value
+        vocab_q = pa.array(list(tvals), pa.string())
+        acc: list[pd.DataFrame] = []
+        for rb in batches:
+            if rb.num_rows == 0 or len(qids) == 0:
+                continue
+            terms, ws = rb.column("terms"), rb.column("ws")
+            col = pc.index_in(terms.flatten(), value_set=vocab_q)          # vectorised term lookup
+            doc = pc.list_parent_indices(terms).to_numpy()
+            hit = col.is_valid().to_numpy(zero_copy_only=False)
+            if not hit.any():
+                continue
+            col = col.fill_null(0).to_numpy()[hit]
+            w = ws.flatten().to_numpy(zero_copy_only=False)[hit]
+            doc = doc[hit]
+            docs = np.unique(doc)
+            pmids = rb.column("pmid").to_numpy(zero_copy_only=False)
+            for lo in range(0, len(docs), chunk):
+                part = docs[lo:lo + chunk]
+                sel = (doc >= part[0]) & (doc <= part[-1])
+                row = np.searchsorted(part, doc[sel])
+                D = np.zeros((len(part), len(tvals)))
+                np.add.at(D, (row, col[sel]), w[sel])
+                S = Qm @ D.T
+                S[S <= 0] = -np.inf           # only documents sharing a term are candidates
+                c = _local_topk(qids, pmids[part], S, k)
+                acc.append(c[np.isfinite(c["score"].to_numpy())])
+            if sum(len(a) for a in acc) > 8 * len(qids) * (k + 4):
+                acc = [_prune(pd.concat(acc, ignore_index=True), k)]
+        if acc:
+            c = _prune(pd.concat(acc, ignore_index=True), k)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c["q"].astype(str).tolist(), pa.string()), pa.array(c["d"].astype(str).tolist(), pa.string()),
+                 pa.array(c["score"].to_numpy(), pa.float64())], names=["qid", "pmid", "score"])
+
+    return docvecs.select("pmid", "terms", "ws").mapInArrow(run, "qid string, pmid string, score double")
+
+
+def search(questions: DataFrame, index: DataFrame, vocab: DataFrame, k: int,
+           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+           max_query_bytes: int = MAX_QUERY_BYTES, strategy: str = "auto") -> DataFrame:
+    """R1 + R2 + R3: ``(qid, pmid, score, rank)``, k per question.
+
+    ``index`` is either doc vectors (``pmid, terms, ws``) or postings."""
+    qvec = query_vectors(questions, vocab)
+    if strategy in ("auto", "block"):
+        st = qvec.agg(F.countDistinct("qid").alias("q"), F.countDistinct("term").alias("t")).first()
+        n_q, n_t = int(st["q"]), int(st["t"])
+        if strategy == "block" or n_q * max(n_t, 1) * 8 <= max_query_bytes:
+            docvecs = index if "terms" in index.columns else to_doc_vectors(index)
+            return top_k(block_candidates(qvec, docvecs, k, n_q, n_t), k)
+    postings = index if "term" in index.columns else to_postings(index)
+    return top_k(scores(qvec, postings, broadcast_max_rows=broadcast_max_rows), k)

@@ -4,9 +4,8 @@ The index of a corpus is a written table (``postings``, ``vocab``) in the
 shared checkpoint folder, keyed by the identity of the source files (path,
 size, modification time), so every later job that asks for the same
 corpus reads it instead of rebuilding it — the same split as building an
-index once and loading it for every question.  Postings are written sorted
-by term so that Parquet row-group statistics can skip files for a selective
-term filter.
+index once and loading it for every question.  The written form is one
+row per document (``pmid, terms[], ws[]``), which the block scorer streams.
 """
 from __future__ import annotations
 
@@ -41,12 +40,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_lexical_index(postings: DataFrame, vocab: DataFrame, path: str) -> None:
+    """Writes ``vocab`` and the doc vectors (one row per document; the
+    postings form is a narrow explode of it)."""
     vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    postings.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+    lexical.to_doc_vectors(postings).write.mode("overwrite").parquet(f"{path}/docvecs")
 
 
 def read_lexical_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/vocab")
+    """``(doc vectors, vocab)``."""
+    return spark.read.parquet(f"{path}/docvecs"), spark.read.parquet(f"{path}/vocab")
 
 
 def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source_paths: list[str],
@@ -57,7 +59,7 @@ def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source
     # later jobs over the same sources find the index
     base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
     path = f"{base}/index/{name}-{source_key(spark, source_paths)}"
-    if rebuild or not (_exists(spark, f"{path}/postings") and _exists(spark, f"{path}/vocab")):
+    if rebuild or not (_exists(spark, f"{path}/docvecs") and _exists(spark, f"{path}/vocab")):
         postings, vocab = lexical.build_index(articles())
         write_lexical_index(postings, vocab, path)
     return read_lexical_index(spark, path)

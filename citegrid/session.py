@@ -65,3 +65,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers (what
+    ``--py-files`` does): zip it once per SparkContext and ``addPyFile``.
+    Needed by every ``mapInPandas`` stage, since the task functions refer to
+    module-level helpers."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent
+    zpath = Path(tempfile.mkdtemp(prefix="citegrid-pyfiles-")) / "citegrid.zip"
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(zpath))
+    _SHIPPED.add(key)

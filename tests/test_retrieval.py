@@ -134,4 +134,16 @@ def test_top_k_plan_limits_before_shuffle(spark):
     r = retrieval.lexical_retrieval(spark, SF001, k=5, n_questions=20)
     plan = r.top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
-    assert "BroadcastHashJoin" in plan
+    assert "MapInPandas" in plan          # block scorer: no pair-level shuffle
+
+
+def test_join_strategy_agrees_with_block(spark):
+    arts = retrieval.articles(spark, SF001)
+    postings, vocab = lexical.build_index(arts)
+    qs = retrieval.silver_questions(spark, SF001, n=40)
+    a = lexical.search(qs, postings, vocab, 5, strategy="join").toPandas()
+    b = lexical.search(qs, postings, vocab, 5, strategy="block").toPandas()
+    key = lambda d: sorted(zip(d.qid, d["rank"], d.pmid, d.score))
+    assert key(a) == key(b)
+    plan = lexical.search(qs, postings, vocab, 5, strategy="join")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "WindowGroupLimit" in plan
