@@ -274,6 +274,37 @@ def q_eval_runs(spark, sf):
                        retr.alias("retrieval"), "answer")
 
 
+# ------------------------------------------------- outside question sets
+
+def _benchmark_questions(spark, sf):
+    b = corpus.table(spark, sf, "benchmark")
+    return b.select(F.col("item_id").cast("string").alias("qid"), T.nz(F.col("text")).alias("question"))
+
+
+def q_knn_benchmark(spark, sf):
+    """R6 for an outside question set: every benchmark passage against the corpus."""
+    r = retrieval.lexical_retrieval(spark, sf, K, questions=_benchmark_questions(spark, sf))
+    return r.top.select("qid", F.col("rank").cast("int").alias("rank"), "pmid", "score")
+
+
+def q_validate_conversations(spark, sf):
+    """V11 on real answers: each user turn is a question (retrieved against the
+    corpus), the next assistant turn of the same conversation is its answer."""
+    c = corpus.table(spark, sf, "conversations")
+    users = c.where(F.col("role") == "user").select(
+        "conv_id", "turn", F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("qid"),
+        T.nz(F.col("text")).alias("question"))
+    replies = c.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), T.nz(F.col("text")).alias("raw"))
+    pairs = users.join(replies, ["conv_id", "turn"], "inner").select("qid", "question", "raw")
+    r = retrieval.lexical_retrieval(spark, sf, K, questions=pairs.select("qid", "question"))
+    ctx = EV.with_evidence(r.hit_arrays.join(pairs, "qid"), K, "strict")
+    d = R.with_validation(ctx.withColumn("answer", R.normalize("raw")), k=K, out="v")
+    return d.select("qid", F.col("v.ok").alias("ok"), F.array_join("v.issues", SEP).alias("issues"),
+                    F.array_join("v.leaked_tokens", ",").alias("leaked_tokens"),
+                    _ints(F.col("v.citations")).alias("citations"))
+
+
 # --------------------------------------------------------------- ingestion
 
 def _pages(spark, sf):
@@ -356,6 +387,8 @@ REGISTRY = {
     "eval_table": q_eval_table,
     "eval_metrics": q_eval_metrics,
     "eval_runs": q_eval_runs,
+    "knn_benchmark": q_knn_benchmark,
+    "validate_conversations": q_validate_conversations,
     "ingest_markup_flatten": q_ingest_markup_flatten,
     "ingest_filter_nonempty": q_ingest_filter_nonempty,
     "ingest_dedup_keep_first": q_ingest_dedup_keep_first,

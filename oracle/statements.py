@@ -150,3 +150,20 @@ fetched AS (SELECT pmid, title FROM articles WHERE pmid IN (SELECT pmid FROM ids
 STATEMENTS["ingest_semi_fetch"] = FETCH + "SELECT pmid, title FROM fetched"
 STATEMENTS["ingest_meta"] = FETCH + """SELECT (SELECT query_used FROM chosen) AS query_used, 800 AS requested_n_docs,
     count(*) AS saved_n_docs FROM fetched"""
+
+BQ = "bq AS (SELECT CAST(item_id AS VARCHAR) AS qid, coalesce(text, '') AS question FROM benchmark)"
+STATEMENTS["knn_benchmark"] = with_(ARTICLES, LEXICAL, BQ, lexical_search(K, "bq")) + "SELECT qid, rank, pmid, score FROM top"
+
+CONV = """
+users AS (SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS qid,
+                 coalesce(text, '') AS question FROM conversations WHERE role = 'user'),
+replies AS (SELECT conv_id, turn - 1 AS turn, coalesce(text, '') AS raw FROM conversations WHERE role = 'assistant'),
+pairs AS (SELECT qid, question, raw FROM users JOIN replies USING (conv_id, turn))"""
+STATEMENTS["validate_conversations"] = with_(
+    ARTICLES, LEXICAL, CONV, lexical_search(K, "pairs"), S.QH,
+    f"""cctx AS (SELECT qh.qid, qh.evidence, {S.evidence_markers('qh.evidence')} AS markers, {S.normalize('p.raw')} AS answer
+               FROM qh JOIN pairs p USING (qid))""",
+    f"clk AS (SELECT *, {S.leaked('answer', 'evidence')} AS leaked FROM cctx)",
+    f"cval AS (SELECT *, {S.issues('answer', 'evidence', K)} AS issues FROM clk)") + f"""
+    SELECT qid, len(issues) = 0 AS ok, array_to_string(issues, ' || ') AS issues,
+           array_to_string(leaked, ',') AS leaked_tokens, {S.ints(S.citations('answer'))} AS citations FROM cval"""
