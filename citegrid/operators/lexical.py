@@ -52,7 +52,9 @@ def term_counts(df: DataFrame, key: str, text: Column) -> DataFrame:
 def vocabulary(tf: DataFrame, n_docs: Column) -> DataFrame:
     """``(term, idf)`` with idf = ln((N+1)/(df+1)) + 1 (always > 0, so no
     document vector has zero norm unless it has no terms)."""
-    return (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # count(tf) (not count(*)) keeps the tf aggregate identical in both uses,
+    # so Spark reuses its exchange and the corpus is tokenised once
+    return (tf.groupBy("term").agg(F.count("tf").alias("df"))
             .select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")))
 
 
@@ -61,12 +63,21 @@ def _normalise(weighted: DataFrame, key: str) -> DataFrame:
     return weighted.withColumn("w", F.try_divide(F.col("w"), norm))
 
 
-def build_index(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+def build_index(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame]:
     """``postings(pmid, term, w)`` and ``vocab(term, idf)`` from the article
-    text (P1 composition, as the encoder would see it)."""
-    text = doc_text("pmid", "title", "abstract")
-    tf = term_counts(articles, "pmid", text)
+    text (P1 composition, as the encoder would see it).
+
+    ``keep_tf`` (optional) receives the ``(pmid, term, tf)`` table and returns
+    it written (e.g. ``session.materialize``), so the corpus is tokenised once
+    for both the document frequencies and the weights."""
+    tf = term_counts(articles, "pmid", doc_text("pmid", "title", "abstract"))
+    if keep_tf is not None:
+        tf = keep_tf(tf)
     n_docs = articles.select(F.count(F.lit(1))).scalar()
+    return index_from_tf(tf, n_docs)
+
+
+def index_from_tf(tf: DataFrame, n_docs: Column) -> tuple[DataFrame, DataFrame]:
     vocab = vocabulary(tf, n_docs)
     weighted = tf.join(vocab, "term").select("pmid", "term", (F.col("tf") * F.col("idf")).alias("w"))
     return _normalise(weighted, "pmid"), vocab

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from citegrid.operators import lexical
-from citegrid.session import ensure_checkpoint_dir
+from citegrid.session import ensure_checkpoint_dir, materialize
 
 
 def _fs(spark: SparkSession, path: str):
@@ -60,7 +60,7 @@ def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source
     base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
     path = f"{base}/index/{name}-{source_key(spark, source_paths)}"
     if rebuild or not (_exists(spark, f"{path}/docvecs") and _exists(spark, f"{path}/vocab")):
-        postings, vocab = lexical.build_index(articles())
+        postings, vocab = lexical.build_index(articles(), keep_tf=lambda tf: materialize(tf, "index-tf"))
         write_lexical_index(postings, vocab, path)
     return read_lexical_index(spark, path)
 
