@@ -8,10 +8,10 @@ what is written to disk; postings are an ``explode`` of it).
 
 Two scoring plans, chosen by a size check on the question side:
 
-* **block** (bounded question set): the query-term matrix (Q × T_q, checked
-  against ``max_query_bytes``) is broadcast; each task scores its documents
-  with a vectorised sparse-dense product in NumPy and keeps a running top-k
-  per question.  No (question, document) pair ever reaches a shuffle — a
+* **block** (bounded question set): the query vectors (row count checked)
+  are broadcast as an inverted list; each task scores its documents with a
+  vectorised sparse product in NumPy and keeps a running top-k per
+  question.  No (question, document) pair ever reaches a shuffle — a
   term shared by a third of the corpus costs arithmetic, not exchange
   volume; the final top-k moves tasks × Q × k rows.
 * **join** (question set too large to broadcast): equi-join on ``term`` and a
@@ -126,52 +126,77 @@ def scores(qvec: DataFrame, postings: DataFrame, qid: str = "qid",
             .groupBy(qid, "pmid").agg(F.sum(F.col("qw") * F.col("w")).alias("score")))
 
 
-MAX_QUERY_BYTES = 256 << 20
+# Score cells per dense block and expanded (question, posting) contributions
+# per slice inside a task: bounds task memory whatever the question mix.
+BLOCK_CELLS = 4_000_000
+SLICE_CONTRIBUTIONS = 8_000_000
 
 
-def block_candidates(qvec: DataFrame, docvecs: DataFrame, k: int, n_q: int, n_t: int) -> DataFrame:
-    """Per-task top-k candidates ``(qid, pmid, score)`` from a broadcast
-    query-term matrix (caller checked n_q × n_t)."""
+def block_candidates(qvec: DataFrame, docvecs: DataFrame, k: int) -> DataFrame:
+    """Per-task top-k candidates ``(qid, pmid, score)``.
+
+    The query vectors (caller checked their row count) are broadcast as an
+    inverted list term -> (question, weight).  A task maps its documents'
+    terms to that list (``pyarrow.compute.index_in``), expands each matching
+    posting to its questions, accumulates the products into a dense
+    questions × documents block with ``bincount``, and keeps a running top-k
+    per question.  Only those candidates leave the task."""
     from citegrid.operators.dense import _local_topk, _prune
     spark = qvec.sparkSession
     ship_package(spark)
-    q = qvec.toPandas()                      # bounded: n_q × n_t checked by the caller
+    q = qvec.toPandas()                      # bounded: row count checked by the caller
     qids = np.array(sorted(q["qid"].unique()), dtype=object)
     tvals = np.array(sorted(q["term"].unique()), dtype=object)
-    Qm = np.zeros((len(qids), len(tvals)))
-    Qm[pd.Index(qids).get_indexer(q["qid"]), pd.Index(tvals).get_indexer(q["term"])] = q["w"].to_numpy()
-    bc = spark.sparkContext.broadcast((qids, tvals, Qm))
-    chunk = max(64, min(4096, int(8_000_000 / max(len(tvals), 1))))
+    qi = pd.Index(qids).get_indexer(q["qid"])
+    ti = pd.Index(tvals).get_indexer(q["term"])
+    order = np.argsort(ti, kind="stable")
+    qi_s, ti_s, w_s = qi[order], ti[order], q["w"].to_numpy()[order]
+    offsets = np.searchsorted(ti_s, np.arange(len(tvals) + 1))
+    bc = spark.sparkContext.broadcast((qids, tvals, offsets, qi_s, w_s))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, tvals, Qm = bc.value
+        qids, tvals, offsets, qi_s, w_s = bc.value
+        n_q = len(qids)
+        chunk = max(1, BLOCK_CELLS // max(n_q, 1))
         vocab_q = pa.array(list(tvals), pa.string())
         acc: list[pd.DataFrame] = []
         for rb in batches:
-            if rb.num_rows == 0 or len(qids) == 0:
+            if rb.num_rows == 0 or n_q == 0:
                 continue
             terms, ws = rb.column("terms"), rb.column("ws")
             col = pc.index_in(terms.flatten(), value_set=vocab_q)          # vectorised term lookup
-            doc = pc.list_parent_indices(terms).to_numpy()
             hit = col.is_valid().to_numpy(zero_copy_only=False)
             if not hit.any():
                 continue
+            doc = pc.list_parent_indices(terms).to_numpy()[hit]
             col = col.fill_null(0).to_numpy()[hit]
             w = ws.flatten().to_numpy(zero_copy_only=False)[hit]
-            doc = doc[hit]
-            docs = np.unique(doc)
             pmids = rb.column("pmid").to_numpy(zero_copy_only=False)
+            docs = np.unique(doc)
             for lo in range(0, len(docs), chunk):
                 part = docs[lo:lo + chunk]
                 sel = (doc >= part[0]) & (doc <= part[-1])
-                row = np.searchsorted(part, doc[sel])
-                D = np.zeros((len(part), len(tvals)))
-                np.add.at(D, (row, col[sel]), w[sel])
-                S = Qm @ D.T
+                d_loc, c_sel, w_sel = np.searchsorted(part, doc[sel]), col[sel], w[sel]
+                starts = offsets[c_sel]
+                cnt = offsets[c_sel + 1] - starts
+                S = np.zeros(n_q * len(part))
+                cum = np.cumsum(cnt)
+                a = 0
+                while a < len(cnt):
+                    b = int(np.searchsorted(cum, (cum[a - 1] if a else 0) + SLICE_CONTRIBUTIONS, "right"))
+                    b = max(b, a + 1)
+                    n = cnt[a:b]
+                    rep = np.repeat(np.arange(a, b), n)
+                    first = np.repeat(starts[a:b] - (np.cumsum(n) - n), n)
+                    pos = first + np.arange(int(n.sum()))
+                    S += np.bincount(qi_s[pos] * len(part) + d_loc[rep], weights=w_s[pos] * w_sel[rep],
+                                     minlength=n_q * len(part))
+                    a = b
+                S = S.reshape(n_q, len(part))
                 S[S <= 0] = -np.inf           # only documents sharing a term are candidates
                 c = _local_topk(qids, pmids[part], S, k)
                 acc.append(c[np.isfinite(c["score"].to_numpy())])
-            if sum(len(a) for a in acc) > 8 * len(qids) * (k + 4):
+            if sum(len(x) for x in acc) > 8 * n_q * (k + 4):
                 acc = [_prune(pd.concat(acc, ignore_index=True), k)]
         if acc:
             c = _prune(pd.concat(acc, ignore_index=True), k)
@@ -183,17 +208,15 @@ def block_candidates(qvec: DataFrame, docvecs: DataFrame, k: int, n_q: int, n_t:
 
 
 def search(questions: DataFrame, index: DataFrame, vocab: DataFrame, k: int,
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
-           max_query_bytes: int = MAX_QUERY_BYTES, strategy: str = "auto") -> DataFrame:
+           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS, strategy: str = "auto") -> DataFrame:
     """R1 + R2 + R3: ``(qid, pmid, score, rank)``, k per question.
 
-    ``index`` is either doc vectors (``pmid, terms, ws``) or postings."""
+    ``index`` is either doc vectors (``pmid, terms, ws``) or postings.  The
+    block scorer is used when the query vectors fit the broadcast bound
+    (checked by counting them); otherwise the join scorer."""
     qvec = query_vectors(questions, vocab)
-    if strategy in ("auto", "block"):
-        st = qvec.agg(F.countDistinct("qid").alias("q"), F.countDistinct("term").alias("t")).first()
-        n_q, n_t = int(st["q"]), int(st["t"])
-        if strategy == "block" or n_q * max(n_t, 1) * 8 <= max_query_bytes:
-            docvecs = index if "terms" in index.columns else to_doc_vectors(index)
-            return top_k(block_candidates(qvec, docvecs, k, n_q, n_t), k)
+    if strategy == "block" or (strategy == "auto" and qvec.count() <= (broadcast_max_rows or 0)):
+        docvecs = index if "terms" in index.columns else to_doc_vectors(index)
+        return top_k(block_candidates(qvec, docvecs, k), k)
     postings = index if "term" in index.columns else to_postings(index)
     return top_k(scores(qvec, postings, broadcast_max_rows=broadcast_max_rows), k)
