@@ -95,6 +95,7 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
     qtype = dict(queries.dtypes)[qid]
     dtype_ = dict(docs.dtypes)[did]
     schema = f"{qid} {qtype}, {did} {dtype_}, score double"
+    queries = queries.where(F.col(qvec).isNotNull())
     stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec)).alias("d")).first()
     nq, dim = int(stats["n"]), int(stats["d"] or 0)
     if strategy == "auto":
@@ -122,7 +123,8 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
                     pd.DataFrame({qid: c["q"].to_numpy(), did: c["d"].to_numpy(), "score": c["score"].to_numpy()}),
                     preserve_index=False)
 
-        return docs.select(did, dvec).mapInArrow(run, out_schema)
+        return docs.select(did, dvec).where(F.col(dvec).isNotNull() & (F.size(dvec) == dim)) \
+            .mapInArrow(run, out_schema)
 
     # tiled: bounded query tiles x bounded document blocks, paired by an equi-join
     nd = docs.count()

@@ -346,6 +346,11 @@ def q_ingest_semi_fetch(spark, sf):
     return markup.semi_fetch(arts, ids).select("pmid", "title")
 
 
+def q_index_meta(spark, sf):
+    """The index sidecar (encoder name, number of indexed documents)."""
+    return corpus.index_meta(retrieval.articles(spark, sf), "lexical-tfidf")
+
+
 def q_ingest_meta(spark, sf):
     arts = retrieval.articles(spark, sf)
     ids, used = cascade.search(arts, corpus_levels(), N_DOCS)
@@ -395,4 +400,5 @@ REGISTRY = {
     "ingest_query_cascade": q_ingest_query_cascade,
     "ingest_semi_fetch": q_ingest_semi_fetch,
     "ingest_meta": q_ingest_meta,
+    "index_meta": q_index_meta,
 }

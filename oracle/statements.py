@@ -167,3 +167,5 @@ STATEMENTS["validate_conversations"] = with_(
     f"cval AS (SELECT *, {S.issues('answer', 'evidence', K)} AS issues FROM clk)") + f"""
     SELECT qid, len(issues) = 0 AS ok, array_to_string(issues, ' || ') AS issues,
            array_to_string(leaked, ',') AS leaked_tokens, {S.ints(S.citations('answer'))} AS citations FROM cval"""
+
+STATEMENTS["index_meta"] = "SELECT 'lexical-tfidf' AS embedding_model, count(*) AS n_docs FROM documents"
