@@ -132,19 +132,18 @@ BLOCK_CELLS = 4_000_000
 SLICE_CONTRIBUTIONS = 8_000_000
 
 
-def block_candidates(qvec: DataFrame, docvecs: DataFrame, k: int) -> DataFrame:
+def block_candidates(q: pd.DataFrame, docvecs: DataFrame, k: int) -> DataFrame:
     """Per-task top-k candidates ``(qid, pmid, score)``.
 
-    The query vectors (caller checked their row count) are broadcast as an
-    inverted list term -> (question, weight).  A task maps its documents'
+    The query vectors ``q`` (pandas ``qid, term, w``; collected by the caller
+    behind a row-count bound) are broadcast as an inverted list term -> (question, weight).  A task maps its documents'
     terms to that list (``pyarrow.compute.index_in``), expands each matching
     posting to its questions, accumulates the products into a dense
     questions × documents block with ``bincount``, and keeps a running top-k
     per question.  Only those candidates leave the task."""
     from citegrid.operators.dense import _local_topk, _prune
-    spark = qvec.sparkSession
+    spark = docvecs.sparkSession
     ship_package(spark)
-    q = qvec.toPandas()                      # bounded: row count checked by the caller
     qids = np.array(sorted(q["qid"].unique()), dtype=object)
     tvals = np.array(sorted(q["term"].unique()), dtype=object)
     qi = pd.Index(qids).get_indexer(q["qid"])
@@ -215,8 +214,12 @@ def search(questions: DataFrame, index: DataFrame, vocab: DataFrame, k: int,
     block scorer is used when the query vectors fit the broadcast bound
     (checked by counting them); otherwise the join scorer."""
     qvec = query_vectors(questions, vocab)
-    if strategy == "block" or (strategy == "auto" and qvec.count() <= (broadcast_max_rows or 0)):
-        docvecs = index if "terms" in index.columns else to_doc_vectors(index)
-        return top_k(block_candidates(qvec, docvecs, k), k)
+    if strategy in ("auto", "block"):
+        bound = broadcast_max_rows or 0
+        # one job: the collection is its own size check (at most bound + 1 rows)
+        q = qvec.toPandas() if strategy == "block" else qvec.limit(bound + 1).toPandas()
+        if strategy == "block" or len(q) <= bound:
+            docvecs = index if "terms" in index.columns else to_doc_vectors(index)
+            return top_k(block_candidates(q, docvecs, k), k)
     postings = index if "term" in index.columns else to_postings(index)
     return top_k(scores(qvec, postings, broadcast_max_rows=broadcast_max_rows), k)

@@ -49,8 +49,10 @@ def q_l2_normalize(spark, sf):
 
 
 def q_lexical_vectors(spark, sf):
-    postings, _ = lexical.build_index(retrieval.articles(spark, sf))
-    return postings.select("pmid", "term", F.round("w", 6).alias("w"))
+    """The written index of the corpus (built on first use, tokenising
+    the corpus once), in postings form."""
+    docvecs, _ = retrieval.lexical_index(spark, sf)
+    return lexical.to_postings(docvecs).select("pmid", "term", F.round("w", 6).alias("w"))
 
 
 def _dense(spark, sf, **kw):

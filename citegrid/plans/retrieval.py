@@ -27,6 +27,12 @@ def silver_questions(spark: SparkSession, sf_dir: str, n: int = 140, seed: int =
     return silver.silver_questions(articles(spark, sf_dir), n=n, seed=seed, check_size=False)
 
 
+def lexical_index(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The written lexical index of the documents table (doc vectors, vocab)."""
+    return index.lexical_index(spark, lambda: articles(spark, sf_dir),
+                               [f"{sf_dir.rstrip('/')}/documents.parquet"], rebuild=rebuild)
+
+
 def lexical_retrieval(spark: SparkSession, sf_dir: str, k: int = 5, questions: DataFrame | None = None,
                       n_questions: int = 140, seed: int = 13, postings: DataFrame | None = None,
                       vocab: DataFrame | None = None) -> Retrieval:
@@ -38,8 +44,7 @@ def lexical_retrieval(spark: SparkSession, sf_dir: str, k: int = 5, questions: D
     qs = questions if questions is not None else silver.silver_questions(
         arts, n=n_questions, seed=seed, check_size=False)
     if postings is None or vocab is None:
-        postings, vocab = index.lexical_index(
-            spark, lambda: articles(spark, sf_dir), [f"{sf_dir.rstrip('/')}/documents.parquet"])
+        postings, vocab = lexical_index(spark, sf_dir)
     top = lexical.search(qs, postings, vocab, k)
     small = questions is None or qs.count() * k <= lexical.BROADCAST_MAX_ROWS
     hits = topk.hits_with_docs(top, arts, broadcast_hits=small)
