@@ -130,9 +130,11 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
     nd = docs.count()
     n_tiles = max(1, math.ceil(nq / tile_rows))
     n_blocks = max(1, math.ceil(nd / block_rows))
-    tiles = (queries.select(F.pmod(F.xxhash64(qid), F.lit(n_tiles)).alias("tile"), qid, qvec)
+    # tiles/blocks hash the id *and* the vector, so even a repeated id spreads
+    # over many blocks; every tile and block stays near its nominal size
+    tiles = (queries.select(F.pmod(F.xxhash64(qid, qvec), F.lit(n_tiles)).alias("tile"), qid, qvec)
              .groupBy("tile").agg(F.collect_list(F.struct(F.col(qid).alias("i"), F.col(qvec).alias("v"))).alias("qs")))
-    blocks = (docs.select(F.pmod(F.xxhash64(did), F.lit(n_blocks)).alias("block"), did, dvec)
+    blocks = (docs.select(F.pmod(F.xxhash64(did, dvec), F.lit(n_blocks)).alias("block"), did, dvec)
               .groupBy("block").agg(F.collect_list(F.struct(F.col(did).alias("i"), F.col(dvec).alias("v"))).alias("ds")))
     pairs = tiles.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))) \
         .join(blocks, "block").select("qs", "ds")

@@ -65,7 +65,9 @@ def _normalise(weighted: DataFrame, key: str) -> DataFrame:
 
 def build_index(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame]:
     """``postings(pmid, term, w)`` and ``vocab(term, idf)`` from the article
-    text (P1 composition, as the encoder would see it).
+    text (P1 composition, as the encoder would see it).  ``pmid`` is a key
+    (deduplicate first, ``markup.dedup_keep_first``), so every per-document
+    group is bounded by one document's distinct terms.
 
     ``keep_tf`` (optional) receives the ``(pmid, term, tf)`` table and returns
     it written (e.g. ``session.materialize``), so the corpus is tokenised once
