@@ -44,7 +44,10 @@ def eval_rows(questions: DataFrame, hit_arrays: DataFrame, k: int,
     q = questions.select("qid", parse_relevant("relevant_pmids").alias("rel"))
     df = q.join(hit_arrays, "qid", "left")
     ids = F.coalesce(F.transform(F.col("hits"), lambda h: h["pmid"]), F.array().cast("array<string>"))
-    if answers is not None:
+    if answers is None and "answer" in hit_arrays.columns:
+        present = R.citations_present(F.col("answer"))
+        valid = R.citations_valid(F.col("answer"), k)
+    elif answers is not None:
         df = df.join(answers.select("qid", "answer"), "qid", "left")
         present = R.citations_present(F.col("answer"))
         valid = R.citations_valid(F.col("answer"), k)
@@ -80,6 +83,8 @@ def eval_runs(questions: DataFrame, hit_arrays: DataFrame, answers: DataFrame |
     if answers is not None:
         df = df.join(answers.select("qid", "answer"), "qid", "left")
         ans = nz(F.col("answer"))
+    elif "answer" in hit_arrays.columns:
+        ans = nz(F.col("answer"))
     else:
         ans = F.lit("")
     return df.select("qid", "question", "relevant_pmids",

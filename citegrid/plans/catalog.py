@@ -244,22 +244,24 @@ def q_parse_relevant(spark, sf):
 
 
 def _eval(spark, sf, run_llm=True):
+    """Retrieval once; with generation on, the composed answer rides along as
+    a column of the per-question frame (one plan, one retrieval)."""
     r = retrieval.lexical_retrieval(spark, sf, K)
-    answers = None
+    arrays = r.hit_arrays
     if run_llm:
         qh = EV.with_evidence(r.hit_arrays.join(r.questions, "qid"), K, "simple")
-        answers = qh.select("qid", C.compose(F.col("hits"), K, mblocks=F.col("mblocks")).alias("answer"))
-    return r, answers
+        arrays = qh.select("qid", "hits", C.compose(F.col("hits"), K, mblocks=F.col("mblocks")).alias("answer"))
+    return r, arrays
 
 
 def q_eval_table(spark, sf):
-    r, ans = _eval(spark, sf)
-    return E.eval_rows(r.questions, r.hit_arrays, K, ans)
+    r, arrays = _eval(spark, sf)
+    return E.eval_rows(r.questions, arrays, K)
 
 
 def q_eval_metrics(spark, sf):
-    r, ans = _eval(spark, sf)
-    rows = E.eval_rows(r.questions, r.hit_arrays, K, ans)
+    r, arrays = _eval(spark, sf)
+    rows = E.eval_rows(r.questions, arrays, K)
     m = E.eval_metrics(rows, K, "lexical-tfidf", "extractive-composer", True, "silver")
     return m.select(F.round("recall_at_k", 6).alias("recall_at_k"),
                     F.round("citations_present_rate", 6).alias("citations_present_rate"),
@@ -268,8 +270,8 @@ def q_eval_metrics(spark, sf):
 
 
 def q_eval_runs(spark, sf):
-    r, ans = _eval(spark, sf)
-    runs = E.eval_runs(r.questions, r.hit_arrays, ans)
+    r, arrays = _eval(spark, sf)
+    runs = E.eval_runs(r.questions, arrays)
     retr = F.array_join(F.transform("retrieval", lambda h: F.concat(
         h["rank"].cast("string"), F.lit(":"), h["pmid"], F.lit(":"), _fmt(h["score"]))), ";")
     return runs.select("qid", "question", F.array_join("relevant_pmids", ",").alias("relevant_pmids"),

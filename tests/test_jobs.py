@@ -154,3 +154,18 @@ def test_encoder_slot_and_dense_index(spark, tmp_path):
     q = idx.select(F.col("pmid").alias("qid"), "vector")
     top = dense.knn(q, idx, 3, qid="qid", did="pmid").collect()
     assert len(top) > 0
+
+
+def test_page_flattening(spark):
+    html = ('<html><head><title>A &amp; <b>B</b></title><style>p{x}</style>'
+            '<script>var t="</p>";</script></head><body><nav>menu</nav><!-- c --><article><h1>A &amp; B</h1>'
+            '<p><b>First</b> para.<br><p>Second &lt;x&gt; para.</p></article><footer>f</footer></body></html>')
+    df = spark.createDataFrame([(1, "https://h.example.org/en/42?x=1", html),
+                                (2, "https://other.example.net/en/42.html", "<title></title>"),
+                                (3, "https://h.example.org/about", "<title>t</title>")],
+                               "page_id long, url string, html string")
+    flat = {r["page_id"]: r for r in markup.flatten_pages(df).collect()}
+    assert (flat[1]["pmid"], flat[1]["title"], flat[1]["abstract"]) == ("en/42", "A & B", "First para. Second <x> para.")
+    assert flat[3]["pmid"] is None
+    kept = markup.keep_nonempty(markup.flatten_pages(df))
+    assert sorted(r["page_id"] for r in kept.collect()) == [1]
