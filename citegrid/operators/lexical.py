@@ -63,11 +63,11 @@ def _normalise(weighted: DataFrame, key: str) -> DataFrame:
     return weighted.withColumn("w", F.try_divide(F.col("w"), norm))
 
 
-def build_index(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame]:
-    """``postings(pmid, term, w)`` and ``vocab(term, idf)`` from the article
-    text (P1 composition, as the encoder would see it).  ``pmid`` is a key
-    (deduplicate first, ``markup.dedup_keep_first``), so every per-document
-    group is bounded by one document's distinct terms.
+def build_doc_vectors(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame]:
+    """``doc vectors(pmid, terms[], ws[])`` and ``vocab(term, idf)`` from the
+    article text (P1 composition, as the encoder would see it).  ``pmid`` is a
+    key (deduplicate first, ``markup.dedup_keep_first``), so every
+    per-document group is bounded by one document's distinct terms.
 
     ``keep_tf`` (optional) receives the ``(pmid, term, tf)`` table and returns
     it written (e.g. ``session.materialize``), so the corpus is tokenised once
@@ -76,19 +76,24 @@ def build_index(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame
     if keep_tf is not None:
         tf = keep_tf(tf)
     n_docs = articles.select(F.count(F.lit(1))).scalar()
-    return index_from_tf(tf, n_docs)
-
-
-def index_from_tf(tf: DataFrame, n_docs: Column) -> tuple[DataFrame, DataFrame]:
     vocab = vocabulary(tf, n_docs)
     weighted = tf.join(vocab, "term").select("pmid", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    return _normalise(weighted, "pmid"), vocab
+    # one aggregation per document: its (term, weight) pairs and its squared norm
+    g = weighted.groupBy("pmid").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("_p"),
+                                     F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
+    docvecs = g.select("pmid", F.transform("_p", lambda x: x["term"]).alias("terms"),
+                       F.transform("_p", lambda x: F.try_divide(x["w"], F.col("_n"))).alias("ws"))
+    return docvecs, vocab
+
+
+def build_index(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame]:
+    """P7 in postings form: ``postings(pmid, term, w)`` and ``vocab(term, idf)``."""
+    docvecs, vocab = build_doc_vectors(articles, keep_tf)
+    return to_postings(docvecs), vocab
 
 
 def to_doc_vectors(postings: DataFrame) -> DataFrame:
-    """Postings -> one row per document (terms sorted).  After the per-document
-    normalisation window the rows are already partitioned by ``pmid``, so
-    this grouping adds no exchange."""
+    """Postings -> one row per document (terms sorted)."""
     pairs = F.array_sort(F.collect_list(F.struct("term", "w")))
     return postings.groupBy("pmid").agg(pairs.alias("_p")).select(
         "pmid", F.transform("_p", lambda x: x["term"]).alias("terms"),

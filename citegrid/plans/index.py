@@ -39,11 +39,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def write_lexical_index(postings: DataFrame, vocab: DataFrame, path: str) -> None:
+def write_lexical_index(docvecs: DataFrame, vocab: DataFrame, path: str) -> None:
     """Writes ``vocab`` and the doc vectors (one row per document; the
     postings form is a narrow explode of it)."""
     vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    lexical.to_doc_vectors(postings).write.mode("overwrite").parquet(f"{path}/docvecs")
+    docvecs.write.mode("overwrite").parquet(f"{path}/docvecs")
 
 
 def read_lexical_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -60,8 +60,8 @@ def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source
     base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
     path = f"{base}/index/{name}-{source_key(spark, source_paths)}"
     if rebuild or not (_exists(spark, f"{path}/docvecs") and _exists(spark, f"{path}/vocab")):
-        postings, vocab = lexical.build_index(articles(), keep_tf=lambda tf: materialize(tf, "index-tf"))
-        write_lexical_index(postings, vocab, path)
+        docvecs, vocab = lexical.build_doc_vectors(articles(), keep_tf=lambda tf: materialize(tf, "index-tf"))
+        write_lexical_index(docvecs, vocab, path)
     return read_lexical_index(spark, path)
 
 
