@@ -10,6 +10,7 @@ row per document (``pmid, terms[], ws[]``), which the block scorer streams.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,16 +54,27 @@ def read_lexical_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
 
 def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source_paths: list[str],
                   name: str = "lexical", rebuild: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Read the written index of these sources, building it first if absent
-    (or always, with ``rebuild``)."""
+    """Read the written index of these sources, building it first if absent.
+
+    A build writes into a private folder and is then published by renaming
+    it to the shared name, so concurrent jobs never read a half-written
+    index and never overwrite one another.  ``rebuild`` always builds (into
+    its own folder) and leaves a published index in place."""
     # the shared folder itself (not the per-application sub-folder), so that
     # later jobs over the same sources find the index
     base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
-    path = f"{base}/index/{name}-{source_key(spark, source_paths)}"
-    if rebuild or not (_exists(spark, f"{path}/docvecs") and _exists(spark, f"{path}/vocab")):
-        docvecs, vocab = lexical.build_doc_vectors(articles(), keep_tf=lambda tf: materialize(tf, "index-tf"))
-        write_lexical_index(docvecs, vocab, path)
-    return read_lexical_index(spark, path)
+    final = f"{base}/index/{name}-{source_key(spark, source_paths)}"
+    if not rebuild and _exists(spark, f"{final}/docvecs") and _exists(spark, f"{final}/vocab"):
+        return read_lexical_index(spark, final)
+    private = f"{final}.build-{uuid.uuid4().hex[:12]}"
+    docvecs, vocab = lexical.build_doc_vectors(articles(), keep_tf=lambda tf: materialize(tf, "index-tf"))
+    write_lexical_index(docvecs, vocab, private)
+    if not _exists(spark, f"{final}/docvecs"):
+        src, fs = _fs(spark, private)
+        dst, _ = _fs(spark, final)
+        if not fs.exists(dst) and fs.rename(src, dst):
+            return read_lexical_index(spark, final)
+    return read_lexical_index(spark, private)
 
 
 def write_dense_index(docs: DataFrame, path: str, id_col: str = "pmid", vec_col: str = "vector") -> DataFrame:
