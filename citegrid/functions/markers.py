@@ -64,19 +64,27 @@ def leaked_tokens(answer: Column | str, evidence: Column | str) -> Column:
     return F.filter(marker_tokens(answer), lambda t: ~F.contains(ev, F.lower(t)))
 
 
-def marker_blocks(markers: Column, hits: Column, k: Column | int) -> Column:
+def marker_blocks(markers: Column, hits: Column, k: Column | int, whole_word: bool = False) -> Column:
     """For each marker, the ranks (1..k, hit order, distinct) of the hits
-    whose ``title\\nabstract`` contains it, ignoring case.
+    whose ``title\nabstract`` contains it, ignoring case.
 
-    ``hits`` is the rank-sorted ``array<struct<rank,title,abstract,…>>`` of one
-    question, so this is bounded per row (k hits × ≤60 markers): no join.
+    Matching is by substring, as in the reference (``AR`` matches "are");
+    ``whole_word=True`` requires the marker not to touch another letter or
+    digit on either side.  ``hits`` is the rank-sorted
+    ``array<struct<rank,title,abstract,…>>`` of one question, so this is
+    bounded per row (k hits × ≤60 markers): no join.
     """
     kk = F.lit(k) if isinstance(k, int) else col(k)
 
+    def found(blob: Column, m: Column) -> Column:
+        if not whole_word:
+            return F.contains(F.lower(blob), F.lower(m))
+        pattern = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}])\Q"), m, F.lit(r"\E(?![\p{L}\p{N}])"))
+        return F.rlike(blob, pattern)
+
     def blocks_of(m: Column) -> Column:
-        lm = F.lower(m)
         ranks = F.transform(hits, lambda h: F.when(
-            F.contains(F.lower(F.concat(nz(h["title"]), F.lit("\n"), nz(h["abstract"]))), lm)
+            found(F.concat(nz(h["title"]), F.lit("\n"), nz(h["abstract"])), m)
             & (h["rank"] >= 1) & (h["rank"] <= kk), h["rank"]))
         return F.array_distinct(F.filter(ranks, lambda r: r.isNotNull()))
 

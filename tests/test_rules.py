@@ -124,3 +124,15 @@ def test_cite_helper(spark):
     r = spark.range(1).select(C.cite(F.array(F.lit(2), F.lit(4))).alias("a"),
                               C.cite(F.array().cast("array<int>")).alias("b")).first()
     assert (r["a"], r["b"]) == ("[2][4]", "[1]")
+
+
+def test_marker_blocks_substring_vs_whole_word(spark):
+    hits = F.array(F.struct(F.lit(1).alias("rank"), F.lit("1").alias("pmid"), F.lit("We are here").alias("title"),
+                            F.lit("").alias("abstract"), F.lit(1.0).alias("score")),
+                   F.struct(F.lit(2).alias("rank"), F.lit("2").alias("pmid"), F.lit("AR signalling").alias("title"),
+                            F.lit("").alias("abstract"), F.lit(0.5).alias("score")))
+    m = F.array(F.lit("AR"))
+    r = spark.range(1).select(M.marker_blocks(m, hits, 3).alias("s"),
+                              M.marker_blocks(m, hits, 3, whole_word=True).alias("w")).first()
+    assert r["s"][0]["blocks"] == [1, 2]
+    assert r["w"][0]["blocks"] == [2]
