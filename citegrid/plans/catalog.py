@@ -73,6 +73,19 @@ def q_knn_dense_block(spark, sf):
     return _dense(spark, sf, strategy="tiled", tile_rows=128, block_rows=128)
 
 
+def q_dense_hit_at_k(spark, sf):
+    """A2 on the dense index: a vector's top-5 counts as a hit when it holds a
+    neighbour with the same label."""
+    e = corpus.table(spark, sf, "embeddings")
+    top = _dense(spark, sf)
+    lab = e.select(F.col("vec_id").alias("neighbor"), F.col("label").alias("n_label"))
+    q = e.select(F.col("vec_id").alias("qid"), F.col("label").alias("q_label"))
+    # both sides grow with the table (N*k hits, N labels): plain equi-joins,
+    # AQE picks broadcast only from measured sizes
+    j = top.join(lab, "neighbor").join(q, "qid")
+    return j.groupBy("qid").agg(F.max((F.col("n_label") == F.col("q_label")).cast("double")).alias("hit"))
+
+
 def q_knn_lexical(spark, sf):
     r = retrieval.lexical_retrieval(spark, sf, K)
     return r.top.select("qid", F.col("rank").cast("int").alias("rank"), "pmid", "score")
@@ -368,6 +381,7 @@ REGISTRY = {
     "lexical_vectors": q_lexical_vectors,
     "knn_dense": q_knn_dense,
     "knn_dense_block": q_knn_dense_block,
+    "dense_hit_at_k": q_dense_hit_at_k,
     "knn_lexical": q_knn_lexical,
     "hits_with_docs": q_hits_with_docs,
     "silver_questions": q_silver_questions,

@@ -169,3 +169,8 @@ STATEMENTS["validate_conversations"] = with_(
            array_to_string(leaked, ',') AS leaked_tokens, {S.ints(S.citations('answer'))} AS citations FROM cval"""
 
 STATEMENTS["index_meta"] = "SELECT 'lexical-tfidf' AS embedding_model, count(*) AS n_docs FROM documents"
+
+STATEMENTS["dense_hit_at_k"] = DENSE.replace("SELECT qid, rank, neighbor, score FROM t WHERE rank <= 5", """
+    SELECT t.qid, max(CASE WHEN n.label = q.label THEN 1.0 ELSE 0.0 END)::DOUBLE AS hit
+    FROM t JOIN embeddings n ON n.vec_id = t.neighbor JOIN embeddings q ON q.vec_id = t.qid
+    WHERE t.rank <= 5 GROUP BY t.qid""")
