@@ -46,6 +46,7 @@ def lexical_retrieval(spark: SparkSession, sf_dir: str, k: int = 5, questions: D
     if postings is None or vocab is None:
         postings, vocab = lexical_index(spark, sf_dir)
     top = lexical.search(qs, postings, vocab, k)
-    small = questions is None or qs.count() * k <= lexical.BROADCAST_MAX_ROWS
+    n_q = n_questions if questions is None else qs.count()      # silver sets have n rows by construction
+    small = n_q * k <= lexical.BROADCAST_MAX_ROWS
     hits = topk.hits_with_docs(top, arts, broadcast_hits=small)
     return Retrieval(arts, qs, top, hits, topk.hit_arrays(hits))
