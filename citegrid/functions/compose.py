@@ -6,6 +6,7 @@ per-row projection.
 """
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -36,78 +37,116 @@ def context_blocks(hits: Column, style: str = "head_tail") -> Column:
         nz(h["title"]), F.lit("\n"), snip(h["abstract"]))), "\n\n")
 
 
-# The strict prompt (answering path), split around its fields.
-_STRICT = [
-    "You are a biomedical research assistant.\n\nHARD RULES:\n"
-    "- Use ONLY the Evidence provided. No outside knowledge.\n"
-    "- Do NOT write a References section.\n"
-    "- Do NOT use placeholders like [#]. Use numeric citations only, like [4].\n"
-    "- Evidence blocks are numbered [1]..[", "{k}", "]. Only cite within [1]..[", "{k}", "].\n\n"
-    "OUTPUT FORMAT (MUST match EXACTLY; do not rename headers):\n"
-    "Answer:\n"
-    "<3–6 sentences. EVERY sentence ends with citations like [1] or [1][3]. "
-    "Period may come after citations.>\n\n"
-    "Biomarkers mentioned in Evidence:\n"
-    "- <biomarker> [n]\n"
-    "- <biomarker> [n]\n"
-    "(List ONLY biomarkers explicitly present in Evidence. If none exist, write: - None [1])\n\n"
-    "Takeaways:\n"
-    "- <takeaway> [n]\n"
-    "- <takeaway> [n]\n"
-    "- <takeaway> [n]\n"
-    "(Exactly 3 bullet points, each includes numeric citations.)\n\n"
-    "Question: ", "{question}", "\n\n"
-    "Biomarkers detected in Evidence (do NOT go beyond this set when listing biomarkers):\n",
-    "{markers}", "\n\nEvidence:\n", "{context}", "\n",
-]
+# The strict prompt (answering path); {names} are filled per question.
+STRICT_PROMPT = """You are a biomedical research assistant.
+
+HARD RULES:
+- Use ONLY the Evidence provided. No outside knowledge.
+- Do NOT write a References section.
+- Do NOT use placeholders like [#]. Use numeric citations only, like [4].
+- Evidence blocks are numbered [1]..[{k}]. Only cite within [1]..[{k}].
+
+OUTPUT FORMAT (MUST match EXACTLY; do not rename headers):
+Answer:
+<3–6 sentences. EVERY sentence ends with citations like [1] or [1][3]. Period may come after citations.>
+
+Biomarkers mentioned in Evidence:
+- <biomarker> [n]
+- <biomarker> [n]
+(List ONLY biomarkers explicitly present in Evidence. If none exist, write: - None [1])
+
+Takeaways:
+- <takeaway> [n]
+- <takeaway> [n]
+- <takeaway> [n]
+(Exactly 3 bullet points, each includes numeric citations.)
+
+Question: {question}
+
+Biomarkers detected in Evidence (do NOT go beyond this set when listing biomarkers):
+{markers}
+
+Evidence:
+{context}
+"""
 
 # The simple prompt (evaluation path).
-_SIMPLE = [
-    "You are a biomedical research assistant.\n"
-    "Answer the question using ONLY the provided evidence.\n"
-    "If evidence is insufficient, say so.\n"
-    "Cite sources like [1], [2] matching the evidence blocks.\n\n"
-    "Question: ", "{question}", "\n\nEvidence:\n", "{context}", "\n",
-]
+SIMPLE_PROMPT = """You are a biomedical research assistant.
+Answer the question using ONLY the provided evidence.
+If evidence is insufficient, say so.
+Cite sources like [1], [2] matching the evidence blocks.
+
+Question: {question}
+
+Evidence:
+{context}
+"""
 
 NO_MARKERS = "<none detected>"
+_FIELD = re.compile(r"\{(k|question|markers|context|prompt|issues)\}")
+
+
+def template_parts(template: str) -> list[tuple[str, str]]:
+    """A template as ``(kind, value)`` parts in order: ``("text", …)`` or
+    ``("field", name)``."""
+    parts, pos = [], 0
+    for m in _FIELD.finditer(template):
+        if m.start() > pos:
+            parts.append(("text", template[pos:m.start()]))
+        parts.append(("field", m.group(1)))
+        pos = m.end()
+    if pos < len(template):
+        parts.append(("text", template[pos:]))
+    return parts
 
 
-def _fill(parts: list[str], fields: dict[str, Column]) -> Column:
-    return F.concat(*[fields[p[1:-1]] if p.startswith("{") and p.endswith("}") else F.lit(p)
-                      for p in parts])
+def _fill(template: str, fields: dict[str, Column]) -> Column:
+    return F.concat(*[fields[v] if kind == "field" else F.lit(v) for kind, v in template_parts(template)])
 
 
 def prompt_strict(question: Column | str, context: Column, markers: Column, k: Column | int) -> Column:
     """The strict prompt; ``<none detected>`` when there is no marker."""
     kk = (F.lit(k) if isinstance(k, int) else col(k)).cast("string")
     mline = F.when(F.size(markers) > 0, F.array_join(markers, ", ")).otherwise(F.lit(NO_MARKERS))
-    return _fill(_STRICT, {"k": kk, "question": nz(question), "markers": mline, "context": context})
+    return _fill(STRICT_PROMPT, {"k": kk, "question": nz(question), "markers": mline, "context": context})
 
 
 def prompt_simple(question: Column | str, context: Column) -> Column:
     """The evaluation prompt."""
-    return _fill(_SIMPLE, {"question": nz(question), "context": context})
+    return _fill(SIMPLE_PROMPT, {"question": nz(question), "context": context})
 
 
-# The retry instruction appended to a prompt.
-RETRY_HEAD = "\n\nYour previous answer violated the rules:\n"
-RETRY_TAIL = (
-    "\n\nRewrite it and FOLLOW THE FORMAT EXACTLY (headers must match):\n"
-    "Answer:\n...\nBiomarkers mentioned in Evidence:\n- ...\nTakeaways:\n- ...\n- ...\n- ...\n\n"
-    "Remember:\n"
-    "- Biomarker lines MUST start with \"- \" and must have numeric citations.\n"
-    "- Every Answer sentence MUST end with citations.\n"
-    "- Takeaways MUST be exactly 3 bullet lines starting with \"- \".\n"
-)
+# The retry prompt (the original prompt, the issues, the format reminder).
+RETRY_PROMPT = """{prompt}
+
+Your previous answer violated the rules:
+{issues}
+
+Rewrite it and FOLLOW THE FORMAT EXACTLY (headers must match):
+Answer:
+...
+Biomarkers mentioned in Evidence:
+- ...
+Takeaways:
+- ...
+- ...
+- ...
+
+Remember:
+- Biomarker lines MUST start with "- " and must have numeric citations.
+- Every Answer sentence MUST end with citations.
+- Takeaways MUST be exactly 3 bullet lines starting with "- ".
+"""
 
 
 def retry_prompt(prompt: Column | str, issue_list: Column) -> Column:
     """The original prompt plus the issue list and the format reminder."""
     listed = F.array_join(F.transform(issue_list, lambda x: F.concat(F.lit("- "), x)), "\n")
-    return F.concat(nz(prompt), F.lit(RETRY_HEAD), listed, F.lit(RETRY_TAIL))
+    return _fill(RETRY_PROMPT, {"prompt": nz(prompt), "issues": listed})
 
 
+# Default wording of the composed answer (the answer text only;
+# every citation and marker name is taken from the evidence).
 @dataclass(frozen=True)
 class ComposerText:
     """Wording of the extractive answer (G6).  Only text; every citation and

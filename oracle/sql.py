@@ -158,17 +158,21 @@ def sq(s: str) -> str:
     return " || chr(10) || ".join(lits) if len(lits) > 1 else lits[0]
 
 
+def _template(template: str, fields: dict[str, str]) -> str:
+    from citegrid.functions.compose import template_parts
+    return " || ".join(fields[v] if kind == "field" else f"({sq(v)})" for kind, v in template_parts(template))
+
+
 def prompt_strict(k: int = 5) -> str:
-    from citegrid.functions.compose import _STRICT
-    fields = {"k": f"'{k}'", "question": "coalesce(question, '')", "context": "context",
-              "markers": "CASE WHEN len(markers) > 0 THEN array_to_string(markers, ', ') ELSE '<none detected>' END"}
-    return " || ".join(fields[p[1:-1]] if p.startswith("{") and p.endswith("}") else f"({sq(p)})" for p in _STRICT)
+    from citegrid.functions.compose import STRICT_PROMPT
+    return _template(STRICT_PROMPT, {
+        "k": f"'{k}'", "question": "coalesce(question, '')", "context": "context",
+        "markers": "CASE WHEN len(markers) > 0 THEN array_to_string(markers, ', ') ELSE '<none detected>' END"})
 
 
 def prompt_simple() -> str:
-    from citegrid.functions.compose import _SIMPLE
-    fields = {"question": "coalesce(question, '')", "context": "context"}
-    return " || ".join(fields[p[1:-1]] if p.startswith("{") and p.endswith("}") else f"({sq(p)})" for p in _SIMPLE)
+    from citegrid.functions.compose import SIMPLE_PROMPT
+    return _template(SIMPLE_PROMPT, {"question": "coalesce(question, '')", "context": "context"})
 
 
 # ------------------------------------------------------------------- answers
