@@ -25,9 +25,15 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+# Bumped whenever the index format or weighting changes, so an index written
+# by another version is never reused.
+INDEX_VERSION = "2"
+
+
 def source_key(spark: SparkSession, paths: list[str]) -> str:
-    """Identity of the input files (path, length, modification time)."""
-    h = hashlib.sha1()
+    """Identity of the input files (path, length, modification time) and of
+    the index format."""
+    h = hashlib.sha1(INDEX_VERSION.encode())
     for path in paths:
         p, fs = _fs(spark, path)
         for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]:
