@@ -53,11 +53,27 @@ def ingest(spark: SparkSession, xml_path: str, levels: list[cascade.Level], n_do
 
 # ------------------------------------------------------------------- L3 answer
 
+# Distinct hit ids passed to the doc-store scan as a pushed-down IN list.
+IN_LIST_MAX = 50_000
+
+
 def retrieve(questions: DataFrame, articles: DataFrame, postings: DataFrame, vocab: DataFrame,
              k: int) -> DataFrame:
-    """R6 over a question table: one row per question with its hit array."""
-    top = lexical.search(questions, postings, vocab, k)
-    hits = topk.hits_with_docs(top, articles, broadcast_hits=questions.count() * k <= lexical.BROADCAST_MAX_ROWS)
+    """R6 over a question table: one row per question with its hit array.
+
+    The ranked ids are written once (the scoring is never recomputed).  When
+    the distinct ids are few, they reach the doc-store scan as an ``IN``
+    filter that Parquet pushes down (row groups of a store sorted by ``pmid``
+    are skipped by their statistics); otherwise a broadcast or AQE-chosen join
+    fetches the documents."""
+    top = materialize(lexical.search(questions, postings, vocab, k), "hits-top")
+    ids = top.select("pmid").distinct().limit(IN_LIST_MAX + 1).collect()    # bounded collection
+    if len(ids) <= IN_LIST_MAX:
+        docs = articles.where(F.col("pmid").isin([r["pmid"] for r in ids]))
+        hits = topk.hits_with_docs(top, docs, broadcast_hits=True)
+    else:
+        hits = topk.hits_with_docs(top, articles,
+                                   broadcast_hits=questions.count() * k <= lexical.BROADCAST_MAX_ROWS)
     return topk.hit_arrays(hits).join(questions, "qid", "right") \
         .withColumn("hits", F.coalesce(F.col("hits"), F.array().cast(
             "array<struct<rank:int,pmid:string,title:string,abstract:string,score:double>>")))

@@ -169,3 +169,18 @@ def test_page_flattening(spark):
     assert flat[3]["pmid"] is None
     kept = markup.keep_nonempty(markup.flatten_pages(df))
     assert sorted(r["page_id"] for r in kept.collect()) == [1]
+
+
+def test_doc_store_lookup_is_pushed_down(spark, tmp_path):
+    arts = retrieval.articles(spark, SF001)
+    corpus.write_doc_store(arts, str(tmp_path / "store"))
+    store = spark.read.parquet(str(tmp_path / "store"))
+    postings, vocab = lexical.build_index(store)
+    qs = retrieval.silver_questions(spark, SF001, n=10)
+    qh = jobs.retrieve(qs, store, postings, vocab, 5)
+    plan = qh._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(pmid), In(pmid" in plan or "In(pmid" in plan
+    got = {r["qid"]: [h["pmid"] for h in r["hits"]] for r in qh.collect()}
+    top = lexical.search(qs, postings, vocab, 5).toPandas()
+    exp = {q: list(g.sort_values("rank").pmid) for q, g in top.groupby("qid")}
+    assert got == exp
