@@ -68,6 +68,7 @@ def answer_questions(ctx: DataFrame, generator: Generator, k: int, max_retries:
     Returns ``ctx`` + ``answer, validation, retries_used, used_fallback``.
     The retry loop is a bounded driver loop (≤ ``max_retries`` rounds, each a
     distributed job over only the still-invalid rows)."""
+    ctx = materialize(ctx, "answers-ctx")          # prompts/evidence computed once, read by every round
     gen = generate(ctx, generator, 0)
     cur = checked(ctx.join(gen, "qid").withColumn("answer", F.col("raw_answer"))
                   .withColumn("retries_used", F.lit(0)), k)

@@ -29,10 +29,13 @@ def answer_stream(spark: SparkSession, folder: str, articles: DataFrame, posting
                   generator: A.Generator | None = None, max_retries: int = 3,
                   available_now: bool = True) -> StreamingQuery:
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        jobs.answer(batch, articles, postings, vocab, k, generator, max_retries,
-                    out_path=f"{out_path}/epoch={epoch_id}")
+        batch = batch.persist()          # several actions per micro-batch read it
+        try:
+            if not batch.isEmpty():
+                jobs.answer(batch, articles, postings, vocab, k, generator, max_retries,
+                            out_path=f"{out_path}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
 
     w = question_stream(spark, folder).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
