@@ -77,7 +77,14 @@ def build_doc_vectors(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, Dat
         tf = keep_tf(tf)
     n_docs = articles.select(F.count(F.lit(1))).scalar()
     vocab = vocabulary(tf, n_docs)
-    weighted = tf.join(vocab, "term").select("pmid", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    # Terms seen in one document only (most of a large vocabulary) all share
+    # idf = ln((N+1)/2) + 1, so only recurring terms are joined: the join side
+    # stays small enough to broadcast far longer as the corpus grows.
+    recurring = tf.groupBy("term").agg(F.count("tf").alias("df")).where(F.col("df") >= 2) \
+        .select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    single = F.log((n_docs + 1) / F.lit(2)) + 1
+    weighted = tf.join(recurring, "term", "left").select(
+        "pmid", "term", (F.col("tf") * F.coalesce(F.col("idf"), single)).alias("w"))
     # one aggregation per document: its (term, weight) pairs and its squared norm
     g = weighted.groupBy("pmid").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("_p"),
                                      F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
