@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +69,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 _SHIPPED: set[int] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -77,8 +79,13 @@ def ship_package(spark: SparkSession) -> None:
     module-level helpers."""
     sc = spark.sparkContext
     key = id(sc._jsc)
-    if key in _SHIPPED:
-        return
+    with _SHIP_LOCK:
+        if key not in _SHIPPED:
+            _ship(sc)
+            _SHIPPED.add(key)
+
+
+def _ship(sc) -> None:
     import zipfile
     from pathlib import Path
 
@@ -88,4 +95,3 @@ def ship_package(spark: SparkSession) -> None:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f.relative_to(root.parent).as_posix())
     sc.addPyFile(str(zpath))
-    _SHIPPED.add(key)
