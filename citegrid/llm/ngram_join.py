@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citegrid.llm import bitmap
+from citegrid.llm.columns import fresh
 from citegrid.llm.components import components
 from citegrid.llm.textbatch import flat, mix64, shingle_hashes, slices, word_hashes
 from citegrid.session import materialize, ship_package
@@ -45,6 +47,7 @@ FRAGMENTS = 8
 GROUP_BLOCK = 2048
 #: Bits of the parity vector.
 PARITY = 1024
+SEGMENT = "cls long, fragment int, n long, segment binary"
 
 _U = np.uint64
 
@@ -189,11 +192,15 @@ def _class_of(s: np.ndarray) -> int:
     return int(mix64(np.array([a ^ (b * 0x9E3779B97F4A7C15 & (2 ** 64 - 1)) ^ len(s)], np.uint64)).view(np.int64)[0])
 
 
-def _segments(rule: Rule, sketch, cuts: np.ndarray) -> Callable:
+def _segments(rule: Rule, sketch, cuts: np.ndarray, wanted=None) -> Callable:
+    """Rows (k, text) to segments; rows whose key is not in the bitmap ``wanted`` are passed over."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = sketch.value
         seen: set[int] = set()
         for batch in batches:
+            if wanted is not None:
+                batch = batch.filter(pa.array(bitmap.has(wanted.value, batch.column("k").to_numpy())))
             for part in slices(batch):
                 h, at = _batch_shingles(part, rule.k)
                 rows: list[tuple] = []
@@ -221,13 +228,17 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, sketch, cuts) -> DataFrame:
     """The pairs (a, b) of classes that link, by partial overlaps per fragment
     summed per pair.  Reads the texts of one row of each class named in ``pairs``."""
+    spark = docs.sparkSession
     named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     rows = classes.join(named, "cls").groupBy("cls").agg(F.min("k").alias("k"))
     wanted = materialize(rows.select("k").distinct(), "join-wanted")
-    texts = docs.select(doc_key().alias("k"), "text").join(wanted, "k", "left_semi").select("text")
-    segments = materialize(
-        texts.mapInArrow(_segments(rule, sketch, cuts), "cls long, fragment int, n long, segment binary")
-        .dropDuplicates(["cls", "fragment"]), "join-segments")
+    texts, n = docs.select(doc_key().alias("k"), "text"), wanted.count()
+    few = n * 4 <= bitmap.MOST_BITS
+    if few:                                # else the bitmap would let most rows pass, and a join moves less
+        texts = texts.mapInArrow(_segments(rule, sketch, cuts, spark.sparkContext.broadcast(bitmap.build(wanted, n))), SEGMENT)
+    else:
+        texts = texts.join(wanted, "k", "left_semi").mapInArrow(_segments(rule, sketch, cuts), SEGMENT)
+    segments = materialize(texts.join(named, "cls", "left_semi").dropDuplicates(["cls", "fragment"]), "join-segments")
     side = lambda x: segments.select(
         F.col("cls").alias(x), "fragment", F.col("n").alias(f"n_{x}"), F.col("segment").alias(f"seg_{x}"))
     partial = (pairs.select("a", "b").join(side("a"), "a").join(side("b"), ["b", "fragment"])
@@ -239,6 +250,20 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, s
 
 # ------------------------------------------------------------ candidates
 
+def _entries(shared) -> Callable:
+    """Prefix arrays to rows, without the n-grams that only one document has in its prefix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            at = prefix.offsets.to_numpy()
+            sh = prefix.values.to_numpy()[at[0]:at[-1]]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            keep = bitmap.has(shared.value, sh)
+            row = pa.array(row[keep])
+            yield pa.record_batch([pa.array(sh[keep]), batch.column("cls").take(row), batch.column("n").take(row)], ["sh", "cls", "n"])
+    return run
+
+
 def _compare(rule: Rule) -> Callable:
     """Rows sorted by (sh, tile); emits the pairs of a tile that lie in two
     components and that size and parity bounds allow."""
@@ -325,7 +350,11 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
         "join-described")
     classes = described.where("parity is not null")
 
-    prefix = described.where("prefix is not null").select(F.explode("prefix").alias("sh"), "cls", "n")
+    entries = described.where("prefix is not null")
+    shared = materialize(entries.select(F.explode("prefix").alias("sh")).groupBy("sh").count().where("count > 1").select("sh"),
+                         "join-shared")
+    often = spark.sparkContext.broadcast(bitmap.build(shared, shared.count()))
+    prefix = entries.select("cls", "n", "prefix").mapInArrow(_entries(often), "sh long, cls long, n long")
     groups = prefix.groupBy("sh").agg(F.min("cls").alias("lead"), F.max("cls").alias("most")).where("lead != most")
     members = materialize(prefix.join(groups.select("sh", "lead"), "sh").distinct(), "join-members")
 
@@ -384,10 +413,3 @@ def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                 .unionByName(kept.join(same(repeated), [k, th], "left_semi").dropDuplicates([k, th])))
     return kept.select(docs.columns)
 
-
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` doesn't have."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
