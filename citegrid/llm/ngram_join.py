@@ -309,6 +309,19 @@ def _compare(rule: Rule) -> Callable:
     return run
 
 
+def _within_bound(rule: Rule) -> Callable:
+    """The pairs whose differing parities a link allows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(n), -1) for c in ("p_a", "p_b"))
+            near = np.bitwise_count(x ^ y).sum(axis=1) <= n - 2 * rule.least_overlap(n)
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+    return run
+
+
 def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Rows of a group of more than GROUP_BLOCK members go to tiles of two
     blocks each (side 0 and 1), or of one block with itself (side 2)."""
@@ -358,10 +371,13 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     groups = prefix.groupBy("sh").agg(F.min("cls").alias("lead"), F.max("cls").alias("most")).where("lead != most")
     members = materialize(prefix.join(groups.select("sh", "lead"), "sh").distinct(), "join-members")
 
-    lead = classes.groupBy(F.col("cls").alias("lead")).agg(F.max("n").alias("lead_n"))
-    star = (members.where("cls != lead").groupBy("lead", "cls").agg(F.max("n").alias("n")).join(lead, "lead")
-            .where(F.least("n", "lead_n") * rule.den >= F.greatest("n", "lead_n") * rule.num)
-            .select(F.col("lead").alias("a"), F.col("cls").alias("b")))
+    known_sets = materialize(classes.join(members.select("cls").distinct(), "cls").groupBy("cls").agg(
+        F.max("n").alias("n"), F.first("parity").alias("parity")), "join-parities")
+    side = lambda x: known_sets.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}"))
+    star = (members.where("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
+            .join(side("a"), "a").join(side("b"), "b")
+            .where(F.least("n_a", "n_b") * rule.den >= F.greatest("n_a", "n_b") * rule.num)
+            .select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(_within_bound(rule), "a long, b long"))
     first = materialize(_linked(materialize(star, "join-star"), docs, classes, rule, sketch, cuts), "join-links")
     known = components(first)
 
@@ -369,8 +385,7 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
              .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "comp"))
     split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
              .where("lo != hi and size > 2").select("sh", "size"))
-    parity = classes.groupBy("cls").agg(F.first("parity").alias("parity"))
-    rest = _tiles(named.join(parity, "cls"), split)
+    rest = _tiles(named.join(split.select("sh"), "sh", "left_semi").join(known_sets.select("cls", "parity"), "cls"), split)
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     near = (rest.repartition(tasks, "sh", "tile").sortWithinPartitions("sh", "tile", "cls")
             .mapInArrow(_compare(rule), "a long, b long").distinct())
