@@ -187,8 +187,7 @@ def edited_likeness(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Da
         "doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 and count["ids"] else []
     bounds = sorted(set(at))
     cuts = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol="id_d", outputCol="bucket", handleInvalid="keep")
-    width = (1 << 64) // nulls
-    by_hash = F.floor((F.col("th").cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
+    by_hash = F.floor((F.col("th").cast("double") / float(1 << 64) + 0.5) * nulls)
     place = F.when(F.col("doc_id").isNotNull(), F.lit(len(bounds)) - F.col("bucket")).otherwise(
         F.lit(len(bounds) + 1) + F.least(by_hash, F.lit(nulls - 1))).cast("int")
     dealt = (cuts.transform(rows.withColumn("id_d", F.coalesce(F.col("doc_id"), F.lit(0)).cast("double")))

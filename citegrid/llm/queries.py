@@ -10,29 +10,121 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegrid.llm import ngram_join
+from citegrid.llm import (credentials, fingerprints, langid, mixing, ngram_join, packing, token_files, topk_search,
+                          toxicity, warc)
+from citegrid.session import scratch_path
+
+#: Vocabulary of the token files; the file is a parameter of the operator.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
+def op2_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decide(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "token-files")
+    token_files.write(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER))
+    return token_files.digest(token_files.read(spark, folder)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(_table(spark, sf_dir, "documents"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = ngram_join.Rule(k=3, num=90, den=100)
     joined = ngram_join.join(_table(spark, sf_dir, "documents"), rule)
     return ngram_join.component_ids(joined).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(spark, warc.write(_table(spark, sf_dir, "pages"), scratch_path(spark, "archives")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op8_ngram_jaccard": op8_ngram_jaccard,
-}
+    f.__name__: f for f in (op1_topk_search, op2_bin_packing, op3_source_mixing, op4_token_files, op5_language_id,
+                            op6_fingerprints, op7_secret_scan, op8_ngram_jaccard, op9_toxicity, op10_warc)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"[^\x20\x09-\x0D]+"
 
 STATEMENTS: dict[str, str] = {
+    "op1_topk_search": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+one as (select vec_id, min(q) as q from v group by vec_id),
+c as (select vec_id, unnest(q) as x, generate_subscripts(q, 1) as i, len(q) as n from one),
+s as (
+  select a.vec_id as query_id, b.vec_id, sum(a.x * b.x)::bigint as score
+  from c a join c b on a.i = b.i and a.n = b.n and a.vec_id <> b.vec_id
+  where a.vec_id % 50 = 0 group by all),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as k from s)
+select query_id, k::int as rank, vec_id, score from r where k <= 5""",
+    "op3_source_mixing": f"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::bigint as size,
+    ('0x' || substr(md5(coalesce(doc_id::varchar, text, '')), 1, 15))::bigint as h from documents),
+s as (select source, sum(size)::bigint as source_size from d group by source),
+w as (
+  select *, source_size * 3 as cap, sum(source_size) over () as total,
+    [5.0, 2.0, 1.0][((row_number() over (order by source is null, source) - 1) % 3 + 1)::int]::double as w from s),
+o as (
+  select *, cap / w <= (total - coalesce(sum(cap) over (order by cap / w, source is null, source
+      rows between unbounded preceding and 1 preceding), 0))
+    / sum(w) over (order by cap / w, source is null, source rows between current row and unbounded following) as held from w),
+l as (
+  select *, (total - coalesce(sum(case when held then cap end) over (), 0))
+    / sum(case when not held then w end) over () as level from o),
+t as (select source, source_size, case when held then cap::double else level * w end as target from l),
+b as (
+  select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole from t),
+h as (select source, h, sum(size)::bigint as words from d group by source, h),
+c as (
+  select h.source, h.h, h.words, b.whole, b.target - b.whole * b.source_size as rest,
+    sum(h.words) over (partition by h.source order by h.h) as upto
+  from h join b on h.source is not distinct from b.source),
+p as (
+  select source, h, case when upto <= rest then 1
+    when upto - words > rest then 0 else (upto - rest <= rest - (upto - words))::int end as more,
+    upto - words as before, rest, upto from c),
+e as (select source, min(h) as boundary from p where upto > rest group by source)
+select d.doc_id, d.size, b.source_size, b.target, (d.size * (b.whole + case
+    when e.boundary is null then 0 when d.h < e.boundary then 1 when d.h > e.boundary then 0 else p.more end))::bigint as taken
+from d join b on d.source is not distinct from b.source
+left join e on d.source is not distinct from e.source
+left join p on d.source is not distinct from p.source and d.h = p.h""",
     "op8_ngram_jaccard": f"""
 with recursive words as (
-  select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+  select doc_id, regexp_extract_all({_LOWER}, '{_WORD}') as w from documents),
 sets as (
   select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
     else list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) end as s
@@ -48,4 +140,13 @@ reach(doc_id, other) as (
   select doc_id, doc_id from sized union select r.doc_id, l.b from reach r join links l on l.a = r.other)
 select z.doc_id, z.n::bigint as n_shingles, m.component_id
 from sized z join (select doc_id, min(other) as component_id from reach group by doc_id) m using (doc_id)""",
+    "op10_warc": """
+with p as (select page_id, coalesce(html, '') as html from pages),
+s as (select page_id, html, sha1(html) as hex, max(page_id) over (partition by html) as top from p),
+v as (select *, list_transform(range(0, 32), lambda i:
+    (('0x' || substr(hex, (i // 4 * 5 + 1)::int, 5))::int >> ((3 - i % 4) * 5)::int) & 31) as five from s)
+select page_id, octet_length(encode(html))::bigint as payload_bytes,
+  array_to_string(list_transform(five, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x + 1)::int, 1)), '') as payload_digest,
+  case when page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id <> top then top end as refers_to from v""",
 }

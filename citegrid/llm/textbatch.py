@@ -127,6 +127,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray = N
     return np.concatenate(hashes), np.searchsorted(places, offsets, "left")
 
 
+def span_hashes(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray,
+                beginnings: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(byte place, hash) of all words, lower-cased, then of the first bytes of
+    the longer ones, for each window and length in ``beginnings``."""
+    for at, view, s, e in word_spans(data, offsets, word_byte):
+        up, down = _powers(len(view) + 1)
+        total = np.zeros(len(view) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_CODE_LOWER[view] * up[:len(view)], out=total[1:])
+        yield s + at, mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        for n in beginnings:
+            s, e = s[e - s > n], e[e - s > n]
+            yield s + at, mix64((total[s + n] - total[s]) * down[s] + _U(n | 1 << 32))
+
+
 def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of k words of each row (repeats kept), rows back to
     back, and the row offsets.  A row of 1 to k-1 words has its whole sequence

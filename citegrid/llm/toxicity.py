@@ -9,7 +9,6 @@ counted over all documents.
 """
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -19,15 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citegrid.llm.textbatch import ALNUM, flat, slices, word_hashes
+from citegrid.llm.textbatch import ALNUM, flat, mix64, slices, span_hashes
 from citegrid.session import ship_package
 
 #: Labelled examples of each label that are sampled at most (the bound of the fitted sample).
 EXAMPLES = 2500
 #: Terms kept at most, and the least association (z value) and number of examples of a term.
 TERMS, LEAST_Z, LEAST_EXAMPLES = 2048, 4.0, 3
-#: Terms in at most so many examples tell near copies.
-RARE = 40
+#: Terms are words and their first bytes, so many of them; and each again when it occurs so often.
+BEGINNINGS = (4, 5, 6, 7)
+TIERS = (1, 2, 3, 5, 8)
 NEIGHBOURS = 9
 #: Examples per block of the index.
 BLOCK = 64
@@ -36,13 +36,43 @@ SOFTEN = 0.05
 THRESHOLD = 0.3
 
 
+def tiered(terms: np.ndarray, tier: int) -> np.ndarray:
+    """Hash of "the term occurs ``tier`` times or more"."""
+    return mix64(terms + np.uint64(tier))
+
+
+def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Places of the values in a sorted table, -1 where they are not in it."""
+    if not len(table):
+        return np.full(len(values), -1, np.int64)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return np.where(table[at] == values, at, -1)
+
+
+def terms_of(rows: pa.RecordBatch, quick: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every term of the texts; with ``quick`` only of those
+    whose low 20 bits it has."""
+    data, offsets = flat(rows.column("text"))
+    got_row, got = [], []
+    for place, hashes in span_hashes(data, offsets, ALNUM, BEGINNINGS):
+        if quick is not None:
+            keep = quick[(hashes & np.uint64(0xFFFFF)).astype(np.int64)]
+            place, hashes = place[keep], hashes[keep]
+        got_row.append(np.searchsorted(offsets, place, "right") - 1)
+        got.append(hashes)
+    if not got:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(got_row), np.concatenate(got)
+
+
 @dataclass
 class Index:
-    """terms: sorted hashes; idf per term; weights: (block, term, place) with
+    """terms: sorted hashes of tiered terms; plain: sorted hashes of the terms; idf per tiered term; weights: (block, term, place) with
     examples as columns of unit length; most: (term, block) largest weight of
     the block; ids, labels, worth (class weight) per example; floor: calibrated
     score of a document that has no term; steps, scores: calibration."""
     terms: np.ndarray
+    plain: np.ndarray
     idf: np.ndarray
     weights: np.ndarray
     most: np.ndarray
@@ -54,22 +84,26 @@ class Index:
     scores: np.ndarray
 
     def __post_init__(self):
-        self.quick = np.zeros(1 << 16, bool)
-        self.quick[(self.terms & np.uint64(0xFFFF)).astype(np.int64)] = True
-
-    def counts(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, term, count) of the index's terms in rows of words."""
-        if not len(self.terms):
-            return (np.zeros(0, np.int64),) * 3
-        at = np.flatnonzero(self.quick[(words & np.uint64(0xFFFF)).astype(np.int64)])
-        t = np.minimum(np.searchsorted(self.terms, words[at]), len(self.terms) - 1)
-        hit = self.terms[t] == words[at]
-        row = np.searchsorted(first, at[hit], "right") - 1
-        key, n = np.unique(row * len(self.terms) + t[hit], return_counts=True)
-        return key // len(self.terms), key % len(self.terms), n
-
-    def unit(self, term: np.ndarray, n: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(n)) * self.idf[term]
+        self.quick = np.zeros(1 << 20, bool)
+        self.quick[(self.plain & np.uint64(0xFFFFF)).astype(np.int64)] = True
+        #: of each plain term and tier, the tiered term or -1
+        self.tier = np.stack([_find(self.terms, tiered(self.plain, t)) for t in TIERS], axis=1)
+
+    def vectors(self, rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """(row, tiered term) of the index's terms in the rows' texts, by row, then term."""
+        row, term = terms_of(rows, self.quick)
+        where = _find(self.plain, term)
+        hit = where >= 0
+        key, n = np.unique(row[hit] * max(1, len(self.plain)) + where[hit], return_counts=True)
+        row, where = key // max(1, len(self.plain)), key % max(1, len(self.plain))
+        found = [(row[n >= t], self.tier[where[n >= t], i]) for i, t in enumerate(TIERS)]
+        row, term = (np.concatenate(x) for x in zip(*found))
+        row, term = row[term >= 0], term[term >= 0]
+        order = np.lexsort((term, row))
+        return row[order], term[order]
+
+    def unit(self, term: np.ndarray) -> np.ndarray:
+        w = self.idf[term]
         return w / np.sqrt((w * w).sum())
 
     def nearest(self, term: np.ndarray, w: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -120,8 +154,10 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch):
-            words, first = word_hashes(*flat(rows.column("text")), ALNUM)
-            got = [np.unique(words[a:b], return_counts=True) for a, b in zip(first, first[1:])]
+            row, term = terms_of(rows)
+            order = np.argsort(row, kind="stable")
+            first = np.searchsorted(row[order], np.arange(rows.num_rows + 1))
+            got = [np.unique(term[order[a:b]], return_counts=True) for a, b in zip(first, first[1:])]
             yield pa.record_batch(
                 [rows.column("doc_id"), rows.column("label"),
                  pa.array([u.view(np.int64) for u, _ in got], pa.list_(pa.int64())),
@@ -153,49 +189,41 @@ def examples(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple
     return got.sort_values("doc_id", kind="stable").reset_index(drop=True), n
 
 
-def choose_terms(got: pd.DataFrame, worth: np.ndarray) -> np.ndarray:
-    """Hashes of the terms that are associated with a label."""
+def choose_terms(got: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tiered terms that speak for the label, and of the terms they come from."""
     if not len(got):
-        return np.zeros(0, np.uint64)
-    terms = np.concatenate([np.asarray(t, np.int64).view(np.uint64) for t in got.terms] or [np.zeros(0, np.uint64)])
-    sizes = [len(t) for t in got.terms]
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    terms = np.concatenate([np.asarray(t, np.int64).view(np.uint64) for t in got.terms])
+    plain = np.unique(terms)
+    count = np.concatenate([np.asarray(c, np.int64) for c in got.counts])
+    label = np.repeat(got.label.to_numpy(), [len(t) for t in got.terms])
+    label = np.concatenate([label[count >= t] for t in TIERS])
+    terms = np.concatenate([tiered(terms[count >= t], t) for t in TIERS])
     vocabulary, where = np.unique(terms, return_inverse=True)
-    own = 1 / _copies(np.bincount(where, minlength=len(vocabulary))[where], terms, sizes)
-    label, each = np.repeat(got.label.to_numpy(), sizes), np.repeat(own, sizes)
-    with1 = np.bincount(where, weights=(label == 1) * each, minlength=len(vocabulary))
-    with0 = np.bincount(where, weights=(label == 0) * each, minlength=len(vocabulary))
-    n1, n0 = own[got.label == 1].sum(), own[got.label == 0].sum()
+    with1 = np.bincount(where, weights=label == 1, minlength=len(vocabulary))
+    with0 = np.bincount(where, weights=label == 0, minlength=len(vocabulary))
+    n1, n0 = (got.label == 1).sum(), (got.label == 0).sum()
     odds = np.log((with1 + .5) / (n1 - with1 + .5)) - np.log((with0 + .5) / (n0 - with0 + .5))
     error = np.sqrt(1 / (with1 + .5) + 1 / (n1 - with1 + .5) + 1 / (with0 + .5) + 1 / (n0 - with0 + .5))
     z = np.where(with1 + with0 >= LEAST_EXAMPLES, odds / error, 0.0)
     good = np.flatnonzero(z >= LEAST_Z)
     good = good[np.lexsort((vocabulary[good], -z[good]))][:TERMS]
-    return np.sort(vocabulary[good])
-
-
-def _copies(df: np.ndarray, terms: np.ndarray, sizes: list[int]) -> np.ndarray:
-    """Size of the group of near copies of each example (those with the same
-    smallest hash among their rarer terms), so that a text that many examples
-    repeat doesn't make its words look like signs of its label."""
-    first = np.append(0, np.cumsum(sizes))
-    names = []
-    for i, (a, b) in enumerate(zip(first, first[1:])):
-        rare = terms[a:b][(df[a:b] > 1) & (df[a:b] <= RARE)]
-        names.append((1, int(rare.min())) if len(rare) else (0, i))
-    size = Counter(names)
-    return np.array([size[x] for x in names], float)
+    chosen = np.sort(vocabulary[good])
+    source = np.zeros(len(plain), bool)
+    for t in TIERS:
+        source |= np.isin(tiered(plain, t), chosen)
+    return chosen, plain[source]
 
 
-def _count_terms(terms: np.ndarray) -> Callable:
+def _count_terms(terms: np.ndarray, plain: np.ndarray) -> Callable:
     empty = np.zeros(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probe = Index(terms, empty, empty, empty, empty, empty, empty, 0.0, empty, empty)
+        probe = Index(terms, plain, empty, empty, empty, empty, empty, empty, 0.0, empty, empty)
         df, n = np.zeros(len(terms), np.int64), 0
         for batch in batches:
             for rows in slices(batch):
-                _, term, _ = probe.counts(*word_hashes(*flat(rows.column("text")), ALNUM))
-                df += np.bincount(term, minlength=len(terms))
+                df += np.bincount(probe.vectors(rows)[1], minlength=len(terms))
                 n += rows.num_rows
         used = np.flatnonzero(df)
         yield pa.record_batch([pa.array(np.append(used, -1), pa.int64()), pa.array(np.append(df[used], n), pa.int64())], ["term", "n"])
@@ -209,8 +237,8 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Index:
     label = got.label.to_numpy(dtype=np.int64) if len(got) else np.zeros(0, np.int64)
     sampled = {x: max(1, int((label == x).sum())) for x in (0, 1)}
     worth = np.array([n.get(x, 0) / sampled[x] for x in label.tolist()], float)
-    terms = choose_terms(got, worth)
-    rows = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_terms(terms), "term long, n long")
+    terms, plain = choose_terms(got)
+    rows = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_terms(terms, plain), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).collect())           # one row a term
     df, total = np.zeros(len(terms)), 0
     for r in rows:
@@ -219,17 +247,18 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Index:
         else:
             df[r["term"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)) + 1
-    return _index(got, label, worth, terms, idf)
+    return _index(got, label, worth, terms, plain, idf)
 
 
-def _index(got: pd.DataFrame, label: np.ndarray, worth: np.ndarray, terms: np.ndarray, idf: np.ndarray) -> Index:
+def _index(got: pd.DataFrame, label: np.ndarray, worth: np.ndarray, terms: np.ndarray, plain: np.ndarray,
+           idf: np.ndarray) -> Index:
     vectors = []
     for t, c in zip(got.terms, got.counts) if len(got) else ():
         t, c = np.asarray(t, np.int64).view(np.uint64), np.asarray(c)
-        at = np.minimum(np.searchsorted(terms, t), max(0, len(terms) - 1))
-        hit = terms[at] == t if len(terms) else np.zeros(len(t), bool)
-        w = (1 + np.log(c[hit])) * idf[at[hit]]
-        vectors.append((at[hit], w / np.sqrt((w * w).sum()) if len(w) else w))
+        at = np.concatenate([_find(terms, tiered(t[c >= x], x)) for x in TIERS])
+        at = np.sort(at[at >= 0])
+        w = idf[at]
+        vectors.append((at, w / np.sqrt((w * w).sum()) if len(w) else w))
     has = np.array([len(t) > 0 for t, _ in vectors], bool)
     # examples with the same leading term share blocks, which keeps bounds tight
     lead = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
@@ -243,7 +272,7 @@ def _index(got: pd.DataFrame, label: np.ndarray, worth: np.ndarray, terms: np.nd
     base = float((label * worth).sum() / worth.sum()) if len(label) and worth.sum() else 0.0
     floor = float((label * worth)[rest].sum() / worth[rest].sum()) if rest.any() and worth[rest].sum() else base
     ids = got.doc_id.to_numpy()[order] if len(got) else np.zeros(0, np.int64)
-    index = Index(terms, idf, weights, np.ascontiguousarray(weights.max(axis=2).T), ids, label[order], worth[order], floor,
+    index = Index(terms, plain, idf, weights, np.ascontiguousarray(weights.max(axis=2).T), ids, label[order], worth[order], floor,
                   np.zeros(1), np.full(1, floor))
     raw, truth, mass = [], [], []
     for place, i in enumerate(order):
@@ -262,13 +291,13 @@ def _judge(index: Index, rows: pa.RecordBatch, seen: dict) -> tuple[np.ndarray,
     """Score and evidence of each row; ``seen`` remembers vectors met before."""
     score = np.full(rows.num_rows, index.floor)
     evidence = [""] * rows.num_rows
-    row, term, n = index.counts(*word_hashes(*flat(rows.column("text")), ALNUM))
+    row, term = index.vectors(rows)
     for i, a, b in zip(*_groups(row)):
-        key = term[a:b].tobytes() + n[a:b].tobytes()
+        key = term[a:b].tobytes()
         if key not in seen:
             if len(seen) > 50_000:
                 seen.clear()
-            who, cos = index.nearest(term[a:b], index.unit(term[a:b], n[a:b]), NEIGHBOURS)
+            who, cos = index.nearest(term[a:b], index.unit(term[a:b]), NEIGHBOURS)
             seen[key] = ((index.calibrated(index.vote(who, cos)), " ".join(
                 f"{index.ids[x]}:{index.labels[x]}:{c:.3f}" for x, c in zip(who[:3], cos[:3]))) if len(who) else (index.floor, ""))
         score[i], evidence[i] = seen[key]
