@@ -7,17 +7,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citegrid.llm import ngram_join
+from citegrid.llm import credentials, mixing, ngram_join, packing, toxicity
 from citegrid.session import materialize
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the nearest labelled examples call toxic go."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near copies (five-word shingles, Jaccard 0.8 or more): one document of each group stays."""
     return ngram_join.keep_one(docs, ngram_join.Rule(k=5, num=80, den=100))
 
 
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are taken out of the texts; every document stays."""
+    return credentials.redact(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it (0 to 3 times)."""
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its bin."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("ngram_jaccard_join", ngram_stage),
+    ("secret_scan", secrets_stage),
+    ("source_mixing", mixing_stage),
+    ("bin_packing", packing_stage),
 ]
 
 #: Trained scores, hash thresholds and bin packing have no SQL form; tests hold the stages against plain Python.
