@@ -44,7 +44,7 @@ ALNUM[128:] = True
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i below n."""
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
         n = max(n, WINDOW + 4096)
@@ -116,7 +116,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray = N
     for at, view, s, e in word_spans(data, offsets, word_byte):
         if not len(s):
             continue
-        up, down = _powers(len(view) + 1)
+        up, down = powers(len(view) + 1)
         total = np.zeros(len(view) + 1, dtype=np.uint64)
         np.cumsum(code[view] * up[:len(view)], out=total[1:])
         hashes.append(mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64)))
@@ -132,7 +132,7 @@ def span_hashes(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray,
     """(byte place, hash) of all words, lower-cased, then of the first bytes of
     the longer ones, for each window and length in ``beginnings``."""
     for at, view, s, e in word_spans(data, offsets, word_byte):
-        up, down = _powers(len(view) + 1)
+        up, down = powers(len(view) + 1)
         total = np.zeros(len(view) + 1, dtype=np.uint64)
         np.cumsum(_BYTE_CODE_LOWER[view] * up[:len(view)], out=total[1:])
         yield s + at, mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))

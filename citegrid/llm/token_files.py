@@ -11,6 +11,7 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citegrid.llm.textbatch import slices
+from citegrid.llm.textbatch import mix64, powers, slices
 from citegrid.session import ship_package
 
 #: Parquet settings of the token files.
@@ -32,8 +33,8 @@ FORMAT = {
     "parquet.page.row.count.limit": "2000",
     "compression": "zstd",
 }
-#: Pieces that a Python worker remembers.
-CACHE_PIECES = 300_000
+#: Slots of the table of pieces that a Python worker remembers; half may be filled (some 35 MB).
+SLOTS = 1 << 21
 #: Code points below this are classed by a table; texts beyond go whole to the tokenizer.
 TABLED = 0x250
 
@@ -89,44 +90,117 @@ def piece_starts(cp: np.ndarray, row_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+class Pieces:
+    """Ids of the pieces met so far: an open-addressing table from a piece's
+    128-bit hash to its run of ids, looked up for whole arrays of pieces."""
+
+    def __init__(self, slots: int = SLOTS):
+        self.slots = np.full(slots, -1, np.int32)
+        self.key = np.zeros((slots // 2, 2), np.uint64)
+        self.first = np.zeros(slots // 2 + 1, np.int64)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.n = 0
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Entry of each key, -1 for those not in the table."""
+        out = np.full(len(key), -1, np.int64)
+        todo, at = np.arange(len(key)), (key[:, 0] & np.uint64(len(self.slots) - 1)).astype(np.int64)
+        while len(todo):
+            entry = self.slots[at]
+            used = entry >= 0
+            todo, at, entry = todo[used], at[used], entry[used]
+            same = (self.key[entry] == key[todo]).all(axis=1)
+            out[todo[same]] = entry[same]
+            todo, at = todo[~same], (at[~same] + 1) & (len(self.slots) - 1)
+        return out
+
+    def add(self, key: np.ndarray, ids: list[list[int]]) -> None:
+        """New, distinct keys and their ids; the caller leaves room (see full)."""
+        count = np.array([len(x) for x in ids], np.int64)
+        start, end = int(self.first[self.n]), int(self.first[self.n] + count.sum())
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(end, len(self.ids)), np.uint32)])
+        self.ids[start:end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - start)
+        self.key[self.n:self.n + len(key)] = key
+        self.first[self.n + 1:self.n + len(key) + 1] = start + np.cumsum(count)
+        for entry, slot in enumerate((key[:, 0] & np.uint64(len(self.slots) - 1)).tolist(), self.n):
+            while self.slots[slot] >= 0:
+                slot = (slot + 1) & (len(self.slots) - 1)
+            self.slots[slot] = entry
+        self.n += len(key)
+
+    def full(self, more: int) -> bool:
+        return self.n + more > len(self.key)
+
+
+_CODES = [mix64(np.arange(1, TABLED + 1, dtype=np.uint64) * np.uint64(c)) for c in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)]
+
+
+def piece_keys(cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128-bit hash of each piece of code points below TABLED."""
+    up, down = powers(len(cp) + 1)
+    out = np.zeros((len(start), 2), np.uint64)
+    for i, code in enumerate(_CODES):
+        total = np.zeros(len(cp) + 1, np.uint64)
+        np.cumsum(code[cp] * up[:len(cp)], out=total[1:])
+        out[:, i] = mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    return out
+
+
 class Encoder:
-    """Ids of texts as little-endian 32-bit integers.  Pieces are cut with
-    piece_starts, each distinct piece is encoded by the tokenizers library
-    once and remembered; a text with other code points goes to the library whole."""
+    """Ids of texts.  Pieces are cut with piece_starts, each distinct piece is
+    encoded by the tokenizers library and remembered; a text with other code
+    points goes to the library whole."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.known = Pieces()
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in got]
+    def library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids (uint32) of each text."""
         cps = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
         plain = [i for i, c in enumerate(cps) if not len(c) or c.max() < TABLED]
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         for i in set(range(len(texts))) - set(plain):
-            out[i] = self._ids([texts[i]])[0]
+            out[i] = np.asarray(self.library([texts[i]])[0], np.uint32)
         at = np.zeros(len(plain) + 1, np.int64)
         np.cumsum([len(cps[i]) for i in plain], out=at[1:])
-        if plain and at[-1]:
-            joined = "".join([texts[i] for i in plain])
-            starts = piece_starts(np.concatenate([cps[i] for i in plain]), at[:-1])
-            first = np.searchsorted(starts, at, "left")
-            cut = np.append(starts, at[-1]).tolist()
-            pieces = [joined[a:b] for a, b in zip(cut, cut[1:])]
-            if len(self.known) > CACHE_PIECES:
-                self.known.clear()
-            if new := list(set(pieces) - self.known.keys()):
-                self.known.update(zip(new, self._ids(new)))
-            ids = list(map(self.known.__getitem__, pieces))
-            for k, i in enumerate(plain):
-                out[i] = b"".join(ids[first[k]:first[k + 1]])
-        return [x or b"" for x in out]
+        if at[-1] == 0:
+            return out
+        cp = np.concatenate([cps[i] for i in plain])
+        start = piece_starts(cp, at[:-1])
+        entry = self._entries(cp, start, np.append(start[1:], at[-1]), "".join([texts[i] for i in plain]))
+        first = self.known.first
+        count = first[entry + 1] - first[entry]
+        before = np.zeros(len(entry) + 1, np.int64)
+        np.cumsum(count, out=before[1:])
+        ids = self.known.ids[np.arange(before[-1]) + np.repeat(first[entry] - before[:-1], count)]
+        cut = before[np.searchsorted(start, at, "left")]
+        for k, i in enumerate(plain):
+            out[i] = ids[cut[k]:cut[k + 1]]
+        return out
+
+    def _entries(self, cp: np.ndarray, start: np.ndarray, end: np.ndarray, joined: str) -> np.ndarray:
+        key = piece_keys(cp, start, end)
+        entry = self.known.find(key)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            _, one = np.unique(key[missing, 0], return_index=True)
+            new = missing[one]
+            if self.known.full(len(new)):
+                self.known = Pieces(max(SLOTS, 1 << (4 * len(start)).bit_length()))
+                return self._entries(cp, start, end, joined)
+            self.known.add(key[new], self.library([joined[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())]))
+            entry[missing] = self.known.find(key[missing])
+            if (entry < 0).any():                       # equal in one half of the hash only: on to the next
+                return self._entries(cp, start, end, joined)
+        return entry
 
 
 def _encoder(broadcast) -> Encoder:
@@ -137,18 +211,19 @@ def _encoder(broadcast) -> Encoder:
 
 
 def _tokenize(broadcast, end_id: int) -> Callable:
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first, encoder = TaskContext.get().partitionId(), 0, _encoder(broadcast)
         for batch in batches:
             for rows in slices(batch):
-                ids = [x + end for x in encoder.encode(pc.fill_null(rows.column("text"), "").to_pylist())]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
+                ids = encoder.encode(pc.fill_null(rows.column("text"), "").to_pylist())
+                n = np.array([len(x) + 1 for x in ids], np.int64)
+                whole = np.concatenate([x for i in ids for x in (i, end)])
                 offsets = np.zeros(len(n) + 1, np.int32)
                 np.cumsum(n, out=offsets[1:])
                 tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(
-                    pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))]))
+                    pa.int32(), int(offsets[-1]), [None, pa.py_buffer(whole.tobytes())]))
                 yield pa.record_batch(
                     [rows.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(first + offsets[:-1].astype(np.int64)),
                      pa.array(n), tokens], ["doc_id", "part", "first", "n_tokens", "tokens"])
