@@ -45,6 +45,8 @@ BLOCK = 1 << 15
 FRAGMENTS = 8
 #: Rows of a candidate group that one task compares with each other.
 GROUP_BLOCK = 2048
+#: Bytes of text that a task turns into n-grams at a time.
+SLICE = 2 << 20
 #: Bits of the parity vector.
 PARITY = 1024
 SEGMENT = "cls long, fragment int, n long, segment binary"
@@ -67,6 +69,11 @@ class Rule:
         return n - -(-self.num * n // self.den) + 1
 
 
+def _fits(rule: Rule, x: str, y: str) -> Column:
+    """Whether sets of these sizes can link."""
+    return F.least(x, y) * rule.den >= F.greatest(x, y) * rule.num
+
+
 def doc_key() -> Column:
     """Identity of a row: its doc_id, or a hash of the text where that is null."""
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
@@ -83,7 +90,7 @@ def _count_cells(k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, max_bytes=SLICE):
                 h, _ = _batch_shingles(part, k)
                 cells += np.bincount((h & _U(CELLS - 1)).astype(np.int64), minlength=CELLS)
         yield from _sketch_rows(cells)
@@ -158,7 +165,7 @@ def _describe(rule: Rule, sketch) -> Callable:
         cells = sketch.value
         seen: set[int] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, max_bytes=SLICE):
                 h, at = _batch_shingles(part, rule.k)
                 cls, size, prefixes, parity = [], [], [], []
                 for i in range(part.num_rows):
@@ -201,7 +208,7 @@ def _segments(rule: Rule, sketch, cuts: np.ndarray, wanted=None) -> Callable:
         for batch in batches:
             if wanted is not None:
                 batch = batch.filter(pa.array(bitmap.has(wanted.value, batch.column("k").to_numpy())))
-            for part in slices(batch):
+            for part in slices(batch, max_bytes=SLICE):
                 h, at = _batch_shingles(part, rule.k)
                 rows: list[tuple] = []
                 for i in range(part.num_rows):
@@ -250,8 +257,20 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, s
 
 # ------------------------------------------------------------ candidates
 
-def _entries(shared) -> Callable:
-    """Prefix arrays to rows, without the n-grams that only one document has in its prefix."""
+def size_bands(rule: Rule, most: int = 1 << 40) -> np.ndarray:
+    """Lower ends of the size bands: sets that can link are in one band or in neighbouring ones."""
+    out = [1]
+    while out[-1] < most:
+        out.append(out[-1] * rule.den // rule.num + 1)
+    return np.array(out)
+
+
+def _entries(shared, rule: Rule) -> Callable:
+    """Prefix arrays to rows (sh, cls, n), without the n-grams that only one
+    document has in its prefix.  sh names an n-gram and a size band; a set goes
+    to its own band and to the next, so only sets of like sizes meet."""
+    bands = size_bands(rule)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prefix = batch.column("prefix")
@@ -259,8 +278,11 @@ def _entries(shared) -> Callable:
             sh = prefix.values.to_numpy()[at[0]:at[-1]]
             row = np.repeat(np.arange(batch.num_rows), np.diff(at))
             keep = bitmap.has(shared.value, sh)
-            row = pa.array(row[keep])
-            yield pa.record_batch([pa.array(sh[keep]), batch.column("cls").take(row), batch.column("n").take(row)], ["sh", "cls", "n"])
+            row, sh = row[keep], sh[keep].view(np.uint64)
+            band = np.searchsorted(bands, batch.column("n").to_numpy()[row], "right").astype(np.uint64)
+            key = np.concatenate([mix64(sh ^ mix64(band + _U(x))) for x in (0, 1)]).view(np.int64)
+            row = pa.array(np.concatenate([row, row]))
+            yield pa.record_batch([pa.array(key), batch.column("cls").take(row), batch.column("n").take(row)], ["sh", "cls", "n"])
     return run
 
 
@@ -367,21 +389,25 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     shared = materialize(entries.select(F.explode("prefix").alias("sh")).groupBy("sh").count().where("count > 1").select("sh"),
                          "join-shared")
     often = spark.sparkContext.broadcast(bitmap.build(shared, shared.count()))
-    prefix = entries.select("cls", "n", "prefix").mapInArrow(_entries(often), "sh long, cls long, n long")
-    groups = prefix.groupBy("sh").agg(F.min("cls").alias("lead"), F.max("cls").alias("most")).where("lead != most")
-    members = materialize(prefix.join(groups.select("sh", "lead"), "sh").distinct(), "join-members")
-
-    known_sets = materialize(classes.join(members.select("cls").distinct(), "cls").groupBy("cls").agg(
+    prefix = entries.select("cls", "n", "prefix").mapInArrow(_entries(often, rule), "sh long, cls long, n long")
+    groups = prefix.groupBy("sh").agg(F.min("cls").alias("lead"), F.max("cls").alias("most"), F.min_by("n", "cls").alias("lead_n"),
+                                      F.count(F.lit(1)).alias("rows")).where("lead != most").drop("most")
+    members = materialize(prefix.join(groups, "sh").withColumn("fits", _fits(rule, "n", "lead_n"))
+                          .where("fits or rows > 2"), "join-members")
+    star = materialize(members.where("fits and cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(),
+                       "join-star")
+    many = members.where("rows > 2").select("sh", "cls", "n").distinct()
+    looked_at = (star.select(F.col("a").alias("cls")).unionByName(star.select(F.col("b").alias("cls")))
+                 .unionByName(many.select("cls")).distinct())
+    known_sets = materialize(classes.join(looked_at, "cls").groupBy("cls").agg(
         F.max("n").alias("n"), F.first("parity").alias("parity")), "join-parities")
     side = lambda x: known_sets.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}"))
-    star = (members.where("cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
-            .join(side("a"), "a").join(side("b"), "b")
-            .where(F.least("n_a", "n_b") * rule.den >= F.greatest("n_a", "n_b") * rule.num)
-            .select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(_within_bound(rule), "a long, b long"))
-    first = materialize(_linked(materialize(star, "join-star"), docs, classes, rule, sketch, cuts), "join-links")
+    star = (star.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "p_a", "p_b")
+            .mapInArrow(_within_bound(rule), "a long, b long"))
+    first = materialize(_linked(materialize(star, "join-star-near"), docs, classes, rule, sketch, cuts), "join-links")
     known = components(first)
 
-    named = (members.join(known.withColumnRenamed("node", "cls"), "cls", "left")
+    named = (many.join(known.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "comp"))
     split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
              .where("lo != hi and size > 2").select("sh", "size"))

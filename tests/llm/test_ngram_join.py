@@ -164,3 +164,11 @@ def test_words_longer_than_the_window(monkeypatch):
         for w, h in zip(WORD.findall(t or ""), whole[0][whole[1][i]:whole[1][i + 1]].tolist()):
             assert got.setdefault(w, h) == h
     assert len(set(got.values())) == len(got)
+
+
+def test_size_bands_keep_linkable_sizes_together():
+    for rule in (ngram_join.Rule(3, 90, 100), ngram_join.Rule(5, 80, 100)):
+        bands = ngram_join.size_bands(rule, 10_000)
+        for n in range(1, 2000):
+            m = n * rule.den // rule.num
+            assert np.searchsorted(bands, m, "right") - np.searchsorted(bands, n, "right") in (0, 1)
