@@ -38,6 +38,9 @@ SLOTS = 1 << 21
 #: Code points below this are classed by a table; texts beyond go whole to the tokenizer.
 TABLED = 0x250
 
+#: Bytes of text that a task encodes at a time.
+SLICE = 1 << 20
+
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 0
 _CLASS = np.zeros(TABLED, np.uint8)
 for _c in range(TABLED):
@@ -216,7 +219,7 @@ def _tokenize(broadcast, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first, encoder = TaskContext.get().partitionId(), 0, _encoder(broadcast)
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, max_bytes=SLICE):
                 ids = encoder.encode(pc.fill_null(rows.column("text"), "").to_pylist())
                 n = np.array([len(x) + 1 for x in ids], np.int64)
                 whole = np.concatenate([x for i in ids for x in (i, end)])
