@@ -21,7 +21,7 @@ SHRINK = 1.5
 LEAF = 48
 #: A node whose cover would need more than this share of its points is a leaf:
 #: its points are about equally far from each other, and no ball holds several.
-LARGEST_COVER = 0.25
+LARGEST_COVER = 0.55
 #: Components below this bound give scores that float64 holds exactly.
 EXACT = float(1 << 53)
 #: Stands for "no score yet"; its negative is a long too.

@@ -122,7 +122,7 @@ def decide(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES) -
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                                    n_words("text").alias("size"), row_hash().alias("h")), "mix-rows")
     table, n = thresholds(rows, weights, most)
-    copies = F.col("whole") + (F.col("h") < F.col("below")).cast("long")
+    copies = F.least(F.lit(most).cast("long"), F.col("whole") + (F.col("h") < F.col("below")).cast("long"))     # rows of size 0 may be below 0 words
     return (_with_source(rows, table, n).withColumn("copies", copies)
             .select("doc_id", "source", "size", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))
@@ -143,6 +143,6 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES) -> D
     else:
         salted = table.withColumn(names["mix_salt"], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = hashed.join(salted, same & (F.pmod(F.col(names["mix_h"]), F.lit(SALTS)) == F.col(names["mix_salt"])))
-    copies = F.col(names["mix_whole"]) + (F.col(names["mix_h"]) < F.col(names["mix_below"])).cast("long")
+    copies = F.least(F.lit(most).cast("long"), F.col(names["mix_whole"]) + (F.col(names["mix_h"]) < F.col(names["mix_below"])).cast("long"))
     repeated = joined.withColumn(names["mix_copy"], copies).where(F.col(names["mix_copy"]) > 0)
     return repeated.withColumn(names["mix_copy"], F.explode(F.sequence(F.lit(1).cast("long"), F.col(names["mix_copy"])))).select(docs.columns)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from citegrid.llm import cover_tree, topk_search
 
-IS_QUERY = F.pmod("vec_id", F.lit(50)) == 0
+def is_query():
+    return F.pmod("vec_id", F.lit(50)) == 0
 
 
 def brute(rows, k=5):
@@ -38,7 +39,7 @@ def test_equals_brute_force(spark, clusters):
     topk_search.BLOCK, topk_search.QUERY_BLOCK = 100, 5
     try:
         df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-        assert found(topk_search.search(df, IS_QUERY)) == brute(rows)
+        assert found(topk_search.search(df, is_query())) == brute(rows)
     finally:
         topk_search.BLOCK, topk_search.QUERY_BLOCK = old
 
@@ -48,20 +49,20 @@ def test_odd_rows(spark):
     rows = [(i, same) for i in range(0, 160)] + [(0, same), (50, [9., 9.]), (500, None), (501, []), (502, [1., None]), (503, [float("nan"), 1.]),
             (504, [float("inf"), 1.]), (550, [1., 2., 3.]), (551, [1., 2., 3.]), (600, [1., 2., 3., 4.]), (None, same), (-50, [-1., -1.])]
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, score string, q int")
-    assert found(topk_search.search(df, IS_QUERY)) == brute(rows)
+    assert found(topk_search.search(df, is_query())) == brute(rows)
 
 
 def test_huge_components(spark):
     rows = [(0, [1e12, 1.]), (1, [1e12, 3.]), (2, [1e12, 2.]), (3, [-1e12, 2.])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = found(topk_search.search(df, IS_QUERY))
+    got = found(topk_search.search(df, is_query()))
     assert [(r, j) for _, r, j, _ in got][-1] == (3, 3) and got[0][3] == 2 ** 63 - 1     # held at the ends of a long
 
 
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
-    assert topk_search.search(df, IS_QUERY).count() == 0
-    assert topk_search.search(spark.createDataFrame([(1, [1.])], "vec_id long, embedding array<float>"), IS_QUERY).count() == 0
+    assert topk_search.search(df, is_query()).count() == 0
+    assert topk_search.search(spark.createDataFrame([(1, [1.])], "vec_id long, embedding array<float>"), is_query()).count() == 0
 
 
 def test_prunes_clustered_points():
