@@ -21,13 +21,13 @@ H_TAKEAWAYS = "Takeaways:"
 
 # Normalisation rewrites, applied in this order.
 NORMALIZE_STEPS = [
-    (r"(?dim)^\s*answer\s*:\s*$", "Answer:"),
-    (r"(?dim)^\s*biomarkers\s*:\s*$", "Biomarkers mentioned in Evidence:"),
-    (r"(?dim)^\s*biomarkers mentioned in evidence\s*:\s*$", "Biomarkers mentioned in Evidence:"),
-    (r"(?dim)^\s*takeaways\s*:\s*$", "Takeaways:"),
-    (r"(?dim)^(Answer:)\s*", "$1\n"),
-    (r"(?dim)^(Biomarkers mentioned in Evidence:)\s*", "$1\n"),
-    (r"(?dim)^(Takeaways:)\s*", "$1\n"),
+    (rf"(?dim)^{WS_CLASS}*answer{WS_CLASS}*:{WS_CLASS}*$", "Answer:"),
+    (rf"(?dim)^{WS_CLASS}*biomarkers{WS_CLASS}*:{WS_CLASS}*$", "Biomarkers mentioned in Evidence:"),
+    (rf"(?dim)^{WS_CLASS}*biomarkers mentioned in evidence{WS_CLASS}*:{WS_CLASS}*$", "Biomarkers mentioned in Evidence:"),
+    (rf"(?dim)^{WS_CLASS}*takeaways{WS_CLASS}*:{WS_CLASS}*$", "Takeaways:"),
+    (rf"(?dim)^(Answer:){WS_CLASS}*", "$1\n"),
+    (rf"(?dim)^(Biomarkers mentioned in Evidence:){WS_CLASS}*", "$1\n"),
+    (rf"(?dim)^(Takeaways:){WS_CLASS}*", "$1\n"),
 ]
 
 # Issue messages, in report order.
@@ -46,6 +46,7 @@ MSG_LEAKED = "Mentions gene/biomarker-like tokens not found in evidence: "
 MAX_LEAKED_IN_MESSAGE = 20
 N_TAKEAWAYS = 3
 
+# Fixed value: shape of a citation.
 CITATION = r"\[(\d+)\]"
 # Line breaks as str.splitlines() sees them.
 LINE_BREAK = "\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x85\u2028\u2029]"
@@ -66,11 +67,11 @@ def normalize(answer: Column | str) -> Column:
 def section(answer: Column | str, start: str, end: str | None) -> Column:
     """V1: text between a header line and the next header line (lazy), or to
     the end when ``end`` is None; '' when the header is absent."""
-    s = r"^" + _esc(start) + r"\s*$"
+    s = rf"^{_esc(start)}{WS_CLASS}*$"
     if end is None:
-        pat = rf"(?dims){s}\s*(.*)$"
+        pat = rf"(?dims){s}{WS_CLASS}*(.*)$"
     else:
-        pat = rf"(?dims){s}\s*(.*?)^{_esc(end)}\s*$"
+        pat = rf"(?dims){s}{WS_CLASS}*(.*?)^{_esc(end)}{WS_CLASS}*$"
     return strip(F.regexp_extract(nz(answer), pat, 1))
 
 
@@ -103,7 +104,7 @@ def _all_in_range(nums: Column, k: Column | int) -> Column:
 
 def has_references(text: Column | str) -> Column:
     """V3"""
-    return nz(text).rlike(r"(?dim)^\s*references\s*:\s*$")
+    return nz(text).rlike(rf"(?dim)^{WS_CLASS}*references{WS_CLASS}*:{WS_CLASS}*$")
 
 
 def has_not_relevant(text: Column | str) -> Column:
@@ -138,7 +139,7 @@ def each_sentence_cited(section_text: Column | str) -> Column:
     """V8: non-empty, and every sentence ends with citations (a final
     punctuation mark may follow)."""
     s = sentences(section_text)
-    return (F.size(s) > 0) & F.forall(s, lambda x: x.rlike(r"(\[\d+\])+\s*[.!?]?\s*$"))
+    return (F.size(s) > 0) & F.forall(s, lambda x: x.rlike(rf"(\[\d+\])+{WS_CLASS}*[.!?]?{WS_CLASS}*$"))
 
 
 def bullets(section_text: Column | str) -> Column:
@@ -166,8 +167,7 @@ def issues(answer: Column | str, evidence: Column | str, k: Column | int,
         F.when(has_references(a), F.lit(MSG_REFERENCES)),
         F.when(has_not_relevant(a), F.lit(MSG_NOT_RELEVANT)),
         F.when(~citations_in_range(a, kk),
-               F.concat(F.lit("Citations missing or out of range. Must cite only [1]..["),
-                        kk.cast("string"), F.lit("]."))),
+               F.concat(F.lit(MSG_RANGE.split("{k}")[0]), kk.cast("string"), F.lit(MSG_RANGE.split("{k}")[1]))),
         F.when(~each_sentence_cited(answer_section(a)), F.lit(MSG_SENTENCES)),
         F.when(F.size(mb) == 0, F.lit(MSG_NO_MARKER_BULLETS))
          .when(~bullets_cited(mb, kk), F.lit(MSG_MARKER_CITES)),

@@ -1,16 +1,19 @@
 """String helpers as Column expressions (JVM-side, inside whole-stage codegen).
 
-Whitespace is the ASCII set ``[ \\t\\n\\r\\f\\v]`` throughout, so that the same
-rule can be written in both Spark (Java regex) and the DuckDB oracle (RE2).
+Whitespace is the set that ``str.strip()`` and ``str.split()`` know, Unicode
+spaces among them; patterns name it as a class, because ``\\s`` differs between
+regex engines.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ASCII whitespace as removed by strip()/split() on plain text.
-WS_CHARS = " \t\n\r\f\x0b"
-WS_CLASS = r"[ \t\n\r\f\x0B]"
+# Whitespace as removed by strip()/split() on text.
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+            "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+WS_RANGES = r"\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+WS_CLASS = f"[{WS_RANGES}]"
 
 
 def col(c: Column | str) -> Column:
@@ -67,7 +70,7 @@ def snippet_words(abstract: Column | str, width: int = 550, placeholder: str = "
     """
     s = collapse_ws(abstract)
     room = width - len(placeholder)
-    words = F.regexp_extract(s, rf"^(.{{0,{room - 1}}}\S) ", 1)
+    words = F.regexp_extract(s, rf"(?s)^(.{{0,{room - 1}}}[^ ]) ", 1)
     cut = F.when(words == "", F.substring(s, 1, room)).otherwise(words)
     return F.when(F.length(s) <= width, s).otherwise(F.concat(cut, F.lit(placeholder)))
 

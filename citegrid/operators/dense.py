@@ -1,155 +1,101 @@
 """Exact dense kNN (R1, dense form): inner product of unit vectors = cosine.
 
 Spark has no vector-similarity operator, so the scoring is a block matrix
-product in NumPy inside ``mapInPandas`` (Arrow batches); everything around it
-(partitioning, exchange, the final top-k) is ordinary Spark.
-
-Two physical strategies, chosen from a size check:
-
-* **broadcast** — the query matrix (Q·d·4 bytes, checked against
-  ``max_broadcast_bytes``) is shipped once to every executor; the document
-  side is only scanned (no shuffle of the corpus).  Each task keeps a running
-  top-k per query over its partition, so it emits at most Q·(k+ties) rows.
-* **tiled** — when the queries are too many to broadcast: queries are hashed
-  into tiles and documents into blocks (each bounded: ``tile_rows`` /
-  ``block_rows`` rows); every (block, tile) pair is scored by one task.  This
-  is the blocked matrix product; the number of pairs is
-  ⌈N/block⌉·⌈Q/tile⌉ and each emits only top-k candidates per query.
-
-Both return raw ``(qid, item, score)`` candidates; ``topk.top_k`` then fixes
-the order on the rounded score with an id tiebreak.  A candidate is kept when
-its score is within 1e-6 of the local k-th best, so rounding ties are never
-lost before the final order.
+product in NumPy inside ``mapInArrow``; everything around it (partitioning,
+exchange, the final top-k) is ordinary Spark.
+
+There is one plan for every size.  Queries are cut into tiles of a bounded
+number of rows; a tile is broadcast and the documents are scanned, never
+shuffled.  Each task keeps exactly k rows per query, so it emits Q·k rows per
+tile.  Scoring every vector against every other is quadratic by nature: the
+plan keeps it distributed and memory-bounded, not cheap.
+
+Vectors take part when they are not null, have the common length, and hold
+no null or non-finite component; all others are listed by ``vector_rejects``.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citegrid.operators.topk import top_k
-from citegrid.session import ship_package
+from citegrid.operators.topk import BestSoFar, top_k
+from citegrid.session import materialize, ship_package
 
-TIE_EPS = 1e-6
+#: Query rows of one tile; a tile of 768 floats is 24 MB in a task.
+TILE_ROWS = 4096
+#: Query rows multiplied at a time.
+CHUNK = 512
 
 
-def _local_topk(qids: np.ndarray, dids: np.ndarray, S: np.ndarray, k: int) -> pd.DataFrame:
-    """Candidates of one score block S (q×b): per query row, every column whose
-    score is ≥ the row's k-th best − eps."""
-    if S.size == 0:
-        return pd.DataFrame({"q": qids[:0], "d": dids[:0], "score": np.empty(0)})
-    kk = min(k, S.shape[1])
-    kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
-    rows, cols = np.nonzero(S >= (kth - TIE_EPS)[:, None])
-    return pd.DataFrame({"q": qids[rows], "d": dids[cols], "score": S[rows, cols]})
+def dimension(vectors: DataFrame, vec: str) -> int:
+    """The length that most vectors have (the smaller one of two as frequent)."""
+    row = (vectors.where(F.col(vec).isNotNull()).groupBy(F.size(vec).alias("d")).count()
+           .orderBy(F.desc("count"), "d").first())
+    return int(row["d"]) if row else 0
 
 
-def _prune(cand: pd.DataFrame, k: int) -> pd.DataFrame:
-    if cand.empty:
-        return cand
-    cand = cand.sort_values(["q", "score"], ascending=[True, False], kind="stable")
-    pos = cand.groupby("q", sort=False).cumcount()
-    kth = cand["score"].where(pos == k - 1).groupby(cand["q"]).transform("max")
-    keep = kth.isna() | (cand["score"] >= kth - TIE_EPS)
-    return cand[keep.to_numpy()]
+def usable(vec: str, dim: int) -> Column:
+    fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce((F.size(vec) == dim) & fine, F.lit(False))
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    if len(vectors) == 0:
-        return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float32) for v in vectors]).astype(np.float64)
+def vector_rejects(vectors: DataFrame, key: str, vec: str, dim: int) -> DataFrame:
+    """``(key, reason)`` of the rows that take no part in dense retrieval."""
+    reason = (F.when(F.col(vec).isNull(), "null vector").when(F.size(vec) != dim, "other length")
+              .otherwise("null or non-finite component"))
+    return vectors.where(~usable(vec, dim)).select(key, reason.alias("reason"))
 
 
-def _arrow_matrix(lists: pa.Array) -> np.ndarray:
-    """A list<float> Arrow column of equal-length vectors as an (n, d) matrix
-    without per-row Python work."""
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """A list<float> Arrow column of equal-length vectors as an (n, d) matrix."""
     n = len(lists)
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float32).astype(np.float64)
     return flat.reshape(n, -1) if n else np.zeros((0, 0))
 
 
-def _score(Q: np.ndarray, qids: np.ndarray, D: np.ndarray, dids: np.ndarray, k: int,
-           exclude_self: bool, chunk: int = 1024) -> pd.DataFrame:
-    out = []
-    for lo in range(0, len(qids), chunk):
-        S = Q[lo:lo + chunk] @ D.T
-        if exclude_self:
-            S[qids[lo:lo + chunk, None] == dids[None, :]] = -np.inf
-        c = _local_topk(qids[lo:lo + chunk], dids, S, k)
-        out.append(c[np.isfinite(c["score"].to_numpy())])
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"q": [], "d": [], "score": []})
+def _score_tile(tile, k: int, qid: str, did: str, dvec: str, schema: pa.Schema, exclude_self: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qids, Q = tile.value
+        best = BestSoFar(k)
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            ids, D = rb.column(did).to_numpy(zero_copy_only=False), _matrix(rb.column(dvec))
+            for lo in range(0, len(qids), CHUNK):
+                S = Q[lo:lo + CHUNK] @ D.T
+                if exclude_self:
+                    S[qids[lo:lo + CHUNK, None] == ids[None, :]] = -np.inf
+                best.add(S, ids, lo)
+        yield pa.RecordBatch.from_arrays([pa.array(qids[best.q].tolist(), schema.field(0).type),
+                                          pa.array(best.d.tolist(), schema.field(1).type), pa.array(best.s)], schema=schema)
+    return run
 
 
 def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid", qvec: str = "vector",
                    did: str = "pmid", dvec: str = "vector", exclude_self: bool = False,
-                   max_broadcast_bytes: int = 256 << 20, tile_rows: int = 4096,
-                   block_rows: int = 4096, strategy: str = "auto") -> DataFrame:
-    """Raw candidates ``(qid, did, score)`` (≥ k per query, ties kept)."""
+                   tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Candidates ``(qid, did, score)``: at least the k best of each query."""
+    from pyspark.sql.pandas.types import to_arrow_schema
     spark = queries.sparkSession
     ship_package(spark)
-    qtype = dict(queries.dtypes)[qid]
-    dtype_ = dict(docs.dtypes)[did]
-    schema = f"{qid} {qtype}, {did} {dtype_}, score double"
-    queries = queries.where(F.col(qvec).isNotNull())
-    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec)).alias("d")).first()
-    nq, dim = int(stats["n"]), int(stats["d"] or 0)
-    if strategy == "auto":
-        strategy = "broadcast" if nq * max(dim, 1) * 4 <= max_broadcast_bytes else "tiled"
-
-    if strategy == "broadcast":
-        qpdf = queries.select(qid, qvec).toPandas()          # bounded by the size check above
-        bc = spark.sparkContext.broadcast((qpdf[qid].to_numpy(), _matrix(qpdf[qvec])))
-
-        out_schema = spark.createDataFrame([], schema).schema
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            qids, Q = bc.value
-            acc = []
-            for rb in batches:
-                if rb.num_rows == 0 or len(qids) == 0:
-                    continue
-                ids = rb.column(did).to_numpy(zero_copy_only=False)
-                acc.append(_score(Q, qids, _arrow_matrix(rb.column(dvec)), ids, k, exclude_self))
-                if sum(len(a) for a in acc) > 8 * len(qids) * (k + 4):
-                    acc = [_prune(pd.concat(acc, ignore_index=True), k)]
-            if acc:
-                c = _prune(pd.concat(acc, ignore_index=True), k)
-                yield pa.RecordBatch.from_pandas(
-                    pd.DataFrame({qid: c["q"].to_numpy(), did: c["d"].to_numpy(), "score": c["score"].to_numpy()}),
-                    preserve_index=False)
-
-        return docs.select(did, dvec).where(F.col(dvec).isNotNull() & (F.size(dvec) == dim)) \
-            .mapInArrow(run, out_schema)
-
-    # tiled: bounded query tiles x bounded document blocks, paired by an equi-join
-    nd = docs.count()
-    n_tiles = max(1, math.ceil(nq / tile_rows))
-    n_blocks = max(1, math.ceil(nd / block_rows))
-    # tiles/blocks hash the id *and* the vector, so even a repeated id spreads
-    # over many blocks; every tile and block stays near its nominal size
-    tiles = (queries.select(F.pmod(F.xxhash64(qid, qvec), F.lit(n_tiles)).alias("tile"), qid, qvec)
-             .groupBy("tile").agg(F.collect_list(F.struct(F.col(qid).alias("i"), F.col(qvec).alias("v"))).alias("qs")))
-    blocks = (docs.select(F.pmod(F.xxhash64(did, dvec), F.lit(n_blocks)).alias("block"), did, dvec)
-              .groupBy("block").agg(F.collect_list(F.struct(F.col(did).alias("i"), F.col(dvec).alias("v"))).alias("ds")))
-    pairs = tiles.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))) \
-        .join(blocks, "block").select("qs", "ds")
-
-    def run_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for qs, ds in zip(pdf["qs"], pdf["ds"]):
-                qids = np.array([r["i"] for r in qs])
-                dids = np.array([r["i"] for r in ds])
-                c = _score(_matrix(pd.Series([r["v"] for r in qs])), qids,
-                           _matrix(pd.Series([r["v"] for r in ds])), dids, k, exclude_self)
-                c = _prune(c, k)
-                yield pd.DataFrame({qid: c["q"].to_numpy(), did: c["d"].to_numpy(), "score": c["score"].to_numpy()})
-
-    return pairs.mapInPandas(run_pairs, schema)
+    schema = spark.createDataFrame([], f"{qid} {dict(queries.dtypes)[qid]}, {did} {dict(docs.dtypes)[did]}, score double").schema
+    arrow = to_arrow_schema(schema)
+    dim = dimension(docs, dvec)
+    asked = queries.select(qid, qvec).where(usable(qvec, dim))
+    n_tiles = max(1, -(-asked.count() // tile_rows))
+    asked = materialize(asked.withColumn("tile", F.pmod(F.xxhash64(qid), F.lit(n_tiles))), "query-tiles")
+    found = docs.select(did, dvec).where(usable(dvec, dim))
+    parts = []
+    for t in range(n_tiles):
+        rows = asked.where(F.col("tile") == t).select(qid, qvec).toArrow().combine_chunks()      # one tile, some tile_rows rows
+        tile = (rows.column(0).to_numpy(), _matrix(rows.column(1).combine_chunks()))
+        parts.append(found.mapInArrow(_score_tile(spark.sparkContext.broadcast(tile), k, qid, did, dvec, arrow, exclude_self), schema))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def knn(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid", qvec: str = "vector",

@@ -5,27 +5,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citegrid.functions import rules as R
-from citegrid.functions.text import nz, strip
+from citegrid.functions.text import WS_RANGES, nz, strip
 
 # Fixed value: separators between relevant ids.
-RELEVANT_SEP = r"[,|;\s]+"
+RELEVANT_SEP = f"[,|;{WS_RANGES}]+"
 
 
 def parse_relevant(x: Column | str) -> Column:
     """A1 on a string column: split on ``, | ;`` or whitespace, drop empties;
-    ``123.0`` written by a float reader is read back as ``123``."""
+    the pieces stay as they are written (``123.0`` stays ``123.0``)."""
     c = nz(x if isinstance(x, Column) else F.col(x))
     parts = F.split(strip(c), RELEVANT_SEP, -1)
     return F.filter(parts, lambda p: p != "")
 
 
-def parse_relevant_numeric(x: Column | str) -> Column:
-    """A1 numeric branch (int or integral float column) -> one-element list."""
+def parse_relevant_list(x: Column | str) -> Column:
+    """A1 list branch: an array column -> its elements as stripped strings,
+    nulls and empties dropped; a null array -> no ids."""
+    c = F.coalesce(x if isinstance(x, Column) else F.col(x), F.array()).cast("array<string>")
+    return F.filter(F.transform(c, lambda p: strip(nz(p))), lambda p: p != "")
+
+
+def parse_relevant_numeric(x: Column | str, kind: str = "double") -> Column:
+    """A1 numeric branch -> one-element list.  ``kind`` "long" keeps integers
+    as they are; "double" writes integral floats without a fraction."""
     c = x if isinstance(x, Column) else F.col(x)
-    as_str = F.when(c.isNull() | F.isnan(c.cast("double")), None).otherwise(
-        F.when(c.cast("double") == F.floor(c.cast("double")),
-               c.cast("double").cast("decimal(38,0)").cast("string")).otherwise(c.cast("string")))
-    return F.when(as_str.isNull(), F.array().cast("array<string>")).otherwise(F.array(as_str))
+    none = F.array().cast("array<string>")
+    if kind == "long":
+        return F.when(c.isNull(), none).otherwise(F.array(c.cast("string")))
+    as_str = F.when(c.isNull() | F.isnan(c), None).otherwise(
+        F.when(c == F.floor(c), c.cast("decimal(38,0)").cast("string")).otherwise(c.cast("string")))
+    return F.when(as_str.isNull(), none).otherwise(F.array(as_str))
 
 
 def hit_at_k(hit_ids: Column, relevant: Column) -> Column:
@@ -75,6 +85,11 @@ def eval_metrics(rows: DataFrame, k: int, embed_model: str, llm: str | None, run
     )
 
 
+def metrics_file(metrics: DataFrame) -> DataFrame:
+    """The metrics under the key names of the metrics file."""
+    return metrics.withColumnRenamed("recall_at_k", "recall@k")
+
+
 def eval_runs(questions: DataFrame, hit_arrays: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """Nested run record per question: ``qid, question, relevant_pmids[],
     retrieval[], answer``."""

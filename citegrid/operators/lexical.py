@@ -6,22 +6,18 @@ Two forms of the same index: ``postings(pmid, term, w)`` (one row per term
 occurrence) and ``doc vectors(pmid, terms[], ws[])`` (one row per document,
 what is written to disk; postings are an ``explode`` of it).
 
-Two scoring plans, chosen by a size check on the question side:
-
-* **block** (bounded question set): the query vectors (row count checked)
-  are broadcast as an inverted list; each task scores its documents with a
-  vectorised sparse product in NumPy and keeps a running top-k per
-  question.  No (question, document) pair ever reaches a shuffle — a
-  term shared by a third of the corpus costs arithmetic, not exchange
-  volume; the final top-k moves tasks × Q × k rows.
-* **join** (question set too large to broadcast): equi-join on ``term`` and a
-  ``(qid, pmid)`` aggregation (map-side combined; AQE splits hot-term
-  partitions), then the windowed top-k with a partial limit before the
-  exchange.
+There is one scoring plan for every size.  Questions are cut into tiles of a
+bounded number of rows; the vectors of a tile are broadcast as an inverted
+list, and each task scores its documents with a vectorised sparse product in
+NumPy and keeps exactly k rows per question.  No (question, document) pair
+reaches a shuffle, and a term shared by a third of the corpus costs
+arithmetic, not exchange volume.
 """
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,8 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citegrid.functions.text import doc_text, nz
-from citegrid.operators.topk import top_k
-from citegrid.session import ship_package
+from citegrid.operators.topk import BestSoFar, top_k
+from citegrid.session import materialize, ship_package
+
+# Terms of every document that are weighted without a join, at most.
+EVERYWHERE = 1000
 
 # Fixed value: lexical token shape (ASCII letters/digits, lower-cased after).
 TOKEN_PATTERN = r"[A-Za-z0-9]+"
@@ -49,13 +48,30 @@ def term_counts(df: DataFrame, key: str, text: Column) -> DataFrame:
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def vocabulary(tf: DataFrame, n_docs: Column) -> DataFrame:
-    """``(term, idf)`` with idf = ln((N+1)/(df+1)) + 1 (always > 0, so no
+def document_terms(articles: DataFrame) -> DataFrame:
+    """``(pmid, terms[], tfs[])``: distinct terms of each document and their
+    counts, sorted by term; counted inside the row, so nothing is shuffled."""
+    ship_package(articles.sparkSession)
+    words = articles.select("pmid", terms(doc_text("pmid", "title", "abstract")).alias("words"))
+    return words.mapInArrow(_count_words, "pmid string, terms array<string>, tfs array<long>")
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rb in batches:
+        found, counts = [], []
+        for words in rb.column("words").to_pylist():
+            n = Counter(words)
+            found.append(sorted(n))
+            counts.append([n[t] for t in found[-1]])
+        yield pa.RecordBatch.from_arrays([rb.column("pmid"), pa.array(found, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))],
+                                         ["pmid", "terms", "tfs"])
+
+
+def vocabulary(documents: DataFrame, n_docs: int) -> DataFrame:
+    """``(term, df, idf)`` with idf = ln((N+1)/(df+1)) + 1 (always > 0, so no
     document vector has zero norm unless it has no terms)."""
-    # count(tf) (not count(*)) keeps the tf aggregate identical in both uses,
-    # so Spark reuses its exchange and the corpus is tokenised once
-    return (tf.groupBy("term").agg(F.count("tf").alias("df"))
-            .select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")))
+    return (documents.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            .withColumn("idf", F.log((F.lit(n_docs) + 1) / (F.col("df") + 1)) + 1))
 
 
 def _normalise(weighted: DataFrame, key: str) -> DataFrame:
@@ -63,48 +79,39 @@ def _normalise(weighted: DataFrame, key: str) -> DataFrame:
     return weighted.withColumn("w", F.try_divide(F.col("w"), norm))
 
 
-def build_doc_vectors(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame]:
+def build_doc_vectors(articles: DataFrame, keep=None) -> tuple[DataFrame, DataFrame]:
     """``doc vectors(pmid, terms[], ws[])`` and ``vocab(term, idf)`` from the
     article text (P1 composition, as the encoder would see it).  ``pmid`` is a
     key (deduplicate first, ``markup.dedup_keep_first``), so every
     per-document group is bounded by one document's distinct terms.
 
-    ``keep_tf`` (optional) receives the ``(pmid, term, tf)`` table and returns
-    it written (e.g. ``session.materialize``), so the corpus is tokenised once
-    for both the document frequencies and the weights."""
-    tf = term_counts(articles, "pmid", doc_text("pmid", "title", "abstract"))
-    if keep_tf is not None:
-        tf = keep_tf(tf)
-    n_docs = articles.select(F.count(F.lit(1))).scalar()
-    vocab = vocabulary(tf, n_docs)
-    # Terms seen in one document only (most of a large vocabulary) all share
-    # idf = ln((N+1)/2) + 1, so only recurring terms are joined: the join side
-    # stays small enough to broadcast far longer as the corpus grows.
-    recurring = tf.groupBy("term").agg(F.count("tf").alias("df")).where(F.col("df") >= 2) \
-        .select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    single = F.log((n_docs + 1) / F.lit(2)) + 1
-    weighted = tf.join(recurring, "term", "left").select(
-        "pmid", "term", (F.col("tf") * F.coalesce(F.col("idf"), single)).alias("w"))
+    ``keep`` (optional, e.g. ``session.materialize``) receives a table and a
+    name and returns the table written: the corpus is then tokenised once and
+    the document frequencies are counted once.
+
+    Terms seen in one document only (most of a large vocabulary) share one
+    idf, and so do terms of every document (the labels of the text form among
+    them); only the others are joined for theirs, so no term with a row per
+    document meets in one task and the join side stays small."""
+    keep = keep or (lambda df, name: df)
+    documents = keep(document_terms(articles), "index-terms")
+    n_docs = documents.count()
+    vocab = keep(vocabulary(documents, n_docs), "index-vocab")
+    joined = vocab.where((F.col("df") >= 2) & (F.col("df") < n_docs)).select("term", "idf")
+    everywhere = [r["term"] for r in vocab.where(F.col("df") == n_docs).limit(EVERYWHERE).collect()] if n_docs > 1 else []
+    rows = documents.select("pmid", F.explode(F.arrays_zip("terms", "tfs")).alias("z")) \
+        .select("pmid", F.col("z.terms").alias("term"), F.col("z.tfs").alias("tf"))
+    single = F.log((F.lit(n_docs) + 1) / F.lit(2)) + 1
+    constant = rows.where(F.col("term").isin(everywhere)).withColumn("w", F.col("tf").cast("double"))
+    rest = rows.where(~F.col("term").isin(everywhere)).join(joined, "term", "left").withColumn(
+        "w", F.col("tf") * F.coalesce(F.col("idf"), single))
+    weighted = constant.select("pmid", "term", "w").unionByName(rest.select("pmid", "term", "w"))
     # one aggregation per document: its (term, weight) pairs and its squared norm
     g = weighted.groupBy("pmid").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("_p"),
                                      F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
     docvecs = g.select("pmid", F.transform("_p", lambda x: x["term"]).alias("terms"),
                        F.transform("_p", lambda x: F.try_divide(x["w"], F.col("_n"))).alias("ws"))
-    return docvecs, vocab
-
-
-def build_index(articles: DataFrame, keep_tf=None) -> tuple[DataFrame, DataFrame]:
-    """P7 in postings form: ``postings(pmid, term, w)`` and ``vocab(term, idf)``."""
-    docvecs, vocab = build_doc_vectors(articles, keep_tf)
-    return to_postings(docvecs), vocab
-
-
-def to_doc_vectors(postings: DataFrame) -> DataFrame:
-    """Postings -> one row per document (terms sorted)."""
-    pairs = F.array_sort(F.collect_list(F.struct("term", "w")))
-    return postings.groupBy("pmid").agg(pairs.alias("_p")).select(
-        "pmid", F.transform("_p", lambda x: x["term"]).alias("terms"),
-        F.transform("_p", lambda x: x["w"]).alias("ws"))
+    return docvecs, vocab.select("term", "idf")
 
 
 def to_postings(docvecs: DataFrame) -> DataFrame:
@@ -121,25 +128,8 @@ def query_vectors(questions: DataFrame, vocab: DataFrame, qid: str = "qid",
     return _normalise(weighted, qid)
 
 
-# Query-term rows shipped to every task at most (≈ 40 bytes each).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def scores(qvec: DataFrame, postings: DataFrame, qid: str = "qid",
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Cosine score of every (question, document) pair sharing a term.
-
-    The query-term side is broadcast when its row count (checked with one
-    small job) is within ``broadcast_max_rows``: the postings are then only
-    scanned, never shuffled.  Larger question sets fall back to a shuffle
-    join, where AQE splits a hot term's partition."""
-    q = qvec.withColumnRenamed("w", "qw")
-    if broadcast_max_rows is not None and q.count() <= broadcast_max_rows:
-        q = F.broadcast(q)
-    return (q.join(postings, "term")
-            .groupBy(qid, "pmid").agg(F.sum(F.col("qw") * F.col("w")).alias("score")))
-
-
+# Questions of one tile; its vectors are what the driver and every task hold.
+TILE_QUESTIONS = 4096
 # Score cells per dense block and expanded (question, posting) contributions
 # per slice inside a task: bounds task memory whatever the question mix.
 BLOCK_CELLS = 4_000_000
@@ -149,13 +139,12 @@ SLICE_CONTRIBUTIONS = 8_000_000
 def block_candidates(q: pd.DataFrame, docvecs: DataFrame, k: int) -> DataFrame:
     """Per-task top-k candidates ``(qid, pmid, score)``.
 
-    The query vectors ``q`` (pandas ``qid, term, w``; collected by the caller
-    behind a row-count bound) are broadcast as an inverted list term -> (question, weight).  A task maps its documents'
+    The query vectors ``q`` (pandas ``qid, term, w``; one tile) are broadcast
+    as an inverted list term -> (question, weight).  A task maps its documents'
     terms to that list (``pyarrow.compute.index_in``), expands each matching
     posting to its questions, accumulates the products into a dense
     questions × documents block with ``bincount``, and keeps a running top-k
     per question.  Only those candidates leave the task."""
-    from citegrid.operators.dense import _local_topk, _prune
     spark = docvecs.sparkSession
     ship_package(spark)
     qids = np.array(sorted(q["qid"].unique()), dtype=object)
@@ -172,7 +161,7 @@ def block_candidates(q: pd.DataFrame, docvecs: DataFrame, k: int) -> DataFrame:
         n_q = len(qids)
         chunk = max(1, BLOCK_CELLS // max(n_q, 1))
         vocab_q = pa.array(list(tvals), pa.string())
-        acc: list[pd.DataFrame] = []
+        best = BestSoFar(k)
         for rb in batches:
             if rb.num_rows == 0 or n_q == 0:
                 continue
@@ -207,33 +196,28 @@ def block_candidates(q: pd.DataFrame, docvecs: DataFrame, k: int) -> DataFrame:
                     a = b
                 S = S.reshape(n_q, len(part))
                 S[S <= 0] = -np.inf           # only documents sharing a term are candidates
-                c = _local_topk(qids, pmids[part], S, k)
-                acc.append(c[np.isfinite(c["score"].to_numpy())])
-            if sum(len(x) for x in acc) > 8 * n_q * (k + 4):
-                acc = [_prune(pd.concat(acc, ignore_index=True), k)]
-        if acc:
-            c = _prune(pd.concat(acc, ignore_index=True), k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c["q"].astype(str).tolist(), pa.string()), pa.array(c["d"].astype(str).tolist(), pa.string()),
-                 pa.array(c["score"].to_numpy(), pa.float64())], names=["qid", "pmid", "score"])
+                best.add(S, pmids[part])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(qids[best.q].tolist(), pa.string()), pa.array(best.d.tolist(), pa.string()), pa.array(best.s, pa.float64())],
+            names=["qid", "pmid", "score"])
 
     return docvecs.select("pmid", "terms", "ws").mapInArrow(run, "qid string, pmid string, score double")
 
 
-def search(questions: DataFrame, index: DataFrame, vocab: DataFrame, k: int,
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS, strategy: str = "auto") -> DataFrame:
-    """R1 + R2 + R3: ``(qid, pmid, score, rank)``, k per question.
-
-    ``index`` is either doc vectors (``pmid, terms, ws``) or postings.  The
-    block scorer is used when the query vectors fit the broadcast bound
-    (checked by counting them); otherwise the join scorer."""
-    qvec = query_vectors(questions, vocab)
-    if strategy in ("auto", "block"):
-        bound = broadcast_max_rows or 0
-        # one job: the collection is its own size check (at most bound + 1 rows)
-        q = qvec.toPandas() if strategy == "block" else qvec.limit(bound + 1).toPandas()
-        if strategy == "block" or len(q) <= bound:
-            docvecs = index if "terms" in index.columns else to_doc_vectors(index)
-            return top_k(block_candidates(q, docvecs, k), k)
-    postings = index if "term" in index.columns else to_postings(index)
-    return top_k(scores(qvec, postings, broadcast_max_rows=broadcast_max_rows), k)
+def search(questions: DataFrame, docvecs: DataFrame, vocab: DataFrame, k: int,
+           tile_questions: int = TILE_QUESTIONS) -> DataFrame:
+    """R1 + R2 + R3: ``(qid, pmid, score, rank)``, min(k, documents) per question.
+
+    ``docvecs`` is the written index (``pmid, terms, ws``).  A question that
+    shares a term with fewer than k documents is filled up with the smallest
+    ids it has not hit, at score 0."""
+    asked = materialize(questions.select("qid", "question").withColumn("n", F.lit(1)), "questions")
+    n_tiles = max(1, -(-asked.count() // tile_questions))
+    asked = asked.withColumn("tile", F.pmod(F.xxhash64("qid"), F.lit(n_tiles)))
+    vectors = materialize(query_vectors(asked, vocab).withColumn("tile", F.pmod(F.xxhash64("qid"), F.lit(n_tiles))), "question-vectors")
+    parts = [block_candidates(vectors.where(F.col("tile") == t).select("qid", "term", "w").toPandas(), docvecs, k)
+             for t in range(n_tiles)]
+    smallest = [r["pmid"] for r in docvecs.select("pmid").orderBy("pmid").limit(k).collect()]
+    fill = asked.select("qid", F.explode(F.array(*map(F.lit, smallest)).cast("array<string>")).alias("pmid"), F.lit(0.0).alias("score"))
+    found = reduce(DataFrame.unionByName, parts).unionByName(fill)
+    return top_k(found.groupBy("qid", "pmid").agg(F.max("score").alias("score")), k)

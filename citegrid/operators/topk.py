@@ -1,6 +1,7 @@
 """Top-k per question (R2, R3) and the hit table."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,19 +24,58 @@ def top_k(scored: DataFrame, k: int, group: str = "qid", item: str = "pmid",
             .where(F.col("rank") <= k))
 
 
-def hits_with_docs(top: DataFrame, articles: DataFrame, broadcast_hits: bool = False) -> DataFrame:
+class BestSoFar:
+    """Exactly the k best (score descending, id ascending) of each query among
+    the score blocks seen so far.  Scores are rounded here, so the order inside
+    a task is the order of ``top_k`` and no tie needs more than k rows."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.q = np.zeros(0, np.int64)
+        self.d = np.zeros(0, object)
+        self.s = np.zeros(0)
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, first: int = 0) -> None:
+        """``scores`` (queries × documents; -inf marks no candidate) of the
+        queries from ``first`` on."""
+        if scores.size == 0:
+            return
+        scores = np.round(scores, SCORE_DIGITS)
+        floor = np.full(len(scores), -np.inf)
+        if scores.shape[1] > self.k:
+            floor = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k]
+        rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
+        self._merge(rows + first, ids[cols], scores[rows, cols])
+
+    def _merge(self, q: np.ndarray, d: np.ndarray, s: np.ndarray) -> None:
+        q, s = np.concatenate([self.q, q]), np.concatenate([self.s, s])
+        d = np.concatenate([self.d, d.astype(object)])
+        place = np.unique(d, return_inverse=True)[1] if len(d) else np.zeros(0, np.int64)
+        order = np.lexsort((place, -s, q))
+        q, d, s = q[order], d[order], s[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q, "left") < self.k
+        self.q, self.d, self.s = q[keep], d[keep], s[keep]
+
+
+def hits_with_docs(top: DataFrame, articles: DataFrame) -> DataFrame:
     """Attach title/abstract to the ranked ids (by key, never by position).
-    Documents are fetched after the top-k, never before.  The hit side is
-    Q·k rows; with ``broadcast_hits`` (caller checked Q·k) the corpus is only
-    scanned, otherwise AQE decides from runtime sizes."""
+    Documents are fetched after the top-k, never before; Spark picks the join
+    from measured sizes."""
     docs = articles.select("pmid", "title", "abstract")
-    hits = F.broadcast(top) if broadcast_hits else top
-    return (hits.join(docs, "pmid", "inner")
+    return (top.join(docs, "pmid", "inner")
             .select("qid", F.col("rank").cast("int").alias("rank"), "pmid", "title", "abstract",
                     F.col("score").cast("double").alias("score")))
 
 
+HITS = "array<struct<rank:int,pmid:string,title:string,abstract:string,score:double>>"
+
+
 def hit_arrays(hits: DataFrame, group: str = "qid") -> DataFrame:
     """One row per question with its rank-sorted ``hits`` array (k elements)."""
     return hits.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(
         "rank", "pmid", "title", "abstract", "score"))).alias("hits"))
+
+
+def with_hits(questions: DataFrame, arrays: DataFrame) -> DataFrame:
+    """Every question with its hits; an empty array where it has none."""
+    return questions.join(arrays, "qid", "left").withColumn("hits", F.coalesce("hits", F.array().cast(HITS)))

@@ -17,7 +17,7 @@ from citegrid.functions import vectors as V
 from citegrid.operators import answers as A
 from citegrid.operators import evaluate as E
 from citegrid.operators import evidence as EV
-from citegrid.operators import dense, lexical
+from citegrid.operators import dense, lexical, silver, topk
 from citegrid.plans import retrieval
 from citegrid.sources import cascade, corpus, markup
 
@@ -64,13 +64,13 @@ def _dense(spark, sf, **kw):
 
 
 def q_knn_dense(spark, sf):
-    """Every vector's 5 nearest other vectors (broadcast strategy)."""
+    """Every vector's 5 nearest other vectors."""
     return _dense(spark, sf)
 
 
 def q_knn_dense_block(spark, sf):
-    """Same result through the tiled strategy (small tiles force many pairs)."""
-    return _dense(spark, sf, strategy="tiled", tile_rows=128, block_rows=128)
+    """The same by many small query tiles."""
+    return _dense(spark, sf, tile_rows=128)
 
 
 def q_dense_hit_at_k(spark, sf):
@@ -108,8 +108,7 @@ def q_hit_at_k(spark, sf):
 
 def _ctx(spark, sf, style="strict"):
     r = retrieval.lexical_retrieval(spark, sf, K)
-    qh = r.hit_arrays.join(r.questions, "qid")
-    return EV.with_evidence(qh, K, style)
+    return EV.with_evidence(topk.with_hits(r.questions, r.hit_arrays), K, style)
 
 
 def q_evidence_text(spark, sf):
@@ -262,7 +261,7 @@ def _eval(spark, sf, run_llm=True):
     r = retrieval.lexical_retrieval(spark, sf, K)
     arrays = r.hit_arrays
     if run_llm:
-        qh = EV.with_evidence(r.hit_arrays.join(r.questions, "qid"), K, "simple")
+        qh = EV.with_evidence(topk.with_hits(r.questions, r.hit_arrays), K, "simple")
         arrays = qh.select("qid", "hits", C.compose(F.col("hits"), K, mblocks=F.col("mblocks")).alias("answer"))
     return r, arrays
 
@@ -315,7 +314,7 @@ def q_validate_conversations(spark, sf):
         "conv_id", (F.col("turn") - 1).alias("turn"), T.nz(F.col("text")).alias("raw"))
     pairs = users.join(replies, ["conv_id", "turn"], "inner").select("qid", "question", "raw")
     r = retrieval.lexical_retrieval(spark, sf, K, questions=pairs.select("qid", "question"))
-    ctx = EV.with_evidence(r.hit_arrays.join(pairs, "qid"), K, "strict")
+    ctx = EV.with_evidence(topk.with_hits(pairs, r.hit_arrays), K, "strict")
     d = R.with_validation(ctx.withColumn("answer", R.normalize("raw")), k=K, out="v")
     return d.select("qid", F.col("v.ok").alias("ok"), F.array_join("v.issues", SEP).alias("issues"),
                     F.array_join("v.leaked_tokens", ",").alias("leaked_tokens"),

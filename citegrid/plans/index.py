@@ -14,9 +14,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citegrid.operators import lexical
-from citegrid.session import ensure_checkpoint_dir, materialize
+from citegrid.session import ensure_checkpoint_dir, materialize, remove_tables
 
 
 def _fs(spark: SparkSession, path: str):
@@ -27,7 +28,7 @@ def _fs(spark: SparkSession, path: str):
 
 # Bumped whenever the index format or weighting changes, so an index written
 # by another version is never reused.
-INDEX_VERSION = "3"
+INDEX_VERSION = "4"
 
 
 def source_key(spark: SparkSession, paths: list[str]) -> str:
@@ -46,6 +47,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name."""
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
 def write_lexical_index(docvecs: DataFrame, vocab: DataFrame, path: str) -> None:
     """Writes ``vocab`` and the doc vectors (one row per document; the
     postings form is a narrow explode of it)."""
@@ -73,8 +80,10 @@ def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source
     if not rebuild and _exists(spark, f"{final}/docvecs") and _exists(spark, f"{final}/vocab"):
         return read_lexical_index(spark, final)
     private = f"{final}.build-{uuid.uuid4().hex[:12]}"
-    docvecs, vocab = lexical.build_doc_vectors(articles(), keep_tf=lambda tf: materialize(tf, "index-tf"))
+    scratch: list[str] = []
+    docvecs, vocab = lexical.build_doc_vectors(articles(), keep=lambda df, part: materialize(df, part, scratch))
     write_lexical_index(docvecs, vocab, private)
+    remove_tables(spark, scratch)
     if not _exists(spark, f"{final}/docvecs"):
         src, fs = _fs(spark, private)
         dst, _ = _fs(spark, final)
@@ -83,6 +92,44 @@ def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source
     return read_lexical_index(spark, private)
 
 
+# Documents of one bucket of the doc store on average, and buckets at most.
+BUCKET_ROWS, MOST_BUCKETS = 512, 4096
+
+
+def bucket_of(pmid, n: int):
+    return F.pmod(F.xxhash64(pmid), F.lit(n)).cast("int")
+
+
+def doc_store(spark: SparkSession, articles: Callable[[], DataFrame], source_paths: list[str], name: str = "docs") -> DataFrame:
+    """The written doc store (S15) of these sources, built if absent: articles
+    in folders by hash of the id, so that a lookup reads the folders of its ids only."""
+    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    final = f"{base}/index/{name}-{source_key(spark, source_paths)}"
+    if not _exists(spark, final):
+        arts = articles().select("pmid", "title", "abstract")
+        n = max(1, min(MOST_BUCKETS, arts.count() // BUCKET_ROWS))
+        private = f"{final}.build-{uuid.uuid4().hex[:12]}"
+        (arts.withColumn("buckets", F.lit(n)).withColumn("bucket", bucket_of("pmid", n)).repartition("bucket")
+         .sortWithinPartitions("bucket", "pmid").write.partitionBy("buckets", "bucket").parquet(private))
+        src, fs = _fs(spark, private)
+        dst, _ = _fs(spark, final)
+        if fs.exists(dst) or not fs.rename(src, dst):
+            return spark.read.parquet(private)
+    return spark.read.parquet(final)
+
+
+def lookup(store: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of the store that may have one of the ids (``pmid``): the
+    folders of their buckets.  What the driver sees is bucket numbers, at most
+    MOST_BUCKETS of them, however many ids there are."""
+    first = store.select("buckets").first()
+    if first is None:
+        return store
+    n = int(first["buckets"])
+    wanted = [r["b"] for r in ids.select(bucket_of("pmid", n).alias("b")).distinct().collect()]
+    return store.where(F.col("bucket").isin(wanted))
+
+
 def write_dense_index(docs: DataFrame, path: str, id_col: str = "pmid", vec_col: str = "vector") -> DataFrame:
     """The dense index is the table of unit vectors keyed by id
     (normalised once at write time so cosine = inner product)."""

@@ -17,6 +17,7 @@ from citegrid.operators import answers as A
 from citegrid.operators import evaluate as E
 from citegrid.operators import evidence as EV
 from citegrid.operators import lexical, silver, topk
+from citegrid.plans import index
 from citegrid.session import materialize
 from citegrid.sources import cascade, corpus, markup
 
@@ -37,10 +38,10 @@ def ingest(spark: SparkSession, xml_path: str, levels: list[cascade.Level], n_do
     dedup -> corpus (CSV + Parquet), rejects, fetch metadata (S1–S12)."""
     flat = markup.flatten_article_xml(markup.read_article_sets(spark, xml_path))
     flat = materialize(flat.drop("xml"), "ingest-flat")
-    good = markup.keep_nonempty(flat).select("pmid", "title", "abstract")
+    good = markup.keep_nonempty(flat).select("pmid", "title", "abstract", *markup.POSITION)
     ids, used = cascade.search(good, levels, n_docs)
-    fetched = markup.semi_fetch(good.withColumn("_pos", F.monotonically_increasing_id()), ids)
-    arts = markup.dedup_keep_first(fetched, "pmid", ["_pos"]).select("pmid", "title", "abstract")
+    fetched = markup.semi_fetch(good, ids)
+    arts = markup.dedup_keep_first(fetched, "pmid", markup.POSITION).select("pmid", "title", "abstract")
     meta = corpus.fetch_meta(arts, used, n_docs)
     if out_dir:
         corpus.write_articles_csv(arts, f"{out_dir}/corpus_csv")
@@ -53,30 +54,16 @@ def ingest(spark: SparkSession, xml_path: str, levels: list[cascade.Level], n_do
 
 # ------------------------------------------------------------------- L3 answer
 
-# Distinct hit ids passed to the doc-store scan as a pushed-down IN list.
-IN_LIST_MAX = 50_000
-
-
 def retrieve(questions: DataFrame, articles: DataFrame, postings: DataFrame, vocab: DataFrame,
              k: int) -> DataFrame:
     """R6 over a question table: one row per question with its hit array.
 
-    The ranked ids are written once (the scoring is never recomputed).  When
-    the distinct ids are few, they reach the doc-store scan as an ``IN``
-    filter that Parquet pushes down (row groups of a store sorted by ``pmid``
-    are skipped by their statistics); otherwise a broadcast or AQE-chosen join
-    fetches the documents."""
+    The ranked ids are written once (the scoring is never recomputed) and
+    joined with the articles.  Where ``articles`` is a doc store
+    (``index.doc_store``), only the folders of the hits' buckets are read."""
     top = materialize(lexical.search(questions, postings, vocab, k), "hits-top")
-    ids = top.select("pmid").distinct().limit(IN_LIST_MAX + 1).collect()    # bounded collection
-    if len(ids) <= IN_LIST_MAX:
-        docs = articles.where(F.col("pmid").isin([r["pmid"] for r in ids]))
-        hits = topk.hits_with_docs(top, docs, broadcast_hits=True)
-    else:
-        hits = topk.hits_with_docs(top, articles,
-                                   broadcast_hits=questions.count() * k <= lexical.BROADCAST_MAX_ROWS)
-    return topk.hit_arrays(hits).join(questions, "qid", "right") \
-        .withColumn("hits", F.coalesce(F.col("hits"), F.array().cast(
-            "array<struct<rank:int,pmid:string,title:string,abstract:string,score:double>>")))
+    docs = index.lookup(articles, top) if "bucket" in articles.columns else articles
+    return topk.with_hits(questions, topk.hit_arrays(topk.hits_with_docs(top, docs)))
 
 
 def answer(questions: DataFrame, articles: DataFrame, postings: DataFrame, vocab: DataFrame, k: int = 6,
@@ -119,7 +106,8 @@ def evaluate(spark: SparkSession, articles: DataFrame, postings: DataFrame, voca
     (S14), retrieve for all questions in one job, per-question rows (A11),
     nested runs (A12), metrics (A13); sinks S18."""
     if eval_csv:
-        corpus.write_if_missing(silver.silver_questions(articles, n_questions, seed), eval_csv)
+        if not index.exists(spark, eval_csv):            # the size guard counts only when the set is built
+            corpus.write_if_missing(silver.silver_questions(articles, n_questions, seed), eval_csv)
         questions = corpus.read_questions_csv(spark, eval_csv)
     else:
         questions = silver.silver_questions(articles, n_questions, seed)
@@ -137,7 +125,7 @@ def evaluate(spark: SparkSession, articles: DataFrame, postings: DataFrame, voca
     runs = E.eval_runs(questions, arrays, answers)
     metrics = E.eval_metrics(rows, k, embed_model, llm, run_llm, eval_csv or "")
     if out_dir:
-        corpus.write_json_single(metrics, f"{out_dir}/eval_metrics")
+        corpus.write_json_single(E.metrics_file(metrics), f"{out_dir}/eval_metrics")
         rows.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out_dir}/eval_table")
         runs.write.mode("overwrite").json(f"{out_dir}/eval_runs")
     return EvalResult(rows, runs, metrics)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citegrid.operators import lexical, silver, topk
 from citegrid.plans import index
+from citegrid.session import materialize
 from citegrid.sources import corpus
 
 
@@ -43,10 +44,14 @@ def lexical_retrieval(spark: SparkSession, sf_dir: str, k: int = 5, questions: D
     arts = articles(spark, sf_dir)
     qs = questions if questions is not None else silver.silver_questions(
         arts, n=n_questions, seed=seed, check_size=False)
+    qs = materialize(qs, "question-set")           # read by the search, the hit table and the evaluation
     if postings is None or vocab is None:
         postings, vocab = lexical_index(spark, sf_dir)
-    top = lexical.search(qs, postings, vocab, k)
-    n_q = n_questions if questions is None else qs.count()      # silver sets have n rows by construction
-    small = n_q * k <= lexical.BROADCAST_MAX_ROWS
-    hits = topk.hits_with_docs(top, arts, broadcast_hits=small)
+    top = materialize(lexical.search(qs, postings, vocab, k), "hits-top")
+    hits = topk.hits_with_docs(top, index.lookup(doc_store(spark, sf_dir), top))
     return Retrieval(arts, qs, top, hits, topk.hit_arrays(hits))
+
+
+def doc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written doc store of the documents table."""
+    return index.doc_store(spark, lambda: articles(spark, sf_dir), [f"{sf_dir.rstrip('/')}/documents.parquet"])

@@ -59,16 +59,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage, survives
-    executor loss, unlike a local checkpoint)."""
+    executor loss, unlike a local checkpoint).  ``paths`` collects what was
+    written, for ``remove_tables`` when nothing reads it any more."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.parquet(path)
 
 
-_SHIPPED: set[int] = set()
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that ``materialize`` wrote in this run."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_SHIPPED: set[str] = set()
 _SHIP_LOCK = threading.Lock()
 
 
@@ -78,7 +88,7 @@ def ship_package(spark: SparkSession) -> None:
     Needed by every ``mapInPandas`` stage, since the task functions refer to
     module-level helpers."""
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     with _SHIP_LOCK:
         if key not in _SHIPPED:
             _ship(sc)

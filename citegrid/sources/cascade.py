@@ -23,10 +23,11 @@ HAYSTACK = "_tiab"
 
 
 def with_haystack(articles: DataFrame) -> DataFrame:
-    """Adds title+abstract as ' tok tok … ' (lower-case ASCII word tokens),
-    computed once per row and shared by every level's predicate."""
-    toks = terms(F.concat(nz(F.col("title")), F.lit(" "), nz(F.col("abstract"))))
-    return articles.withColumn(HAYSTACK, F.concat(F.lit(" "), F.array_join(toks, " "), F.lit(" ")))
+    """Adds title and abstract as ' tok tok … | tok tok … ' (lower-case ASCII word
+    tokens), computed once per row and shared by every level's predicate.  The
+    bar, which no token has, keeps a phrase inside one of the two fields."""
+    field = lambda c: F.array_join(terms(nz(F.col(c))), " ")
+    return articles.withColumn(HAYSTACK, F.concat(F.lit(" "), field("title"), F.lit(" | "), field("abstract"), F.lit(" ")))
 
 
 def tiab(phrase: str) -> Column:
@@ -54,6 +55,7 @@ def dedup_levels(levels: list[Level]) -> list[Level]:
 
 def reference_levels(base: Level | None = None) -> list[Level]:
     """The base query followed by the fixed broader fallbacks."""
+    # The query texts, broader from one to the next.
     fallbacks = [
         Level('(breast cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract] '
               'OR transcriptomic[Title/Abstract])',
@@ -93,6 +95,9 @@ def search(articles: DataFrame, levels: list[Level], n_docs: int,
     if chosen is None:
         raise ValueError("No article matched any query level; try a simpler query.")
     lv = levels[chosen["level"]]
-    ids = with_haystack(articles).where(lv.predicate).select("pmid", *(order or [])) \
-        .orderBy(*(order or ["pmid"])).limit(n_docs).select("pmid")
-    return ids, lv.name
+    found = with_haystack(articles).where(lv.predicate)
+    if order:                                       # an id that repeats counts once, at its first place
+        ids = found.groupBy("pmid").agg(F.min(F.struct(*order)).alias("place")).orderBy("place", "pmid")
+    else:
+        ids = found.select("pmid").distinct().orderBy("pmid")
+    return ids.limit(n_docs).select("pmid"), lv.name

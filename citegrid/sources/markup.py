@@ -23,12 +23,20 @@ from citegrid.functions.text import markup_text, nz, strip
 RECORD_TAG = "PubmedArticle"
 
 
+# Place of a record in its input: file, split of the file, record in the split.
+POSITION = ["_file", "_block", "_record"]
+
+
 def read_article_sets(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``<PubmedArticle>`` record (``xml`` column) from XML files."""
-    raw = spark.read.option("lineSep", f"</{RECORD_TAG}>").text(path)
+    """One row per ``<PubmedArticle>`` record (``xml`` column) from XML files,
+    with its place in the input (``POSITION``).  Rows of a task keep their order
+    in the file, so the running number of a task orders the records of a split."""
+    raw = spark.read.option("lineSep", f"</{RECORD_TAG}>").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_record"))
     rec = F.regexp_extract("value", rf"(?s)<{RECORD_TAG}[\s>].*", 0)
-    return (raw.select(rec.alias("body")).where(F.col("body") != "")
-            .select(F.concat("body", F.lit(f"</{RECORD_TAG}>")).alias("xml")))
+    return (raw.select(rec.alias("body"), *POSITION).where(F.col("body") != "")
+            .select(F.concat("body", F.lit(f"</{RECORD_TAG}>")).alias("xml"), *POSITION))
 
 
 def _nodes_text(nodes: Column) -> Column:
@@ -43,6 +51,7 @@ def flatten_article_xml(records: DataFrame, xml: str = "xml") -> DataFrame:
     probe = F.from_xml(F.col(xml), "x string, _corrupt_record string",
                        {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE",
                         "rowTag": RECORD_TAG})
+    kept = [c for c in records.columns if c in POSITION]
     d = records.withColumn("_probe", probe)
     good = F.col("_probe._corrupt_record").isNull() & F.col(xml).isNotNull()
     safe = F.when(good, F.col(xml))
@@ -53,7 +62,7 @@ def flatten_article_xml(records: DataFrame, xml: str = "xml") -> DataFrame:
     return d.select(F.when(good & (pid != ""), pid).alias("pmid"),
                     F.coalesce(title, F.lit("")).alias("title"),
                     F.coalesce(abstract, F.lit("")).alias("abstract"),
-                    (~good).alias("malformed"), F.col(xml))
+                    (~good).alias("malformed"), F.col(xml), *kept)
 
 
 # Blocks whose content is never page text.
@@ -92,12 +101,14 @@ def rejects(flat: DataFrame) -> DataFrame:
 def dedup_keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per ``key``, the first by ``order`` (deterministic).
 
-    ``min_by`` is a partial aggregate: each map task reduces its rows to one
-    per key before the shuffle, so a key holding a third of all rows costs
-    one row per map task, never a giant group in one task."""
-    cols = [c for c in df.columns if c != key]
-    best = F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order]))
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(best.alias("_r")).select(key, "_r.*")
+    Only the key and the order columns are aggregated (one row per key and
+    map task, so a key holding a third of all rows stays small), and the rows
+    that win are fetched by joining back.  Rows equal in key and order are
+    one row of the result, chosen arbitrarily."""
+    best = F.min(F.struct(*[F.col(c) for c in order])).alias("_best")
+    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(best)
+    won = F.struct(*[F.col(c) for c in order]).eqNullSafe(F.col("_best"))
+    return df.join(first, key).where(won).drop("_best").dropDuplicates([key])
 
 
 def semi_fetch(articles: DataFrame, ids: DataFrame, key: str = "pmid") -> DataFrame:

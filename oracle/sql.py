@@ -9,7 +9,11 @@ are 1-based; ``lambda x: …`` syntax; ``chr(10)`` for a newline.
 from __future__ import annotations
 
 NL = "chr(10)"
-WS = "(' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
+# Whitespace of str.strip(), as characters and as the inside of a regex class.
+WS = "(" + " || ".join(f"chr({c})" for c in (
+    9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202,
+    8232, 8233, 8239, 8287, 12288)) + ")"
+WSR = ("\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}")
 
 
 def strip(x: str) -> str:
@@ -65,7 +69,10 @@ q_vec AS (
   SELECT qid, term, w / sqrt(sum(w * w) OVER (PARTITION BY qid)) AS qw
   FROM (SELECT qid, term, tf * idf AS w FROM q_tf JOIN vocab USING (term))),
 scored AS (
-  SELECT qid, pmid, round(sum(qw * w), 6) AS score FROM q_vec JOIN postings USING (term) GROUP BY qid, pmid),
+  SELECT qid, pmid, max(score) AS score FROM (
+    SELECT qid, pmid, round(sum(qw * w), 6) AS score FROM q_vec JOIN postings USING (term) GROUP BY qid, pmid
+    UNION ALL SELECT qid, pmid, 0.0 FROM {questions}, (SELECT pmid FROM articles ORDER BY pmid LIMIT {k}) f)
+  GROUP BY qid, pmid),
 top AS (
   SELECT * FROM (
     SELECT qid, pmid, score,
@@ -124,7 +131,7 @@ def snippet_head_tail(a: str, w: int = 650) -> str:
 
 
 def collapse_ws(a: str) -> str:
-    return strip(f"regexp_replace({a}, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g')")
+    return strip(f"regexp_replace({a}, '[{WSR}]+', ' ', 'g')")
 
 
 def snippet_words(a: str, w: int = 550) -> str:
@@ -218,13 +225,13 @@ def mutate(a: str, qid: str = "qid") -> str:
 def normalize(a: str) -> str:
     t = strip(f"coalesce({a}, '')")
     steps = [
-        ("(?im)^\\s*answer\\s*:\\s*$", "'Answer:'"),
-        ("(?im)^\\s*biomarkers\\s*:\\s*$", "'Biomarkers mentioned in Evidence:'"),
-        ("(?im)^\\s*biomarkers mentioned in evidence\\s*:\\s*$", "'Biomarkers mentioned in Evidence:'"),
-        ("(?im)^\\s*takeaways\\s*:\\s*$", "'Takeaways:'"),
-        ("(?im)^(Answer:)\\s*", "'\\1' || chr(10)"),
-        ("(?im)^(Biomarkers mentioned in Evidence:)\\s*", "'\\1' || chr(10)"),
-        ("(?im)^(Takeaways:)\\s*", "'\\1' || chr(10)"),
+        (f"(?im)^[{WSR}]*answer[{WSR}]*:[{WSR}]*$", "'Answer:'"),
+        (f"(?im)^[{WSR}]*biomarkers[{WSR}]*:[{WSR}]*$", "'Biomarkers mentioned in Evidence:'"),
+        (f"(?im)^[{WSR}]*biomarkers mentioned in evidence[{WSR}]*:[{WSR}]*$", "'Biomarkers mentioned in Evidence:'"),
+        (f"(?im)^[{WSR}]*takeaways[{WSR}]*:[{WSR}]*$", "'Takeaways:'"),
+        (f"(?im)^(Answer:)[{WSR}]*", "'\\1' || chr(10)"),
+        (f"(?im)^(Biomarkers mentioned in Evidence:)[{WSR}]*", "'\\1' || chr(10)"),
+        (f"(?im)^(Takeaways:)[{WSR}]*", "'\\1' || chr(10)"),
     ]
     for pat, rep in steps:
         t = f"regexp_replace({t}, '{pat}', {rep}, 'g')"
@@ -233,9 +240,9 @@ def normalize(a: str) -> str:
 
 def section(a: str, start: str, end: str | None) -> str:
     if end is None:
-        pat = f"(?ims)^{start}\\s*$\\s*(.*)$"
+        pat = f"(?ims)^{start}[{WSR}]*$[{WSR}]*(.*)$"
     else:
-        pat = f"(?ims)^{start}\\s*$\\s*(.*?)^{end}\\s*$"
+        pat = f"(?ims)^{start}[{WSR}]*$[{WSR}]*(.*?)^{end}[{WSR}]*$"
     return strip(f"regexp_extract({a}, '{pat}', 1)")
 
 
@@ -268,7 +275,7 @@ def cites_in_range(a: str, k: int) -> str:
 
 
 def has_refs(a: str) -> str:
-    return f"regexp_matches({a}, '(?im)^\\s*references\\s*:\\s*$')"
+    return f"regexp_matches({a}, '(?im)^[{WSR}]*references[{WSR}]*:[{WSR}]*$')"
 
 
 def not_relevant(a: str) -> str:
@@ -280,13 +287,13 @@ def present(a: str) -> str:
 
 
 def sentences(sec: str) -> str:
-    parts = f"string_split(regexp_replace({sec}, '([.?!])[ \\t\\n\\r\\f\\x0B]+', '\\1' || chr(1), 'g'), chr(1))"
+    parts = f"string_split(regexp_replace({sec}, '([.?!])[{WSR}]+', '\\1' || chr(1), 'g'), chr(1))"
     return f"list_filter(list_transform({parts}, lambda s: {strip('s')}), lambda s: s <> '')"
 
 
 def each_cited(sec: str) -> str:
     s = sentences(sec)
-    return f"(len({s}) > 0 AND {forall(s, 'lambda x: regexp_matches(x, ' + chr(39) + '(\\[\\d+\\])+\\s*[.!?]?\\s*$' + chr(39) + ')')})"
+    return f"(len({s}) > 0 AND {forall(s, 'lambda x: regexp_matches(x, ' + chr(39) + '(\\[\\d+\\])+[' + WSR + ']*[.!?]?[' + WSR + ']*$' + chr(39) + ')')})"
 
 
 LINE_BREAK = "\\r\\n|[\\n\\r\\x0B\\f\\x1C\\x1D\\x1E\\x{85}\\x{2028}\\x{2029}]"
@@ -353,5 +360,6 @@ def tiab(phrase: str) -> str:
 HAY = f"""
 hay AS (
   SELECT pmid, title, abstract,
-         ' ' || array_to_string(list_transform(regexp_extract_all(title || ' ' || abstract, '[A-Za-z0-9]+'), lambda t: lower(t)), ' ') || ' ' AS hay
+         ' ' || array_to_string(list_transform(regexp_extract_all(title, '[A-Za-z0-9]+'), lambda t: lower(t)), ' ') || ' | ' ||
+         array_to_string(list_transform(regexp_extract_all(abstract, '[A-Za-z0-9]+'), lambda t: lower(t)), ' ') || ' ' AS hay
   FROM articles)"""
