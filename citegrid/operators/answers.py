@@ -1,17 +1,23 @@
 """Answers: generator slot (G1), validation, bounded retries (G3), fallback.
 
-The generator is pluggable: any function from a pandas batch
-``(qid, prompt, attempt)`` to a Series of answer strings.  It runs through
-``mapInPandas`` (Arrow batches, one client per task, error text captured in
-a column instead of failing the job), and only on the rows that still need an
-answer — Catalyst cannot push a filter through a Python operator, so the
-filter is placed before it by hand.  Every retry round is written to the
-shared checkpoint folder before it is validated, so a non-deterministic
-model is never called twice for the same row and lineage stays short.
+The generator is pluggable: a function from a small pandas batch ``(qid, prompt,
+attempt, temperature, top_p, num_ctx)`` (and a client, if ``make_client`` is
+given; it is called once per task) to a Series of answer strings, or a table of
+ready answers.  A function runs through ``mapInPandas`` a few rows at a time,
+with a timeout; an error is captured in a column and costs the rows of its call
+only.  It sees only the rows that still need an answer — Catalyst cannot push a
+filter through a Python operator, so the filter is placed before it by hand.
+Every round writes its new rows to the shared checkpoint folder, so a
+non-deterministic model is never called twice for the same row and lineage
+stays short.
 """
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,23 +25,53 @@ from pyspark.sql import functions as F
 
 from citegrid.functions import compose as C
 from citegrid.functions import rules as R
+from citegrid.functions.text import nz
 from citegrid.session import materialize, ship_package
 
-Generator = Callable[[pd.DataFrame], pd.Series]
+Generator = Callable[..., pd.Series] | DataFrame
 
 
-def generate(prompts: DataFrame, generator: Generator, attempt: int = 0) -> DataFrame:
-    """G1: ``(qid, prompt)`` -> ``(qid, raw_answer, gen_error)``."""
+@dataclass(frozen=True)
+class GenerationOptions:
+    """What every call of the generator gets; ``rows_per_call`` rows share one
+    call, its timeout and its error."""
+    temperature: float = 0.2
+    top_p: float = 0.9
+    num_ctx: int = 4096
+    timeout_s: float = 240.0
+    rows_per_call: int = 1
+
+
+def generate(prompts: DataFrame, generator: Generator, attempt: int = 0, options: GenerationOptions = GenerationOptions(),
+             make_client: Callable[[], Any] | None = None) -> DataFrame:
+    """G1: ``(qid, prompt)`` -> ``(qid, raw_answer, gen_error)``.  A table of
+    ready answers has ``qid, attempt, raw_answer``."""
+    if isinstance(generator, DataFrame):
+        ready = generator.where(F.col("attempt") == attempt).select("qid", "raw_answer")
+        return prompts.select("qid").join(ready, "qid", "left").select(
+            "qid", nz("raw_answer").alias("raw_answer"), F.lit(None).cast("string").alias("gen_error"))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = (make_client(),) if make_client else ()
+        pool = ThreadPoolExecutor(max_workers=1)
         for pdf in batches:
-            pdf = pdf.assign(attempt=attempt)
-            try:
-                out = generator(pdf[["qid", "prompt", "attempt"]]).astype("string")
-                err = pd.Series([None] * len(pdf), dtype="string")
-            except Exception as e:  # noqa: BLE001 - one failing batch must not fail the job
-                out = pd.Series([""] * len(pdf), dtype="string")
-                err = pd.Series([repr(e)[:500]] * len(pdf), dtype="string")
-            yield pd.DataFrame({"qid": pdf["qid"].values, "raw_answer": out.values, "gen_error": err.values})
+            pdf = pdf.assign(attempt=attempt, temperature=options.temperature, top_p=options.top_p, num_ctx=options.num_ctx)
+            answers, errors = [], []
+            for i in range(0, len(pdf), options.rows_per_call):
+                part = pdf.iloc[i:i + options.rows_per_call].reset_index(drop=True)
+                call = pool.submit(generator, part, *client)
+                try:
+                    answers += [None if pd.isna(x) else str(x) for x in call.result(timeout=options.timeout_s)]
+                    errors += [None] * len(part)
+                except Exception as e:  # noqa: BLE001 - a failing call must not fail the job
+                    if isinstance(e, TimeoutError):         # the stuck call keeps its thread; the next gets a new one
+                        pool.shutdown(wait=False)
+                        pool = ThreadPoolExecutor(max_workers=1)
+                    answers += [""] * len(part)
+                    errors += [repr(e)] * len(part)
+            yield pd.DataFrame({"qid": pdf["qid"].values, "raw_answer": pd.Series(answers, dtype="string"),
+                                "gen_error": pd.Series(errors, dtype="string")})
+        pool.shutdown(wait=False)
 
     ship_package(prompts.sparkSession)
     return prompts.select("qid", "prompt").mapInPandas(
@@ -61,30 +97,30 @@ def with_fallback(df: DataFrame, k: int, text: C.ComposerText = C.ComposerText()
 
 
 def answer_questions(ctx: DataFrame, generator: Generator, k: int, max_retries: int = 3,
-                     text: C.ComposerText = C.ComposerText()) -> DataFrame:
+                     text: C.ComposerText = C.ComposerText(), options: GenerationOptions = GenerationOptions(),
+                     make_client: Callable[[], Any] | None = None) -> DataFrame:
     """L3 over a table of questions.
 
     ``ctx`` has one row per question: ``qid, hits, evidence, prompt``.
     Returns ``ctx`` + ``answer, validation, retries_used, used_fallback``.
     The retry loop is a bounded driver loop (≤ ``max_retries`` rounds, each a
-    distributed job over only the still-invalid rows)."""
+    distributed job over only the still-invalid rows); a round writes the
+    answers it made, and the rounds meet at the end."""
     ctx = materialize(ctx, "answers-ctx")          # prompts/evidence computed once, read by every round
-    gen = generate(ctx, generator, 0)
-    cur = checked(ctx.join(gen, "qid").withColumn("answer", F.col("raw_answer"))
-                  .withColumn("retries_used", F.lit(0)), k)
-    cur = materialize(cur.drop("raw_answer"), "answers-r0")
-    for attempt in range(1, max_retries + 1):
-        bad = cur.where(~F.col("validation.ok"))
-        if bad.isEmpty():
+    asked, rounds = ctx.select("qid", "prompt"), []
+    for attempt in range(max_retries + 1):
+        made = generate(asked, generator, attempt, options, make_client).withColumnRenamed("raw_answer", "answer")
+        seen = ctx.select("qid", "evidence", *[c for c in ("markers",) if c in ctx.columns])
+        done = materialize(checked(made.join(seen, "qid"), k).select(
+            "qid", "answer", "validation", "gen_error", F.lit(attempt).alias("retries_used")), f"answers-r{attempt}")
+        rounds.append(done)
+        bad = done.where(~F.col("validation.ok"))
+        if attempt == max_retries or bad.isEmpty():
             break
-        reprompt = bad.select("qid", C.retry_prompt(F.col("prompt"), F.col("validation.issues")).alias("prompt"))
-        regen = generate(reprompt, generator, attempt).select("qid", F.col("raw_answer").alias("_new"),
-                                                              F.col("gen_error").alias("_err"))
-        redo = checked(bad.join(regen, "qid").withColumn("answer", F.col("_new"))
-                       .withColumn("gen_error", F.col("_err"))
-                       .withColumn("retries_used", F.lit(attempt)).drop("_new", "_err"), k)
-        cur = materialize(cur.where(F.col("validation.ok")).unionByName(redo), f"answers-r{attempt}")
-    return with_fallback(cur, k, text)
+        asked = bad.join(ctx.select("qid", "prompt"), "qid").select(
+            "qid", C.retry_prompt(F.col("prompt"), F.col("validation.issues")).alias("prompt"))
+    final = reduce(DataFrame.unionByName, [r.where("validation.ok") for r in rounds[:-1]] + [rounds[-1]])
+    return with_fallback(ctx.join(final, "qid"), k, text)
 
 
 def table_generator(answers: pd.DataFrame) -> Generator:

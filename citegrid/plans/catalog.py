@@ -17,8 +17,9 @@ from citegrid.functions import vectors as V
 from citegrid.operators import answers as A
 from citegrid.operators import evaluate as E
 from citegrid.operators import evidence as EV
-from citegrid.operators import dense, lexical, silver, topk
-from citegrid.plans import retrieval
+from citegrid.operators import dense, lexical, topk
+from citegrid.plans import index, jobs, retrieval
+from citegrid.session import materialize, scratch_path
 from citegrid.sources import cascade, corpus, markup
 
 K = 5
@@ -152,7 +153,10 @@ def q_prompt_simple(spark, sf):
 def mutate(answer: Column, qid: Column) -> Column:
     """Deterministic damage to a composed answer, one of eight kinds chosen by
     the question number, so every validation rule fires somewhere."""
-    kind = F.substring(qid, 2, 10).cast("int") % 8
+    return damage(answer, F.substring(qid, 2, 10).cast("int") % 8)
+
+
+def damage(answer: Column, kind: Column) -> Column:
     a = answer
     return (F.when(kind == 1, F.concat(a, F.lit("\nReferences:\n- none")))
             .when(kind == 2, F.replace(a, F.lit("[1]"), F.lit("[99]")))
@@ -303,16 +307,21 @@ def q_knn_benchmark(spark, sf):
     return r.top.select("qid", F.col("rank").cast("int").alias("rank"), "pmid", "score")
 
 
-def q_validate_conversations(spark, sf):
-    """V11 on real answers: each user turn is a question (retrieved against the
-    corpus), the next assistant turn of the same conversation is its answer."""
+def _conversation_pairs(spark, sf):
+    """User turns as questions with the next assistant turn of the conversation."""
     c = corpus.table(spark, sf, "conversations")
     users = c.where(F.col("role") == "user").select(
         "conv_id", "turn", F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("qid"),
         T.nz(F.col("text")).alias("question"))
     replies = c.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), T.nz(F.col("text")).alias("raw"))
-    pairs = users.join(replies, ["conv_id", "turn"], "inner").select("qid", "question", "raw")
+    return users.join(replies, ["conv_id", "turn"], "inner").select("qid", "question", "raw")
+
+
+def q_validate_conversations(spark, sf):
+    """V11 on real answers: each user turn is a question (retrieved against the
+    corpus), the next assistant turn of the same conversation is its answer."""
+    pairs = _conversation_pairs(spark, sf)
     r = retrieval.lexical_retrieval(spark, sf, K, questions=pairs.select("qid", "question"))
     ctx = EV.with_evidence(topk.with_hits(pairs, r.hit_arrays), K, "strict")
     d = R.with_validation(ctx.withColumn("answer", R.normalize("raw")), k=K, out="v")
@@ -321,6 +330,108 @@ def q_validate_conversations(spark, sf):
                     _ints(F.col("v.citations")).alias("citations"))
 
 
+def q_answer_retries(spark, sf):
+    """G1 + G3 + G4 on ready answers: a user turn is a question; its first answer
+    is the reply of the conversation, the second a damaged composed one, the
+    third a sound one or the reply again."""
+    pairs = _conversation_pairs(spark, sf)
+    r = retrieval.lexical_retrieval(spark, sf, K, questions=pairs.select("qid", "question"))
+    ctx = materialize(EV.with_evidence(topk.with_hits(pairs, r.hit_arrays), K, "strict"), "retries-ctx")
+    conv = F.element_at(F.split("qid", "-"), 1).cast("long")
+    good = C.compose(F.col("hits"), K, mblocks=F.col("mblocks"))
+    tries = F.array(F.col("raw"), damage(good, conv % 8), F.when(conv % 3 != 0, good).otherwise(F.col("raw")))
+    ready = materialize(ctx.select("qid", F.posexplode(tries).alias("attempt", "raw_answer")), "retries-ready")
+    out = A.answer_questions(ctx.drop("raw"), ready, K, max_retries=2)
+    return out.select("qid", "answer", "retries_used", "used_fallback", F.col("validation.ok").alias("ok"))
+
+
+# ------------------------------------------------------- sinks, read back
+
+def q_sink_corpus_csv(spark, sf):
+    """The corpus as CSV, read with its schema."""
+    path = scratch_path(spark, "corpus-csv")
+    corpus.write_articles_csv(retrieval.articles(spark, sf), path)
+    return corpus.read_articles_csv(spark, path)
+
+
+def q_sink_doc_store(spark, sf):
+    """S15"""
+    return retrieval.doc_store(spark, sf).select("pmid", "title", "abstract")
+
+
+def q_sink_questions(spark, sf):
+    """The question file is built once; a second call, whose set
+    could not be built, leaves it alone."""
+    path = scratch_path(spark, "questions-csv")
+    arts = retrieval.articles(spark, sf)
+    for n in (140, arts.count() + 1):
+        jobs.question_file(spark, arts, path, n_questions=n, seed=13)
+    return corpus.read_questions_csv(spark, path)
+
+
+def _job_inputs(spark, sf):
+    docvecs, vocab = retrieval.lexical_index(spark, sf)
+    return retrieval.doc_store(spark, sf), docvecs, vocab
+
+
+def q_sink_answers_json(spark, sf):
+    """The answer job's records, written and read back."""
+    qs = retrieval.silver_questions(spark, sf)
+    rec = jobs.answer(qs, *_job_inputs(spark, sf), k=K, out_path=scratch_path(spark, "answers-json"))
+    return rec.select("qid", "question", "k", "llm", "embed_model", F.size("retrieval").alias("n_hits"), "answer",
+                      F.col("validation.ok").alias("ok"), "retries_used", "used_fallback")
+
+
+def _evaluate(spark, sf, run_llm):
+    path = scratch_path(spark, "eval")
+    jobs.evaluate(spark, *_job_inputs(spark, sf), k=K, eval_csv=f"{path}/questions", run_llm=run_llm, out_dir=f"{path}/out")
+    return f"{path}/out"
+
+
+def q_sink_eval_metrics(spark, sf):
+    """S18, A14 on: the metrics file."""
+    m = spark.read.json(f"{_evaluate(spark, sf, True)}/eval_metrics")
+    return m.select(F.round("`recall@k`", 6).alias("recall@k"), F.round("citations_present_rate", 6).alias("citations_present_rate"),
+                    F.round("citations_valid_rate", 6).alias("citations_valid_rate"), "k", "llm", "n_questions")
+
+
+def q_sink_eval_table(spark, sf):
+    """S18, A14 off: the table file without generation; answer columns are 0."""
+    schema = "qid string, recall_at_k double, citations_present int, citations_valid int"
+    return spark.read.schema(schema).option("header", True).csv(f"{_evaluate(spark, sf, False)}/eval_table")
+
+
+def q_eval_metrics_off(spark, sf):
+    """A14 off: rates and the model's name are null."""
+    r, arrays = _eval(spark, sf, run_llm=False)
+    m = E.eval_metrics(E.eval_rows(r.questions, arrays, K), K, "lexical-tfidf", "extractive-composer", False, "silver")
+    return m.select(F.round("recall_at_k", 6).alias("recall_at_k"), "citations_present_rate", "citations_valid_rate", "k",
+                    "embed_model", "llm", "n_questions")
+
+
+def q_dense_index(spark, sf):
+    """Unit vectors as float32, written and read back."""
+    e = corpus.table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("pmid"), F.col("embedding").alias("vector"))
+    idx = index.write_dense_index(e, scratch_path(spark, "dense-index"))
+    return idx.select("pmid", F.array_join(F.transform("vector", lambda x: F.format_string("%.4f", x.cast("double"))), ",").alias("vec"))
+
+
+def q_parse_relevant_list(spark, sf):
+    """A1, list branch and whole numbers, over every document row."""
+    d = corpus.table(spark, sf, "documents")
+    ids = F.array(F.col("doc_id").cast("string"), F.lit(None), F.lit("  "), F.concat(F.lit(" "), F.col("source"), F.lit("\t")))
+    return d.select(F.col("doc_id").cast("string").alias("pmid"), F.array_join(E.parse_relevant_list(ids), ",").alias("relevant"),
+                    F.array_join(E.parse_relevant_numeric(F.col("n_chars") + F.lit(9007199254740993), "long"), ",").alias("numeric"))
+
+
+def q_markers_limit(spark, sf):
+    """E2-E6 on texts with more markers than the limit: every document in capitals."""
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    d = corpus.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("pmid"),
+                                                    F.translate(T.nz("text"), lower, upper).alias("t"))
+    return d.select("pmid", F.array_join(M.evidence_markers("t"), ",").alias("markers"), F.size(M.evidence_markers("t")).alias("n_markers"))
+
+
 # --------------------------------------------------------------- ingestion
 
 def _pages(spark, sf):
@@ -374,6 +485,48 @@ def q_ingest_meta(spark, sf):
     return corpus.fetch_meta(fetched, used, N_DOCS)
 
 
+# ----------------------------------- ingestion cases derived from the tables
+
+def q_ingest_filter_gaps(spark, sf):
+    """S5 where it drops: pages with every tenth text and every seventh key taken away."""
+    p = corpus.table(spark, sf, "pages")
+    p = p.withColumn("html", F.when(F.col("page_id") % 10 != 0, F.col("html"))).withColumn(
+        "url", F.when(F.col("page_id") % 7 != 0, F.col("url")).otherwise(F.lit("http://example.org/about")))
+    return markup.keep_nonempty(markup.flatten_pages(p))
+
+
+def q_ingest_cascade_level(spark, sf):
+    """S6, S8 where a broader level matches: every 97th article speaks of cancer and a biomarker."""
+    arts = retrieval.articles(spark, sf)
+    told = F.when(F.col("pmid").cast("long") % 97 == 0, F.concat("abstract", F.lit(" A biomarker of cancer."))).otherwise(F.col("abstract"))
+    return cascade.choose_level(arts.withColumn("abstract", told), corpus_levels())
+
+
+def q_ingest_head_n(spark, sf):
+    """A limit below the number of matches, over articles that each occur twice."""
+    arts = retrieval.articles(spark, sf)
+    ids, _ = cascade.search(arts.unionByName(arts), corpus_levels(), 5)
+    return ids
+
+
+def _article_xml(title, abstract):
+    plain = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    return F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("pmid"), F.lit("</PMID><Article><ArticleTitle>"), plain(title),
+                    F.lit("</ArticleTitle><Abstract><AbstractText>"), plain(abstract),
+                    F.lit("</AbstractText></Abstract></Article></MedlineCitation></PubmedArticle>"))
+
+
+def q_ingest_xml_files(spark, sf):
+    """S4, S10 on article-set files made from the documents: the second file
+    repeats every id of the first with another title; the first record stays."""
+    arts = retrieval.articles(spark, sf)
+    path = scratch_path(spark, "article-xml")
+    for name, title in (("a", F.col("title")), ("b", F.concat(F.lit("Second "), F.col("title")))):
+        arts.select(_article_xml(title, F.col("abstract")).alias("value")).write.option("lineSep", "\n").text(f"{path}/{name}")
+    flat = markup.flatten_article_xml(markup.read_article_sets(spark, f"{path}/*"))
+    return markup.dedup_keep_first(markup.keep_nonempty(flat), "pmid", markup.POSITION).select("pmid", "title", "abstract")
+
+
 REGISTRY = {
     "doc_text": q_doc_text,
     "l2_normalize": q_l2_normalize,
@@ -418,4 +571,19 @@ REGISTRY = {
     "ingest_semi_fetch": q_ingest_semi_fetch,
     "ingest_meta": q_ingest_meta,
     "index_meta": q_index_meta,
+    "answer_retries": q_answer_retries,
+    "sink_corpus_csv": q_sink_corpus_csv,
+    "sink_doc_store": q_sink_doc_store,
+    "sink_questions": q_sink_questions,
+    "sink_answers_json": q_sink_answers_json,
+    "sink_eval_metrics": q_sink_eval_metrics,
+    "sink_eval_table": q_sink_eval_table,
+    "eval_metrics_off": q_eval_metrics_off,
+    "dense_index": q_dense_index,
+    "parse_relevant_list": q_parse_relevant_list,
+    "markers_limit": q_markers_limit,
+    "ingest_filter_gaps": q_ingest_filter_gaps,
+    "ingest_cascade_level": q_ingest_cascade_level,
+    "ingest_head_n": q_ingest_head_n,
+    "ingest_xml_files": q_ingest_xml_files,
 }

@@ -68,7 +68,8 @@ def retrieve(questions: DataFrame, articles: DataFrame, postings: DataFrame, voc
 
 def answer(questions: DataFrame, articles: DataFrame, postings: DataFrame, vocab: DataFrame, k: int = 6,
            generator: A.Generator | None = None, max_retries: int = 3, llm: str = "extractive-composer",
-           embed_model: str = "lexical-tfidf", out_path: str | None = None) -> DataFrame:
+           embed_model: str = "lexical-tfidf", out_path: str | None = None,
+           options: A.GenerationOptions = A.GenerationOptions(), make_client=None) -> DataFrame:
     """L3 for a whole question table: retrieve, assemble evidence and the
     strict prompt, generate (pluggable; default: the extractive composer),
     normalise, validate, retry, fall back; one nested record per question
@@ -79,7 +80,7 @@ def answer(questions: DataFrame, articles: DataFrame, postings: DataFrame, vocab
                          .withColumn("retries_used", F.lit(0)), k)
         done = A.with_fallback(done, k)
     else:
-        done = A.answer_questions(ctx, generator, k, max_retries)
+        done = A.answer_questions(ctx, generator, k, max_retries, options=options, make_client=make_client)
     record = done.select(
         "qid", "question", F.lit(k).alias("k"), F.lit(llm).alias("llm"), F.lit(embed_model).alias("embed_model"),
         F.col("hits").alias("retrieval"), "answer", "validation", "retries_used", "used_fallback")
@@ -98,6 +99,14 @@ class EvalResult:
     metrics: DataFrame
 
 
+def question_file(spark: SparkSession, articles: DataFrame, path: str, n_questions: int = 140, seed: int = 13) -> DataFrame:
+    """The question file, built if it is missing (and only then is the
+    corpus counted, A4), read with its schema (S14)."""
+    if not index.exists(spark, path):
+        corpus.write_if_missing(silver.silver_questions(articles, n_questions, seed), path)
+    return corpus.read_questions_csv(spark, path)
+
+
 def evaluate(spark: SparkSession, articles: DataFrame, postings: DataFrame, vocab: DataFrame, k: int = 5,
              eval_csv: str | None = None, n_questions: int = 140, seed: int = 13, run_llm: bool = False,
              generator: A.Generator | None = None, llm: str = "extractive-composer",
@@ -106,9 +115,7 @@ def evaluate(spark: SparkSession, articles: DataFrame, postings: DataFrame, voca
     (S14), retrieve for all questions in one job, per-question rows (A11),
     nested runs (A12), metrics (A13); sinks S18."""
     if eval_csv:
-        if not index.exists(spark, eval_csv):            # the size guard counts only when the set is built
-            corpus.write_if_missing(silver.silver_questions(articles, n_questions, seed), eval_csv)
-        questions = corpus.read_questions_csv(spark, eval_csv)
+        questions = question_file(spark, articles, eval_csv, n_questions, seed)
     else:
         questions = silver.silver_questions(articles, n_questions, seed)
     qh = materialize(retrieve(questions, articles, postings, vocab, k), "eval-hits")

@@ -99,6 +99,7 @@ qh AS (
          string_agg(title || chr(10) || abstract, chr(10) ORDER BY rank) AS evidence
   FROM hits GROUP BY qid)"""
 
+# Stop tokens.
 STOP = ("['DNA','RNA','GEO','TCGA','PCA','SVM','ML','AI','US','BP','MP','NCT','PC4','FLEX',"
         "'I','II','III','IV','V','VI','I-III','I-II','II-III','I-IV','ER']")
 
@@ -148,13 +149,13 @@ def context(hits: str, style: str = "head_tail") -> str:
             f"' | ' || h.title || chr(10) || {snip}), chr(10) || chr(10))")
 
 
-def evidence_ctx(k: int = 5, style: str = "head_tail") -> str:
+def evidence_ctx(k: int = 5, style: str = "head_tail", questions: str = "silver") -> str:
     return f"""
 ctx AS (
   SELECT qh.qid, s.question, qh.hits, qh.evidence,
          {evidence_markers('qh.evidence')} AS markers,
          {context('qh.hits', style)} AS context
-  FROM qh JOIN silver s USING (qid)),
+  FROM qh JOIN {questions} s USING (qid)),
 ctx2 AS (SELECT *, {marker_blocks('markers', 'hits', k)} AS mblocks FROM ctx)"""
 
 
@@ -208,8 +209,8 @@ def compose(k: int = 5) -> str:
     return f"CASE WHEN len({top}) = 0 THEN ({sq(t.none_answer)}) ELSE {body} END"
 
 
-def mutate(a: str, qid: str = "qid") -> str:
-    kind = f"(CAST(substring({qid}, 2, 10) AS INTEGER) % 8)"
+def mutate(a: str, qid: str = "qid", kind: str | None = None) -> str:
+    kind = kind or f"(CAST(substring({qid}, 2, 10) AS INTEGER) % 8)"
     return f"""CASE {kind}
       WHEN 1 THEN {a} || chr(10) || 'References:' || chr(10) || '- none'
       WHEN 2 THEN replace({a}, '[1]', '[99]')
@@ -224,6 +225,7 @@ def mutate(a: str, qid: str = "qid") -> str:
 
 def normalize(a: str) -> str:
     t = strip(f"coalesce({a}, '')")
+    # Header spellings and what they become.
     steps = [
         (f"(?im)^[{WSR}]*answer[{WSR}]*:[{WSR}]*$", "'Answer:'"),
         (f"(?im)^[{WSR}]*biomarkers[{WSR}]*:[{WSR}]*$", "'Biomarkers mentioned in Evidence:'"),

@@ -174,3 +174,57 @@ STATEMENTS["dense_hit_at_k"] = DENSE.replace("SELECT qid, rank, neighbor, score
     SELECT t.qid, max(CASE WHEN n.label = q.label THEN 1.0 ELSE 0.0 END)::DOUBLE AS hit
     FROM t JOIN embeddings n ON n.vec_id = t.neighbor JOIN embeddings q ON q.vec_id = t.qid
     WHERE t.rank <= 5 GROUP BY t.qid""")
+
+CONV_CTX = with_(ARTICLES, LEXICAL, CONV, lexical_search(K, "pairs"), S.QH, S.evidence_ctx(K, "head_tail", "pairs"),
+                 f"ccomp AS (SELECT c.*, p.raw, CAST(split_part(c.qid, '-', 1) AS BIGINT) AS conv, {S.compose(K)} AS composed "
+                 "FROM ctx2 c JOIN pairs p USING (qid))",
+                 f"""tries AS (SELECT qid, evidence, composed, 0 AS attempt, raw AS a FROM ccomp
+                   UNION ALL SELECT qid, evidence, composed, 1, {S.mutate('composed', kind='(conv % 8)')} FROM ccomp
+                   UNION ALL SELECT qid, evidence, composed, 2, CASE WHEN conv % 3 <> 0 THEN composed ELSE raw END FROM ccomp)""",
+                 f"tnorm AS (SELECT qid, evidence, composed, attempt, {S.normalize('a')} AS answer FROM tries)",
+                 f"tval AS (SELECT *, {S.issues('answer', 'evidence', K)} AS issues FROM tnorm)",
+                 "first_ok AS (SELECT qid, min(CASE WHEN len(issues) = 0 THEN attempt END) AS good FROM tval GROUP BY qid)")
+STATEMENTS["answer_retries"] = CONV_CTX + f"""
+    , picked AS (SELECT t.qid, t.evidence, CASE WHEN f.good IS NULL THEN {S.normalize('t.composed')} ELSE t.answer END AS answer,
+                        t.attempt AS retries_used, f.good IS NULL AS used_fallback
+                 FROM tval t JOIN first_ok f ON t.qid = f.qid AND t.attempt = coalesce(f.good, 2))
+    SELECT qid, answer, CAST(retries_used AS INTEGER) AS retries_used, used_fallback,
+           len({S.issues('answer', 'evidence', K)}) = 0 AS ok FROM picked"""
+
+STATEMENTS["sink_corpus_csv"] = with_(ARTICLES) + "SELECT pmid, title, abstract FROM articles"
+STATEMENTS["sink_doc_store"] = STATEMENTS["sink_corpus_csv"]
+STATEMENTS["sink_questions"] = STATEMENTS["silver_questions"]
+STATEMENTS["sink_answers_json"] = with_(
+    *RET, QH, S.evidence_ctx(K, "head_tail"), f"comp AS (SELECT *, {S.normalize(S.compose(K))} AS answer FROM ctx2)",
+    f"val AS (SELECT *, {S.issues('answer', 'evidence', K)} AS issues FROM comp)") + f"""
+    SELECT qid, question, {K} AS k, 'extractive-composer' AS llm, 'lexical-tfidf' AS embed_model, CAST(len(hits) AS INTEGER) AS n_hits,
+           answer, len(issues) = 0 AS ok, 0 AS retries_used, len(issues) > 0 AS used_fallback FROM val"""
+STATEMENTS["sink_eval_metrics"] = EVAL + f"""
+    SELECT round(avg(recall_at_k), 6) AS "recall@k", round(avg(citations_present), 6) AS citations_present_rate,
+           round(avg(citations_valid), 6) AS citations_valid_rate, CAST({K} AS BIGINT) AS k, 'extractive-composer' AS llm,
+           count(*) AS n_questions FROM rows"""
+STATEMENTS["sink_eval_table"] = EVAL + "SELECT qid, recall_at_k, 0 AS citations_present, 0 AS citations_valid FROM rows"
+STATEMENTS["eval_metrics_off"] = EVAL + f"""
+    SELECT round(avg(recall_at_k), 6) AS recall_at_k, CAST(NULL AS DOUBLE) AS citations_present_rate,
+           CAST(NULL AS DOUBLE) AS citations_valid_rate, {K} AS k, 'lexical-tfidf' AS embed_model, CAST(NULL AS VARCHAR) AS llm,
+           count(*) AS n_questions FROM rows"""
+STATEMENTS["dense_index"] = """
+    WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM e)
+    SELECT CAST(vec_id AS VARCHAR) AS pmid,
+           array_to_string(list_transform(v, lambda x: printf('%.4f', CAST(CAST(x / norm AS FLOAT) AS DOUBLE))), ',') AS vec FROM n"""
+STATEMENTS["parse_relevant_list"] = """
+    SELECT CAST(doc_id AS VARCHAR) AS pmid, CAST(doc_id AS VARCHAR) || ',' || source AS relevant,
+           CAST(n_chars + 9007199254740993 AS VARCHAR) AS numeric FROM documents"""
+_UP = "translate(coalesce(text, ''), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+STATEMENTS["markers_limit"] = f"""
+    WITH u AS (SELECT CAST(doc_id AS VARCHAR) AS pmid, {_UP} AS t FROM documents), m AS (SELECT pmid, {S.evidence_markers('t')} AS m FROM u)
+    SELECT pmid, array_to_string(m, ',') AS markers, CAST(len(m) AS INTEGER) AS n_markers FROM m"""
+STATEMENTS["ingest_filter_gaps"] = with_(S.PAGES.replace("FROM pages)", """FROM (
+    SELECT page_id, CASE WHEN page_id % 7 <> 0 THEN url ELSE 'http://example.org/about' END AS url,
+           CASE WHEN page_id % 10 <> 0 THEN html END AS html FROM pages) g)""")) + "SELECT page_id, pmid, title, abstract FROM nonempty"
+STATEMENTS["ingest_cascade_level"] = (CASCADE + "SELECT level, query_used, n_matched FROM chosen").replace(
+    "  FROM articles)", """  FROM (SELECT pmid, title, CASE WHEN CAST(pmid AS BIGINT) % 97 = 0 THEN abstract || ' A biomarker of cancer.'
+                              ELSE abstract END AS abstract FROM articles) a)""")
+STATEMENTS["ingest_head_n"] = CASCADE + f"SELECT DISTINCT pmid FROM hay WHERE CASE (SELECT level FROM chosen) {_case} END ORDER BY pmid LIMIT 5"
+STATEMENTS["ingest_xml_files"] = with_(ARTICLES) + "SELECT pmid, title, abstract FROM articles WHERE title <> '' OR abstract <> ''"
