@@ -7,7 +7,7 @@ documents.  The order is used three times:
 * the first n-grams of a document (its rarest) are its prefix; two documents
   that link share a prefix n-gram, so groups by prefix n-gram hold all
   candidates;
-* every set is cut into 1,024 small fragments, of which only the parity of
+* every set is cut into small fragments by hash, of which only the parity of
   the number of n-grams is kept; differing parities are a lower bound of the
   number of n-grams that only one of two documents has, and candidates above
   the bound that a link allows go, without loss;
@@ -47,8 +47,8 @@ FRAGMENTS = 8
 GROUP_BLOCK = 2048
 #: Bytes of text that a task turns into n-grams at a time.
 SLICE = 2 << 20
-#: Bits of the parity vector.
-PARITY = 1024
+#: Parity bits per n-gram of a set (rounded up to a power of two), and at least.
+PARITY_RATE, LEAST_PARITY = 4, 256
 SEGMENT = "cls long, fragment int, n long, segment binary"
 
 _U = np.uint64
@@ -183,8 +183,7 @@ def _describe(rule: Rule, sketch) -> Callable:
                     seen.add(name)
                     first = s[np.argsort(order_key(s, cells), kind="stable")[:rule.prefix(n)]]
                     prefixes.append(first.view(np.int64))
-                    odd = np.bincount((s >> _U(54)).astype(np.int64), minlength=PARITY) & 1
-                    parity.append(np.packbits(odd.astype(np.uint8)).tobytes())
+                    parity.append(parity_of(s))
                 yield pa.record_batch(
                     [part.column("doc_id"), part.column("k"), part.column("th"), pa.array(cls, pa.int64()), pa.array(size, pa.int64()),
                      pa.array(prefixes, pa.list_(pa.int64())), pa.array(parity, pa.binary())],
@@ -192,6 +191,34 @@ def _describe(rule: Rule, sketch) -> Callable:
     return run
 
 
+def parity_of(s: np.ndarray) -> bytes:
+    """Parities of the number of n-grams per small fragment; both halves of a
+    vector together (exclusive or) are the vector of half the length."""
+    bits = max(LEAST_PARITY, 1 << (PARITY_RATE * len(s) - 1).bit_length())
+    odd = np.bincount(((s >> _U(24)) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def parities_apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Number of differing parities of each pair, at the shorter length."""
+    size = np.array([(len(a), len(b)) for a, b in zip(x, y)], np.int64).reshape(-1, 2)
+    out = np.zeros(len(size), np.int64)
+    for a, b in np.unique(size, axis=0):
+        at = np.flatnonzero((size == (a, b)).all(axis=1))
+        u, v = (_folded([side[i] for i in at], min(a, b)) for side in (x, y))
+        out[at] = np.bitwise_count(u ^ v).sum(axis=1)
+    return out
+
+
+def _folded(vectors: list[bytes], size: int) -> np.ndarray:
+    """Vectors of one length as rows of 64-bit words, folded to ``size`` bytes."""
+    m = np.frombuffer(b"".join(vectors), np.uint64).reshape(len(vectors), -1)
+    while m.shape[1] * 8 > size:
+        half = m.shape[1] // 2
+        m = m[:, :half] ^ m[:, half:]
+    return m
+
+
 def _class_of(s: np.ndarray) -> int:
     """Name of a set: 64 bits of two sums over all its hashes."""
     a = int(mix64(s).sum(dtype=np.uint64))
@@ -266,9 +293,10 @@ def size_bands(rule: Rule, most: int = 1 << 40) -> np.ndarray:
 
 
 def _entries(shared, rule: Rule) -> Callable:
-    """Prefix arrays to rows (sh, cls, n), without the n-grams that only one
+    """Prefix arrays to rows (sh, cls, n, up), without the n-grams that only one
     document has in its prefix.  sh names an n-gram and a size band; a set goes
-    to its own band and to the next, so only sets of like sizes meet."""
+    to its own band (up 0) and to the next (up 1), so only sets of like sizes
+    meet; two sets of one band meet in their own."""
     bands = size_bands(rule)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,8 +309,9 @@ def _entries(shared, rule: Rule) -> Callable:
             row, sh = row[keep], sh[keep].view(np.uint64)
             band = np.searchsorted(bands, batch.column("n").to_numpy()[row], "right").astype(np.uint64)
             key = np.concatenate([mix64(sh ^ mix64(band + _U(x))) for x in (0, 1)]).view(np.int64)
+            up = pa.array(np.repeat(np.arange(2, dtype=np.int32), len(row)))
             row = pa.array(np.concatenate([row, row]))
-            yield pa.record_batch([pa.array(key), batch.column("cls").take(row), batch.column("n").take(row)], ["sh", "cls", "n"])
+            yield pa.record_batch([pa.array(key), batch.column("cls").take(row), batch.column("n").take(row), up], ["sh", "cls", "n", "up"])
     return run
 
 
@@ -304,8 +333,17 @@ def _compare(rule: Rule) -> Callable:
             yield from emit(held)
 
     def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        sh, tile, cls, n, comp, side = (t.column(c).to_numpy() for c in ("sh", "tile", "cls", "n", "comp", "side"))
-        bits = np.frombuffer(b"".join(t.column("parity").to_pylist()), np.uint64).reshape(len(sh), PARITY // 64)
+        sh, tile, cls, n, comp, side, up = (t.column(c).to_numpy() for c in ("sh", "tile", "cls", "n", "comp", "side", "up"))
+        raw = t.column("parity").to_pylist()
+        size = np.array([len(x) for x in raw])
+        folded = {}
+        for short in np.unique(size).tolist():            # rows at least that long, folded to that length
+            rows = np.flatnonzero(size >= short)
+            m = np.zeros((len(sh), short // 8), np.uint64)
+            for long in np.unique(size[rows]).tolist():
+                own = rows[size[rows] == long]
+                m[own] = _folded([raw[i] for i in own.tolist()], short)
+            folded[short] = m
         d, found = 1, []
         at = np.arange(len(sh) - 1)
         while True:
@@ -316,12 +354,16 @@ def _compare(rule: Rule) -> Callable:
             for lo in range(0, len(at), 200_000):
                 i = at[lo:lo + 200_000]
                 j = i + d
-                keep = (comp[i] != comp[j]) & ((side[i] == 2) | (side[i] != side[j]))
+                keep = (comp[i] != comp[j]) & ((side[i] == 2) | (side[i] != side[j])) & ~((up[i] == 1) & (up[j] == 1))
                 keep &= np.minimum(n[i], n[j]) * rule.den >= np.maximum(n[i], n[j]) * rule.num
                 i, j = i[keep], j[keep]
                 if len(i):
                     total = n[i] + n[j]
-                    apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1)
+                    apart = np.zeros(len(i), np.int64)
+                    short = np.minimum(size[i], size[j])
+                    for x, m in folded.items():
+                        at_x = np.flatnonzero(short == x)
+                        apart[at_x] = np.bitwise_count(m[i[at_x]] ^ m[j[at_x]]).sum(axis=1)
                     near = apart <= total - 2 * rule.least_overlap(total)
                     i, j = i[near], j[near]
                     found.append(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]))
@@ -338,8 +380,8 @@ def _within_bound(rule: Rule) -> Callable:
             if not batch.num_rows:
                 continue
             n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(n), -1) for c in ("p_a", "p_b"))
-            near = np.bitwise_count(x ^ y).sum(axis=1) <= n - 2 * rule.least_overlap(n)
+            apart = parities_apart(batch.column("p_a").to_pylist(), batch.column("p_b").to_pylist())
+            near = apart <= n - 2 * rule.least_overlap(n)
             yield batch.select(["a", "b"]).filter(pa.array(near))
     return run
 
@@ -351,7 +393,7 @@ def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
     m = m.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     m = m.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    return m.select("sh", (low * F.col("blocks") + high).alias("tile"), "cls", "n", "comp", "parity",
+    return m.select("sh", (low * F.col("blocks") + high).alias("tile"), "cls", "n", "up", "comp", "parity",
                     F.when(low == high, 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
 
 
@@ -389,14 +431,14 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     shared = materialize(entries.select(F.explode("prefix").alias("sh")).groupBy("sh").count().where("count > 1").select("sh"),
                          "join-shared")
     often = spark.sparkContext.broadcast(bitmap.build(shared, shared.count()))
-    prefix = entries.select("cls", "n", "prefix").mapInArrow(_entries(often, rule), "sh long, cls long, n long")
+    prefix = entries.select("cls", "n", "prefix").mapInArrow(_entries(often, rule), "sh long, cls long, n long, up int")
     groups = prefix.groupBy("sh").agg(F.min("cls").alias("lead"), F.max("cls").alias("most"), F.min_by("n", "cls").alias("lead_n"),
-                                      F.count(F.lit(1)).alias("rows")).where("lead != most").drop("most")
+                                      F.min("up").alias("up"), F.count(F.lit(1)).alias("rows")).where("lead != most and up = 0").drop("most", "up")
     members = materialize(prefix.join(groups, "sh").withColumn("fits", _fits(rule, "n", "lead_n"))
                           .where("fits or rows > 2"), "join-members")
     star = materialize(members.where("fits and cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(),
                        "join-star")
-    many = members.where("rows > 2").select("sh", "cls", "n").distinct()
+    many = members.where("rows > 2").select("sh", "cls", "n", "up").distinct()
     looked_at = (star.select(F.col("a").alias("cls")).unionByName(star.select(F.col("b").alias("cls")))
                  .unionByName(many.select("cls")).distinct())
     known_sets = materialize(classes.join(looked_at, "cls").groupBy("cls").agg(
@@ -408,7 +450,7 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     known = components(first)
 
     named = (many.join(known.withColumnRenamed("node", "cls"), "cls", "left")
-             .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "comp"))
+             .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "up", "comp"))
     split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
              .where("lo != hi and size > 2").select("sh", "size"))
     rest = _tiles(named.join(split.select("sh"), "sh", "left_semi").join(known_sets.select("cls", "parity"), "cls"), split)

@@ -135,8 +135,8 @@ def test_bounds_lose_nothing():
             continue
         first = [set(x[np.argsort(ngram_join.order_key(x, cells), kind="stable")[:rule.prefix(len(x))]].tolist()) for x in (a, b)]
         assert first[0] & first[1]
-        bits = [np.bincount((x >> np.uint64(54)).astype(int), minlength=ngram_join.PARITY) & 1 for x in (a, b)]
-        assert (bits[0] != bits[1]).sum() <= len(a) + len(b) - 2 * rule.least_overlap(len(a) + len(b))
+        apart = ngram_join.parities_apart([ngram_join.parity_of(a)], [ngram_join.parity_of(b)])[0]
+        assert apart <= len(a) + len(b) - 2 * both <= len(a) + len(b) - 2 * rule.least_overlap(len(a) + len(b))
 
 
 def test_pivots_cut_equal_weights():
