@@ -1,14 +1,15 @@
 """Jobs end to end: ingest (L1), answer with generator/retries/fallback (L3),
-evaluate with sinks (L4), streaming micro-batches, encoder slot, sinks."""
+evaluate with sinks (L4), encoder slot, sinks."""
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from citegrid.functions import vectors as V
+from citegrid.operators import answers as A
 from citegrid.operators import dense, lexical
 from citegrid.plans import jobs, retrieval
+from citegrid.session import materialize
 from citegrid.sources import cascade, corpus, markup
-from citegrid.streaming import questions as QS
 from conftest import SF001
 
 XML = """<?xml version="1.0"?>
@@ -63,8 +64,8 @@ def test_dedup_hot_key(spark):
 
 def _index(spark):
     arts = retrieval.articles(spark, SF001)
-    postings, vocab = lexical.build_index(arts)
-    return arts, postings, vocab
+    docvecs, vocab = lexical.build_doc_vectors(arts)
+    return arts, materialize(docvecs, "test-docvecs"), materialize(vocab, "test-vocab")
 
 
 def test_answer_job_composer_is_always_valid(spark, tmp_path):
@@ -117,21 +118,6 @@ def test_evaluate_job_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "eval" / "eval_runs")).count() == 30
 
 
-def test_streaming_answers(spark, tmp_path):
-    arts, postings, vocab = _index(spark)
-    src = tmp_path / "incoming"
-    src.mkdir()
-    qs = retrieval.silver_questions(spark, SF001, n=12).toPandas()
-    qs.iloc[:6].to_csv(src / "a.csv", index=False)
-    qs.iloc[6:].to_csv(src / "b.csv", index=False)
-    out = str(tmp_path / "answers")
-    q = QS.answer_stream(spark, str(src), arts, postings, vocab, out, str(tmp_path / "ckpt"), k=5)
-    q.awaitTermination(300)
-    got = spark.read.json(out)
-    assert got.count() == 12
-    assert got.where(~F.col("validation.ok")).count() == 0
-
-
 def test_encoder_slot_and_dense_index(spark, tmp_path):
     dim = 16
 
@@ -171,16 +157,84 @@ def test_page_flattening(spark):
     assert sorted(r["page_id"] for r in kept.collect()) == [1]
 
 
-def test_doc_store_lookup_is_pushed_down(spark, tmp_path):
+def test_ingest_keeps_the_first_record(spark, tmp_path):
+    """A larger second file, which Spark reads first, doesn't win."""
+    rec = "<PubmedArticle><MedlineCitation><PMID>7</PMID><Article><ArticleTitle>{}</ArticleTitle></Article></MedlineCitation></PubmedArticle>"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text(rec.format("gene FIRST"))
+    (tmp_path / "in" / "b.xml").write_text(rec.format("gene SECOND") + "".join(rec.replace("7", str(100 + i)).format("gene x") for i in range(300)))
+    res = jobs.ingest(spark, str(tmp_path / "in"), [cascade.Level("gene", cascade.tiab("gene"))], n_docs=1000)
+    assert res.articles.where("pmid = '7'").first()["title"] == "gene FIRST" and res.articles.count() == 301
+
+
+def test_limit_counts_articles_not_rows(spark):
+    arts = spark.createDataFrame([(i, "gene", "") for i in ("1", "1", "2", "3")], "pmid string, title string, abstract string")
+    levels = [cascade.Level("gene", cascade.tiab("gene"))]
+    assert [r["pmid"] for r in cascade.search(arts, levels, 2)[0].collect()] == ["1", "2"]
+    placed = arts.withColumn("at", -F.col("pmid").cast("int"))
+    assert [r["pmid"] for r in cascade.search(placed, levels, 2, order=["at"])[0].collect()] == ["3", "2"]
+
+
+def test_phrase_stays_inside_a_field(spark):
+    arts = spark.createDataFrame([("1", "on the breast", "cancer is"), ("2", "x", "of breast cancer")], "pmid string, title string, abstract string")
+    hit = cascade.with_haystack(arts).where(cascade.tiab("breast cancer")).collect()
+    assert [r["pmid"] for r in hit] == ["2"]
+
+
+def test_existing_question_file_needs_no_corpus(spark, tmp_path):
     arts = retrieval.articles(spark, SF001)
-    corpus.write_doc_store(arts, str(tmp_path / "store"))
-    store = spark.read.parquet(str(tmp_path / "store"))
-    postings, vocab = lexical.build_index(store)
-    qs = retrieval.silver_questions(spark, SF001, n=10)
-    qh = jobs.retrieve(qs, store, postings, vocab, 5)
-    plan = qh._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(pmid), In(pmid" in plan or "In(pmid" in plan
-    got = {r["qid"]: [h["pmid"] for h in r["hits"]] for r in qh.collect()}
-    top = lexical.search(qs, postings, vocab, 5).toPandas()
-    exp = {q: list(g.sort_values("rank").pmid) for q, g in top.groupby("qid")}
-    assert got == exp
+    path = str(tmp_path / "q")
+    first = jobs.question_file(spark, arts, path, n_questions=10).count()
+    assert first == 10 and jobs.question_file(spark, arts.limit(3), path, n_questions=10).count() == 10
+
+
+def test_one_failing_prompt_loses_one_answer(spark):
+    prompts = spark.createDataFrame([(f"q{i}", f"p{i}") for i in range(20)], "qid string, prompt string").coalesce(1)
+
+    def generator(pdf, client):
+        assert (pdf["temperature"] == 0.5).all() and client == "client"
+        if (pdf["prompt"] == "p7").any():
+            raise RuntimeError("x" * 600)
+        return pdf["prompt"] + " ok"
+
+    got = A.generate(prompts, generator, options=A.GenerationOptions(temperature=0.5), make_client=lambda: "client").collect()
+    bad = [r for r in got if r["gen_error"]]
+    assert len(got) == 20 and [r["qid"] for r in bad] == ["q7"] and "x" * 600 in bad[0]["gen_error"]
+    assert all(r["raw_answer"].endswith(" ok") for r in got if r["qid"] != "q7")
+
+
+def test_a_stuck_call_times_out(spark):
+    import time
+    prompts = spark.createDataFrame([("a", "slow"), ("b", "quick")], "qid string, prompt string").coalesce(1)
+
+    def generator(pdf):
+        time.sleep(3 if pdf["prompt"][0] == "slow" else 0)
+        return pdf["prompt"]
+
+    got = {r["qid"]: r for r in A.generate(prompts, generator, options=A.GenerationOptions(timeout_s=0.5)).collect()}
+    assert "Timeout" in got["a"]["gen_error"] and got["b"]["raw_answer"] == "quick"
+
+
+def test_doc_store_reads_the_buckets_of_its_ids(spark):
+    """Rows that the scan reads for some spread ids stay far under the table."""
+    from citegrid.plans import index
+    old, index.BUCKET_ROWS = index.BUCKET_ROWS, 100
+    try:
+        arts = spark.range(50_000).select(F.col("id").cast("string").alias("pmid"), F.lit("t").alias("title"), F.lit("a").alias("abstract"))
+        store = index.doc_store(spark, lambda: arts, [f"{SF001}/region.parquet"], name="lookup-test")
+        ids = spark.createDataFrame([(str(i * 997 % 50_000),) for i in range(40)], "pmid string")
+        found = index.lookup(store, ids)
+        assert found.count() <= 40 * 250
+        assert found.join(ids, "pmid").count() == 40
+    finally:
+        index.BUCKET_ROWS = old
+
+
+def test_retrieval_job_on_a_doc_store(spark):
+    arts, docvecs, vocab = _index(spark)
+    store = retrieval.doc_store(spark, SF001)
+    qs = retrieval.silver_questions(spark, SF001, n=10).unionByName(
+        spark.createDataFrame([("q-none", "zzzzqqq xxyyzz", "")], "qid string, question string, relevant_pmids string"))
+    got = {r["qid"]: [h["pmid"] for h in r["hits"]] for r in jobs.retrieve(qs, store, docvecs, vocab, 5).collect()}
+    assert len(got) == 11 and all(len(h) == 5 for h in got.values())
+    assert got["q-none"] == sorted(r["pmid"] for r in arts.collect())[:5]      # filled up with the smallest ids

@@ -10,6 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from citegrid.operators import dense, evaluate, lexical, silver
+from citegrid.functions import rules as R
+from citegrid.functions import text as T
+from citegrid.session import materialize
 from citegrid.plans import retrieval
 from conftest import SF001
 
@@ -92,8 +95,7 @@ def _py_tfidf_top(arts: pd.DataFrame, qs: pd.DataFrame, k: int):
         sc = []
         for p, dv in dvec.items():
             s = sum(v / norm * dv.get(t, 0.0) for t, v in w.items())
-            if any(t in dv for t in w):
-                sc.append((-round(s, 6), p))
+            sc.append((-round(s, 6), p))
         out[qid] = [p for _, p in sorted(sc)[:k]]
     return out
 
@@ -108,15 +110,14 @@ def test_lexical_topk_matches_brute_force(spark):
         assert list(g.pmid) == exp[qid], qid
 
 
-def test_dense_strategies_agree_with_numpy(spark):
+def test_dense_tilings_agree_with_numpy(spark):
     e = spark.read.parquet(f"{SF001}/embeddings.parquet")
     q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
     d = e.select(F.col("vec_id").alias("neighbor"), F.col("embedding").alias("vector"))
     out = {}
-    for strategy in ("broadcast", "tiled"):
-        top = dense.knn(q, d, 5, qid="qid", did="neighbor", exclude_self=True, strategy=strategy,
-                        tile_rows=64, block_rows=64).toPandas()
-        out[strategy] = {qid: list(g.sort_values("rank").neighbor) for qid, g in top.groupby("qid")}
+    for tile in (64, 4096):
+        top = dense.knn(q, d, 5, qid="qid", did="neighbor", exclude_self=True, tile_rows=tile).toPandas()
+        out[tile] = {qid: list(g.sort_values("rank").neighbor) for qid, g in top.groupby("qid")}
     pdf = e.toPandas()
     M = np.stack(pdf.embedding.map(lambda v: np.asarray(v, dtype=np.float32))).astype(np.float64)
     ids = pdf.vec_id.to_numpy()
@@ -126,24 +127,54 @@ def test_dense_strategies_agree_with_numpy(spark):
     for i, qid in enumerate(ids):
         order = sorted(range(len(ids)), key=lambda j: (-S[i, j], ids[j]))[:5]
         exp[qid] = [ids[j] for j in order]
-    assert out["broadcast"] == exp
-    assert out["tiled"] == exp
+    assert out[64] == exp and out[4096] == exp
+
+
+def test_odd_vectors_go_to_rejects_in_every_tiling(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.6, 0.8]), (3, None), (4, [1.0, 0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = [sorted((r["qid"], r["neighbor"], r["score"]) for r in dense.knn(
+        df.select(F.col("id").alias("qid"), "vector"), df.select(F.col("id").alias("neighbor"), "vector"), 2, did="neighbor",
+        exclude_self=True, tile_rows=t).collect()) for t in (1, 100)]
+    assert got[0] == got[1] and {q for q, _, _ in got[0]} == {1, 2, 7}
+    rejects = {r["id"]: r["reason"] for r in dense.vector_rejects(df, "id", "vector", dense.dimension(df, "vector")).collect()}
+    assert rejects == {3: "null vector", 4: "other length", 5: "null or non-finite component", 6: "null or non-finite component"}
+
+
+def test_ties_need_k_rows_only():
+    from citegrid.operators.topk import BestSoFar
+    best = BestSoFar(5)
+    for lo in range(0, 100_000, 20_000):
+        best.add(np.ones((2, 20_000)), np.array([f"{i:06d}" for i in range(lo, lo + 20_000)], dtype=object))
+        assert len(best.q) == 10
+    assert list(best.d[:5]) == [f"{i:06d}" for i in range(5)]
+    sparse = np.full((50, 4000), -np.inf)
+    sparse[:, 7] = 0.5
+    few = BestSoFar(5)
+    few.add(sparse, np.arange(4000))
+    assert len(few.q) == 50
 
 
 def test_top_k_plan_limits_before_shuffle(spark):
-    r = retrieval.lexical_retrieval(spark, SF001, k=5, n_questions=20)
-    plan = r.top._jdf.queryExecution().executedPlan().toString()
+    found = lexical.search(retrieval.silver_questions(spark, SF001, n=20), *retrieval.lexical_index(spark, SF001), 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert "MapInArrow" in plan or "PythonMapInArrow" in plan   # block scorer: no pair-level shuffle
 
 
-def test_join_strategy_agrees_with_block(spark):
+def test_question_tiles_agree(spark):
     arts = retrieval.articles(spark, SF001)
-    postings, vocab = lexical.build_index(arts)
+    docvecs, vocab = lexical.build_doc_vectors(arts)
+    docvecs, vocab = materialize(docvecs, "t-docvecs"), materialize(vocab, "t-vocab")
     qs = retrieval.silver_questions(spark, SF001, n=40)
-    a = lexical.search(qs, postings, vocab, 5, strategy="join").toPandas()
-    b = lexical.search(qs, postings, vocab, 5, strategy="block").toPandas()
-    key = lambda d: sorted(zip(d.qid, d["rank"], d.pmid, d.score))
-    assert key(a) == key(b)
-    plan = lexical.search(qs, postings, vocab, 5, strategy="join")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "WindowGroupLimit" in plan
+    key = lambda t: sorted(tuple(r) for r in lexical.search(qs, docvecs, vocab, 5, tile_questions=t).select("qid", "rank", "pmid", "score").collect())
+    assert key(7) == key(4096)
+
+
+def test_unicode_white_space(spark):
+    df = spark.createDataFrame([("\u2003a\u00a0b\u2028c\x85 ",)], "t string")
+    assert df.select(T.collapse_ws("t").alias("x")).first()["x"] == "a b c"
+    long = "word " * 40 + "\u2028" + "tail " * 100
+    assert 500 < len(spark.createDataFrame([(long,)], "t string").select(T.snippet_words("t").alias("x")).first()["x"]) <= 550
+    cited = spark.createDataFrame([("One.\u00a0Two [1].",)], "t string").select(R.each_sentence_cited("t").alias("x")).first()["x"]
+    assert cited is False
