@@ -48,7 +48,8 @@ GROUP_BLOCK = 2048
 #: Bytes of text that a task turns into n-grams at a time.
 SLICE = 2 << 20
 #: Parity bits per n-gram of a set (rounded up to a power of two), and at least.
-PARITY_RATE, LEAST_PARITY = 4, 256
+PARITY_RATE, LEAST_PARITY = 2, 256
+ENTRY = "sh long, cls long, n long, up int"
 SEGMENT = "cls long, fragment int, n long, segment binary"
 
 _U = np.uint64
@@ -292,11 +293,12 @@ def size_bands(rule: Rule, most: int = 1 << 40) -> np.ndarray:
     return np.array(out)
 
 
-def _entries(shared, rule: Rule) -> Callable:
+def _entries(shared, rule: Rule, meeting=None) -> Callable:
     """Prefix arrays to rows (sh, cls, n, up), without the n-grams that only one
     document has in its prefix.  sh names an n-gram and a size band; a set goes
     to its own band (up 0) and to the next (up 1), so only sets of like sizes
-    meet; two sets of one band meet in their own."""
+    meet; two sets of one band meet in their own.  ``meeting`` has the sh that
+    more than one row has."""
     bands = size_bands(rule)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,9 +311,13 @@ def _entries(shared, rule: Rule) -> Callable:
             row, sh = row[keep], sh[keep].view(np.uint64)
             band = np.searchsorted(bands, batch.column("n").to_numpy()[row], "right").astype(np.uint64)
             key = np.concatenate([mix64(sh ^ mix64(band + _U(x))) for x in (0, 1)]).view(np.int64)
-            up = pa.array(np.repeat(np.arange(2, dtype=np.int32), len(row)))
-            row = pa.array(np.concatenate([row, row]))
-            yield pa.record_batch([pa.array(key), batch.column("cls").take(row), batch.column("n").take(row), up], ["sh", "cls", "n", "up"])
+            up, row = np.repeat(np.arange(2, dtype=np.int32), len(row)), np.concatenate([row, row])
+            if meeting is not None:
+                keep = bitmap.has(meeting.value, key)
+                key, up, row = key[keep], up[keep], row[keep]
+            row = pa.array(row)
+            yield pa.record_batch([pa.array(key), batch.column("cls").take(row), batch.column("n").take(row), pa.array(up)],
+                                  ["sh", "cls", "n", "up"])
     return run
 
 
@@ -431,7 +437,11 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     shared = materialize(entries.select(F.explode("prefix").alias("sh")).groupBy("sh").count().where("count > 1").select("sh"),
                          "join-shared")
     often = spark.sparkContext.broadcast(bitmap.build(shared, shared.count()))
-    prefix = entries.select("cls", "n", "prefix").mapInArrow(_entries(often, rule), "sh long, cls long, n long, up int")
+    keyed = entries.select("cls", "n", "prefix")
+    met = materialize(keyed.mapInArrow(_entries(often, rule), ENTRY).select("sh").groupBy("sh").count().where("count > 1")
+                      .select("sh"), "join-met")
+    meeting = spark.sparkContext.broadcast(bitmap.build(met, met.count()))
+    prefix = keyed.mapInArrow(_entries(often, rule, meeting), ENTRY)
     groups = prefix.groupBy("sh").agg(F.min("cls").alias("lead"), F.max("cls").alias("most"), F.min_by("n", "cls").alias("lead_n"),
                                       F.min("up").alias("up"), F.count(F.lit(1)).alias("rows")).where("lead != most and up = 0").drop("most", "up")
     members = materialize(prefix.join(groups, "sh").withColumn("fits", _fits(rule, "n", "lead_n"))
