@@ -185,7 +185,7 @@ def edited_likeness(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Da
     nulls = max(1, -(-(count["n"] - count["ids"]) // rows_per_range))
     at = docs.select(F.col("doc_id").cast("long").alias("doc_id")).approxQuantile(
         "doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 and count["ids"] else []
-    bounds = sorted(set(at))
+    bounds = sorted(set(at)) or [0.0]
     cuts = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol="id_d", outputCol="bucket", handleInvalid="keep")
     by_hash = F.floor((F.col("th").cast("double") / float(1 << 64) + 0.5) * nulls)
     place = F.when(F.col("doc_id").isNotNull(), F.lit(len(bounds)) - F.col("bucket")).otherwise(

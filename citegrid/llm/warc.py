@@ -90,7 +90,7 @@ class Archive:
     def __init__(self, uri: str, dictionary: bytes):
         self.uri, self.records, self.bytes = uri, 0, 0
         fs, path = _filesystem(uri)
-        self.out = fs.open_output_stream(path)
+        self.out = fs.open_output_stream(path, compression=None)      # the name ends in .zst; frames are made here
         self.compressor = zstandard.ZstdCompressor(
             level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None,
             write_content_size=True, write_checksum=True)
@@ -112,7 +112,7 @@ class Archive:
 def read_records(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields, body) of each record, streaming."""
     fs, path = _filesystem(uri)
-    with fs.open_input_stream(path) as source:
+    with fs.open_input_stream(path, compression=None) as source:
         magic, size = struct.unpack("<II", source.read(8))
         if magic != MAGIC:
             raise ValueError(f"{uri}: no dictionary frame")
