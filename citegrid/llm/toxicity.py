@@ -13,8 +13,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +22,7 @@ from citegrid.llm.textbatch import ALNUM, flat, mix64, slices, span_hashes
 from citegrid.session import ship_package
 
 #: Labelled examples of each label that are sampled at most (the bound of the fitted sample).
-EXAMPLES = 2500
+EXAMPLES = 1500
 #: Terms kept at most, and the least association (z value) and number of examples of a term.
 TERMS, LEAST_Z, LEAST_EXAMPLES = 2048, 4.0, 3
 #: Terms are words and their first bytes, so many of them; and each again when it occurs so often.
@@ -161,7 +161,7 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.record_batch(
                 [rows.column("doc_id"), rows.column("label"),
                  pa.array([u.view(np.int64) for u, _ in got], pa.list_(pa.int64())),
-                 pa.array([n for _, n in got], pa.list_(pa.int64()))], ["doc_id", "label", "terms", "counts"])
+                 pa.array([n.astype(np.int32) for _, n in got], pa.list_(pa.int32()))], ["doc_id", "label", "terms", "counts"])
 
 
 def learnable(column: str = "doc_id"):
@@ -169,9 +169,34 @@ def learnable(column: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string")), F.lit(4)), F.lit(0)) != 2
 
 
-def examples(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple[pd.DataFrame, dict[int, int]]:
-    """Term counts of the sampled examples (at most ``limit`` of each label, by
-    hash of the id) and the number of labelled rows of each label."""
+@dataclass
+class Sample:
+    """ids (rising) and labels of the examples; of every term of each: the
+    example's place, the term's hash and its count."""
+    ids: np.ndarray
+    labels: np.ndarray
+    place: np.ndarray
+    term: np.ndarray
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Sample:
+        ids = table.column("doc_id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        rank = np.empty(len(ids), np.int64)
+        rank[order] = np.arange(len(ids))
+        lists = table.column("terms").combine_chunks()
+        return cls(ids[order], table.column("label").to_numpy()[order].astype(np.int64),
+                   np.repeat(rank, pc.list_value_length(lists).to_numpy()).astype(np.int32),
+                   lists.flatten().to_numpy().view(np.uint64), table.column("counts").combine_chunks().flatten().to_numpy())
+
+    def only(self, keep: np.ndarray) -> Sample:
+        return Sample(self.ids, self.labels, self.place[keep], self.term[keep], self.count[keep])
+
+
+def examples(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple[Sample, dict[int, int]]:
+    """Terms of the sampled examples (at most ``limit`` of each label, by hash
+    of the id) and the number of labelled rows of each label."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learnable())
              .groupBy("doc_id").agg(F.max("label").alias("label")))
@@ -185,24 +210,25 @@ def examples(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple
     chosen = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
               .join(F.broadcast(picked.limit(3 * limit)), "doc_id")          # the sample: some 5,000 narrow rows
               .where("text is not null").limit(3 * limit).select("doc_id", "label", "text"))
-    got = chosen.mapInArrow(_example_terms, "doc_id long, label int, terms array<long>, counts array<long>").toPandas()
-    return got.sort_values("doc_id", kind="stable").reset_index(drop=True), n
+    got = chosen.mapInArrow(_example_terms, "doc_id long, label int, terms array<long>, counts array<int>").toArrow()
+    return Sample.of(got), n
 
 
-def choose_terms(got: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def choose_terms(sample: Sample) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tiered terms that speak for the label, and of the terms they come from."""
-    if not len(got):
+    if not len(sample.term):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    terms = np.concatenate([np.asarray(t, np.int64).view(np.uint64) for t in got.terms])
-    plain = np.unique(terms)
-    count = np.concatenate([np.asarray(c, np.int64) for c in got.counts])
-    label = np.repeat(got.label.to_numpy(), [len(t) for t in got.terms])
-    label = np.concatenate([label[count >= t] for t in TIERS])
-    terms = np.concatenate([tiered(terms[count >= t], t) for t in TIERS])
+    plain, where, n = np.unique(sample.term, return_inverse=True, return_counts=True)
+    sample = sample.only((n >= LEAST_EXAMPLES)[where])
+    plain = plain[n >= LEAST_EXAMPLES]
+    del where
+    label = sample.labels[sample.place]
+    label, terms = (np.concatenate(x) for x in zip(*(
+        (label[sample.count >= t], tiered(sample.term[sample.count >= t], t)) for t in TIERS)))
     vocabulary, where = np.unique(terms, return_inverse=True)
     with1 = np.bincount(where, weights=label == 1, minlength=len(vocabulary))
     with0 = np.bincount(where, weights=label == 0, minlength=len(vocabulary))
-    n1, n0 = (got.label == 1).sum(), (got.label == 0).sum()
+    n1, n0 = (sample.labels == 1).sum(), (sample.labels == 0).sum()
     odds = np.log((with1 + .5) / (n1 - with1 + .5)) - np.log((with0 + .5) / (n0 - with0 + .5))
     error = np.sqrt(1 / (with1 + .5) + 1 / (n1 - with1 + .5) + 1 / (with0 + .5) + 1 / (n0 - with0 + .5))
     z = np.where(with1 + with0 >= LEAST_EXAMPLES, odds / error, 0.0)
@@ -233,11 +259,12 @@ def _count_terms(terms: np.ndarray, plain: np.ndarray) -> Callable:
 def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Index:
     """The index of the sampled examples."""
     ship_package(docs.sparkSession)
-    got, n = examples(docs, labels, limit)
-    label = got.label.to_numpy(dtype=np.int64) if len(got) else np.zeros(0, np.int64)
+    sample, n = examples(docs, labels, limit)
+    label = sample.labels
     sampled = {x: max(1, int((label == x).sum())) for x in (0, 1)}
     worth = np.array([n.get(x, 0) / sampled[x] for x in label.tolist()], float)
-    terms, plain = choose_terms(got)
+    terms, plain = choose_terms(sample)
+    sample = sample.only(_find(plain, sample.term) >= 0)
     rows = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_terms(terms, plain), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).collect())           # one row a term
     df, total = np.zeros(len(terms)), 0
@@ -247,14 +274,15 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Index:
         else:
             df[r["term"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)) + 1
-    return _index(got, label, worth, terms, plain, idf)
+    return _index(sample, worth, terms, plain, idf)
 
 
-def _index(got: pd.DataFrame, label: np.ndarray, worth: np.ndarray, terms: np.ndarray, plain: np.ndarray,
-           idf: np.ndarray) -> Index:
-    vectors = []
-    for t, c in zip(got.terms, got.counts) if len(got) else ():
-        t, c = np.asarray(t, np.int64).view(np.uint64), np.asarray(c)
+def _index(sample: Sample, worth: np.ndarray, terms: np.ndarray, plain: np.ndarray, idf: np.ndarray) -> Index:
+    label, vectors = sample.labels, []
+    order = np.argsort(sample.place, kind="stable")
+    first = np.searchsorted(sample.place[order], np.arange(len(label) + 1))
+    for a, b in zip(first, first[1:]):
+        t, c = sample.term[order[a:b]], sample.count[order[a:b]]
         at = np.concatenate([_find(terms, tiered(t[c >= x], x)) for x in TIERS])
         at = np.sort(at[at >= 0])
         w = idf[at]
@@ -271,7 +299,7 @@ def _index(got: pd.DataFrame, label: np.ndarray, worth: np.ndarray, terms: np.nd
     rest = ~has
     base = float((label * worth).sum() / worth.sum()) if len(label) and worth.sum() else 0.0
     floor = float((label * worth)[rest].sum() / worth[rest].sum()) if rest.any() and worth[rest].sum() else base
-    ids = got.doc_id.to_numpy()[order] if len(got) else np.zeros(0, np.int64)
+    ids = sample.ids[order]
     index = Index(terms, plain, idf, weights, np.ascontiguousarray(weights.max(axis=2).T), ids, label[order], worth[order], floor,
                   np.zeros(1), np.full(1, floor))
     raw, truth, mass = [], [], []
