@@ -25,9 +25,9 @@ from citegrid.llm.textbatch import mix64, slices
 from citegrid.session import ship_package
 
 #: Chunk sizes in bytes.
-LEAST, NORMAL, MOST = 24, 64, 256
+LEAST, NORMAL, MOST = 12, 32, 128
 #: Hash bits that must be zero before and after the normal size.
-STRICT_BITS, LOOSE_BITS = 7, 5
+STRICT_BITS, LOOSE_BITS = 6, 4
 #: Bytes that the gear hash depends on.
 REACH = 32
 #: Rows a range holds on average when documents are dealt by id.
