@@ -57,11 +57,17 @@ def evidence_markers(evidence: Column | str, limit: int = MAX_MARKERS) -> Column
     return F.slice(marker_tokens(evidence), 1, limit)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once per row however often the
+    lambdas inside use it (an outer expression inside a lambda is not)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def leaked_tokens(answer: Column | str, evidence: Column | str) -> Column:
     """V7: marker tokens of the answer not found (case-insensitive substring) in
     the evidence text."""
-    ev = F.lower(nz(evidence))
-    return F.filter(marker_tokens(answer), lambda t: ~F.contains(ev, F.lower(t)))
+    tokens = marker_tokens(answer)
+    return _let(F.lower(nz(evidence)), lambda ev: F.filter(tokens, lambda t: ~F.contains(ev, F.lower(t))))
 
 
 def marker_blocks(markers: Column, hits: Column, k: Column | int, whole_word: bool = False) -> Column:
@@ -72,20 +78,24 @@ def marker_blocks(markers: Column, hits: Column, k: Column | int, whole_word: bo
     ``whole_word=True`` requires the marker not to touch another letter or
     digit on either side.  ``hits`` is the rank-sorted
     ``array<struct<rank,title,abstract,…>>`` of one question, so this is
-    bounded per row (k hits × ≤60 markers): no join.
+    bounded per row (k hits × ≤60 markers): no join.  Each hit's text is lowered
+    once, not once per marker.
     """
     kk = F.lit(k) if isinstance(k, int) else col(k)
 
+    def text(h: Column) -> Column:
+        blob = F.concat(nz(h["title"]), F.lit("\n"), nz(h["abstract"]))
+        return blob if whole_word else F.lower(blob)
+
     def found(blob: Column, m: Column) -> Column:
         if not whole_word:
-            return F.contains(F.lower(blob), F.lower(m))
+            return F.contains(blob, F.lower(m))
         pattern = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}])\Q"), m, F.lit(r"\E(?![\p{L}\p{N}])"))
         return F.rlike(blob, pattern)
 
-    def blocks_of(m: Column) -> Column:
-        ranks = F.transform(hits, lambda h: F.when(
-            found(F.concat(nz(h["title"]), F.lit("\n"), nz(h["abstract"])), m)
-            & (h["rank"] >= 1) & (h["rank"] <= kk), h["rank"]))
+    def blocks_of(m: Column, texts: Column) -> Column:
+        ranks = F.transform(texts, lambda h: F.when(found(h["text"], m) & (h["rank"] >= 1) & (h["rank"] <= kk), h["rank"]))
         return F.array_distinct(F.filter(ranks, lambda r: r.isNotNull()))
 
-    return F.transform(markers, lambda m: F.struct(m.alias("marker"), blocks_of(m).alias("blocks")))
+    texts = F.transform(hits, lambda h: F.struct(h["rank"].alias("rank"), text(h).alias("text")))
+    return _let(texts, lambda ts: F.transform(markers, lambda m: F.struct(m.alias("marker"), blocks_of(m, ts).alias("blocks"))))
