@@ -321,9 +321,21 @@ def _entries(shared, rule: Rule, meeting=None) -> Callable:
     return run
 
 
+def _rows(lists: pa.Array) -> list[np.ndarray]:
+    at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [values[a:b] for a, b in zip(at.tolist(), at[1:].tolist())]
+
+
+def _first_meeting(x: np.ndarray, up_x: np.ndarray, y: np.ndarray, up_y: np.ndarray) -> int:
+    """The smallest of the groups in which two sets are compared: those that
+    both are in, one of them at least in its own band."""
+    both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(both[(up_x[i] == 0) | (up_y[j] == 0)].min())
+
+
 def _compare(rule: Rule) -> Callable:
     """Rows sorted by (sh, tile); emits the pairs of a tile that lie in two
-    components and that size and parity bounds allow."""
+    components and that size and parity bounds allow, each in one group only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -340,6 +352,7 @@ def _compare(rule: Rule) -> Callable:
 
     def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
         sh, tile, cls, n, comp, side, up = (t.column(c).to_numpy() for c in ("sh", "tile", "cls", "n", "comp", "side", "up"))
+        keys, ups = (_rows(t.column(c).combine_chunks()) for c in ("keys", "ups"))
         raw = t.column("parity").to_pylist()
         size = np.array([len(x) for x in raw])
         folded = {}
@@ -372,6 +385,8 @@ def _compare(rule: Rule) -> Callable:
                         apart[at_x] = np.bitwise_count(m[i[at_x]] ^ m[j[at_x]]).sum(axis=1)
                     near = apart <= total - 2 * rule.least_overlap(total)
                     i, j = i[near], j[near]
+                    first = [sh[x] == _first_meeting(keys[x], ups[x], keys[y], ups[y]) for x, y in zip(i.tolist(), j.tolist())]
+                    i, j = i[first], j[first]
                     found.append(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]))
             d += 1
         if found and (pairs := np.unique(np.concatenate(found, axis=1), axis=1)).shape[1]:
@@ -399,7 +414,7 @@ def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
     m = m.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     m = m.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    return m.select("sh", (low * F.col("blocks") + high).alias("tile"), "cls", "n", "up", "comp", "parity",
+    return m.select("sh", (low * F.col("blocks") + high).alias("tile"), "cls", "n", "up", "comp", "parity", "keys", "ups",
                     F.when(low == high, 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
 
 
@@ -463,7 +478,10 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
              .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "up", "comp"))
     split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
              .where("lo != hi and size > 2").select("sh", "size"))
-    rest = _tiles(named.join(split.select("sh"), "sh", "left_semi").join(known_sets.select("cls", "parity"), "cls"), split)
+    compared = materialize(named.join(split.select("sh"), "sh", "left_semi"), "join-compared")
+    own = compared.groupBy("cls").agg(F.collect_list(F.struct("sh", "up")).alias("k")).select(      # at most two a prefix n-gram
+        "cls", F.col("k.sh").alias("keys"), F.col("k.up").alias("ups")).join(known_sets.select("cls", "parity"), "cls")
+    rest = _tiles(compared.join(own, "cls"), split)
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     near = (rest.repartition(tasks, "sh", "tile").sortWithinPartitions("sh", "tile", "cls")
             .mapInArrow(_compare(rule), "a long, b long").distinct())
