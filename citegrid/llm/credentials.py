@@ -2,8 +2,9 @@
 
 Base findings are strong on their own.  Other parts are weak: a long mixed
 token, an endpoint, a short account identifier mean little by themselves.
-Weak parts are reported only where complementary parts meet in one scope: a
-token with an access identifier, an endpoint with either.  Parts are intervals;
+Weak parts are reported only where complementary parts meet in one scope:
+identifiers, secrets and endpoints, any two of them, and then all the weak
+ones of the two.  Parts are intervals;
 they meet when no more than REACH characters lie between them and no blank
 line does.  Intervals are joined by a sweep in order of their starts, inside
 the document that holds them, so no row leaves its task.
@@ -37,6 +38,9 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ENDPOINT = re.compile(r"(?:https?|wss?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s\"'<>]+")
 NAMED_ID = re.compile(r"""(?ai:\b(?:user(?:name)?|account|client_?id|access_?key_?id|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""")
 
+#: What a part is of a credential; parts of two sorts are complementary.
+SORT = {"id": "identifier", "identifier": "identifier", "secret": "secret", "token": "secret", "endpoint": "endpoint"}
+
 Span = tuple[int, int, str]
 
 
@@ -65,16 +69,17 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
     """Weak parts next to a complementary part.
 
     Strong secrets are assignments and hex strings, strong identifiers access
-    ids.  A token links to an identifier (strong or weak), an identifier to a
-    secret (strong) or token, an endpoint to a secret, a token or a strong identifier.
+    ids.  Identifiers, secrets (tokens too) and endpoints complement each
+    other, whichever of them are weak.  Base spans that cover a weak part whole
+    leave nothing of it; one that they touch stays whole, but a token has to be
+    mixed by what is neither an access id nor an assignment.
     """
     weak = _weak_parts(text)
     if not weak:
         return []
     strong = [(s, e, {"assign": "secret", "hex": "secret", "access": "id"}[k]) for s, e, k in base]
-    covered = _merged(base)
-    weak = [w for w in weak if not _overlaps(covered, w)]
-    wants = {"token": {"id", "identifier"}, "identifier": {"secret", "token"}, "endpoint": {"secret", "token", "id"}}
+    covered, own = _merged(base), _merged([b for b in base if b[2] != "hex"])
+    weak = [w for w in weak if not _covers(covered, w) and (w[2] != "token" or _mixed(_rest(text, own, w)))]
     parts = sorted(strong + weak)
     starts = [p[0] for p in parts]
     longest = max(e - s for s, e, _ in parts)
@@ -85,7 +90,7 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
             s2, e2, other = parts[i]
             i += 1
             gap = (max(s, s2) - min(e, e2)) if (s2 >= e or s >= e2) else -1
-            if other in wants[kind] and 0 <= gap <= reach and "\n\n" not in text[min(e, e2):max(s, s2)]:
+            if SORT[other] != SORT[kind] and 0 <= gap <= reach and "\n\n" not in text[min(e, e2):max(s, s2)]:
                 out.append((s, e, f"linked_{kind}"))
                 break
     return sorted(out)
@@ -102,9 +107,21 @@ def _merged(spans: list[Span]) -> list[tuple[int, int]]:
     return out
 
 
-def _overlaps(disjoint: list[tuple[int, int]], w: Span) -> bool:
-    i = bisect_left(disjoint, (w[1], 0)) - 1
-    return i >= 0 and disjoint[i][1] > w[0]
+def _covers(disjoint: list[tuple[int, int]], w: Span) -> bool:
+    i = bisect_left(disjoint, (w[0] + 1, 0)) - 1
+    return i >= 0 and disjoint[i][1] >= w[1]
+
+
+def _rest(text: str, disjoint: list[tuple[int, int]], w: Span) -> str:
+    """What the intervals leave of a part's text."""
+    at, end = w[0], w[1]
+    out = []
+    for s, e in disjoint[max(0, bisect_left(disjoint, (at, 0)) - 1):]:
+        if s >= end:
+            break
+        out.append(text[at:max(at, s)])
+        at = max(at, e)
+    return "".join(out) + text[at:end]
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:

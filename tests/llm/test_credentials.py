@@ -55,6 +55,25 @@ def test_links_only_complementary_parts():
     assert kinds(f"see https://db.example/x {KEY}") == ["linked_endpoint"] and kinds("see https://db.example/x alone") == []
 
 
+def test_links_go_both_ways():
+    key, url, run = "wJalrXUtnFEMIK7MDENGbPxRfiCY9z", "https://db.example.com/v1", "ghp_AbCdE0123456789abcdef01ZqXw9"
+    cases = [                                            # text, findings, text without them; written by hand
+        (f"endpoint {url}\nkey {key}", "linked_endpoint:9:34,linked_token:39:69", "endpoint [linked_endpoint]\nkey [linked_token]"),
+        (f"key {key}\nendpoint {url}", "linked_token:4:34,linked_endpoint:44:69", "key [linked_token]\nendpoint [linked_endpoint]"),
+        (f"endpoint {url}\n\nkey {key}", "", f"endpoint {url}\n\nkey {key}"),
+        (f"endpoint {url}\n{'x ' * 101}{key}", "", f"endpoint {url}\n{'x ' * 101}{key}"),
+        (f"user: alice at {url}", "linked_identifier:6:11,linked_endpoint:15:40", "user: [linked_identifier] at [linked_endpoint]"),
+        (f"{KEY} {run} end", "access:0:20,linked_token:21:53,hex:30:48", "[access] [linked_token] end"),
+        (f"{run} alone", "hex:9:27", "ghp_AbCdE[hex]ZqXw9 alone"),
+        (f"{KEY} at {url}/0123456789abcdef01/x", "access:0:20,linked_endpoint:24:70,hex:50:68", "[access] at [linked_endpoint]"),
+        (f"{KEY}\nDB_PASSWORD={TOKEN} end", "access:0:20,assign:24:53", "[access]\nDB_[assign] end"),
+        (f"{KEY}\nx{KEY}y", "access:0:20,access:22:42", "[access]\nx[access]y"),
+    ]
+    for text, spans, redacted in cases:
+        base, linked = cr.find(text)
+        assert cr._join(sorted(base + linked, key=cr._order)) == spans and cr.redact_text(text) == redacted, text
+
+
 def test_scan(spark, docs, rows):
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(CASES)] + [(None, None, "x"), (0, CASES[2], "x")],
                                "doc_id long, text string, spans string")
