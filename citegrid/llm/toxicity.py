@@ -214,6 +214,17 @@ def examples(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple
     return Sample.of(got), n
 
 
+def association(with1: np.ndarray, with0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Signed root of the likelihood ratio of terms that are in so many of the
+    n1 and n0 examples: a z value that holds at counts of zero too, positive
+    where the term speaks for label 1."""
+    share = (with1 + with0) / max(1, n1 + n0)
+    ratio = np.zeros(len(with1))
+    for seen, expected in ((with1, n1 * share), (n1 - with1, n1 * (1 - share)), (with0, n0 * share), (n0 - with0, n0 * (1 - share))):
+        ratio += seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+    return np.sign(with1 * n0 - with0 * n1) * np.sqrt(2 * np.maximum(ratio, 0))
+
+
 def choose_terms(sample: Sample) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tiered terms that speak for the label, and of the terms they come from."""
     if not len(sample.term):
@@ -229,9 +240,7 @@ def choose_terms(sample: Sample) -> tuple[np.ndarray, np.ndarray]:
     with1 = np.bincount(where, weights=label == 1, minlength=len(vocabulary))
     with0 = np.bincount(where, weights=label == 0, minlength=len(vocabulary))
     n1, n0 = (sample.labels == 1).sum(), (sample.labels == 0).sum()
-    odds = np.log((with1 + .5) / (n1 - with1 + .5)) - np.log((with0 + .5) / (n0 - with0 + .5))
-    error = np.sqrt(1 / (with1 + .5) + 1 / (n1 - with1 + .5) + 1 / (with0 + .5) + 1 / (n0 - with0 + .5))
-    z = np.where(with1 + with0 >= LEAST_EXAMPLES, odds / error, 0.0)
+    z = np.where(with1 + with0 >= LEAST_EXAMPLES, association(with1, with0, n1, n0), 0.0)
     good = np.flatnonzero(z >= LEAST_Z)
     good = good[np.lexsort((vocabulary[good], -z[good]))][:TERMS]
     chosen = np.sort(vocabulary[good])

@@ -92,6 +92,28 @@ def test_terms_have_beginnings_and_tiers():
     assert set(row.tolist()) == {0} and len(np.unique(term)) == 1 + len(tx.BEGINNINGS) and len(term) == 2 * (1 + len(tx.BEGINNINGS))
 
 
+def test_association_holds_at_zero_counts():
+    z = tx.association(np.array([12., 34., 3., 0., 20.]), np.array([0., 5., 0., 12., 20.]), 1500, 1500)
+    assert z[0] >= tx.LEAST_Z and z[1] >= tx.LEAST_Z and z[2] < tx.LEAST_Z and z[3] <= -tx.LEAST_Z and abs(z[4]) < 1e-6
+    assert abs(z[0] - np.sqrt(2 * (12 * np.log(2) + 1488 * np.log(1488 / 1494) + 1500 * np.log(1500 / 1494)))) < 1e-9
+
+
+def test_rare_pure_words(spark):
+    rng = random.Random(5)
+    marks = [c * 3 + d * 3 for c in "bcdfg" for d in "klmnp"]          # each in 4% of the toxic documents, in no clean one
+    docs, labels = [], []
+    for i in range(2400):
+        words = [f"w{rng.randrange(300)}" for _ in range(30)]
+        if i % 2:
+            words.insert(rng.randrange(30), marks[i // 2 % len(marks)])
+        docs.append((i, " ".join(words), "x"))
+        labels.append((i, 1, i % 2))
+    got = [r for r in tx.score(*frames(spark, docs, labels)).collect() if r.held_out]
+    assert len(got) > 400 and sum(r.doc_id % 2 for r in got) > 200
+    assert np.mean([r.predicted == r.doc_id % 2 for r in got]) > 0.95
+    assert np.mean([r.predicted for r in got if r.doc_id % 2]) > 0.95
+
+
 def test_no_labels_and_empty(spark, empty):
     docs, _ = corpus(5)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
