@@ -153,13 +153,16 @@ def piece_keys(cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
 class Encoder:
     """Ids of texts.  Pieces are cut with piece_starts, each distinct piece is
     encoded by the tokenizers library and remembered; a text with other code
-    points goes to the library whole."""
+    points goes to the library whole.  With ``added`` so does a text that holds
+    the string of an added token, which the library's plain call makes that
+    token; without, special tokens' strings are ordinary text."""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if added and t.content]
         self.known = Pieces()
 
     def library(self, texts: list[str]) -> list[list[int]]:
@@ -168,7 +171,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
         cps = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-        plain = [i for i, c in enumerate(cps) if not len(c) or c.max() < TABLED]
+        plain = [i for i, c in enumerate(cps) if (not len(c) or c.max() < TABLED) and not any(a in texts[i] for a in self.added)]
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         for i in set(range(len(texts))) - set(plain):
             out[i] = np.asarray(self.library([texts[i]])[0], np.uint32)
@@ -209,7 +212,7 @@ class Encoder:
 def _encoder(broadcast) -> Encoder:
     """One per Python worker and tokenizer, kept between tasks."""
     if _STATE.get("json") != hash(broadcast.value):
-        _STATE.update(json=hash(broadcast.value), encoder=Encoder(broadcast.value))
+        _STATE.update(json=hash(broadcast.value), encoder=Encoder(broadcast.value, added=True))
     return _STATE["encoder"]
 
 

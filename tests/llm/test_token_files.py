@@ -45,6 +45,20 @@ def test_round_trip(spark, docs, rows, tmp_path):
     assert named == sorted(named)
 
 
+def test_added_tokens_as_in_the_plain_call(spark, tmp_path):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  don't<|endoftext|><|endoftext|>", "日 <|endoftext|>", "<|endoftext| >", "a b", ""]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    with open(PATH, encoding="utf-8") as f:
+        assert [x.tolist() for x in token_files.Encoder(f.read(), added=True).encode(texts)] == want
+    folder = str(tmp_path / "tokens")
+    token_files.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), folder, PATH, partitions=2)
+    got = token_files.read(spark, folder).orderBy("doc_id").collect()
+    assert [list(r.tokens) for r in got] == [x + [0] for x in want]
+    assert [r.start for r in got] == [sum(len(x) + 1 for x in want[:i]) for i in range(len(want))]
+
+
 def test_files(spark, docs, tmp_path):
     import glob
 
