@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegrid.llm import (credentials, fingerprints, langid, mixing, ngram_join, packing, token_files, topk_search,
+from citegrid.llm import (credentials, fingerprints, langid, mixing, ngram_join, packing, repeats, token_files, topk_search,
                           toxicity, warc)
 from citegrid.session import scratch_path
 
@@ -68,9 +68,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, warc.write(_table(spark, sf_dir, "pages"), scratch_path(spark, "archives")))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove(_table(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk_search, op2_bin_packing, op3_source_mixing, op4_token_files, op5_language_id,
-                            op6_fingerprints, op7_secret_scan, op8_ngram_jaccard, op9_toxicity, op10_warc)}
+                            op6_fingerprints, op7_secret_scan, op8_ngram_jaccard, op9_toxicity, op10_warc, op12_substring_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -149,4 +154,20 @@ select page_id, octet_length(encode(html))::bigint as payload_bytes,
   array_to_string(list_transform(five, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x + 1)::int, 1)), '') as payload_digest,
   case when page_id = top then 'response' else 'revisit' end as record_type,
   case when page_id <> top then top end as refers_to from v""",
+    "op12_substring_dedup": f"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
+s as (
+  select r, i, md5(array_to_string(w[i:i + 34], ' ')) as h
+  from (select r, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35)),
+again as (select r, i from (select r, i, count(*) over (partition by h) as c from s) where c > 1),
+p as (select r, unnest(w) as x, generate_subscripts(w, 1) as i from d),
+g as (
+  select p.r, p.i, p.x, coalesce(max(case when a.i is not null then 1 end)
+    over (partition by p.r order by p.i rows between 34 preceding and current row), 0) as gone
+  from p left join again a on p.r = a.r and p.i = a.i),
+k as (select r, sum(gone)::bigint as n_removed, string_agg(x, ' ' order by i) filter (where gone = 0) as kept from g group by r)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(k.n_removed, 0)::bigint as n_removed,
+  sha256(coalesce(k.kept, '')) as kept_sha256
+from d left join k on d.r = k.r""",
 }
