@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegrid.llm import (credentials, fingerprints, langid, mixing, ngram_join, packing, repeats, token_files, topk_search,
-                          toxicity, warc)
+from citegrid.llm import (credentials, fingerprints, langid, mixing, ngram_join, packing, phrases, repeats, token_files,
+                          topk_search, toxicity, warc)
 from citegrid.session import scratch_path
 
 #: Vocabulary of the token files; the file is a parameter of the operator.
@@ -68,6 +68,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, warc.write(_table(spark, sf_dir, "pages"), scratch_path(spark, "archives")))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), least=30, longest=4, report=2000)
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.remove(_table(spark, sf_dir, "documents"), window=35)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -75,7 +79,8 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk_search, op2_bin_packing, op3_source_mixing, op4_token_files, op5_language_id,
-                            op6_fingerprints, op7_secret_scan, op8_ngram_jaccard, op9_toxicity, op10_warc, op12_substring_dedup)}
+                            op6_fingerprints, op7_secret_scan, op8_ngram_jaccard, op9_toxicity, op10_warc, op11_phrase_collocations,
+                            op12_substring_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -154,6 +159,33 @@ select page_id, octet_length(encode(html))::bigint as payload_bytes,
   array_to_string(list_transform(five, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x + 1)::int, 1)), '') as payload_digest,
   case when page_id = top then 'response' else 'revisit' end as record_type,
   case when page_id <> top then top end as refers_to from v""",
+    "op11_phrase_collocations": f"""
+with d as (
+  select row_number() over () as r, coalesce(lang, 'und') as lang, regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]') as p from documents),
+p as (select r, lang, unnest(p) as x from d),
+w as (select lang, regexp_extract_all(x, '[^\\x20\\x09]+') as w from p),
+totals as (select lang, sum(len(w))::bigint as n from w group by lang),
+g as (
+  select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+  from w, (select unnest([1, 2, 3, 4]) as m) where len(w) >= m),
+f as (select lang, m, phrase, count(*)::bigint as a from g group by all),
+c as (select *, string_split(phrase, ' ') as x from f where m > 1 and a >= 30),
+covered as (
+  select distinct s.lang, s.phrase
+  from (select lang, a as longer, array_to_string(x[i:i + t - 1], ' ') as phrase
+    from (select *, unnest(range(1, m - t + 2)) as i from c, (select unnest([2, 3]) as t) where m > t)) s
+  join c on c.lang = s.lang and c.phrase = s.phrase where 100 * s.longer::hugeint >= 80 * c.a::hugeint),
+cuts as (
+  select lang, phrase, a, k, array_to_string(x[1:k], ' ') as left_part, array_to_string(x[k + 1:], ' ') as right_part
+  from (select *, unnest(range(1, m)) as k from c)),
+scored as (
+  select u.lang, u.phrase, u.a, u.k, l.a as l, r.a as r, (2000000 * u.a::hugeint // (l.a + r.a))::bigint as score
+  from cuts u join f l on l.lang = u.lang and l.phrase = u.left_part join f r on r.lang = u.lang and r.phrase = u.right_part),
+lowest as (select *, row_number() over (partition by lang, phrase order by score, k) as o from scored),
+ranked as (
+  select s.*, row_number() over (partition by s.lang order by score desc, a desc, s.phrase) as rank
+  from lowest s left join covered v on v.lang = s.lang and v.phrase = s.phrase where s.o = 1 and v.phrase is null)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000""",
     "op12_substring_dedup": f"""
 with d as (
   select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
