@@ -1,21 +1,26 @@
 """Collocations: frequent phrases mined by SON partitioning, scored and thinned.
 
-A shard is a run of rows of one task, SHARD bytes of text at most.  For every
-phrase length, each shard is mined completely at its share of the global
-support (a phrase with support ``least`` reaches ``least`` * shard words / all
-words of its language in some shard, rounded up); the locally frequent phrases
-of all shards are united, and one more scan counts every one of them exactly.
-A longer phrase is only looked at where both its ends, one word shorter, are
-frequent as a whole.  Phrases are 64-bit hashes (language included) until the
-frequent ones are known; one last scan brings their words.
-
-Membership of a phrase in the frequent or candidate ones is looked up in a
-bitmap of bounded size; what it lets through wrongly is counted and dropped.
+A shard is a run of rows of one task, SHARD words at most.  Each shard is mined
+completely at its share of the global support (a phrase with support ``least``
+reaches ``least`` * shard words / all words of its language in some shard,
+rounded up); the locally frequent phrases of all shards are united, and one
+more scan counts every one of them exactly.  That is done twice: for phrases of
+two words, and then for longer ones, which are only looked at where all their
+pairs of neighbours are frequent as a whole.  Tables of up to SHARDS * SHARD
+words are read in SHARDS tasks, so that the lowered support stays above one;
+beyond that shards keep their size, and where their share of the support is one
+all their phrases with frequent parts are candidates.
+
+Phrases are 64-bit hashes (language included) until the frequent ones are
+known; one last scan brings their words.  Membership of a phrase in the frequent
+or candidate ones is looked up in a bitmap of bounded size; what it lets through
+wrongly is counted and dropped.
 """
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +29,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citegrid.llm import bitmap
-from citegrid.llm.textbatch import flat, mix64, powers, word_spans
+from citegrid.llm.textbatch import flat, mix64, slices, word_hashes, word_spans
 from citegrid.session import materialize, remove_tables, ship_package
 
 LEAST, LONGEST, REPORT = 30, 4, 2000
-#: Bytes of text in a shard.
-SHARD = 32 << 20
+#: Words of a shard, and shards of a table that is not larger than all of them.
+SHARD, SHARDS = 10_000_000, 16
+#: Bytes of text that are turned into words at a time, and places looked up at a time.
+SLICE, CHUNK = 2 << 20, 1 << 20
 
 #: Bytes that end a piece, bytes between words.
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -37,153 +44,176 @@ _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[list(ENDS + GAPS)] = False
 _END_BYTE = np.zeros(256, bool)
 _END_BYTE[list(ENDS)] = True
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _U = np.uint64
 _FACTOR = _U(0x9FB21C651E98DF25)
 
 
-def _language(name: str) -> np.uint64:
-    return _U(int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little"))
-
-
-class Shard:
-    """Words of the rows of one shard, languages one after the other."""
-
-    def __init__(self, rows: pa.Table):
-        langs = pc.dictionary_encode(rows.column("lang").combine_chunks())
-        code = langs.indices.to_numpy()
-        order = np.argsort(code, kind="stable")
-        self.langs = langs.dictionary.to_pylist()
-        at = pa.array(order)
-        self.data, offsets = flat(pc.cast(rows.column("text"), pa.large_string()).take(at))
-        total = rows.column("total").take(at).to_numpy() if "total" in rows.column_names else np.zeros(len(order), np.int64)
-        hashes, begin, end, piece, done = [], [], [], [], 0
-        for place, view, s, e in word_spans(self.data, offsets, _WORD_BYTE):
-            up, down = powers(len(view) + 1)
-            lower = np.where((view >= 65) & (view <= 90), view + 32, view).astype(np.uint64)
-            sums = np.zeros(len(view) + 1, np.uint64)
-            np.cumsum(mix64(lower + _U(1)) * up[:len(view)], out=sums[1:])
-            hashes.append(mix64((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)))
-            cuts = np.cumsum(_END_BYTE[view], dtype=np.int64)
-            piece.append(done + cuts[s])
-            done += int(cuts[-1])
-            begin.append(s + place)
-            end.append(e + place)
-        join = lambda parts, t: np.concatenate(parts) if parts else np.zeros(0, t)
-        self.words, self.begin, self.end = join(hashes, np.uint64), join(begin, np.int64), join(end, np.int64)
-        ends = np.searchsorted(self.begin, offsets, "left")       # first word of each row
-        row = np.repeat(np.arange(len(order)), np.diff(ends))
-        piece = join(piece, np.int64)
-        change = np.zeros(len(self.words), bool)                  # whether a word can't follow the one before
-        change[1:] = (piece[1:] != piece[:-1]) | (row[1:] != row[:-1])
-        self.piece = np.cumsum(change)
-        sorted_code = code[order]
-        heads = np.searchsorted(sorted_code, np.arange(len(self.langs) + 1))
-        self.range = ends[heads]                                   # words of each language
-        self.total = [int(total[h]) if h < len(total) else 0 for h in heads[:-1]]
-        self.salt = np.repeat(np.array([_language(x) for x in self.langs], np.uint64), np.diff(self.range))
-
-    def keys(self, length: int) -> np.ndarray:
-        """Key of the phrase of that length at each word; there are length - 1 less than words."""
-        h = self.words
+@dataclass
+class Words:
+    """Words of some rows, languages one after the other: hashes; whether a
+    word continues the piece of the word before; byte places; first word of each language."""
+    hashes: np.ndarray
+    joined: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    data: np.ndarray
+    langs: list[str]
+    range: np.ndarray
+
+
+def words_of(rows: pa.RecordBatch) -> Words:
+    langs = pc.dictionary_encode(rows.column("lang"))
+    code = langs.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    data, offsets = flat(rows.column("text").take(pa.array(order)))
+    hashes, first = word_hashes(data, offsets, _WORD_BYTE)
+    begin, end = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for place, _, s, e in word_spans(data, offsets, _WORD_BYTE):
+        begin.append(s + place)
+        end.append(e + place)
+    begin = np.concatenate(begin)
+    ends = np.zeros(len(data) + 1, np.int32)          # piece ends before each byte
+    np.cumsum(_END_BYTE[data], out=ends[1:])
+    joined = np.zeros(len(hashes), bool)
+    joined[1:] = ends[begin[1:]] == ends[begin[:-1]]
+    heads = first[:-1]
+    joined[heads[heads < len(hashes)]] = False
+    return Words(hashes, joined, begin, np.concatenate(end), data, langs.dictionary.to_pylist(),
+                 first[np.searchsorted(code[order], np.arange(len(langs.dictionary) + 1))])
+
+
+def salt_of(lang: str) -> np.uint64:
+    return _U(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
+
+
+def keys(hashes: np.ndarray, length: int, salt: np.uint64) -> np.ndarray:
+    """Key of the phrase of that length at each word; there are length - 1 less than words."""
+    h = hashes
+    for j in range(1, length):
+        h = mix64(h[:-1] * _FACTOR + hashes[j:])
+    return mix64(h ^ salt).view(np.int64)
+
+
+def places(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64, part: int, often) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of the phrases in one piece whose parts of ``part`` words may all be in the bitmap ``often``."""
+    at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    n = len(hashes) - length + 1
+    for lo in range(0, n, CHUNK):
+        hi = min(n, lo + CHUNK)
+        some = hashes[lo:hi + length - 1]
+        fits = np.ones(hi - lo, bool)
         for j in range(1, length):
-            h = mix64(h[:-1] * _FACTOR + self.words[j:])
-        return mix64(h ^ self.salt[:len(h)]).view(np.int64)
-
-    def whole(self, length: int) -> np.ndarray:
-        """Whether the phrase of that length at each word lies in one piece of one row."""
-        n = max(0, len(self.words) - length + 1)
-        return self.piece[:n] == self.piece[length - 1:]
-
-    def places(self, length: int, shorter) -> tuple[np.ndarray, np.ndarray]:
-        """Places and keys of the phrases whose two ends, one word shorter, may be frequent."""
-        if len(self.words) < length:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.flatnonzero(self.whole(length))
-        if shorter is not None and len(at):
-            likely = bitmap.has(shorter.value, self.keys(length - 1))
-            at = at[likely[at] & likely[at + 1]]
-        return at, self.keys(length)[at]
-
-
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
-    held, size = [], 0
+            fits &= joined[lo + j:hi + j]
+        likely = bitmap.has(often.value, keys(some, part, salt))
+        for j in range(length - part + 1):
+            fits &= likely[j:j + hi - lo]
+        here = np.flatnonzero(fits)
+        at.append(here + lo)
+        found.append(keys(some, length, salt)[here])
+    return np.concatenate(at), np.concatenate(found)
+
+
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Shards of a task: language -> (its words in all shards, hashes, joined)."""
+    held: dict[str, list] = {}
+    size = 0
+
+    def shard() -> dict:
+        out = {}
+        for lang in list(held):
+            total, hashes, joined = held.pop(lang)
+            out[lang] = (total, np.concatenate(hashes), np.concatenate(joined))
+        return out
+
     for batch in batches:
-        row = 0
-        while row < batch.num_rows:       # as many rows as still fit, one at least
-            _, offsets = flat(batch.column("text").slice(row))
-            n = max(1 if not held else 0, int(np.searchsorted(offsets, SHARD - size, "right")) - 1)
-            n = min(n, batch.num_rows - row)
-            if n:
-                held.append(batch.slice(row, n))
-                size += int(offsets[n])
-                row += n
-            if size >= SHARD or not n:
-                yield Shard(pa.Table.from_batches(held))
-                held, size = [], 0
+        for rows in slices(batch, max_bytes=SLICE):
+            total = dict(zip(rows.column("lang").to_pylist(), rows.column("total").to_pylist()))
+            w = words_of(rows)
+            for lang, a, b in zip(w.langs, w.range.tolist(), w.range[1:].tolist()):
+                _, hashes, joined = held.setdefault(lang, (total[lang], [], []))
+                hashes.append(w.hashes[a:b])
+                joined.append(w.joined[a:b])
+            size += len(w.hashes)
+            if size >= SHARD:
+                yield shard()
+                size = 0
     if held:
-        yield Shard(pa.Table.from_batches(held))
+        yield shard()
+
+
+def _unique(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found.sort()
+    head = np.flatnonzero(np.concatenate([np.ones(min(1, len(found)), bool), found[1:] != found[:-1]]))
+    return found[head], np.diff(np.append(head, len(found)))
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for shard in shards(batches):
-        key = shard.keys(1)
-        for name, a, b in zip(shard.langs, shard.range, shard.range[1:]):
-            names, counts = np.unique(key[a:b], return_counts=True)
-            yield pa.record_batch([pa.array([name] * len(names), pa.string()), pa.array(names), pa.array(counts, pa.int64())], ["lang", "key", "c"])
+        for lang, (_, hashes, _) in shard.items():
+            names, counts = _unique(keys(hashes, 1, salt_of(lang)))
+            yield pa.record_batch([pa.array([lang] * len(names), pa.string()), pa.array(names), pa.array(counts, pa.int64())], ["lang", "key", "c"])
 
 
-def _mine(length: int, shorter, least: int) -> Callable:
+def _mine(lengths: range, part: int, often, least: int) -> Callable:
     """Keys that are frequent in a shard, at its lowered support."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches):
-            at, key = shard.places(length, shorter)
-            edges = np.searchsorted(at, shard.range)
-            for i in range(len(shard.langs)):
-                words = int(shard.range[i + 1] - shard.range[i])
-                support = max(1, -(-least * words // max(1, shard.total[i])))
-                names, counts = np.unique(key[edges[i]:edges[i + 1]], return_counts=True)
-                yield pa.record_batch([pa.array(names[counts >= support])], ["key"])
+            for lang, (total, hashes, joined) in shard.items():
+                support = max(1, -(-least * len(hashes) // max(1, total)))
+                for length in lengths:
+                    names, counts = _unique(places(hashes, joined, length, salt_of(lang), part, often)[1])
+                    yield pa.record_batch([pa.array(names[counts >= support])], ["key"])
     return run
 
 
-def _count(length: int, shorter, candidates) -> Callable:
+def _count(lengths: range, part: int, often, candidates) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches):
-            _, key = shard.places(length, shorter)
-            names, counts = np.unique(key[bitmap.has(candidates.value, key)] if len(key) else key, return_counts=True)
-            yield pa.record_batch([pa.array(names), pa.array(counts, pa.int64())], ["key", "c"])
+            for lang, (_, hashes, joined) in shard.items():
+                for length in lengths:
+                    found = places(hashes, joined, length, salt_of(lang), part, often)[1]
+                    names, counts = _unique(found[bitmap.has(candidates.value, found)])
+                    yield pa.record_batch([pa.array(names), pa.array(counts, pa.int64())], ["key", "c"])
     return run
 
 
-def _spell(longest: int, known: list) -> Callable:
-    """Words, and keys of all their parts, of the phrases that may be frequent; once a shard."""
+def _spell(longest: int, words, often) -> Callable:
+    """Words, and keys of all their parts, of the phrases that may be frequent; once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set = set()
-        for shard in shards(batches):
-            part = {n: shard.keys(n) for n in range(1, longest + 1) if len(shard.words) >= n}
-            for length in range(2, longest + 1):
-                at, key = shard.places(length, known[length - 2])
-                at = at[bitmap.has(known[length - 1].value, key)] if len(key) else at
-                names, first = np.unique(part[length][at] if len(at) else at, return_index=True)
-                new = np.array([n not in sent for n in names.tolist()], bool)
-                names, at = names[new], at[first[new]] if len(at) else at
-                sent.update(names.tolist())
-                if not len(at):
-                    continue
-                text = [b" ".join(shard.data[a:b].tobytes().translate(_LOWER) for a, b in zip(s, e)).decode()
-                        for s, e in zip(*(x[at[:, None] + np.arange(length)].tolist() for x in (shard.begin, shard.end)))]
-                lang = [shard.langs[i] for i in (np.searchsorted(shard.range, at, "right") - 1).tolist()]
-                # parts by length, then by first word
-                parts = np.stack([part[n][at + j] for n in range(1, length) for j in range(length - n + 1)], axis=1)
-                sizes = pa.array(np.arange(len(at) + 1) * parts.shape[1], pa.int32())
-                yield pa.record_batch([pa.array(names), pa.array(lang, pa.string()), pa.array(np.full(len(at), length, np.int32)), pa.array(text, pa.string()),
-                                       pa.ListArray.from_arrays(sizes, pa.array(parts.ravel()))], ["key", "lang", "length", "phrase", "parts"])
+        for batch in batches:
+            for rows in slices(batch, max_bytes=SLICE):
+                w = words_of(rows)
+                for lang, a, b in zip(w.langs, w.range.tolist(), w.range[1:].tolist()):
+                    yield from spell(w, lang, a, b, sent)
+
+    def spell(w: Words, lang: str, a: int, b: int, sent: set) -> Iterator[pa.RecordBatch]:
+        salt, hashes = salt_of(lang), w.hashes[a:b]
+        part = {n: keys(hashes, n, salt) for n in range(1, longest + 1) if b - a >= n}
+        for length in range(2, longest + 1):
+            at, key = places(hashes, w.joined[a:b], length, salt, 1 if length == 2 else 2, words if length == 2 else often)
+            at = at[bitmap.has(often.value, key)]
+            if not len(at):
+                continue
+            names, first = np.unique(part[length][at], return_index=True)
+            new = np.array([n not in sent for n in names.tolist()], bool)
+            names, at = names[new], at[first[new]]
+            sent.update(names.tolist())
+            if not len(at):
+                continue
+            spans = a + at[:, None] + np.arange(length)
+            text = [b" ".join([w.data[s:e].tobytes() for s, e in zip(x, y)]).translate(_LOWER).decode()
+                    for x, y in zip(w.begin[spans].tolist(), w.end[spans].tolist())]
+            # parts by length, then by first word
+            parts = np.stack([part[n][at + j] for n in range(1, length) for j in range(length - n + 1)], axis=1)
+            sizes = pa.array(np.arange(len(at) + 1) * parts.shape[1], pa.int32())
+            yield pa.record_batch([pa.array(names), pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), length, np.int32)),
+                                   pa.array(text, pa.string()), pa.ListArray.from_arrays(sizes, pa.array(parts.ravel()))],
+                                  ["key", "lang", "length", "phrase", "parts"])
     return run
 
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-
-
 def _at(length: Column, part: Column, first: Column) -> Column:
     """Place in ``parts`` (from 1) of the part with that many words from word ``first`` (from 0) on."""
     # parts of n words come after those of 1 .. n-1 words, of which there are (length - m + 1) for m words
@@ -192,32 +222,33 @@ def _at(length: Column, part: Column, first: Column) -> Column:
 
 
 def frequent(docs: DataFrame, least: int, longest: int, paths: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(phrases, words): (key, lang, length, phrase, parts, a) of the phrases of
-    2 to ``longest`` words with a >= least, and (key, c) of all phrases and words that often, with each language's word count n."""
+    """(phrases, counts): (key, lang, length, phrase, parts, a, n) of the phrases of 2 to
+    ``longest`` words with a >= least; (key, c) of all phrases and words that often."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    words = materialize(rows.mapInArrow(_count_words, "lang string, key long, c long").groupBy("lang", "key").agg(F.sum("c").alias("c")),
-                        "phrases-words", paths)
+    words = materialize(rows.withColumn("total", F.lit(0).cast("long")).mapInArrow(_count_words, "lang string, key long, c long")
+                        .groupBy("lang", "key").agg(F.sum("c").alias("c")), "phrases-words", paths)
     totals = materialize(words.groupBy("lang").agg(F.sum("c").alias("n")), "phrases-totals", paths)
+    size = totals.agg(F.sum("n")).head()[0] or 0
     # a row per language: Spark broadcasts the table where its size allows it
-    shared = rows.join(totals.select("lang", F.col("n").alias("total")), "lang")
-    counts = [words.where(F.col("c") >= least).select("key", "c")]
+    dealt = rows.join(totals.select("lang", F.col("n").alias("total")), "lang").coalesce(max(SHARDS, -(-size // SHARD)))
 
     def filter_of(table: DataFrame):
         return spark.sparkContext.broadcast(bitmap.build(table.select("key"), table.count()))
 
+    counts = [words.where(F.col("c") >= least).select("key", "c")]
     known = [filter_of(counts[0])]
-    for length in range(2, longest + 1):
-        candidates = materialize(shared.mapInArrow(_mine(length, known[-1], least), "key long").distinct(), f"phrases-local-{length}", paths)
-        counted = (rows.mapInArrow(_count(length, known[-1], filter_of(candidates)), "key long, c long")
+    for part, lengths in ((1, range(2, min(longest, 2) + 1)), (2, range(3, longest + 1))):
+        if not lengths:
+            continue
+        candidates = materialize(dealt.mapInArrow(_mine(lengths, part, known[-1], least), "key long").distinct(), f"phrases-local-{part}", paths)
+        counted = (dealt.mapInArrow(_count(lengths, part, known[-1], filter_of(candidates)), "key long, c long")
                    .groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= least))
-        counts.append(materialize(counted, f"phrases-count-{length}", paths))
-        known.append(filter_of(counts[-1]))
-    often = counts[1]
-    for table in counts[2:]:
-        often = often.unionByName(table)
-    spelled = rows.mapInArrow(_spell(longest, known), "key long, lang string, length int, phrase string, parts array<long>")
+        counts.append(materialize(counted, f"phrases-count-{part}", paths))
+        known.append(filter_of(counts[-1] if part == 1 else counts[-2].unionByName(counts[-1])))
+    often = counts[1] if len(counts) == 2 else counts[1].unionByName(counts[2])
+    spelled = rows.mapInArrow(_spell(longest, known[0], known[-1]), "key long, lang string, length int, phrase string, parts array<long>")
     spelled = spelled.join(often.withColumnRenamed("c", "a"), "key")
     phrases = spelled.groupBy("key").agg(*(F.first(c).alias(c) for c in ("lang", "length", "phrase", "parts", "a")))
     return (materialize(phrases.join(totals, "lang"), "phrases-spelled", paths),

@@ -51,9 +51,11 @@ def table(seed):
     return rows + [(None, "en"), ("", None), (" . ", "fr"), ("one", "fr"), (rows[0][0], rows[0][1])]
 
 
-@pytest.mark.parametrize("least,shard,report", [(30, 1 << 20, 2000), (5, 400, 2000), (3, 60, 7), (1, 1 << 20, 2000)])
+@pytest.mark.parametrize("least,shard,report", [(30, 1 << 20, 2000), (5, 200, 2000), (1, 30, 7)])
 def test_equals_brute_force(spark, least, shard, report, monkeypatch):
     monkeypatch.setattr(phrases, "SHARD", shard)
+    monkeypatch.setattr(phrases, "SLICE", 100)
+    monkeypatch.setattr(phrases, "CHUNK", 7)
     rows = table(least)
     df = spark.createDataFrame([(t, x, "c", 1, 2) for t, x in rows], "text string, lang string, key string, c int, total int").repartition(3)
     want = plain(rows, least, report=report)
