@@ -35,8 +35,8 @@ from citegrid.session import materialize, remove_tables, ship_package
 LEAST, LONGEST, REPORT = 30, 4, 2000
 #: Words of a shard, and shards of a table that is not larger than all of them.
 SHARD, SHARDS = 10_000_000, 16
-#: Bytes of text that are turned into words at a time, and places looked up at a time.
-SLICE, CHUNK = 2 << 20, 1 << 20
+#: Bytes of text that are turned into words at a time, places looked up at a time, and rows in a batch.
+SLICE, CHUNK, ROWS = 2 << 20, 1 << 18, 1 << 16
 
 #: Bytes that end a piece, bytes between words.
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -95,9 +95,11 @@ def keys(hashes: np.ndarray, length: int, salt: np.uint64) -> np.ndarray:
     return mix64(h ^ salt).view(np.int64)
 
 
-def places(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64, part: int, often) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of the phrases in one piece whose parts of ``part`` words may all be in the bitmap ``often``."""
-    at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def places(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64, part: int = 0, often=None,
+           among=None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of the phrases in one piece whose parts of ``part`` words may
+    all be in the bitmap ``often``, and that may be in the bitmap ``among`` themselves."""
+    at, found = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     n = len(hashes) - length + 1
     for lo in range(0, n, CHUNK):
         hi = min(n, lo + CHUNK)
@@ -105,26 +107,29 @@ def places(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64,
         fits = np.ones(hi - lo, bool)
         for j in range(1, length):
             fits &= joined[lo + j:hi + j]
-        likely = bitmap.has(often.value, keys(some, part, salt))
-        for j in range(length - part + 1):
-            fits &= likely[j:j + hi - lo]
+        if often is not None:
+            likely = bitmap.has(often.value, keys(some, part, salt))
+            for j in range(length - part + 1):
+                fits &= likely[j:j + hi - lo]
         here = np.flatnonzero(fits)
-        at.append(here + lo)
-        found.append(keys(some, length, salt)[here])
+        key = keys(some, length, salt)[here]
+        if among is not None and len(key):
+            good = bitmap.has(among.value, key)
+            here, key = here[good], key[good]
+        at.append((here + lo).astype(np.int32))
+        found.append(key)
     return np.concatenate(at), np.concatenate(found)
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Shards of a task: language -> (its words in all shards, hashes, joined)."""
-    held: dict[str, list] = {}
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
+    """Shards of a task, a language at a time: language, its words in all shards, hashes, joined."""
+    held: dict[str, tuple] = {}
     size = 0
 
-    def shard() -> dict:
-        out = {}
-        for lang in list(held):
+    def shard() -> Iterator[tuple]:
+        for lang in sorted(held):
             total, hashes, joined = held.pop(lang)
-            out[lang] = (total, np.concatenate(hashes), np.concatenate(joined))
-        return out
+            yield lang, total, np.concatenate(hashes), np.concatenate(joined)
 
     for batch in batches:
         for rows in slices(batch, max_bytes=SLICE):
@@ -136,10 +141,9 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
                 joined.append(w.joined[a:b])
             size += len(w.hashes)
             if size >= SHARD:
-                yield shard()
+                yield from shard()
                 size = 0
-    if held:
-        yield shard()
+    yield from shard()
 
 
 def _unique(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,33 +152,36 @@ def _unique(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[head], np.diff(np.append(head, len(found)))
 
 
+def _batches(names: np.ndarray, counts: np.ndarray) -> Iterator[tuple[pa.Array, pa.Array]]:
+    for lo in range(0, len(names), ROWS):
+        yield pa.array(names[lo:lo + ROWS]), pa.array(counts[lo:lo + ROWS], pa.int64())
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for shard in shards(batches):
-        for lang, (_, hashes, _) in shard.items():
-            names, counts = _unique(keys(hashes, 1, salt_of(lang)))
-            yield pa.record_batch([pa.array([lang] * len(names), pa.string()), pa.array(names), pa.array(counts, pa.int64())], ["lang", "key", "c"])
+    for lang, _, hashes, joined in shards(batches):
+        for names, counts in _batches(*_unique(places(hashes, joined, 1, salt_of(lang))[1])):
+            yield pa.record_batch([pa.array([lang] * len(names), pa.string()), names, counts], ["lang", "key", "c"])
 
 
 def _mine(lengths: range, part: int, often, least: int) -> Callable:
     """Keys that are frequent in a shard, at its lowered support."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches):
-            for lang, (total, hashes, joined) in shard.items():
-                support = max(1, -(-least * len(hashes) // max(1, total)))
-                for length in lengths:
-                    names, counts = _unique(places(hashes, joined, length, salt_of(lang), part, often)[1])
-                    yield pa.record_batch([pa.array(names[counts >= support])], ["key"])
+        for lang, total, hashes, joined in shards(batches):
+            support = max(1, -(-least * len(hashes) // max(1, total)))
+            for length in lengths:
+                names, counts = _unique(places(hashes, joined, length, salt_of(lang), part, often)[1])
+                high = counts >= support
+                for names, _ in _batches(names[high], counts[high]):
+                    yield pa.record_batch([names], ["key"])
     return run
 
 
 def _count(lengths: range, part: int, often, candidates) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches):
-            for lang, (_, hashes, joined) in shard.items():
-                for length in lengths:
-                    found = places(hashes, joined, length, salt_of(lang), part, often)[1]
-                    names, counts = _unique(found[bitmap.has(candidates.value, found)])
-                    yield pa.record_batch([pa.array(names), pa.array(counts, pa.int64())], ["key", "c"])
+        for lang, _, hashes, joined in shards(batches):
+            for length in lengths:
+                for names, counts in _batches(*_unique(places(hashes, joined, length, salt_of(lang), part, often, candidates)[1])):
+                    yield pa.record_batch([names, counts], ["key", "c"])
     return run
 
 
@@ -192,8 +199,7 @@ def _spell(longest: int, words, often) -> Callable:
         salt, hashes = salt_of(lang), w.hashes[a:b]
         part = {n: keys(hashes, n, salt) for n in range(1, longest + 1) if b - a >= n}
         for length in range(2, longest + 1):
-            at, key = places(hashes, w.joined[a:b], length, salt, 1 if length == 2 else 2, words if length == 2 else often)
-            at = at[bitmap.has(often.value, key)]
+            at, _ = places(hashes, w.joined[a:b], length, salt, 1 if length == 2 else 2, words if length == 2 else often, often)
             if not len(at):
                 continue
             names, first = np.unique(part[length][at], return_index=True)
