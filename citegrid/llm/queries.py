@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegrid.llm import (credentials, fingerprints, langid, mixing, ngram_join, packing, phrases, repeats, token_files,
-                          topk_search, toxicity, warc)
+from citegrid.llm import (credentials, fingerprints, hard_negatives, langid, mixing, ngram_join, packing, phrases, repeats,
+                          token_files, topk_search, toxicity, warc)
 from citegrid.session import scratch_path
 
 #: Vocabulary of the token files; the file is a parameter of the operator.
@@ -77,10 +77,16 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_topk_search, op2_bin_packing, op3_source_mixing, op4_token_files, op5_language_id,
                             op6_fingerprints, op7_secret_scan, op8_ngram_jaccard, op9_toxicity, op10_warc, op11_phrase_collocations,
-                            op12_substring_dedup)}
+                            op12_substring_dedup, op13_hard_negatives)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -202,4 +208,22 @@ k as (select r, sum(gone)::bigint as n_removed, string_agg(x, ' ' order by i) fi
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(k.n_removed, 0)::bigint as n_removed,
   sha256(coalesce(k.kept, '')) as kept_sha256
 from d left join k on d.r = k.r""",
+    "op13_hard_negatives": """
+with v as (
+  select row_number() over () as r, vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c as (select r, vec_id, label, unnest(q) as x, generate_subscripts(q, 1) as i, len(q) as n from v),
+s as (
+  select a.r as a, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as same, sum(a.x * b.x)::bigint as score
+  from c a join c b on a.i = b.i and a.n = b.n and a.r <> b.r where a.vec_id % 100 = 0 group by all),
+p as (
+  select a, anchor_id, r as pr, vec_id as positive_id, score as positive_score
+  from (select *, row_number() over (partition by a order by score desc, vec_id) as k from s where same) where k <= 5),
+w as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.a, p.pr order by s.score desc, s.vec_id) as rank
+  from p join s on p.a = s.a and not s.same and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from w where rank <= 10""",
 }

@@ -29,7 +29,7 @@ def test_query_matches_statement(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in [*range(1, 13)]} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
     assert "pipeline" in names and set(STATEMENTS) <= set(entry.oracle_sql())
 
 
