@@ -95,11 +95,10 @@ def keys(hashes: np.ndarray, length: int, salt: np.uint64) -> np.ndarray:
     return mix64(h ^ salt).view(np.int64)
 
 
-def places(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64, part: int = 0, often=None,
-           among=None) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of the phrases in one piece whose parts of ``part`` words may
-    all be in the bitmap ``often``, and that may be in the bitmap ``among`` themselves."""
-    at, found = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+def runs(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64, part: int = 0, often=None,
+         among=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and keys, some at a time, of the phrases in one piece whose parts of ``part`` words
+    may all be in the bitmap ``often``, and that may be in the bitmap ``among`` themselves."""
     n = len(hashes) - length + 1
     for lo in range(0, n, CHUNK):
         hi = min(n, lo + CHUNK)
@@ -116,20 +115,35 @@ def places(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64,
         if among is not None and len(key):
             good = bitmap.has(among.value, key)
             here, key = here[good], key[good]
-        at.append((here + lo).astype(np.int32))
-        found.append(key)
-    return np.concatenate(at), np.concatenate(found)
+        yield here + lo, key
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
-    """Shards of a task, a language at a time: language, its words in all shards, hashes, joined."""
+def counts_of(hashes: np.ndarray, *how) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and their counts, ROWS or so at a time, of the phrases that runs(hashes, *how) has."""
+    found, n = np.empty(len(hashes), np.int64), 0
+    for _, key in runs(hashes, *how):
+        found[n:n + len(key)] = key
+        n += len(key)
+    found = found[:n]
+    found.sort()
+    lo = 0
+    while lo < n:
+        hi = n if lo + ROWS >= n else int(np.searchsorted(found, found[lo + ROWS], "right"))
+        yield np.unique(found[lo:hi], return_counts=True)
+        lo = hi
+
+
+def shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
+    """Shards of a task, ``most`` words or so, a language at a time: language, its words in all shards, hashes, joined."""
     held: dict[str, tuple] = {}
     size = 0
 
     def shard() -> Iterator[tuple]:
         for lang in sorted(held):
-            total, hashes, joined = held.pop(lang)
-            yield lang, total, np.concatenate(hashes), np.concatenate(joined)
+            total, *parts = held.pop(lang)
+            while len(parts) > 1 and isinstance(parts[0], list):          # the pieces go before the whole is worked on
+                parts = [*parts[1:], np.concatenate(parts[0])]
+            yield lang, total, *parts
 
     for batch in batches:
         for rows in slices(batch, max_bytes=SLICE):
@@ -140,48 +154,35 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.nda
                 hashes.append(w.hashes[a:b])
                 joined.append(w.joined[a:b])
             size += len(w.hashes)
-            if size >= SHARD:
+            if size >= most:
                 yield from shard()
                 size = 0
     yield from shard()
 
 
-def _unique(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found.sort()
-    head = np.flatnonzero(np.concatenate([np.ones(min(1, len(found)), bool), found[1:] != found[:-1]]))
-    return found[head], np.diff(np.append(head, len(found)))
-
-
-def _batches(names: np.ndarray, counts: np.ndarray) -> Iterator[tuple[pa.Array, pa.Array]]:
-    for lo in range(0, len(names), ROWS):
-        yield pa.array(names[lo:lo + ROWS]), pa.array(counts[lo:lo + ROWS], pa.int64())
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for lang, _, hashes, joined in shards(batches):
-        for names, counts in _batches(*_unique(places(hashes, joined, 1, salt_of(lang))[1])):
-            yield pa.record_batch([pa.array([lang] * len(names), pa.string()), names, counts], ["lang", "key", "c"])
+    for lang, _, hashes, joined in shards(batches, SHARD // 8):
+        for names, counts in counts_of(hashes, joined, 1, salt_of(lang)):
+            yield pa.record_batch([pa.array([lang] * len(names), pa.string()), pa.array(names), pa.array(counts, pa.int64())], ["lang", "key", "c"])
 
 
 def _mine(lengths: range, part: int, often, least: int) -> Callable:
     """Keys that are frequent in a shard, at its lowered support."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, total, hashes, joined in shards(batches):
+        for lang, total, hashes, joined in shards(batches, SHARD):
             support = max(1, -(-least * len(hashes) // max(1, total)))
             for length in lengths:
-                names, counts = _unique(places(hashes, joined, length, salt_of(lang), part, often)[1])
-                high = counts >= support
-                for names, _ in _batches(names[high], counts[high]):
-                    yield pa.record_batch([names], ["key"])
+                for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often):
+                    yield pa.record_batch([pa.array(names[counts >= support])], ["key"])
     return run
 
 
 def _count(lengths: range, part: int, often, candidates) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, _, hashes, joined in shards(batches):
+        for lang, _, hashes, joined in shards(batches, SHARD):
             for length in lengths:
-                for names, counts in _batches(*_unique(places(hashes, joined, length, salt_of(lang), part, often, candidates)[1])):
-                    yield pa.record_batch([names, counts], ["key", "c"])
+                for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often, candidates):
+                    yield pa.record_batch([pa.array(names), pa.array(counts, pa.int64())], ["key", "c"])
     return run
 
 
@@ -199,7 +200,8 @@ def _spell(longest: int, words, often) -> Callable:
         salt, hashes = salt_of(lang), w.hashes[a:b]
         part = {n: keys(hashes, n, salt) for n in range(1, longest + 1) if b - a >= n}
         for length in range(2, longest + 1):
-            at, _ = places(hashes, w.joined[a:b], length, salt, 1 if length == 2 else 2, words if length == 2 else often, often)
+            at = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in runs(
+                hashes, w.joined[a:b], length, salt, 1 if length == 2 else 2, words if length == 2 else often, often))])
             if not len(at):
                 continue
             names, first = np.unique(part[length][at], return_index=True)

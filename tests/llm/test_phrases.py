@@ -56,6 +56,7 @@ def test_equals_brute_force(spark, least, shard, report, monkeypatch):
     monkeypatch.setattr(phrases, "SHARD", shard)
     monkeypatch.setattr(phrases, "SLICE", 100)
     monkeypatch.setattr(phrases, "CHUNK", 7)
+    monkeypatch.setattr(phrases, "ROWS", 5)
     rows = table(least)
     df = spark.createDataFrame([(t, x, "c", 1, 2) for t, x in rows], "text string, lang string, key string, c int, total int").repartition(3)
     want = plain(rows, least, report=report)
