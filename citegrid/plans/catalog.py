@@ -92,6 +92,25 @@ def q_knn_lexical(spark, sf):
     return r.top.select("qid", F.col("rank").cast("int").alias("rank"), "pmid", "score")
 
 
+def q_encode_documents(spark, sf):
+    """Every document in the space of the encoder trained on the corpus."""
+    v = retrieval.encoded_documents(spark, sf)
+    return v.select("pmid", F.round(V.l2_norm("vector"), 4).alias("norm"),
+                    F.array_join(F.transform("vector", _fmt), ",").alias("vec"))
+
+
+def q_knn_encoded(spark, sf):
+    """R1 on encoded questions and documents."""
+    r = retrieval.encoded_retrieval(spark, sf, K)
+    return r.top.select("qid", F.col("rank").cast("int").alias("rank"), "pmid", F.round("score", 4).alias("score"))
+
+
+def q_encoded_hit_at_k(spark, sf):
+    """A2 on the encoded retrieval."""
+    r = retrieval.encoded_retrieval(spark, sf, K)
+    return E.eval_rows(r.questions, r.hit_arrays, K).select("qid", "recall_at_k")
+
+
 def q_hits_with_docs(spark, sf):
     return retrieval.lexical_retrieval(spark, sf, K).hits
 
@@ -527,6 +546,10 @@ def q_ingest_xml_files(spark, sf):
     return markup.dedup_keep_first(markup.keep_nonempty(flat), "pmid", markup.POSITION).select("pmid", "title", "abstract")
 
 
+#: Queries whose result comes from a model trained on the corpus, which SQL can't
+#: express; ``tests/test_encoder.py`` holds them against NumPy.
+TRAINED = {"encode_documents", "knn_encoded", "encoded_hit_at_k"}
+
 REGISTRY = {
     "doc_text": q_doc_text,
     "l2_normalize": q_l2_normalize,
@@ -535,6 +558,9 @@ REGISTRY = {
     "knn_dense_block": q_knn_dense_block,
     "dense_hit_at_k": q_dense_hit_at_k,
     "knn_lexical": q_knn_lexical,
+    "encode_documents": q_encode_documents,
+    "knn_encoded": q_knn_encoded,
+    "encoded_hit_at_k": q_encoded_hit_at_k,
     "hits_with_docs": q_hits_with_docs,
     "silver_questions": q_silver_questions,
     "hit_at_k": q_hit_at_k,

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegrid.operators import lexical
+from citegrid.operators import encoder, lexical
 from citegrid.session import ensure_checkpoint_dir, materialize, remove_tables
 
 
@@ -92,6 +92,25 @@ def lexical_index(spark: SparkSession, articles: Callable[[], DataFrame], source
     return read_lexical_index(spark, private)
 
 
+def text_encoder(spark: SparkSession, articles: Callable[[], DataFrame], source_paths: list[str], name: str = "encoder",
+                 **parameters) -> encoder.Encoder:
+    """The encoder (P2) trained on these sources; trained from their lexical index if absent."""
+    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    told = "-".join(f"{k}{v}" for k, v in sorted(parameters.items()))
+    final = f"{base}/index/{name}{told and '-'}{told}-{source_key(spark, source_paths)}"
+    if _exists(spark, final):
+        return encoder.read(spark, final)
+    docvecs, _ = lexical_index(spark, articles, source_paths)
+    model = encoder.train(docvecs, **parameters)
+    private = f"{final}.build-{uuid.uuid4().hex[:12]}"
+    encoder.write(model, spark, private)
+    src, fs = _fs(spark, private)
+    dst, _ = _fs(spark, final)
+    if fs.exists(dst) or not fs.rename(src, dst):
+        return encoder.read(spark, private)
+    return encoder.read(spark, final)
+
+
 # Documents of one bucket of the doc store on average, and buckets at most.
 BUCKET_ROWS, MOST_BUCKETS = 512, 4096
 

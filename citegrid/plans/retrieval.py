@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citegrid.operators import lexical, silver, topk
+from citegrid.operators import dense, encoder, lexical, silver, topk
 from citegrid.plans import index
 from citegrid.session import materialize
 from citegrid.sources import corpus
@@ -52,6 +52,31 @@ def lexical_retrieval(spark: SparkSession, sf_dir: str, k: int = 5, questions: D
     return Retrieval(arts, qs, top, hits, topk.hit_arrays(hits))
 
 
+def text_encoder(spark: SparkSession, sf_dir: str) -> encoder.Encoder:
+    """The encoder trained on the documents table (and written, for the next time)."""
+    return index.text_encoder(spark, lambda: articles(spark, sf_dir), [f"{sf_dir.rstrip('/')}/documents.parquet"])
+
+
+def encoded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(pmid, vector)`` of the documents table."""
+    docvecs, _ = lexical_index(spark, sf_dir)
+    return encoder.encode(docvecs, text_encoder(spark, sf_dir))
+
+
+def encoded_retrieval(spark: SparkSession, sf_dir: str, k: int = 5, questions: DataFrame | None = None,
+                      n_questions: int = 140, seed: int = 13) -> Retrieval:
+    """Silver questions (or the given ones) against the encoded documents."""
+    arts = articles(spark, sf_dir)
+    qs = questions if questions is not None else silver.silver_questions(arts, n=n_questions, seed=seed, check_size=False)
+    qs = materialize(qs, "question-set")
+    _, vocab = lexical_index(spark, sf_dir)
+    model = text_encoder(spark, sf_dir)
+    docs = materialize(encoded_documents(spark, sf_dir), "encoded-documents")
+    top = materialize(dense.knn(encoder.encode_questions(qs, vocab, model), docs, k), "encoded-top")
+    hits = topk.hits_with_docs(top, index.lookup(doc_store(spark, sf_dir), top))
+    return Retrieval(arts, qs, top, hits, topk.hit_arrays(hits))
+
+
 def doc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written doc store of the documents table."""
     return index.doc_store(spark, lambda: articles(spark, sf_dir), [f"{sf_dir.rstrip('/')}/documents.parquet"])
