@@ -20,7 +20,7 @@ from citegrid.operators import evidence as EV
 from citegrid.operators import dense, lexical, topk
 from citegrid.plans import index, jobs, retrieval
 from citegrid.session import materialize, scratch_path
-from citegrid.sources import cascade, corpus, markup
+from citegrid.sources import cascade, corpus, markup, querytext
 
 K = 5
 SEP = " || "
@@ -473,9 +473,8 @@ def corpus_levels():
     """The reference's query cascade followed by two levels that the test
     corpus can satisfy (its licence lines)."""
     return cascade.dedup_levels(cascade.reference_levels() + [
-        cascade.Level('"apache license"[Title/Abstract]', cascade.tiab("apache license")),
-        cascade.Level('mit[Title/Abstract] AND license[Title/Abstract]',
-                      cascade.tiab("mit") & cascade.tiab("license")),
+        cascade.level('"apache license"[Title/Abstract]'),
+        cascade.level('mit[Title/Abstract] AND license[Title/Abstract]'),
     ])
 
 
@@ -488,7 +487,7 @@ N_DOCS = 800
 
 def q_ingest_semi_fetch(spark, sf):
     arts = retrieval.articles(spark, sf)
-    ids, _ = cascade.search(arts, corpus_levels(), N_DOCS)
+    ids, _ = cascade.search(arts, corpus_levels(), N_DOCS, order=["pmid"])
     return markup.semi_fetch(arts, ids).select("pmid", "title")
 
 
@@ -499,7 +498,7 @@ def q_index_meta(spark, sf):
 
 def q_ingest_meta(spark, sf):
     arts = retrieval.articles(spark, sf)
-    ids, used = cascade.search(arts, corpus_levels(), N_DOCS)
+    ids, used = cascade.search(arts, corpus_levels(), N_DOCS, order=["pmid"])
     fetched = markup.dedup_keep_first(markup.semi_fetch(arts, ids), "pmid", ["pmid"])
     return corpus.fetch_meta(fetched, used, N_DOCS)
 
@@ -524,10 +523,36 @@ def q_ingest_cascade_level(spark, sf):
 def q_ingest_head_n(spark, sf):
     """A limit below the number of matches, over articles that each occur twice."""
     arts = retrieval.articles(spark, sf)
-    ids, _ = cascade.search(arts.unionByName(arts), corpus_levels(), 5)
+    ids, _ = cascade.search(arts.unionByName(arts), corpus_levels(), 5, order=["pmid"])
     return ids
 
 
+#: Query texts of a user: fields, NOT, brackets, phrases, order of evaluation.
+FREE_QUERIES = (
+    '(license[Title/Abstract] OR "apache license"[Abstract] OR warranty[Abstract]) NOT "mit license"[Title/Abstract]',
+    "license[Title]",
+    "license[Abstract] NOT license[Title]",
+    'the OR of[Title] AND (license OR "free software")',
+    '"as is" warranty',
+)
+HEAD_N = 50
+
+
+def q_ingest_free_query(spark, sf):
+    """How many articles each of a user's query texts finds (one scan)."""
+    levels = [cascade.level(t) for t in FREE_QUERIES]
+    counts = cascade.level_counts(cascade.with_haystack(retrieval.articles(spark, sf)), levels)
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(i).alias("query"), F.lit(lv.name).alias("text"), F.col(f"n_{i}").alias("n"))
+                                             for i, lv in enumerate(levels)])).alias("e")).select("e.*")
+
+
+def q_ingest_relevance(spark, sf):
+    """S1 with sort=relevance, S9: the first articles of a user's query, best first."""
+    query = querytext.read(FREE_QUERIES[0])
+    found = querytext.relevance(cascade.with_haystack(retrieval.articles(spark, sf)), query, cascade.HAYSTACK)
+    return found.orderBy(F.desc("score"), "pmid").limit(HEAD_N)
+
+
 def _article_xml(title, abstract):
     plain = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     return F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("pmid"), F.lit("</PMID><Article><ArticleTitle>"), plain(title),
@@ -611,5 +636,7 @@ REGISTRY = {
     "ingest_filter_gaps": q_ingest_filter_gaps,
     "ingest_cascade_level": q_ingest_cascade_level,
     "ingest_head_n": q_ingest_head_n,
+    "ingest_free_query": q_ingest_free_query,
+    "ingest_relevance": q_ingest_relevance,
     "ingest_xml_files": q_ingest_xml_files,
 }

@@ -34,8 +34,8 @@ class IngestResult:
 
 def ingest(spark: SparkSession, xml_path: str, levels: list[cascade.Level], n_docs: int,
            out_dir: str | None = None) -> IngestResult:
-    """Article-set XML -> flat rows -> query cascade -> head-N -> keep-first
-    dedup -> corpus (CSV + Parquet), rejects, fetch metadata (S1–S12)."""
+    """Article-set XML -> flat rows -> query cascade -> head-N by relevance ->
+    keep-first dedup -> corpus (CSV + Parquet), rejects, fetch metadata (S1–S12)."""
     flat = markup.flatten_article_xml(markup.read_article_sets(spark, xml_path))
     flat = materialize(flat.drop("xml"), "ingest-flat")
     good = markup.keep_nonempty(flat).select("pmid", "title", "abstract", *markup.POSITION)

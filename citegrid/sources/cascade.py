@@ -2,10 +2,10 @@
 
 The reference sends a boolean title/abstract query to a search service and
 falls back through progressively broader queries until one returns
-anything.  Here a query is a Column predicate over the article table, built
-from ``tiab`` terms with ``&``/``|`` (no query-language parser).  All levels
-are evaluated in **one scan** (one ``count_if`` per level); the first level
-with a match wins.
+anything.  Here a query is a Column predicate over the article table, read from
+the query text (``level``) or built from ``tiab`` terms with ``&``/``|``.  All
+levels are evaluated in **one scan** (one ``count_if`` per level); the first level
+with a match wins, and its articles come in order of relevance.
 """
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from citegrid.functions.text import nz
 from citegrid.operators.lexical import terms
+from citegrid.sources import querytext
 
 
 HAYSTACK = "_tiab"
@@ -41,6 +42,13 @@ def tiab(phrase: str) -> Column:
 class Level:
     name: str          # the query text, recorded as ``query_used``
     predicate: Column
+    query: querytext.Query | None = None     # what relevance is counted on, where the level came from a text
+
+
+def level(text: str) -> Level:
+    """A level from its query text; raises ``querytext.QueryError`` where it is malformed."""
+    query = querytext.read(text)
+    return Level(text, querytext.predicate(query, HAYSTACK), query)
 
 
 def dedup_levels(levels: list[Level]) -> list[Level]:
@@ -53,22 +61,19 @@ def dedup_levels(levels: list[Level]) -> list[Level]:
     return out
 
 
-def reference_levels(base: Level | None = None) -> list[Level]:
-    """The base query followed by the fixed broader fallbacks."""
+def reference_levels(base: Level | str | None = None) -> list[Level]:
+    """The base query (a level or its text) followed by the fixed broader fallbacks."""
     # The query texts, broader from one to the next.
-    fallbacks = [
-        Level('(breast cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract] '
-              'OR transcriptomic[Title/Abstract])',
-              tiab("breast cancer") & (tiab("biomarker") | tiab("gene expression") | tiab("transcriptomic"))),
-        Level('(breast cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract])',
-              tiab("breast cancer") & (tiab("biomarker") | tiab("gene expression"))),
-        Level('(cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract])',
-              tiab("cancer") & (tiab("biomarker") | tiab("gene expression"))),
-        Level('biomarker[Title/Abstract] AND "gene expression"[Title/Abstract]',
-              tiab("biomarker") & tiab("gene expression")),
-        Level("cancer[Title/Abstract]", tiab("cancer")),
-    ]
-    return dedup_levels(([base] if base else [fallbacks[0]]) + fallbacks)
+    fallbacks = [level(text) for text in (
+        '(breast cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract] '
+        'OR transcriptomic[Title/Abstract])',
+        '(breast cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract])',
+        '(cancer[Title/Abstract]) AND (biomarker[Title/Abstract] OR "gene expression"[Title/Abstract])',
+        'biomarker[Title/Abstract] AND "gene expression"[Title/Abstract]',
+        "cancer[Title/Abstract]",
+    )]
+    first = level(base) if isinstance(base, str) else base
+    return dedup_levels(([first] if first else []) + fallbacks)
 
 
 def level_counts(articles: DataFrame, levels: list[Level]) -> DataFrame:
@@ -89,14 +94,18 @@ def choose_level(articles: DataFrame, levels: list[Level]) -> DataFrame:
 def search(articles: DataFrame, levels: list[Level], n_docs: int,
            order: list[str] | None = None) -> tuple[DataFrame, str]:
     """S1 + S8 + S9: ids of the first matching level, first ``n_docs`` by
-    ``order`` (default: pmid).  Raises when no level matches.  The winning
-    level is a one-row result (a bounded scalar read by the driver)."""
+    relevance (ties: by pmid), or by ``order`` where it is given; a level
+    without a query text has no relevance and goes by pmid.  Raises when no
+    level matches.  The winning level is a one-row result (a bounded scalar
+    read by the driver)."""
     chosen = choose_level(articles, levels).first()
     if chosen is None:
         raise ValueError("No article matched any query level; try a simpler query.")
     lv = levels[chosen["level"]]
     found = with_haystack(articles).where(lv.predicate)
-    if order:                                       # an id that repeats counts once, at its first place
+    if lv.query is not None and not order:
+        ids = querytext.relevance(with_haystack(articles), lv.query, HAYSTACK).orderBy(F.desc("score"), "pmid")
+    elif order:                                       # an id that repeats counts once, at its first place
         ids = found.groupBy("pmid").agg(F.min(F.struct(*order)).alias("place")).orderBy("place", "pmid")
     else:
         ids = found.select("pmid").distinct().orderBy("pmid")

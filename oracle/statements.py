@@ -228,3 +228,38 @@ STATEMENTS["ingest_cascade_level"] = (CASCADE + "SELECT level, query_used, n_mat
                               ELSE abstract END AS abstract FROM articles) a)""")
 STATEMENTS["ingest_head_n"] = CASCADE + f"SELECT DISTINCT pmid FROM hay WHERE CASE (SELECT level FROM chosen) {_case} END ORDER BY pmid LIMIT 5"
 STATEMENTS["ingest_xml_files"] = with_(ARTICLES) + "SELECT pmid, title, abstract FROM articles WHERE title <> '' OR abstract <> ''"
+
+# Free query texts: predicates written out by hand beside the texts.
+_TITLE, _ABSTRACT = "split_part(hay, '|', 1)", "split_part(hay, '|', 2)"
+FREE = [
+    ('(license[Title/Abstract] OR "apache license"[Abstract] OR warranty[Abstract]) NOT "mit license"[Title/Abstract]',
+     f"({_T('license')} OR contains({_ABSTRACT}, ' apache license ') OR contains({_ABSTRACT}, ' warranty ')) AND NOT {_T('mit license')}"),
+    ("license[Title]", f"contains({_TITLE}, ' license ')"),
+    ("license[Abstract] NOT license[Title]", f"contains({_ABSTRACT}, ' license ') AND NOT contains({_TITLE}, ' license ')"),
+    ('the OR of[Title] AND (license OR "free software")',
+     f"({_T('the')} OR contains({_TITLE}, ' of ')) AND ({_T('license')} OR {_T('free software')})"),
+    ('"as is" warranty', f"{_T('as is')} AND {_T('warranty')}"),
+]
+STATEMENTS["ingest_free_query"] = with_(ARTICLES, S.HAY) + " UNION ALL ".join(
+    f"SELECT {i} AS query, {S.sq(t)} AS text, count_if({p}) AS n FROM hay" for i, (t, p) in enumerate(FREE))
+
+
+def _often(words: str, field: str) -> str:
+    """Occurrences of words in a field, spaces doubled so that neighbours share none."""
+    said = "  ".join(words.split())
+    return f"(length(replace({field}, ' ', '  ')) - length(replace(replace({field}, ' ', '  '), ' {said} ', ''))) / {len(said) + 2}"
+
+
+_SAID = [(_T("license"), f"2 * {_often('license', _TITLE)} + {_often('license', _ABSTRACT)}"),
+         (f"contains({_ABSTRACT}, ' apache license ')", _often("apache license", _ABSTRACT)),
+         (f"contains({_ABSTRACT}, ' warranty ')", _often("warranty", _ABSTRACT))]
+STATEMENTS["ingest_relevance"] = with_(
+    ARTICLES, S.HAY,
+    f"sized AS (SELECT pmid, hay, length(hay) - length(replace(hay, ' ', '')) - 2 AS size, {FREE[0][1]} AS fits, "
+    + ", ".join(f"{t} AS tf{i}" for i, (_, t) in enumerate(_SAID)) + " FROM hay)",
+    "stats AS (SELECT count(*) AS rows, avg(length(hay) - length(replace(hay, ' ', '')) - 2) AS mean, "
+    + ", ".join(f"count_if({p}) AS n{i}" for i, (p, _) in enumerate(_SAID)) + " FROM hay)",
+    "scored AS (SELECT pmid, round(" + " + ".join(
+        f"ln(1 + (rows - n{i} + 0.5) / (n{i} + 0.5)) * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * size / mean))" for i in range(len(_SAID)))
+    + ", 6) AS score FROM sized, stats WHERE fits)") + """
+SELECT pmid, max(score) AS score FROM scored GROUP BY pmid ORDER BY score DESC, pmid LIMIT 50"""
