@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citegrid.session import materialize, ship_package
+from citegrid.session import materialize, remove_tables, ship_package
 
 #: Links that one task contracts in memory.
 LINKS_PER_TASK = 500_000
@@ -57,26 +57,31 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
-def components(links: DataFrame, links_per_task: int = LINKS_PER_TASK) -> DataFrame:
+def components(links: DataFrame, links_per_task: int = LINKS_PER_TASK, paths: list[str] | None = None) -> DataFrame:
     """(node long, root long) for every node with a link; root is the smallest
     node reachable, and roots themselves are not listed.
 
     ``links`` has long columns a and b.  Empty input gives no rows; self links
     and repeated links change nothing; rows with a null end are ignored.
+    ``paths`` receives the written table that the result reads.
     """
     spark = links.sparkSession
     ship_package(spark)
-    now = materialize(links.select("a", "b").where("a != b"), "links")
+    scratch: list[str] = []
+    now = materialize(links.select("a", "b").where("a != b"), "links", scratch)
     n = now.count()
     while True:
         tasks = max(1, -(-n // links_per_task))
         dealt = now.repartition(tasks, F.least("a", "b")) if tasks > 1 else now.coalesce(1)
-        now = materialize(dealt.mapInArrow(_contract, "a long, b long"), "forest")
+        now = materialize(dealt.mapInArrow(_contract, "a long, b long"), "forest", scratch)
         if tasks > 1:
-            spread = materialize(_star(now, large=True), "large-star")
-            after = materialize(_star(spread, large=False), "small-star")
+            spread = materialize(_star(now, large=True), "large-star", scratch)
+            after = materialize(_star(spread, large=False), "small-star", scratch)
             same = after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty()
             now, n = after, after.count()
             if not same:
                 continue
+        remove_tables(spark, scratch[:-1])
+        if paths is not None:
+            paths.append(scratch[-1])
         return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -16,7 +16,7 @@ documents.  The order is used three times:
   separate rows and summed per pair.
 
 Copies (equal sets) are one class and never expanded.  Groups first test every
-member against the group's smallest member; components of those links are
+member against four members of the group; components of those links are
 known before the other pairs are looked at, and pairs inside a component are
 not tested again.  Hot groups are cut into blocks and tested block by block.
 Pairs are compared where the rows lie; only pairs that pass the bound become rows.
@@ -35,7 +35,7 @@ from citegrid.llm import bitmap
 from citegrid.llm.columns import fresh
 from citegrid.llm.components import components
 from citegrid.llm.textbatch import flat, mix64, shingle_hashes, slices, word_hashes
-from citegrid.session import materialize, ship_package
+from citegrid.session import materialize, remove_tables, ship_package
 
 #: Cells of the frequency sketch (its size is fixed: 4 MB when broadcast as int64).
 CELLS = 1 << 19
@@ -47,6 +47,8 @@ FRAGMENTS = 8
 GROUP_BLOCK = 2048
 #: Bytes of text that a task turns into n-grams at a time.
 SLICE = 2 << 20
+#: Smallest groups of a set that its rows name, so that a pair is rarely emitted by a second group.
+NAMED = 16
 #: Parity bits per n-gram of a set (rounded up to a power of two), and at least.
 PARITY_RATE, LEAST_PARITY = 2, 256
 ENTRY = "sh long, cls long, n long, up int"
@@ -70,7 +72,7 @@ class Rule:
         return n - -(-self.num * n // self.den) + 1
 
 
-def _fits(rule: Rule, x: str, y: str) -> Column:
+def _fits(rule: Rule, x, y) -> Column:
     """Whether sets of these sizes can link."""
     return F.least(x, y) * rule.den >= F.greatest(x, y) * rule.num
 
@@ -260,20 +262,20 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                               ["a", "b", "n_a", "n_b", "overlap"])
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, sketch, cuts) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, sketch, cuts, paths: list[str]) -> DataFrame:
     """The pairs (a, b) of classes that link, by partial overlaps per fragment
     summed per pair.  Reads the texts of one row of each class named in ``pairs``."""
     spark = docs.sparkSession
     named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     rows = classes.join(named, "cls").groupBy("cls").agg(F.min("k").alias("k"))
-    wanted = materialize(rows.select("k").distinct(), "join-wanted")
+    wanted = materialize(rows.select("k").distinct(), "join-wanted", paths)
     texts, n = docs.select(doc_key().alias("k"), "text"), wanted.count()
     few = n * 4 <= bitmap.MOST_BITS
     if few:                                # else the bitmap would let most rows pass, and a join moves less
         texts = texts.mapInArrow(_segments(rule, sketch, cuts, spark.sparkContext.broadcast(bitmap.build(wanted, n))), SEGMENT)
     else:
         texts = texts.join(wanted, "k", "left_semi").mapInArrow(_segments(rule, sketch, cuts), SEGMENT)
-    segments = materialize(texts.join(named, "cls", "left_semi").dropDuplicates(["cls", "fragment"]), "join-segments")
+    segments = materialize(texts.join(named, "cls", "left_semi").dropDuplicates(["cls", "fragment"]), "join-segments", paths)
     side = lambda x: segments.select(
         F.col("cls").alias(x), "fragment", F.col("n").alias(f"n_{x}"), F.col("segment").alias(f"seg_{x}"))
     partial = (pairs.select("a", "b").join(side("a"), "a").join(side("b"), ["b", "fragment"])
@@ -326,16 +328,18 @@ def _rows(lists: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(at.tolist(), at[1:].tolist())]
 
 
-def _first_meeting(x: np.ndarray, up_x: np.ndarray, y: np.ndarray, up_y: np.ndarray) -> int:
-    """The smallest of the groups in which two sets are compared: those that
-    both are in, one of them at least in its own band."""
+def _met_before(sh: int, x: np.ndarray, up_x: np.ndarray, y: np.ndarray, up_y: np.ndarray) -> bool:
+    """Whether the named groups show one before ``sh`` in which two sets are
+    compared: both are in it, one of them at least in its own band.  In the
+    first of their groups there is none, so every pair is emitted at least once."""
     both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    return int(both[(up_x[i] == 0) | (up_y[j] == 0)].min())
+    return bool(((both < sh) & ((up_x[i] == 0) | (up_y[j] == 0))).any())
 
 
 def _compare(rule: Rule) -> Callable:
     """Rows sorted by (sh, tile); emits the pairs of a tile that lie in two
-    components and that size and parity bounds allow, each in one group only."""
+    components and that size and parity bounds allow; a pair that the named groups
+    show to have met before is left to that group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -385,7 +389,7 @@ def _compare(rule: Rule) -> Callable:
                         apart[at_x] = np.bitwise_count(m[i[at_x]] ^ m[j[at_x]]).sum(axis=1)
                     near = apart <= total - 2 * rule.least_overlap(total)
                     i, j = i[near], j[near]
-                    first = [sh[x] == _first_meeting(keys[x], ups[x], keys[y], ups[y]) for x, y in zip(i.tolist(), j.tolist())]
+                    first = [not _met_before(sh[x], keys[x], ups[x], keys[y], ups[y]) for x, y in zip(i.tolist(), j.tolist())]
                     i, j = i[first], j[first]
                     found.append(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]))
             d += 1
@@ -421,10 +425,12 @@ def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
 @dataclass
 class Joined:
     """documents: (doc_id, k, th, cls, n) per row; links: (a, b) between classes
-    that differ, enough to connect every component; labels: (node, root) of components()."""
+    that differ, enough to connect every component; labels: (node, root) of components();
+    paths: the written tables behind them, for ``remove_tables``."""
     documents: DataFrame
     links: DataFrame
     labels: DataFrame
+    paths: list[str]
 
 
 def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
@@ -438,6 +444,8 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     """
     spark = docs.sparkSession
     ship_package(spark)
+    paths: list[str] = []
+    kept: list[str] = []
     cells = frequency_sketch(docs, rule.k)
     sketch, cuts = spark.sparkContext.broadcast(cells), pivots(cells)
     described = materialize(
@@ -445,49 +453,58 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
                     F.xxhash64("text").alias("th"), "text")
         .mapInArrow(_describe(rule, sketch),
                     "doc_id long, k long, th long, cls long, n long, prefix array<long>, parity binary"),
-        "join-described")
+        "join-described", paths)
     classes = described.where("parity is not null")
 
     entries = described.where("prefix is not null")
     shared = materialize(entries.select(F.explode("prefix").alias("sh")).groupBy("sh").count().where("count > 1").select("sh"),
-                         "join-shared")
+                         "join-shared", paths)
     often = spark.sparkContext.broadcast(bitmap.build(shared, shared.count()))
     keyed = entries.select("cls", "n", "prefix")
     met = materialize(keyed.mapInArrow(_entries(often, rule), ENTRY).select("sh").groupBy("sh").count().where("count > 1")
-                      .select("sh"), "join-met")
+                      .select("sh"), "join-met", paths)
     meeting = spark.sparkContext.broadcast(bitmap.build(met, met.count()))
     prefix = keyed.mapInArrow(_entries(often, rule, meeting), ENTRY)
-    groups = prefix.groupBy("sh").agg(F.min("cls").alias("lead"), F.max("cls").alias("most"), F.min_by("n", "cls").alias("lead_n"),
-                                      F.min("up").alias("up"), F.count(F.lit(1)).alias("rows")).where("lead != most and up = 0").drop("most", "up")
-    members = materialize(prefix.join(groups, "sh").withColumn("fits", _fits(rule, "n", "lead_n"))
-                          .where("fits or rows > 2"), "join-members")
-    star = materialize(members.where("fits and cls != lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(),
-                       "join-star")
+    # four members of a group, the same in all groups of a family of copies: the least and the greatest, and the least by two hashes
+    leads = [(F.min, F.min_by, F.col("cls")), (F.max, F.max_by, F.col("cls"))] + [
+        (lambda c, by=F.xxhash64("cls", F.lit(i)): F.min_by(c, by), F.min_by, F.xxhash64("cls", F.lit(i))) for i in (1, 2)]
+    groups = (prefix.groupBy("sh").agg(
+        F.min("up").alias("up"), F.count(F.lit(1)).alias("rows"), *(first("cls").alias(f"lead_{i}") for i, (first, _, _) in enumerate(leads)),
+        *(best("n", by).alias(f"n_{i}") for i, (_, best, by) in enumerate(leads))).where("lead_0 != lead_1 and up = 0")
+        .select("sh", "rows", F.array_distinct(F.array(*(F.struct(F.col(f"lead_{i}").alias("lead"), F.col(f"n_{i}").alias("lead_n"))
+                                                         for i in range(len(leads))))).alias("leads")))
+    fitting = F.filter("leads", lambda x: (x["lead"] != F.col("cls")) & _fits(rule, F.col("n"), x["lead_n"]))
+    members = materialize(prefix.join(groups, "sh").withColumn("leads", fitting).where("size(leads) > 0 or rows > 2"), "join-members", paths)
+    star = members.select("cls", F.explode("leads.lead").alias("lead"))
+    star = materialize(star.select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct(), "join-star", paths)
     many = members.where("rows > 2").select("sh", "cls", "n", "up").distinct()
     looked_at = (star.select(F.col("a").alias("cls")).unionByName(star.select(F.col("b").alias("cls")))
                  .unionByName(many.select("cls")).distinct())
     known_sets = materialize(classes.join(looked_at, "cls").groupBy("cls").agg(
-        F.max("n").alias("n"), F.first("parity").alias("parity")), "join-parities")
+        F.max("n").alias("n"), F.first("parity").alias("parity")), "join-parities", paths)
     side = lambda x: known_sets.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}"))
     star = (star.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "p_a", "p_b")
             .mapInArrow(_within_bound(rule), "a long, b long"))
-    first = materialize(_linked(materialize(star, "join-star-near"), docs, classes, rule, sketch, cuts), "join-links")
-    known = components(first)
+    first = materialize(_linked(materialize(star, "join-star-near", paths), docs, classes, rule, sketch, cuts, paths), "join-links", paths)
+    known = components(first, paths=paths)
 
     named = (many.join(known.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "up", "comp"))
     split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
              .where("lo != hi and size > 2").select("sh", "size"))
-    compared = materialize(named.join(split.select("sh"), "sh", "left_semi"), "join-compared")
-    own = compared.groupBy("cls").agg(F.collect_list(F.struct("sh", "up")).alias("k")).select(      # at most two a prefix n-gram
+    compared = materialize(named.join(split.select("sh"), "sh", "left_semi"), "join-compared", paths)
+    own = compared.groupBy("cls").agg(F.slice(F.array_sort(F.collect_list(F.struct("sh", "up"))), 1, NAMED).alias("k")).select(
         "cls", F.col("k.sh").alias("keys"), F.col("k.up").alias("ups")).join(known_sets.select("cls", "parity"), "cls")
     rest = _tiles(compared.join(own, "cls"), split)
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     near = (rest.repartition(tasks, "sh", "tile").sortWithinPartitions("sh", "tile", "cls")
             .mapInArrow(_compare(rule), "a long, b long").distinct())
-    second = _linked(materialize(near, "join-near"), docs, classes, rule, sketch, cuts)
-    links = materialize(first.unionByName(second), "join-all-links")
-    return Joined(described.select("doc_id", "k", "th", "cls", "n"), links, components(links))
+    second = _linked(materialize(near, "join-near", paths), docs, classes, rule, sketch, cuts, paths)
+    links = materialize(first.unionByName(second), "join-all-links", kept)
+    labels = components(links, paths=kept)
+    documents = materialize(described.select("doc_id", "k", "th", "cls", "n"), "join-documents", kept)
+    remove_tables(spark, paths)
+    return Joined(documents, links, labels, kept)
 
 
 def component_ids(joined: Joined) -> DataFrame:
@@ -509,12 +526,15 @@ def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id
     (a hash of the text stands in for a null id); documents without words all
     stay.  Of rows that repeat the document that stays, one stays."""
-    ids = materialize(component_ids(join(docs, rule)).where("comp is not null"), "keep-ids")
+    joined, paths = join(docs, rule), []
+    ids = materialize(component_ids(joined).where("comp is not null"), "keep-ids", paths)
+    remove_tables(docs.sparkSession, joined.paths)
     low = ids.groupBy("comp").agg(F.min(F.struct("k", "th")).alias("low"))
     marked = ids.join(low, "comp").withColumn("stays", F.struct("k", "th") == F.col("low"))
     gone = materialize(marked.where("not stays").select("k", "th").distinct(), "keep-gone")
     repeated = materialize(marked.where("stays").groupBy("k", "th").count().where("count > 1").select("k", "th"),
                            "keep-repeated")
+    remove_tables(docs.sparkSession, paths)
     k, th = fresh(docs, "k"), fresh(docs, "th")
     keyed = docs.withColumns({k: doc_key(), th: F.xxhash64("text")})
     same = lambda t: t.select(F.col("k").alias(k), F.col("th").alias(th))

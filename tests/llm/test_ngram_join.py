@@ -172,3 +172,32 @@ def test_size_bands_keep_linkable_sizes_together():
         for n in range(1, 2000):
             m = n * rule.den // rule.num
             assert np.searchsorted(bands, m, "right") - np.searchsorted(bands, n, "right") in (0, 1)
+
+
+def test_rows_stay_small_in_long_texts(spark, monkeypatch):
+    """A set's rows name a bounded number of groups, however long its text is; no pair is lost by that."""
+    monkeypatch.setattr(ngram_join, "NAMED", 1)
+    rows = near_copies(24, 400, 70, 8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    _, groups = check(df, rows, ngram_join.Rule(5, 80, 100))
+    assert len(groups) > 1
+    x = np.array([3, 5, 9])
+    zero = np.zeros(3, int)
+    assert not ngram_join._met_before(3, x, zero, x, zero) and ngram_join._met_before(5, x, zero, x, zero)
+    assert not ngram_join._met_before(5, x, zero + 1, x, zero + 1)
+
+
+def test_scratch_tables_are_removed(spark, docs):
+    from citegrid.session import ensure_checkpoint_dir
+
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/tables")
+    store = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def tables():
+        return {str(x.getPath().getName()).rsplit("-", 1)[0] for x in store.listStatus(fs)} if store.exists(fs) else set()
+
+    before = {str(x.getPath().getName()) for x in store.listStatus(fs)} if store.exists(fs) else set()
+    kept = ngram_join.keep_one(docs)
+    kept.count()
+    after = {str(x.getPath().getName()) for x in store.listStatus(fs)} - before
+    assert {x.rsplit("-", 1)[0] for x in after} == {"keep-gone", "keep-repeated"} and tables()
