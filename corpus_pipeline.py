@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from citegrid.llm import credentials, mixing, ngram_join, packing, toxicity
-from citegrid.session import materialize
+from citegrid.session import materialize, remove_tables
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +50,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[str] = []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        written: list[str] = []
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", written)
+        remove_tables(spark, before)         # of the stages' results the last one stays
+        before = written
     return docs
