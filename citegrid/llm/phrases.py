@@ -7,7 +7,7 @@ rounded up); the locally frequent phrases of all shards are united, and one
 more scan counts every one of them exactly.  That is done twice: for phrases of
 two words, and then for longer ones, which are only looked at where all their
 pairs of neighbours are frequent as a whole.  Tables of up to SHARDS * SHARD
-words are read in SHARDS tasks, so that the lowered support stays above one;
+words are cut into SHARDS shards or so, whose lowered support is above one;
 beyond that shards keep their size, and where their share of the support is one
 all their phrases with frequent parts are candidates.
 
@@ -166,10 +166,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array([lang] * len(names), pa.string()), pa.array(names), pa.array(counts, pa.int64())], ["lang", "key", "c"])
 
 
-def _mine(lengths: range, part: int, often, least: int) -> Callable:
+def _mine(lengths: range, part: int, often, least: int, most: int) -> Callable:
     """Keys that are frequent in a shard, at its lowered support."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, total, hashes, joined in shards(batches, SHARD):
+        for lang, total, hashes, joined in shards(batches, most):
             support = max(1, -(-least * len(hashes) // max(1, total)))
             for length in lengths:
                 for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often):
@@ -187,7 +187,7 @@ def _count(lengths: range, part: int, often, candidates) -> Callable:
 
 
 def _spell(longest: int, words, often) -> Callable:
-    """Words, and keys of all their parts, of the phrases that may be frequent; once a task."""
+    """Words of the phrases that may be frequent; once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set = set()
         for batch in batches:
@@ -213,15 +213,23 @@ def _spell(longest: int, words, often) -> Callable:
             spans = a + at[:, None] + np.arange(length)
             text = [b" ".join([w.data[s:e].tobytes() for s, e in zip(x, y)]).translate(_LOWER).decode()
                     for x, y in zip(w.begin[spans].tolist(), w.end[spans].tolist())]
-            # parts by length, then by first word
-            parts = np.stack([part[n][at + j] for n in range(1, length) for j in range(length - n + 1)], axis=1)
-            sizes = pa.array(np.arange(len(at) + 1) * parts.shape[1], pa.int32())
-            yield pa.record_batch([pa.array(names), pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), length, np.int32)),
-                                   pa.array(text, pa.string()), pa.ListArray.from_arrays(sizes, pa.array(parts.ravel()))],
-                                  ["key", "lang", "length", "phrase", "parts"])
+            yield pa.record_batch([pa.array(names), pa.array([lang] * len(at), pa.string()), pa.array(text, pa.string())], ["key", "lang", "phrase"])
     return run
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the number of words and the keys of all shorter parts, by length, then by first word."""
+    for batch in batches:
+        data, offsets = flat(batch.column("phrase"))
+        hashes, first = word_hashes(data, offsets, _WORD_BYTE)
+        parts = []
+        for lang, a, b in zip(batch.column("lang").to_pylist(), first.tolist(), first[1:].tolist()):
+            salt = salt_of(lang)
+            parts.append(np.concatenate([keys(hashes[a:b], n, salt) for n in range(1, b - a)]))
+        yield pa.record_batch([*(batch.column(c) for c in ("key", "lang", "phrase", "a")), pa.array(np.diff(first), pa.int32()),
+                               pa.array(parts, pa.list_(pa.int64()))], ["key", "lang", "phrase", "a", "length", "parts"])
+
+
 def _at(length: Column, part: Column, first: Column) -> Column:
     """Place in ``parts`` (from 1) of the part with that many words from word ``first`` (from 0) on."""
     # parts of n words come after those of 1 .. n-1 words, of which there are (length - m + 1) for m words
@@ -250,15 +258,16 @@ def frequent(docs: DataFrame, least: int, longest: int, paths: list[str]) -> tup
     for part, lengths in ((1, range(2, min(longest, 2) + 1)), (2, range(3, longest + 1))):
         if not lengths:
             continue
-        candidates = materialize(dealt.mapInArrow(_mine(lengths, part, known[-1], least), "key long").distinct(), f"phrases-local-{part}", paths)
+        candidates = materialize(dealt.mapInArrow(_mine(lengths, part, known[-1], least, max(1, min(SHARD, -(-size // SHARDS)))), "key long").distinct(), f"phrases-local-{part}", paths)
         counted = (dealt.mapInArrow(_count(lengths, part, known[-1], filter_of(candidates)), "key long, c long")
                    .groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= least))
         counts.append(materialize(counted, f"phrases-count-{part}", paths))
         known.append(filter_of(counts[-1] if part == 1 else counts[-2].unionByName(counts[-1])))
     often = counts[1] if len(counts) == 2 else counts[1].unionByName(counts[2])
-    spelled = rows.mapInArrow(_spell(longest, known[0], known[-1]), "key long, lang string, length int, phrase string, parts array<long>")
+    spelled = rows.mapInArrow(_spell(longest, known[0], known[-1]), "key long, lang string, phrase string")
     spelled = spelled.join(often.withColumnRenamed("c", "a"), "key")
-    phrases = spelled.groupBy("key").agg(*(F.first(c).alias(c) for c in ("lang", "length", "phrase", "parts", "a")))
+    phrases = (spelled.groupBy("key").agg(*(F.first(c).alias(c) for c in ("lang", "phrase", "a")))
+               .mapInArrow(_parts, "key long, lang string, phrase string, a long, length int, parts array<long>"))
     return (materialize(phrases.join(totals, "lang"), "phrases-spelled", paths),
             materialize(counts[0].unionByName(often), "phrases-often", paths))
 
