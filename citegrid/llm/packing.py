@@ -1,7 +1,9 @@
 """Conflict-constrained best-fit packing.
 
 Documents are cut into pieces of at most ``capacity`` words and dealt to
-shards of bounded size; each shard packs its pieces, largest first.  Open bins
+shards of bounded size by a hash of what they are, so that the bins are the
+same however the table is cut into files and tasks; each shard packs its
+pieces, largest first.  Open bins
 are held by residual; each carries a bitmap of the sources and one of the
 duplicate clusters it holds.  A piece goes to the bin with the smallest
 residual that fits: the successor search starts at the piece's size and
@@ -21,6 +23,8 @@ from citegrid.session import materialize, ship_package
 CAPACITY = 2048
 #: Pieces that one task packs; bounds its memory and its search.
 SHARD_PIECES = 4096
+#: Copies of one row that are written out at a time.
+COPIES = 4096
 
 
 def cluster_of_text() -> Column:
@@ -77,8 +81,8 @@ def _bits(codes: np.ndarray) -> list[int]:
 
 def _pack_shard(capacity: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["words", "doc_id", "uid", "piece"], ascending=[False, True, True, True],
-                              kind="stable").reset_index(drop=True)
+        by = ["words", "doc_id", "source", "cluster", "size", "copy", "piece"]
+        pdf = pdf.sort_values(by, ascending=[c != "words" for c in by]).reset_index(drop=True)
         sources = _bits(pd.factorize(pdf["source"].fillna("\0null"))[0])
         clusters = pdf["cluster"].where(pdf["cluster"].duplicated(keep=False))   # a cluster seen once can't conflict
         bits = _bits(pd.factorize(clusters)[0])
@@ -96,21 +100,27 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PI
     A bin holds at most ``capacity`` words, no two pieces of one source and no
     two of one duplicate cluster; null sources count as one source.  Documents
     without words are one piece of 0 words; repeated rows are documents of
-    their own.  An empty table gives an empty result.
+    their own.  An empty table gives an empty result.  The bins depend on the
+    rows alone, not on their order or layout.
     """
     spark = docs.sparkSession
     ship_package(spark)
     pieces = F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)).cast("int")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        cluster_of_text().alias("cluster"), n_words("text").alias("size"))
-    # the row number tells repeated rows apart; it is written once and never computed again
-    rows = materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "pack-rows")
-    n = rows.agg(F.coalesce(F.sum(pieces), F.lit(0)).alias("n")).first()["n"]
+    # rows alike in all that is packed are counted; the number of a copy tells them apart
+    alike = ["doc_id", "source", "cluster", "size"]
+    rows = materialize(rows.groupBy(*alike).agg(F.count(F.lit(1)).alias("copies")), "pack-rows")
+    n = rows.agg(F.coalesce(F.sum(pieces * F.col("copies")), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-n // shard_pieces))
-    cut = (rows.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    last = F.col("copies") - 1
+    first = F.col("block") * COPIES
+    each = (rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPIES))))
+            .withColumn("copy", F.explode(F.sequence(first, F.least(last, first + (COPIES - 1))))))
+    cut = (each.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
            .withColumn("start", F.col("piece").cast("long") * capacity)
            .withColumn("words", F.least(F.lit(capacity).cast("long"), F.col("size") - F.col("start")))
-           .withColumn("shard", F.pmod(F.xxhash64("uid", "piece"), F.lit(shards)).cast("long")))
-    return (cut.select("doc_id", "uid", "source", "cluster", "piece", "start", "words", "shard").groupBy("shard")
+           .withColumn("shard", F.pmod(F.xxhash64(*alike, "copy", "piece"), F.lit(shards)).cast("long")))
+    return (cut.select(*alike, "copy", "piece", "start", "words", "shard").groupBy("shard")
             .applyInPandas(_pack_shard(capacity),
                            "doc_id long, source string, piece int, start long, words long, bin_id long"))
