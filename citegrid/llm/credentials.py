@@ -2,18 +2,30 @@
 
 Base findings are strong on their own.  Other parts are weak: a long mixed
 token, an endpoint, a short account identifier mean little by themselves.
-Weak parts are reported only where complementary parts meet in one scope:
-identifiers, secrets and endpoints, any two of them, and then all the weak
-ones of the two.  Parts are intervals;
-they meet when no more than REACH characters lie between them and no blank
-line does.  Intervals are joined by a sweep in order of their starts, inside
-the document that holds them, so no row leaves its task.
+Weak parts are reported only where complementary parts meet in one scope.
+Parts are intervals; they meet when no more than REACH characters lie between
+them and no blank line does.  What complements what:
+
+* a token: an access id, a named identifier or an endpoint;
+* a named identifier: an assignment, a token or a hex run;
+* an endpoint: an access id, an assignment or a token; a hex run (a commit, a
+  checksum) only together with a named identifier.
+
+So a plain link beside a commit, a word after ``account:`` beside a link and
+links among themselves are no credentials.  What lies inside an endpoint is
+part of it, unless it is its user-info or the value of a key parameter; a
+token there meets the endpoint that holds it.
+
+Intervals are joined inside the document that holds them, so no row leaves
+its task.  Of the parts on one side of a part the nearest one decides, which
+is found by bisection: the join takes n log n steps for n parts, whatever
+their lengths.
 """
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,8 +50,9 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ENDPOINT = re.compile(r"(?:https?|wss?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s\"'<>]+")
 NAMED_ID = re.compile(r"""(?ai:\b(?:user(?:name)?|account|client_?id|access_?key_?id|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""")
 
-#: What a part is of a credential; parts of two sorts are complementary.
-SORT = {"id": "identifier", "identifier": "identifier", "secret": "secret", "token": "secret", "endpoint": "endpoint"}
+# Places inside an endpoint that hold a secret: user-info, values of key parameters.
+USER_INFO = re.compile(r"://([^/?#@]+)@")
+KEY_VALUE = re.compile(r"[?&;#](?ai:[a-z_-]*(?:key|token|secret|passw(?:or)?d|signature|sig|auth|credential))=([^&;#]+)")
 
 Span = tuple[int, int, str]
 
@@ -58,41 +71,79 @@ def _mixed(token: str) -> bool:
             and len(set(token)) >= 10)
 
 
-def _weak_parts(text: str) -> list[Span]:
-    out = [(m.start(), m.end(), "endpoint") for m in ENDPOINT.finditer(text)] if "://" in text else []
-    out += [(m.start(1), m.end(1), "identifier") for m in NAMED_ID.finditer(text)]
-    out += [(m.start(), m.end(), "token") for m in TOKEN.finditer(text) if _mixed(m.group())]
-    return out
+def _endpoints(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
+
+
+def _key_places(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Where an endpoint holds secrets."""
+    return [m.span(1) for p in (USER_INFO, KEY_VALUE) for m in p.finditer(text, start, end)]
+
+
+def _tokens(text: str, start: int, end: int) -> list[Span]:
+    return [(m.start(), m.end(), "token") for m in TOKEN.finditer(text, start, end) if _mixed(m.group())]
+
+
+class _Side:
+    """Intervals of some kinds, asked for the nearest one on either side."""
+
+    def __init__(self, parts: list[Span], kinds: set[str]):
+        self.starts = sorted(s for s, _, k in parts if k in kinds)
+        self.ends = sorted(e for _, e, k in parts if k in kinds)
+
+    def meets(self, text: str, start: int, end: int, reach: int) -> bool:
+        i = bisect_left(self.starts, end)
+        if i < len(self.starts) and self.starts[i] - end <= reach and "\n\n" not in text[end:self.starts[i]]:
+            return True
+        i = bisect_right(self.ends, start) - 1
+        return i >= 0 and start - self.ends[i] <= reach and "\n\n" not in text[self.ends[i]:start]
 
 
 def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak parts next to a complementary part.
+    """Weak parts that meet a complementary part (see the module's rule).
 
-    Strong secrets are assignments and hex strings, strong identifiers access
-    ids.  Identifiers, secrets (tokens too) and endpoints complement each
-    other, whichever of them are weak.  Base spans that cover a weak part whole
-    leave nothing of it; one that they touch stays whole, but a token has to be
-    mixed by what is neither an access id nor an assignment.
+    Base spans that cover a weak part whole leave nothing of it; one that they
+    touch stays whole, but a token has to be mixed by what is neither an
+    access id nor an assignment.
     """
-    weak = _weak_parts(text)
+    endpoints = _endpoints(text)
+    inside: list[Span] = []                       # tokens in key places of endpoints
+    holders: dict[Span, tuple[int, int]] = {}
+    places: list[tuple[int, int]] = []
+    weak: list[Span] = []
+    at = 0
+    for start, end in endpoints:
+        weak += _tokens(text, at, start)
+        at = end
+        for place in _key_places(text, start, end):
+            places.append(place)
+            found = _tokens(text, *place)
+            inside += found
+            holders.update((t, (start, end)) for t in found)
+    weak += _tokens(text, at, len(text)) + inside
+    weak += [(s, e, "endpoint") for s, e in endpoints]
+    weak += [(m.start(1), m.end(1), "identifier") for m in NAMED_ID.finditer(text)]
     if not weak:
         return []
-    strong = [(s, e, {"assign": "secret", "hex": "secret", "access": "id"}[k]) for s, e, k in base]
     covered, own = _merged(base), _merged([b for b in base if b[2] != "hex"])
-    weak = [w for w in weak if not _covers(covered, w) and (w[2] != "token" or _mixed(_rest(text, own, w)))]
-    parts = sorted(strong + weak)
-    starts = [p[0] for p in parts]
-    longest = max(e - s for s, e, _ in parts)
+    weak = [w for w in dict.fromkeys(weak) if not _covers(covered, w) and (w[2] != "token" or _mixed(_rest(text, own, w)))]
+    places.sort()
+    whole = [b for b in base if b[2] != "hex" or not _covers(endpoints, b) or _covers(places, b)]
+    parts = whole + weak
+    side = {k: _Side(parts, {k}) for k in ("access", "assign", "hex", "token", "identifier", "endpoint")}
+    keyed = {holders[w] for w in weak if w in holders}
     out = []
-    for s, e, kind in weak:
-        i = bisect_left(starts, s - reach - longest)
-        while i < len(parts) and starts[i] <= e + reach:
-            s2, e2, other = parts[i]
-            i += 1
-            gap = (max(s, s2) - min(e, e2)) if (s2 >= e or s >= e2) else -1
-            if SORT[other] != SORT[kind] and 0 <= gap <= reach and "\n\n" not in text[min(e, e2):max(s, s2)]:
-                out.append((s, e, f"linked_{kind}"))
-                break
+    for w in weak:
+        s, e, kind = w
+        near = lambda *kinds: any(side[k].meets(text, s, e, reach) for k in kinds)  # noqa: B023, E731
+        if kind == "token":
+            linked = w in holders or near("access", "identifier", "endpoint")
+        elif kind == "identifier":
+            linked = near("assign", "token", "hex")
+        else:
+            linked = (s, e) in keyed or near("access", "assign", "token") or (near("hex") and near("identifier"))
+        if linked:
+            out.append((s, e, f"linked_{kind}"))
     return sorted(out)
 
 

@@ -32,21 +32,89 @@ def test_base_spans():
         assert cr.base_spans(text) == base_plain(text), text
 
 
-def linked_plain(text):
-    base = cr.base_spans(text)
-    weak = [w for w in cr._weak_parts(text) if not any(s < w[1] and w[0] < e for s, e, _ in base)]
-    strong = [(s, e, {"assign": "secret", "hex": "secret", "access": "id"}[k]) for s, e, k in base]
-    wants = {"token": {"id", "identifier"}, "identifier": {"secret", "token"}, "endpoint": {"secret", "token", "id"}}
-    out = []
-    for s, e, k in weak:
-        for s2, e2, other in strong + weak:
-            gap = s2 - e if s2 >= e else s - e2 if s >= e2 else None
-            if gap is not None and gap <= cr.REACH and other in wants[k] and "\n\n" not in text[min(e, e2):max(s, s2)]:
-                out.append((s, e, f"linked_{k}"))
-                break
+def mixed(t):
+    return all(re.search(p, t) for p in ("[0-9]", "[a-z]", "[A-Z]")) and len(set(t)) >= 10
+
+
+def linked_plain(text, reach=200):
+    """The rule on every pair of parts, by positions; none of the operator's code."""
+    base = base_plain(text)
+    urls = [m.span() for m in re.finditer(r"(?:https?|wss?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?)://[^\s\"'<>]+", text)]
+    ids = [m.span(1) for m in re.finditer(r"""(?i:\b(?:user(?:name)?|account|client_?id|access_?key_?id|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""",
+                                          text, re.ASCII)]
+    places = []
+    for s, e in urls:
+        url = text[s:e]
+        for p in (r"://([^/?#@]+)@", r"[?&;#](?i:[a-z_-]*(?:key|token|secret|passwd|password|signature|sig|auth|credential))=([^&;#]+)"):
+            places += [(s + m.start(1), s + m.end(1), (s, e)) for m in re.finditer(p, url, re.ASCII)]
+    outside = "".join("\0" if any(s <= i < e for s, e in urls) else c for i, c in enumerate(text))
+    tokens = {m.span(): None for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", outside) if mixed(m.group())}
+    for s, e, url in places:
+        tokens.update({(s + m.start(), s + m.end()): url for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text[s:e]) if mixed(m.group())})
+    own = {i for s, e, k in base if k != "hex" for i in range(s, e)}
+    taken = {i for s, e, _ in base for i in range(s, e)}
+    left = lambda s, e: not taken.issuperset(range(s, e))
+    tokens = {t: u for t, u in tokens.items() if left(*t) and mixed("".join(text[i] for i in range(*t) if i not in own))}
+    urls_left, ids = [u for u in urls if left(*u)], {i for i in ids if left(*i)}
+    kinds = {k: [(s, e) for s, e, b in base if b == k] for k in ("assign", "access", "hex")}
+    kinds["hex"] = [(s, e) for s, e in kinds["hex"] if not any(a <= s and e <= b for a, b in urls)
+                    or any(a <= s and e <= b for a, b, _ in places)]
+    kinds |= {"token": list(tokens), "identifier": list(ids), "endpoint": urls_left}
+
+    def near(s, e, *which):
+        for k in which:
+            for s2, e2 in kinds[k]:
+                between = text[e:s2] if s2 >= e else text[e2:s] if e2 <= s else None
+                if between is not None and len(between) <= reach and "\n\n" not in between:
+                    return True
+        return False
+    out = [(s, e, "linked_token") for (s, e), url in tokens.items() if url or near(s, e, "access", "identifier", "endpoint")]
+    out += [(s, e, "linked_identifier") for s, e in ids if near(s, e, "assign", "token", "hex")]
+    out += [(s, e, "linked_endpoint") for s, e in urls_left if (s, e) in tokens.values() or near(s, e, "access", "assign", "token")
+            or near(s, e, "hex") and near(s, e, "identifier")]
     return sorted(out)
 
 
+PIECES = [KEY, TOKEN, "0123456789abcdef0123", "https://db.example/x", f"https://db.example/d/{TOKEN}", f"https://db.example/?a=1&key={TOKEN}x",
+          f"postgres://bob:{TOKEN}@db.example/x", "https://x.example/0123456789abcdef01", "user: alice", "account=bob", "password: hunter2hunter2",
+          "\n\n", "\n", "word", "x " * 99, f"x{KEY}y", f"secret={TOKEN}", f"{TOKEN}/https://db.example/y", "wss://h/?token=abcdefabcdefabcd"]
+
+
+def test_random_texts_equal_the_plain_rule():
+    import random
+    rng = random.Random(5)
+    linked = 0
+    for _ in range(400):
+        text = "".join(rng.choice(PIECES) + rng.choice([" ", " ", "\n", ""]) for _ in range(rng.randint(1, 9)))
+        got = cr.linked_spans(text, cr.base_spans(text))
+        assert got == linked_plain(text), text
+        linked += len(got)
+    assert linked > 300
+
+
+def test_ordinary_prose_stays():
+    for text in ["See https://example.org/about and https://drive.example.org/d/1AbCdEfGh2iJkLmNoP3q for slides.",
+                 "account: premium, see https://example.org/help",
+                 "Login: required. Manual at https://example.org/manual/Chapter12OfTheGuide, https://example.org/b",
+                 "user: alice at https://db.example.com/v1"]:
+        assert cr.redact_text(text) == text
+    # a hex run is a base finding, the link beside it is none
+    assert cr.redact_text("commit 0123456789abcdef0123 fixed, docs at https://docs.example.org/page") == \
+        "commit [hex] fixed, docs at https://docs.example.org/page"
+
+
+def test_long_tokens_are_linear():
+    import time
+
+    def seconds(n):
+        text = TOKEN * 6000 + " " + "https://h.example/x " * n
+        t = time.perf_counter()
+        assert len(cr.find(text)[1]) == 11                  # the token, and the links within reach of it
+        return time.perf_counter() - t
+    seconds(1000)
+    assert seconds(16_000) < 2.0
+
+
 def test_links_only_complementary_parts():
     for text in CASES + ["\n".join(CASES), f"{KEY} " * 300 + f"{TOKEN} " * 300]:
         assert cr.linked_spans(text, cr.base_spans(text)) == linked_plain(text), text
@@ -62,7 +130,9 @@ def test_links_go_both_ways():
         (f"key {key}\nendpoint {url}", "linked_token:4:34,linked_endpoint:44:69", "key [linked_token]\nendpoint [linked_endpoint]"),
         (f"endpoint {url}\n\nkey {key}", "", f"endpoint {url}\n\nkey {key}"),
         (f"endpoint {url}\n{'x ' * 101}{key}", "", f"endpoint {url}\n{'x ' * 101}{key}"),
-        (f"user: alice at {url}", "linked_identifier:6:11,linked_endpoint:15:40", "user: [linked_identifier] at [linked_endpoint]"),
+        (f"user: alice key {key}", "linked_identifier:6:11,linked_token:16:46", "user: [linked_identifier] key [linked_token]"),
+        (f"user: bob 0123456789abcdef {url}", "linked_identifier:6:9,hex:10:26,linked_endpoint:27:52", "user: [linked_identifier] [hex] [linked_endpoint]"),
+        (f"at mysql://bob:{key}@h.example/x", "linked_endpoint:3:57,linked_token:15:45", "at [linked_endpoint]"),
         (f"{KEY} {run} end", "access:0:20,linked_token:21:53,hex:30:48", "[access] [linked_token] end"),
         (f"{run} alone", "hex:9:27", "ghp_AbCdE[hex]ZqXw9 alone"),
         (f"{KEY} at {url}/0123456789abcdef01/x", "access:0:20,linked_endpoint:24:70,hex:50:68", "[access] at [linked_endpoint]"),
