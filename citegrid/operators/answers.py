@@ -7,9 +7,9 @@ ready answers.  A function runs through ``mapInPandas`` a few rows at a time,
 with a timeout; an error is captured in a column and costs the rows of its call
 only.  It sees only the rows that still need an answer — Catalyst cannot push a
 filter through a Python operator, so the filter is placed before it by hand.
-Every round writes its new rows to the shared checkpoint folder, so a
-non-deterministic model is never called twice for the same row and lineage
-stays short.
+Every round writes its new rows to the shared checkpoint folder, so lineage
+stays short and later steps never call the model again; a task that fails and
+is run again does repeat the calls of its own rows.
 """
 from __future__ import annotations
 
@@ -121,9 +121,3 @@ def answer_questions(ctx: DataFrame, generator: Generator, k: int, max_retries:
             "qid", C.retry_prompt(F.col("prompt"), F.col("validation.issues")).alias("prompt"))
     final = reduce(DataFrame.unionByName, [r.where("validation.ok") for r in rounds[:-1]] + [rounds[-1]])
     return with_fallback(ctx.join(final, "qid"), k, text)
-
-
-def table_generator(answers: pd.DataFrame) -> Generator:
-    """A generator that looks answers up in a small in-memory table (tests)."""
-    lookup = dict(zip(answers["qid"], answers["answer"]))
-    return lambda pdf: pdf["qid"].map(lambda q: lookup.get(q, "")).astype("string")

@@ -4,10 +4,11 @@ Spark has no vector-similarity operator, so the scoring is a block matrix
 product in NumPy inside ``mapInArrow``; everything around it (partitioning,
 exchange, the final top-k) is ordinary Spark.
 
-There is one plan for every size.  Queries are cut into tiles of a bounded
-number of rows; a tile is broadcast and the documents are scanned, never
-shuffled.  Each task keeps exactly k rows per query, so it emits Q·k rows per
-tile.  Scoring every vector against every other is quadratic by nature: the
+Queries are cut into tiles of a bounded number of rows.  A single tile is
+broadcast and the documents are scanned, never shuffled; several tiles meet
+blocks of documents by number (``tiles.meet``), so the driver never holds more
+than one tile and the plan is the same for any number of them.  Each task
+keeps exactly k rows per query.  Scoring every vector against every other is quadratic by nature: the
 plan keeps it distributed and memory-bounded, not cheap.
 
 Vectors take part when they are not null, have the common length, and hold
@@ -16,13 +17,13 @@ no null or non-finite component; all others are listed by ``vector_rejects``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citegrid.operators import tiles
 from citegrid.operators.topk import BestSoFar, top_k
 from citegrid.session import materialize, ship_package
 
@@ -58,21 +59,28 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return flat.reshape(n, -1) if n else np.zeros((0, 0))
 
 
-def _score_tile(tile, k: int, qid: str, did: str, dvec: str, schema: pa.Schema, exclude_self: bool):
+def _best(qids: np.ndarray, Q: np.ndarray, blocks: Iterator[tuple[np.ndarray, np.ndarray]], k: int, exclude_self: bool,
+          schema: pa.Schema) -> pa.RecordBatch:
+    """The k best documents of all blocks (ids, vectors) for each query of a tile."""
+    best = BestSoFar(k)
+    for ids, D in blocks:
+        for lo in range(0, len(qids), CHUNK):
+            S = Q[lo:lo + CHUNK] @ D.T
+            if exclude_self:
+                S[qids[lo:lo + CHUNK, None] == ids[None, :]] = -np.inf
+            best.add(S, ids, lo)
+    return pa.RecordBatch.from_arrays([pa.array(qids[best.q].tolist(), schema.field(0).type),
+                                       pa.array(best.d.tolist(), schema.field(1).type), pa.array(best.s)], schema=schema)
+
+
+def _vectors(rows: pa.Table | pa.RecordBatch, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
+    ids, lists = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (rows.column(key), rows.column(vec)))
+    return ids.to_numpy(zero_copy_only=False), _matrix(lists)
+
+
+def _score_tile(tile, k: int, did: str, dvec: str, schema: pa.Schema, exclude_self: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, Q = tile.value
-        best = BestSoFar(k)
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ids, D = rb.column(did).to_numpy(zero_copy_only=False), _matrix(rb.column(dvec))
-            for lo in range(0, len(qids), CHUNK):
-                S = Q[lo:lo + CHUNK] @ D.T
-                if exclude_self:
-                    S[qids[lo:lo + CHUNK, None] == ids[None, :]] = -np.inf
-                best.add(S, ids, lo)
-        yield pa.RecordBatch.from_arrays([pa.array(qids[best.q].tolist(), schema.field(0).type),
-                                          pa.array(best.d.tolist(), schema.field(1).type), pa.array(best.s)], schema=schema)
+        yield _best(*tile.value, (_vectors(rb, did, dvec) for rb in batches if rb.num_rows), k, exclude_self, schema)
     return run
 
 
@@ -87,15 +95,17 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
     arrow = to_arrow_schema(schema)
     dim = dimension(docs, dvec)
     asked = queries.select(qid, qvec).where(usable(qvec, dim))
-    n_tiles = max(1, -(-asked.count() // tile_rows))
-    asked = materialize(asked.withColumn("tile", F.pmod(F.xxhash64(qid), F.lit(n_tiles))), "query-tiles")
+    asked, n_tiles = tiles.numbered(asked, qid, asked.count(), tile_rows, "tile")
+    asked = materialize(asked, "query-tiles")
     found = docs.select(did, dvec).where(usable(dvec, dim))
-    parts = []
-    for t in range(n_tiles):
-        rows = asked.where(F.col("tile") == t).select(qid, qvec).toArrow().combine_chunks()      # one tile, some tile_rows rows
-        tile = (rows.column(0).to_numpy(), _matrix(rows.column(1).combine_chunks()))
-        parts.append(found.mapInArrow(_score_tile(spark.sparkContext.broadcast(tile), k, qid, did, dvec, arrow, exclude_self), schema))
-    return reduce(DataFrame.unionByName, parts)
+    if n_tiles == 1:
+        tile = _vectors(asked.select(qid, qvec).toArrow(), qid, qvec)                       # at most tile_rows rows
+        return found.mapInArrow(_score_tile(spark.sparkContext.broadcast(tile), k, did, dvec, arrow, exclude_self), schema)
+    found, n_blocks = tiles.numbered(found, did, docs.count(), tiles.BLOCK_ROWS, "block")
+
+    def score(tile: pa.Table, block: pa.Table) -> pa.RecordBatch:
+        return _best(*_vectors(tile, qid, qvec), iter([_vectors(block, did, dvec)]), k, exclude_self, arrow)
+    return tiles.meet(asked, n_tiles, found, n_blocks, score, schema)
 
 
 def knn(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid", qvec: str = "vector",

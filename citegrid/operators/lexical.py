@@ -6,10 +6,12 @@ Two forms of the same index: ``postings(pmid, term, w)`` (one row per term
 occurrence) and ``doc vectors(pmid, terms[], ws[])`` (one row per document,
 what is written to disk; postings are an ``explode`` of it).
 
-There is one scoring plan for every size.  Questions are cut into tiles of a
-bounded number of rows; the vectors of a tile are broadcast as an inverted
-list, and each task scores its documents with a vectorised sparse product in
-NumPy and keeps exactly k rows per question.  No (question, document) pair
+Questions are cut into tiles of a bounded number of rows; the vectors of a
+tile form an inverted list, and each task scores its documents with a
+vectorised sparse product in NumPy and keeps exactly k rows per question.  A
+single tile is broadcast and the documents stay where they are; several tiles
+meet blocks of documents by number (``tiles.meet``), so no question beyond one
+tile passes through the driver.  No (question, document) pair
 reaches a shuffle, and a term shared by a third of the corpus costs
 arithmetic, not exchange volume.
 """
@@ -17,7 +19,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,8 +26,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citegrid.functions.text import doc_text, nz
+from citegrid.operators import tiles
 from citegrid.operators.topk import BestSoFar, top_k
 from citegrid.session import materialize, ship_package
 
@@ -90,15 +93,16 @@ def build_doc_vectors(articles: DataFrame, keep=None) -> tuple[DataFrame, DataFr
     the document frequencies are counted once.
 
     Terms seen in one document only (most of a large vocabulary) share one
-    idf, and so do terms of every document (the labels of the text form among
-    them); only the others are joined for theirs, so no term with a row per
-    document meets in one task and the join side stays small."""
+    idf, and so do the first EVERYWHERE terms of every document (the labels of
+    the text form among them); all others are joined for theirs, where AQE
+    splits a term of very many documents."""
     keep = keep or (lambda df, name: df)
     documents = keep(document_terms(articles), "index-terms")
     n_docs = documents.count()
     vocab = keep(vocabulary(documents, n_docs), "index-vocab")
-    joined = vocab.where((F.col("df") >= 2) & (F.col("df") < n_docs)).select("term", "idf")
-    everywhere = [r["term"] for r in vocab.where(F.col("df") == n_docs).limit(EVERYWHERE).collect()] if n_docs > 1 else []
+    common = vocab.where(F.col("df") == n_docs).orderBy("term").limit(EVERYWHERE)
+    everywhere = [r["term"] for r in common.collect()] if n_docs > 1 else []
+    joined = vocab.where((F.col("df") >= 2) & ~F.col("term").isin(everywhere)).select("term", "idf")
     rows = documents.select("pmid", F.explode(F.arrays_zip("terms", "tfs")).alias("z")) \
         .select("pmid", F.col("z.terms").alias("term"), F.col("z.tfs").alias("tf"))
     single = F.log((F.lit(n_docs) + 1) / F.lit(2)) + 1
@@ -136,72 +140,83 @@ BLOCK_CELLS = 4_000_000
 SLICE_CONTRIBUTIONS = 8_000_000
 
 
+class Tile:
+    """The question vectors of a tile as an inverted list term -> (question, weight)."""
+
+    def __init__(self, q: pd.DataFrame):
+        self.qids = np.array(sorted(q["qid"].unique()), dtype=object)
+        self.terms = np.array(sorted(q["term"].unique()), dtype=object)
+        qi = pd.Index(self.qids).get_indexer(q["qid"])
+        ti = pd.Index(self.terms).get_indexer(q["term"])
+        order = np.argsort(ti, kind="stable")
+        self.questions, self.weights = qi[order], q["w"].to_numpy()[order]
+        self.offsets = np.searchsorted(ti[order], np.arange(len(self.terms) + 1))
+
+    def best(self, batches: Iterator[pa.RecordBatch], k: int) -> pa.RecordBatch:
+        """The k best documents (``pmid, terms, ws``) of all batches for each
+        question.  A batch's terms are looked up in the list
+        (``pyarrow.compute.index_in``), each matching posting is expanded to
+        its questions, and the products are accumulated into a dense
+        questions x documents block with ``bincount``."""
+        best = BestSoFar(k)
+        vocab = pa.array(list(self.terms), pa.string())
+        for rb in batches:
+            if rb.num_rows and len(self.qids):
+                self._add(best, rb, vocab)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.qids[best.q].tolist(), pa.string()), pa.array(best.d.tolist(), pa.string()), pa.array(best.s, pa.float64())],
+            names=["qid", "pmid", "score"])
+
+    def _add(self, best: BestSoFar, rb: pa.RecordBatch, vocab: pa.Array) -> None:
+        n_q = len(self.qids)
+        chunk = max(1, BLOCK_CELLS // n_q)
+        col = pc.index_in(rb.column("terms").flatten(), value_set=vocab)       # vectorised term lookup
+        hit = col.is_valid().to_numpy(zero_copy_only=False)
+        if not hit.any():
+            return
+        doc = pc.list_parent_indices(rb.column("terms")).to_numpy()[hit]
+        col = col.fill_null(0).to_numpy()[hit]
+        w = rb.column("ws").flatten().to_numpy(zero_copy_only=False)[hit]
+        pmids = rb.column("pmid").to_numpy(zero_copy_only=False)
+        docs = np.unique(doc)
+        for lo in range(0, len(docs), chunk):
+            part = docs[lo:lo + chunk]
+            sel = (doc >= part[0]) & (doc <= part[-1])
+            d_loc, c_sel, w_sel = np.searchsorted(part, doc[sel]), col[sel], w[sel]
+            starts = self.offsets[c_sel]
+            cnt = self.offsets[c_sel + 1] - starts
+            S = np.zeros(n_q * len(part))
+            cum = np.cumsum(cnt)
+            a = 0
+            while a < len(cnt):
+                b = int(np.searchsorted(cum, (cum[a - 1] if a else 0) + SLICE_CONTRIBUTIONS, "right"))
+                b = max(b, a + 1)
+                n = cnt[a:b]
+                rep = np.repeat(np.arange(a, b), n)
+                first = np.repeat(starts[a:b] - (np.cumsum(n) - n), n)
+                pos = first + np.arange(int(n.sum()))
+                S += np.bincount(self.questions[pos] * len(part) + d_loc[rep], weights=self.weights[pos] * w_sel[rep],
+                                 minlength=n_q * len(part))
+                a = b
+            S = S.reshape(n_q, len(part))
+            S[S <= 0] = -np.inf           # only documents sharing a term are candidates
+            best.add(S, pmids[part])
+
+
+CANDIDATES = T.StructType([T.StructField("qid", T.StringType()), T.StructField("pmid", T.StringType()), T.StructField("score", T.DoubleType())])
+
+
 def block_candidates(q: pd.DataFrame, docvecs: DataFrame, k: int) -> DataFrame:
-    """Per-task top-k candidates ``(qid, pmid, score)``.
-
-    The query vectors ``q`` (pandas ``qid, term, w``; one tile) are broadcast
-    as an inverted list term -> (question, weight).  A task maps its documents'
-    terms to that list (``pyarrow.compute.index_in``), expands each matching
-    posting to its questions, accumulates the products into a dense
-    questions × documents block with ``bincount``, and keeps a running top-k
-    per question.  Only those candidates leave the task."""
+    """Per-task top-k candidates ``(qid, pmid, score)`` for one tile of question
+    vectors ``q`` (pandas ``qid, term, w``), which is broadcast.  Only those
+    candidates leave a task."""
     spark = docvecs.sparkSession
     ship_package(spark)
-    qids = np.array(sorted(q["qid"].unique()), dtype=object)
-    tvals = np.array(sorted(q["term"].unique()), dtype=object)
-    qi = pd.Index(qids).get_indexer(q["qid"])
-    ti = pd.Index(tvals).get_indexer(q["term"])
-    order = np.argsort(ti, kind="stable")
-    qi_s, ti_s, w_s = qi[order], ti[order], q["w"].to_numpy()[order]
-    offsets = np.searchsorted(ti_s, np.arange(len(tvals) + 1))
-    bc = spark.sparkContext.broadcast((qids, tvals, offsets, qi_s, w_s))
+    tile = spark.sparkContext.broadcast(Tile(q))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, tvals, offsets, qi_s, w_s = bc.value
-        n_q = len(qids)
-        chunk = max(1, BLOCK_CELLS // max(n_q, 1))
-        vocab_q = pa.array(list(tvals), pa.string())
-        best = BestSoFar(k)
-        for rb in batches:
-            if rb.num_rows == 0 or n_q == 0:
-                continue
-            terms, ws = rb.column("terms"), rb.column("ws")
-            col = pc.index_in(terms.flatten(), value_set=vocab_q)          # vectorised term lookup
-            hit = col.is_valid().to_numpy(zero_copy_only=False)
-            if not hit.any():
-                continue
-            doc = pc.list_parent_indices(terms).to_numpy()[hit]
-            col = col.fill_null(0).to_numpy()[hit]
-            w = ws.flatten().to_numpy(zero_copy_only=False)[hit]
-            pmids = rb.column("pmid").to_numpy(zero_copy_only=False)
-            docs = np.unique(doc)
-            for lo in range(0, len(docs), chunk):
-                part = docs[lo:lo + chunk]
-                sel = (doc >= part[0]) & (doc <= part[-1])
-                d_loc, c_sel, w_sel = np.searchsorted(part, doc[sel]), col[sel], w[sel]
-                starts = offsets[c_sel]
-                cnt = offsets[c_sel + 1] - starts
-                S = np.zeros(n_q * len(part))
-                cum = np.cumsum(cnt)
-                a = 0
-                while a < len(cnt):
-                    b = int(np.searchsorted(cum, (cum[a - 1] if a else 0) + SLICE_CONTRIBUTIONS, "right"))
-                    b = max(b, a + 1)
-                    n = cnt[a:b]
-                    rep = np.repeat(np.arange(a, b), n)
-                    first = np.repeat(starts[a:b] - (np.cumsum(n) - n), n)
-                    pos = first + np.arange(int(n.sum()))
-                    S += np.bincount(qi_s[pos] * len(part) + d_loc[rep], weights=w_s[pos] * w_sel[rep],
-                                     minlength=n_q * len(part))
-                    a = b
-                S = S.reshape(n_q, len(part))
-                S[S <= 0] = -np.inf           # only documents sharing a term are candidates
-                best.add(S, pmids[part])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(qids[best.q].tolist(), pa.string()), pa.array(best.d.tolist(), pa.string()), pa.array(best.s, pa.float64())],
-            names=["qid", "pmid", "score"])
-
-    return docvecs.select("pmid", "terms", "ws").mapInArrow(run, "qid string, pmid string, score double")
+        yield tile.value.best(batches, k)
+    return docvecs.select("pmid", "terms", "ws").mapInArrow(run, CANDIDATES)
 
 
 def search(questions: DataFrame, docvecs: DataFrame, vocab: DataFrame, k: int,
@@ -211,13 +226,16 @@ def search(questions: DataFrame, docvecs: DataFrame, vocab: DataFrame, k: int,
     ``docvecs`` is the written index (``pmid, terms, ws``).  A question that
     shares a term with fewer than k documents is filled up with the smallest
     ids it has not hit, at score 0."""
+    ship_package(docvecs.sparkSession)
     asked = materialize(questions.select("qid", "question").withColumn("n", F.lit(1)), "questions")
-    n_tiles = max(1, -(-asked.count() // tile_questions))
-    asked = asked.withColumn("tile", F.pmod(F.xxhash64("qid"), F.lit(n_tiles)))
-    vectors = materialize(query_vectors(asked, vocab).withColumn("tile", F.pmod(F.xxhash64("qid"), F.lit(n_tiles))), "question-vectors")
-    parts = [block_candidates(vectors.where(F.col("tile") == t).select("qid", "term", "w").toPandas(), docvecs, k)
-             for t in range(n_tiles)]
+    vectors, n_tiles = tiles.numbered(query_vectors(asked, vocab), "qid", asked.count(), tile_questions, "tile")
+    vectors = vectors.select("qid", "term", "w", "tile")
+    if n_tiles == 1:
+        found = block_candidates(vectors.toPandas(), docvecs, k)               # at most tile_questions questions
+    else:
+        docs, n_blocks = tiles.numbered(docvecs.select("pmid", "terms", "ws"), "pmid", docvecs.count(), tiles.BLOCK_ROWS, "block")
+        found = tiles.meet(materialize(vectors, "question-vectors"), n_tiles, docs, n_blocks,
+                           lambda tile, block: Tile(tile.to_pandas()).best(iter(block.to_batches()), k), CANDIDATES)
     smallest = [r["pmid"] for r in docvecs.select("pmid").orderBy("pmid").limit(k).collect()]
     fill = asked.select("qid", F.explode(F.array(*map(F.lit, smallest)).cast("array<string>")).alias("pmid"), F.lit(0.0).alias("score"))
-    found = reduce(DataFrame.unionByName, parts).unionByName(fill)
-    return top_k(found.groupBy("qid", "pmid").agg(F.max("score").alias("score")), k)
+    return top_k(found.unionByName(fill).groupBy("qid", "pmid").agg(F.max("score").alias("score")), k)

@@ -133,6 +133,6 @@ def evaluate(spark: SparkSession, articles: DataFrame, postings: DataFrame, voca
     metrics = E.eval_metrics(rows, k, embed_model, llm, run_llm, eval_csv or "")
     if out_dir:
         corpus.write_json_single(E.metrics_file(metrics), f"{out_dir}/eval_metrics")
-        rows.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out_dir}/eval_table")
+        rows.write.mode("overwrite").option("header", True).csv(f"{out_dir}/eval_table")
         runs.write.mode("overwrite").json(f"{out_dir}/eval_runs")
     return EvalResult(rows, runs, metrics)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citegrid import schemas
-from citegrid.functions.text import nz, split_title
+from citegrid.functions.text import split_title
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
@@ -85,7 +85,3 @@ def write_if_missing(df: DataFrame, path: str, fmt: str = "csv") -> None:
         w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     else:
         w.format(fmt).save(path)
-
-
-def fill_empty(df: DataFrame) -> DataFrame:
-    return df.select(*[nz(c).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])

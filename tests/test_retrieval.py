@@ -171,6 +171,40 @@ def test_question_tiles_agree(spark):
     assert key(7) == key(4096)
 
 
+def test_tiles_beyond_one_stay_off_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    from citegrid.operators import tiles
+    docvecs, vocab = retrieval.lexical_index(spark, SF001)
+    qs = retrieval.silver_questions(spark, SF001, n=60)
+    e = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+    d = e.select(F.col("vec_id").alias("neighbor"), F.col("embedding").alias("vector"))
+    monkeypatch.setattr(tiles, "BLOCK_ROWS", 64)
+    one = [sorted(map(tuple, x.collect())) for x in (lexical.search(qs, docvecs, vocab, 5), dense.knn(q, d, 5, did="neighbor", exclude_self=True))]
+
+    def never(*a, **k):
+        raise AssertionError("the query side went to the driver")
+    for name in ("toPandas", "toArrow"):
+        monkeypatch.setattr(Classic, name, never)
+    sizes, out = [], []
+    for t in (30, 10):
+        found = lexical.search(qs, docvecs, vocab, 5, tile_questions=t), dense.knn(q, d, 5, did="neighbor", exclude_self=True, tile_rows=t * 4)
+        sizes.append([x._jdf.queryExecution().optimizedPlan().toString().count("FlatMapCoGroupsInArrow") for x in found])
+        out.append([sorted(map(tuple, x.collect())) for x in found])
+    assert out[0] == out[1] == one
+    assert sizes == [[1, 1], [1, 1]]                        # one plan whatever the number of tiles
+
+
+def test_terms_of_every_document_weigh_alike(spark):
+    text = " ".join(f"w{i:04d}" for i in range(lexical.EVERYWHERE + 500))
+    arts = spark.createDataFrame([(str(i), "", text) for i in range(4)], "pmid string, title string, abstract string")
+    docvecs, vocab = lexical.build_doc_vectors(arts)
+    idf = {r["term"]: r["idf"] for r in vocab.collect()}
+    assert all(idf[t] == 1.0 for t in text.split())
+    for r in docvecs.collect():
+        assert len({w for t, w in zip(r["terms"], r["ws"]) if t.startswith("w0")}) == 1
+
+
 def test_unicode_white_space(spark):
     df = spark.createDataFrame([("\u2003a\u00a0b\u2028c\x85 ",)], "t string")
     assert df.select(T.collapse_ws("t").alias("x")).first()["x"] == "a b c"
