@@ -139,6 +139,7 @@ def shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str,
     size = 0
 
     def shard() -> Iterator[tuple]:
+        pa.default_memory_pool().release_unused()                         # what the batches took, before the words are worked on
         for lang in sorted(held):
             total, *parts = held.pop(lang)
             while len(parts) > 1 and isinstance(parts[0], list):          # the pieces go before the whole is worked on
@@ -179,7 +180,7 @@ def _mine(lengths: range, part: int, often, least: int, most: int) -> Callable:
 
 def _count(lengths: range, part: int, often, candidates) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, _, hashes, joined in shards(batches, SHARD):
+        for lang, _, hashes, joined in shards(batches, SHARD // 8):
             for length in lengths:
                 for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often, candidates):
                     yield pa.record_batch([pa.array(names), pa.array(counts, pa.int64())], ["key", "c"])
