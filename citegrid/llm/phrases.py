@@ -1,15 +1,16 @@
 """Collocations: frequent phrases mined by SON partitioning, scored and thinned.
 
-A shard is a run of rows of one task, SHARD words at most.  Each shard is mined
+A shard is the rows of one task, SHARD words at most.  Each shard is mined
 completely at its share of the global support (a phrase with support ``least``
 reaches ``least`` * shard words / all words of its language in some shard,
-rounded up); the locally frequent phrases of all shards are united, and one
-more scan counts every one of them exactly.  That is done twice: for phrases of
-two words, and then for longer ones, which are only looked at where all their
-pairs of neighbours are frequent as a whole.  Tables of up to SHARDS * SHARD
-words are cut into SHARDS shards or so, whose lowered support is above one;
-beyond that shards keep their size, and where their share of the support is one
-all their phrases with frequent parts are candidates.
+rounded up).  A shard that doesn't report a phrase has it at most support - 1
+times, so the counts that were reported and what the other shards may hide give
+a bound on the phrase's count; the phrases whose bound reaches ``least`` are the
+candidates, and one more scan counts every one of them exactly.  That is done
+twice: for phrases of two words, and then for longer ones, which are only looked
+at where all their pairs of neighbours are frequent as a whole.  There are SHARDS
+shards or more; where a shard's share of the support is one, it hides nothing and
+the bound is the count itself.
 
 Phrases are 64-bit hashes (language included) until the frequent ones are
 known; one last scan brings their words.  Membership of a phrase in the frequent
@@ -33,8 +34,9 @@ from citegrid.llm.textbatch import flat, mix64, slices, word_hashes, word_spans
 from citegrid.session import materialize, remove_tables, ship_package
 
 LEAST, LONGEST, REPORT = 30, 4, 2000
-#: Words of a shard, and shards of a table that is not larger than all of them.
-SHARD, SHARDS = 10_000_000, 16
+#: Words of a shard at most, of a task on average where there are more than SHARDS of them, and tasks
+#: of smaller tables: few enough for a lowered support of ``LEAST`` / SHARDS, three after rounding.
+SHARD, TASK, SHARDS = 10_000_000, 7_500_000, 12
 #: Bytes of text that are turned into words at a time, places looked up at a time, and rows in a batch.
 SLICE, CHUNK, ROWS = 2 << 20, 1 << 18, 1 << 16
 
@@ -168,13 +170,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _mine(lengths: range, part: int, often, least: int, most: int) -> Callable:
-    """Keys that are frequent in a shard, at its lowered support."""
+    """Phrases that are frequent in a shard, at its lowered support: key, and count beyond what
+    a shard may hide. A row with the language, without a key, has what this shard may hide."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, total, hashes, joined in shards(batches, most):
-            support = max(1, -(-least * len(hashes) // max(1, total)))
+            hidden = max(1, -(-least * len(hashes) // max(1, total))) - 1
+            yield pa.record_batch([pa.array([lang], pa.string()), pa.nulls(1, pa.int64()), pa.array([hidden], pa.int64())], ["lang", "key", "c"])
             for length in lengths:
                 for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often):
-                    yield pa.record_batch([pa.array(names[counts >= support])], ["key"])
+                    good = counts > hidden
+                    yield pa.record_batch([pa.nulls(int(good.sum()), pa.string()), pa.array(names[good]),
+                                           pa.array(counts[good] - hidden, pa.int64())], ["lang", "key", "c"])
     return run
 
 
@@ -249,7 +255,8 @@ def frequent(docs: DataFrame, least: int, longest: int, paths: list[str]) -> tup
     totals = materialize(words.groupBy("lang").agg(F.sum("c").alias("n")), "phrases-totals", paths)
     size = totals.agg(F.sum("n")).head()[0] or 0
     # a row per language: Spark broadcasts the table where its size allows it
-    dealt = rows.join(totals.select("lang", F.col("n").alias("total")), "lang").coalesce(max(SHARDS, -(-size // SHARD)))
+    dealt = rows.join(totals.select("lang", F.col("n").alias("total")), "lang").coalesce(max(SHARDS, -(-size // TASK)))
+    most = max(1, min(SHARD, -(-3 * size // (2 * SHARDS))))           # a half more than a task has on average
 
     def filter_of(table: DataFrame):
         return spark.sparkContext.broadcast(bitmap.build(table.select("key"), table.count()))
@@ -259,7 +266,10 @@ def frequent(docs: DataFrame, least: int, longest: int, paths: list[str]) -> tup
     for part, lengths in ((1, range(2, min(longest, 2) + 1)), (2, range(3, longest + 1))):
         if not lengths:
             continue
-        candidates = materialize(dealt.mapInArrow(_mine(lengths, part, known[-1], least, max(1, min(SHARD, -(-size // SHARDS)))), "key long").distinct(), f"phrases-local-{part}", paths)
+        mined = dealt.mapInArrow(_mine(lengths, part, known[-1], least, most), "lang string, key long, c long")
+        mined = materialize(mined.groupBy("lang", "key").agg(F.sum("c").alias("c")), f"phrases-local-{part}", paths)
+        hidden = mined.where("key is null").agg(F.max("c")).head()[0] or 0          # in all shards of a language, less than ``least``
+        candidates = mined.where(F.col("key").isNotNull() & (F.col("c") + hidden >= least))
         counted = (dealt.mapInArrow(_count(lengths, part, known[-1], filter_of(candidates)), "key long, c long")
                    .groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= least))
         counts.append(materialize(counted, f"phrases-count-{part}", paths))
