@@ -13,7 +13,7 @@ shards or more; where a shard's share of the support is one, it hides nothing an
 the bound is the count itself.
 
 Phrases are 64-bit hashes (language included) until the frequent ones are
-known; one last scan brings their words.  Membership of a phrase in the frequent
+known; one last scan brings their words, each phrase's from one task.  Membership of a phrase in the frequent
 or candidate ones is looked up in a bitmap of bounded size; what it lets through
 wrongly is counted and dropped.
 """
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,35 +186,39 @@ def _mine(lengths: range, part: int, often, least: int, most: int) -> Callable:
 
 
 def _count(lengths: range, part: int, often, candidates) -> Callable:
+    """Candidates of the task: key, count, and the task's number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
         for lang, _, hashes, joined in shards(batches, SHARD // 8):
             for length in lengths:
                 for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often, candidates):
-                    yield pa.record_batch([pa.array(names), pa.array(counts, pa.int64())], ["key", "c"])
+                    yield pa.record_batch([pa.array(names), pa.array(counts, pa.int64()), pa.array(np.full(len(names), task))], ["key", "c", "task"])
     return run
 
 
-def _spell(longest: int, words, often) -> Callable:
-    """Words of the phrases that may be frequent; once a task."""
+def _spell(longest: int, words, often, among, owned: bool) -> Callable:
+    """Words of the phrases in the bitmap ``among``; once a task. Where ``owned``, the bitmap holds
+    each phrase with the number of the one task that is to spell it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set = set()
+        task = np.int64(TaskContext.get().partitionId() if owned else 0)
         for batch in batches:
             for rows in slices(batch, max_bytes=SLICE):
                 w = words_of(rows)
                 for lang, a, b in zip(w.langs, w.range.tolist(), w.range[1:].tolist()):
-                    yield from spell(w, lang, a, b, sent)
+                    yield from spell(w, lang, a, b, sent, task)
 
-    def spell(w: Words, lang: str, a: int, b: int, sent: set) -> Iterator[pa.RecordBatch]:
+    def spell(w: Words, lang: str, a: int, b: int, sent: set, task: np.int64) -> Iterator[pa.RecordBatch]:
         salt, hashes = salt_of(lang), w.hashes[a:b]
-        part = {n: keys(hashes, n, salt) for n in range(1, longest + 1) if b - a >= n}
         for length in range(2, longest + 1):
-            at = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in runs(
-                hashes, w.joined[a:b], length, salt, 1 if length == 2 else 2, words if length == 2 else often, often))])
-            if not len(at):
-                continue
-            names, first = np.unique(part[length][at], return_index=True)
+            at, key = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for x, y in runs(hashes, w.joined[a:b], length, salt, 1 if length == 2 else 2, words if length == 2 else often):
+                good = bitmap.has(among.value, y ^ task)
+                at.append(x[good])
+                key.append(y[good])
+            names, first = np.unique(np.concatenate(key), return_index=True)
             new = np.array([n not in sent for n in names.tolist()], bool)
-            names, at = names[new], at[first[new]]
+            names, at = names[new], np.concatenate(at)[first[new]]
             sent.update(names.tolist())
             if not len(at):
                 continue
@@ -270,17 +275,25 @@ def frequent(docs: DataFrame, least: int, longest: int, paths: list[str]) -> tup
         mined = materialize(mined.groupBy("lang", "key").agg(F.sum("c").alias("c")), f"phrases-local-{part}", paths)
         hidden = mined.where("key is null").agg(F.max("c")).head()[0] or 0          # in all shards of a language, less than ``least``
         candidates = mined.where(F.col("key").isNotNull() & (F.col("c") + hidden >= least))
-        counted = (dealt.mapInArrow(_count(lengths, part, known[-1], filter_of(candidates)), "key long, c long")
-                   .groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= least))
+        counted = (dealt.mapInArrow(_count(lengths, part, known[-1], filter_of(candidates)), "key long, c long, task long")
+                   .groupBy("key").agg(F.sum("c").alias("c"), F.min("task").alias("task")).where(F.col("c") >= least))
         counts.append(materialize(counted, f"phrases-count-{part}", paths))
         known.append(filter_of(counts[-1] if part == 1 else counts[-2].unionByName(counts[-1])))
     often = counts[1] if len(counts) == 2 else counts[1].unionByName(counts[2])
-    spelled = rows.mapInArrow(_spell(longest, known[0], known[-1]), "key long, lang string, phrase string")
-    spelled = spelled.join(often.withColumnRenamed("c", "a"), "key")
-    phrases = (spelled.groupBy("key").agg(*(F.first(c).alias(c) for c in ("lang", "phrase", "a")))
-               .mapInArrow(_parts, "key long, lang string, phrase string, a long, length int, parts array<long>"))
-    return (materialize(phrases.join(totals, "lang"), "phrases-spelled", paths),
-            materialize(counts[0].unionByName(often), "phrases-often", paths))
+
+    def spell(which: DataFrame, among, owned: bool) -> DataFrame:
+        spelled = dealt.mapInArrow(_spell(longest, known[0], known[-1], among, owned), "key long, lang string, phrase string")
+        spelled = spelled.join(which.select("key", F.col("c").alias("a")), "key")
+        found = (spelled.groupBy("key").agg(*(F.first(c).alias(c) for c in ("lang", "phrase", "a")))
+                 .mapInArrow(_parts, "key long, lang string, phrase string, a long, length int, parts array<long>"))
+        return materialize(found.join(totals, "lang"), "phrases-spelled", paths)
+
+    # a phrase is spelled by the first task that counted it; any that isn't found there, by all
+    phrases = spell(often, filter_of(often.select(F.col("key").bitwiseXOR(F.col("task")).alias("key"))), True)
+    missing = often.join(phrases, "key", "left_anti")
+    if not missing.isEmpty():
+        phrases = phrases.unionByName(spell(missing, filter_of(missing), False))
+    return phrases, materialize(counts[0].unionByName(often.select("key", "c")), "phrases-often", paths)
 
 
 def score(phrases: DataFrame, often: DataFrame, longest: int) -> DataFrame:

@@ -77,3 +77,25 @@ def test_long_phrases(spark):
 def test_empty(spark, empty):
     assert phrases.collocations(empty).count() == 0
     assert phrases.collocations(spark.createDataFrame([("a b", None)], "text string, lang string")).count() == 0
+
+
+def test_bound_over_shards(spark, monkeypatch):
+    """Phrases spread evenly, in one shard alone, and just below the support, in shards of unequal sizes."""
+    monkeypatch.setattr(phrases, "SHARD", 90)
+    rows = [("common pair and more", "en")] * 40 + [(f"f{i} g{i} h{i} i{i}", "en") for i in range(60)]
+    rows += [("only here", "en")] * 30 + [("never enough", "en")] * 29 + [("two tongues", x) for x in ("en", "de") for _ in range(29)]
+    spread = rows[::2] + rows[1::2]
+    for some in (rows, spread, sorted(rows)):
+        assert got(phrases.collocations(spark.createDataFrame(some, "text string, lang string").repartition(5), 30)) == plain(some, 30)
+
+
+def test_phrases_that_their_task_does_not_find(spark, monkeypatch):
+    """Tasks numbered otherwise in the last scan: the phrases are spelled all the same."""
+    spell = phrases._spell
+
+    def elsewhere(longest, words, often, among, owned):
+        run = spell(longest, words, often, among, owned)
+        return (lambda batches: iter(())) if owned else run
+    monkeypatch.setattr(phrases, "_spell", elsewhere)
+    rows = table(7)
+    assert got(phrases.collocations(spark.createDataFrame(rows, "text string, lang string").repartition(3), 5)) == plain(rows, 5)
