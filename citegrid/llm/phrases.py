@@ -1,6 +1,6 @@
 """Collocations: frequent phrases mined by SON partitioning, scored and thinned.
 
-A shard is the rows of one task, SHARD words at most.  Each shard is mined
+A shard is a run of rows of one task, SHARD words at most.  Each shard is mined
 completely at its share of the global support (a phrase with support ``least``
 reaches ``least`` * shard words / all words of its language in some shard,
 rounded up).  A shard that doesn't report a phrase has it at most support - 1
@@ -35,9 +35,9 @@ from citegrid.llm.textbatch import flat, mix64, slices, word_hashes, word_spans
 from citegrid.session import materialize, remove_tables, ship_package
 
 LEAST, LONGEST, REPORT = 30, 4, 2000
-#: Words of a shard at most, of a task on average where there are more than SHARDS of them, and tasks
-#: of smaller tables: few enough for a lowered support of ``LEAST`` / SHARDS, three after rounding.
-SHARD, TASK, SHARDS = 10_000_000, 7_500_000, 12
+#: Words of a shard at most, of a task on average where there are more than SHARDS of them, and shards
+#: of smaller tables, so that the lowered support of a small table is that of a larger one.
+SHARD, TASK, SHARDS = 10_000_000, 7_500_000, 16
 #: Bytes of text that are turned into words at a time, places looked up at a time, and rows in a batch.
 SLICE, CHUNK, ROWS = 2 << 20, 1 << 18, 1 << 16
 
@@ -261,7 +261,7 @@ def frequent(docs: DataFrame, least: int, longest: int, paths: list[str]) -> tup
     size = totals.agg(F.sum("n")).head()[0] or 0
     # a row per language: Spark broadcasts the table where its size allows it
     dealt = rows.join(totals.select("lang", F.col("n").alias("total")), "lang").coalesce(max(SHARDS, -(-size // TASK)))
-    most = max(1, min(SHARD, -(-3 * size // (2 * SHARDS))))           # a half more than a task has on average
+    most = max(1, min(SHARD, -(-size // SHARDS)))
 
     def filter_of(table: DataFrame):
         return spark.sparkContext.broadcast(bitmap.build(table.select("key"), table.count()))
