@@ -4,10 +4,11 @@ Spark has no vector-similarity operator, so the scoring is a block matrix
 product in NumPy inside ``mapInArrow``; everything around it (partitioning,
 exchange, the final top-k) is ordinary Spark.
 
-Queries are cut into tiles of a bounded number of rows.  A single tile is
-broadcast and the documents are scanned, never shuffled; several tiles meet
-blocks of documents by number (``tiles.meet``), so the driver never holds more
-than one tile and the plan is the same for any number of them.  Each task
+Queries are scored in tiles of a bounded number of rows.  A single tile is
+broadcast and the documents are scanned, never shuffled; several tiles travel
+in strips that meet blocks of documents by number (``tiles.meet``), so the
+driver never holds more than one tile, the plan is the same for any number of
+them and small tiles cost no more exchange than large ones.  Each task
 keeps exactly k rows per query.  Scoring every vector against every other is quadratic by nature: the
 plan keeps it distributed and memory-bounded, not cheap.
 
@@ -29,7 +30,7 @@ from citegrid.session import materialize, ship_package
 
 #: Query rows of one tile; a tile of 768 floats is 24 MB in a task.
 TILE_ROWS = 4096
-#: Query rows multiplied at a time.
+#: Query rows multiplied at a time, at most.
 CHUNK = 512
 
 
@@ -60,17 +61,19 @@ def _matrix(lists: pa.Array) -> np.ndarray:
 
 
 def _best(qids: np.ndarray, Q: np.ndarray, blocks: Iterator[tuple[np.ndarray, np.ndarray]], k: int, exclude_self: bool,
-          schema: pa.Schema) -> pa.RecordBatch:
-    """The k best documents of all blocks (ids, vectors) for each query of a tile."""
-    best = BestSoFar(k)
+          schema: pa.Schema, chunk: int = CHUNK) -> pa.RecordBatch:
+    """The k best documents of all blocks (ids, vectors) for each query."""
+    tiles_best = [BestSoFar(k) for _ in range(0, len(qids), chunk)]
     for ids, D in blocks:
-        for lo in range(0, len(qids), CHUNK):
-            S = Q[lo:lo + CHUNK] @ D.T
+        for best, lo in zip(tiles_best, range(0, len(qids), chunk)):
+            S = Q[lo:lo + chunk] @ D.T
             if exclude_self:
-                S[qids[lo:lo + CHUNK, None] == ids[None, :]] = -np.inf
-            best.add(S, ids, lo)
-    return pa.RecordBatch.from_arrays([pa.array(qids[best.q].tolist(), schema.field(0).type),
-                                       pa.array(best.d.tolist(), schema.field(1).type), pa.array(best.s)], schema=schema)
+                S[qids[lo:lo + chunk, None] == ids[None, :]] = -np.inf
+            best.add(S, ids)
+    q = np.concatenate([best.q + i * chunk for i, best in enumerate(tiles_best)] or [np.zeros(0, np.int64)])
+    return pa.RecordBatch.from_arrays([pa.array(qids[q].tolist(), schema.field(0).type),
+                                       pa.array([d for best in tiles_best for d in best.ids()], schema.field(1).type),
+                                       pa.array(np.concatenate([best.s for best in tiles_best] or [np.zeros(0)]))], schema=schema)
 
 
 def _vectors(rows: pa.Table | pa.RecordBatch, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
@@ -95,17 +98,19 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
     arrow = to_arrow_schema(schema)
     dim = dimension(docs, dvec)
     asked = queries.select(qid, qvec).where(usable(qvec, dim))
-    asked, n_tiles = tiles.numbered(asked, qid, asked.count(), tile_rows, "tile")
     asked = materialize(asked, "query-tiles")
+    n_asked = asked.count()
     found = docs.select(did, dvec).where(usable(dvec, dim))
-    if n_tiles == 1:
-        tile = _vectors(asked.select(qid, qvec).toArrow(), qid, qvec)                       # at most tile_rows rows
+    if n_asked <= tile_rows:
+        tile = _vectors(asked.toArrow(), qid, qvec)                                         # at most tile_rows rows
         return found.mapInArrow(_score_tile(spark.sparkContext.broadcast(tile), k, did, dvec, arrow, exclude_self), schema)
-    found, n_blocks = tiles.numbered(found, did, docs.count(), tiles.BLOCK_ROWS, "block")
+    rows_at_once = tiles.BLOCK_ROWS
 
-    def score(tile: pa.Table, block: pa.Table) -> pa.RecordBatch:
-        return _best(*_vectors(tile, qid, qvec), iter([_vectors(block, did, dvec)]), k, exclude_self, arrow)
-    return tiles.meet(asked, n_tiles, found, n_blocks, score, schema)
+    def score(strip: pa.Table, block: pa.Table) -> pa.Table:
+        ids, D = _vectors(block, did, dvec)
+        parts = ((ids[lo:lo + rows_at_once], D[lo:lo + rows_at_once]) for lo in range(0, len(ids), rows_at_once))
+        return pa.Table.from_batches([_best(*_vectors(strip, qid, qvec), parts, k, exclude_self, arrow, min(CHUNK, tile_rows))])
+    return tiles.meet(asked, n_asked * max(dim, 1), qid, found, docs.count() * max(dim, 1), did, score, schema)
 
 
 def knn(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid", qvec: str = "vector",

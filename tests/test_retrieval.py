@@ -212,3 +212,62 @@ def test_unicode_white_space(spark):
     assert 500 < len(spark.createDataFrame([(long,)], "t string").select(T.snippet_words("t").alias("x")).first()["x"]) <= 550
     cited = spark.createDataFrame([("One.\u00a0Two [1].",)], "t string").select(R.each_sentence_cited("t").alias("x")).first()["x"]
     assert cited is False
+
+
+def test_exchange_of_tiles_grows_with_the_input():
+    """Rows copied to groups, as multiples of the two sides: small tiles cost no more than large ones."""
+    from citegrid.operators import tiles
+    for asked, docs in ((650_000, 650_000), (6_500_000, 6_500_000), (39_000_000, 39_000_000), (2_700_000, 115_000_000)):
+        strips, blocks = tiles.grid(asked, docs, 48)
+        assert strips * blocks >= 48
+        assert asked / strips <= tiles.SIDE_NUMBERS and docs / blocks <= tiles.SIDE_NUMBERS
+        assert strips * docs + blocks * asked <= 16 * (asked + docs)          # tiles of 128 rows of 64 numbers: 80 to 4,762 times
+
+
+def test_small_tiles_copy_documents_no_more_often(spark):
+    e = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+    d = e.select(F.col("vec_id").alias("neighbor"), F.col("embedding").alias("vector"))
+    plans = [dense.knn(q, d, 5, did="neighbor", exclude_self=True, tile_rows=t)._jdf.queryExecution().optimizedPlan().toString() for t in (1, 40)]
+    copies = [re.findall(r"pmod\(xxhash64\([^)]*\), (\d+)\)", p) for p in plans]
+    assert copies[0] == copies[1] and copies[0]
+
+
+def test_kth_score_rules_out_the_rest():
+    from citegrid.operators.topk import BestSoFar
+    rng = np.random.default_rng(5)
+    scores = np.round(rng.random((30, 5000)), 3)                              # many ties
+    ids = rng.permutation(5000)
+    best = BestSoFar(5)
+    for lo in range(0, 5000, 250):
+        best.add(scores[:, lo:lo + 250], ids[lo:lo + 250])
+    for i in range(30):
+        want = sorted(zip(-scores[i], ids))[:5]
+        assert [(-s, d) for s, d in zip(best.s[best.q == i], best.d[best.q == i])] == want
+
+
+def test_dense_and_sparse_terms_give_one_product():
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    words = [f"t{i}" for i in range(300)]
+    rare = 1 / np.arange(1, 301)
+
+    def lists(n, size):
+        out = [sorted(set(rng.choice(words, size, p=rare / rare.sum()).tolist())) for _ in range(n)]
+        return out, [rng.random(len(x)).tolist() for x in out]
+    qt, qw = lists(40, 12)
+    dt, dw = lists(500, 40)
+    exp = np.array([[sum(w * dict(zip(b, v)).get(t, 0.0) for t, w in zip(a, u)) for b, v in zip(dt, dw)] for a, u in zip(qt, qw)])
+    asked = pa.table({"qid": [f"q{i:02d}" for i in range(40)], "terms": qt, "ws": qw})
+    docs = pa.table({"terms": dt, "ws": dw}).to_batches(max_chunksize=64)
+    parts = [(np.arange(i * 64, i * 64 + len(rb)), rb) for i, rb in enumerate(docs)]
+    for most in (0, 8, 1024):
+        lexical.DENSE_TERMS, kept = most, lexical.DENSE_TERMS
+        found = list(lexical.Tiles.of_lists(asked, 7).best(iter(parts), 5))
+        lexical.DENSE_TERMS = kept
+        for qids, ids, scores in found:
+            for q in set(qids):
+                got = [(d, s) for p, d, s in zip(qids, ids, scores) if p == q]
+                row = exp[int(q[1:])]
+                want = sorted(range(500), key=lambda j: (-round(row[j], 6), j))[:5]
+                assert [d for d, _ in got] == want and np.allclose([s for _, s in got], np.round(row[want], 6), atol=2e-6)
