@@ -28,7 +28,7 @@ def _fs(spark: SparkSession, path: str):
 
 # Bumped whenever the index format or weighting changes, so an index written
 # by another version is never reused.
-INDEX_VERSION = "4"
+INDEX_VERSION = "5"
 
 
 def source_key(spark: SparkSession, paths: list[str]) -> str:

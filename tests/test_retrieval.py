@@ -271,3 +271,24 @@ def test_dense_and_sparse_terms_give_one_product():
                 row = exp[int(q[1:])]
                 want = sorted(range(500), key=lambda j: (-round(row[j], 6), j))[:5]
                 assert [d for d, _ in got] == want and np.allclose([s for _, s in got], np.round(row[want], 6), atol=2e-6)
+
+
+def test_postings_do_not_travel_as_rows(spark, monkeypatch):
+    """One row a document meets its shard's terms; a shard cut in two counts right."""
+    text = [" ".join(f"w{j}" for j in range(i % 7, 40)) for i in range(60)]
+    arts = spark.createDataFrame([(str(i), "", t) for i, t in enumerate(text)], "pmid string, title string, abstract string").repartition(3)
+    monkeypatch.setattr(lexical, "SHARD_DOCS", 8)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    kept = {}
+    try:
+        docvecs, vocab = lexical.build_doc_vectors(arts, keep=lambda df, name: kept.setdefault(name, materialize(df, name)))
+        rows, idf = docvecs.collect(), {r["term"]: r["idf"] for r in vocab.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = Counter(t for x in text for t in set(x.split()))
+    assert all(math.isclose(idf[t], math.log(61 / (n + 1)) + 1) for t, n in df.items())
+    assert len(rows) == 60 and all(math.isclose(sum(w * w for w in r["ws"]), 1) and all(
+        math.isclose(w / r["ws"][r["terms"].index("pmid")], idf[t] / idf["pmid"]) for t, w in zip(r["terms"], r["ws"]) if t[0] == "w") for r in rows)
+    assert "pmid" not in kept["index-shard-terms"].columns
+    plan = docvecs._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Generate" not in plan
