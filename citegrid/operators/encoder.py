@@ -6,9 +6,10 @@ vectors of the corpus matrix.  The singular vectors come from randomized
 subspace iteration: a random basis is multiplied by the matrix and its
 transpose, made orthonormal, and again; every step is one pass over the written
 document vectors.  A task holds the basis and its own part of the product, both
-``features`` x (rank + OVERSAMPLE) numbers whatever the corpus; parts are summed
-by blocks of features, and the sum, of the same bounded size, is all that the
-driver receives.
+``features`` x (rank + OVERSAMPLE) numbers whatever the corpus.  There is one
+part per core, not per file, so that what is exchanged does not grow with the
+corpus; parts are summed by blocks of features, and the sum, of the same bounded
+size, is all that the driver receives.
 """
 from __future__ import annotations
 
@@ -27,8 +28,8 @@ from citegrid.session import ship_package
 FEATURES, RANK = 1 << 16, 64
 #: Extra dimensions while the basis is found, and passes over the corpus.
 OVERSAMPLE, STEPS = 8, 4
-#: Features in one row of a product, and postings multiplied at a time.
-BLOCK, CHUNK = 1024, 1 << 15
+#: Features in one row of a product, and postings and rows multiplied at a time.
+BLOCK, CHUNK, ROWS = 1024, 1 << 13, 256
 
 
 @dataclass
@@ -59,20 +60,16 @@ def _sparse(batch: pa.RecordBatch, features: int) -> Iterator[tuple[int, int, np
     weight = sign * np.nan_to_num(ws.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
     lo = 0
     while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + CHUNK, "right")) - 1)
+        hi = min(lo + ROWS, max(lo + 1, int(np.searchsorted(at, at[lo] + CHUNK, "right")) - 1))
         part = slice(at[lo], at[hi])
         yield lo, hi - lo, np.repeat(np.arange(hi - lo), sizes[lo:hi]), feature[part], weight[part]
         lo = hi
 
 
-def _sums(values: np.ndarray, key: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by key."""
-    out = np.zeros((size, values.shape[1]))
-    if len(key):
-        order = np.argsort(key, kind="stable")
-        head = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-        out[key[order][head]] = np.add.reduceat(values[order], head, axis=0)
-    return out
+def _block(n: int, row: np.ndarray, feature: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of some rows, and the rows as a dense matrix over them."""
+    names, place = np.unique(feature, return_inverse=True)
+    return names, np.bincount(row * len(names) + place, weights=weight, minlength=n * len(names)).reshape(n, len(names))
 
 
 def _rows_of(product: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -89,9 +86,8 @@ def _multiply(basis) -> Callable:
         out = np.zeros(b.shape)
         for batch in batches:
             for _, n, row, feature, weight in _sparse(batch, len(b)):
-                z = _sums(weight[:, None] * b[feature], row, n)
-                names, place = np.unique(feature, return_inverse=True)
-                out[names] += _sums(weight[:, None] * z[row], place, len(names))
+                names, rows = _block(n, row, feature, weight)
+                out[names] += rows.T @ (rows @ b[names])
         yield from _rows_of(out)
     return run
 
@@ -109,7 +105,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _product(docvecs: DataFrame, basis: np.ndarray) -> np.ndarray:
     spark = docvecs.sparkSession
     shared = spark.sparkContext.broadcast(basis)
-    parts = docvecs.select("terms", "ws").mapInArrow(_multiply(shared), "block int, packed binary")
+    parts = docvecs.select("terms", "ws").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(_multiply(shared), "block int, packed binary")
     blocks = -(-len(basis) // BLOCK)
     out = np.zeros(basis.shape)
     for r in parts.repartition(blocks, "block").mapInArrow(_add, "block int, packed binary").collect():     # features x rank
@@ -151,7 +147,8 @@ def encode(vectors: DataFrame, encoder: Encoder, key: str = "pmid") -> DataFrame
         b = shared.value
         for batch in batches:
             for lo, n, row, feature, weight in _sparse(batch, len(b)):
-                z = _sums(weight[:, None] * b[feature], row, n)
+                names, rows = _block(n, row, feature, weight)
+                z = rows @ b[names]
                 norm = np.sqrt((z ** 2).sum(axis=1))
                 unit = (z / np.maximum(norm, 1e-300)[:, None]).astype(np.float32)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * b.shape[1], pa.int32()), pa.array(unit.ravel()),

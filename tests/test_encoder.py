@@ -81,3 +81,23 @@ def test_questions_meet_their_documents(spark):
     found = hits.where("pmid = relevant_pmids").select("qid").distinct().count()
     assert found / got.questions.count() > 0.3
     assert lexical.TOKEN_PATTERN
+
+
+def test_parts_of_a_product_are_one_per_core(spark, docvecs, monkeypatch):
+    """What is exchanged does not grow with the files of the corpus."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    parts, kept = [], Classic.mapInArrow
+
+    def seen(self, *a, **k):
+        parts.append(self.rdd.getNumPartitions())
+        return kept(self, *a, **k)
+    monkeypatch.setattr(Classic, "mapInArrow", seen)
+    encoder.train(docvecs.repartition(40), rank=2, features=64, steps=1)
+    assert parts[0] <= spark.sparkContext.defaultParallelism
+
+
+def test_short_rows_are_multiplied_a_few_at_a_time():
+    n = encoder.CHUNK
+    batch = pa.record_batch([pa.array([[f"w{i}"] for i in range(n)], pa.list_(pa.string())), pa.array([[1.0]] * n)], ["terms", "ws"])
+    sizes = [rows for _, rows, *_ in encoder._sparse(batch, FEATURES)]
+    assert sum(sizes) == n and max(sizes) <= encoder.ROWS
