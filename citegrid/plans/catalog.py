@@ -570,6 +570,7 @@ def q_ingest_xml_files(spark, sf):
     for name, title in (("a", F.col("title")), ("b", F.concat(F.lit("Second "), F.col("title")))):
         arts.select(_article_xml(title, F.col("abstract")).alias("value")).write.option("lineSep", "\n").text(f"{path}/{name}")
     flat = markup.flatten_article_xml(markup.read_article_sets(spark, f"{path}/*"))
+    flat = materialize(flat.drop("xml"), "xml-flat")                # parsed once, not once per side of the dedup join
     return markup.dedup_keep_first(markup.keep_nonempty(flat), "pmid", markup.POSITION).select("pmid", "title", "abstract")
 
 

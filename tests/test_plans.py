@@ -40,3 +40,8 @@ def test_search_moves_k_rows_per_question_and_task(spark):
 def test_dedup_aggregates_keys_before_shuffle(spark):
     plan = _plan(spark, "ingest_dedup_keep_first")
     assert "partial_min" in plan and "partial_min_by" not in plan
+
+
+def test_article_xml_is_parsed_once(spark):
+    plan = _plan(spark, "ingest_xml_files")
+    assert "xpath" not in plan and "from_xml" not in plan          # the join reads the written records
