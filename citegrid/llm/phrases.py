@@ -1,7 +1,9 @@
 """Collocations: frequent phrases mined by SON partitioning, scored and thinned.
 
-A shard is a run of rows of one task, SHARD words at most.  Each shard is mined
-completely at its share of the global support (a phrase with support ``least``
+A shard is a run of rows of one task, SHARD words at most.  First the shards send
+all their phrases as hash cells, some bytes each; a phrase whose cell is less
+frequent than the support in all shards together is not.  Of the others each
+shard is mined completely at its share of the global support (a phrase with support ``least``
 reaches ``least`` * shard words / all words of its language in some shard,
 rounded up).  A shard that doesn't report a phrase has it at most support - 1
 times, so the counts that were reported and what the other shards may hide give
@@ -30,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citegrid.llm import bitmap
+from citegrid.llm import bitmap, often as by_cell
 from citegrid.llm.textbatch import flat, mix64, slices, word_hashes, word_spans
 from citegrid.session import materialize, remove_tables, ship_package
 
@@ -99,9 +101,10 @@ def keys(hashes: np.ndarray, length: int, salt: np.uint64) -> np.ndarray:
 
 
 def runs(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64, part: int = 0, often=None,
-         among=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+         among=None, likely_cells=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and keys, some at a time, of the phrases in one piece whose parts of ``part`` words
-    may all be in the bitmap ``often``, and that may be in the bitmap ``among`` themselves."""
+    may all be in the bitmap ``often``, and that may be in the bitmap ``among`` themselves,
+    and their cells in ``likely_cells``."""
     n = len(hashes) - length + 1
     for lo in range(0, n, CHUNK):
         hi = min(n, lo + CHUNK)
@@ -118,6 +121,9 @@ def runs(hashes: np.ndarray, joined: np.ndarray, length: int, salt: np.uint64, p
         if among is not None and len(key):
             good = bitmap.has(among.value, key)
             here, key = here[good], key[good]
+        if likely_cells is not None and len(key):
+            good = by_cell.may(likely_cells, key)
+            here, key = here[good], key[good]
         yield here + lo, key
 
 
@@ -170,15 +176,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array([lang] * len(names), pa.string()), pa.array(names), pa.array(counts, pa.int64())], ["lang", "key", "c"])
 
 
-def _mine(lengths: range, part: int, often, least: int, most: int) -> Callable:
-    """Phrases that are frequent in a shard, at its lowered support: key, and count beyond what
+def _send_cells(lengths: range, part: int, often, least: int, most: int, bits: int) -> Callable:
+    """All phrases of a shard whose parts may be frequent, packed as hash cells."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, _, hashes, joined in shards(batches, most):
+            for length in lengths:
+                for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often):
+                    yield from by_cell.pack(names, counts, bits, least)
+    return run
+
+
+def _mine(lengths: range, part: int, often, likely_cells, least: int, most: int) -> Callable:
+    """Phrases in likely cells that are frequent in a shard, at its lowered support: key, and count beyond what
     a shard may hide. A row with the language, without a key, has what this shard may hide."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, total, hashes, joined in shards(batches, most):
             hidden = max(1, -(-least * len(hashes) // max(1, total))) - 1
             yield pa.record_batch([pa.array([lang], pa.string()), pa.nulls(1, pa.int64()), pa.array([hidden], pa.int64())], ["lang", "key", "c"])
             for length in lengths:
-                for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often):
+                for names, counts in counts_of(hashes, joined, length, salt_of(lang), part, often, None, likely_cells):
                     good = counts > hidden
                     yield pa.record_batch([pa.nulls(int(good.sum()), pa.string()), pa.array(names[good]),
                                            pa.array(counts[good] - hidden, pa.int64())], ["lang", "key", "c"])
@@ -271,7 +287,10 @@ def frequent(docs: DataFrame, least: int, longest: int, paths: list[str]) -> tup
     for part, lengths in ((1, range(2, min(longest, 2) + 1)), (2, range(3, longest + 1))):
         if not lengths:
             continue
-        mined = dealt.mapInArrow(_mine(lengths, part, known[-1], least, most), "lang string, key long, c long")
+        bits = by_cell.range_bits(size * len(lengths))
+        sent = dealt.mapInArrow(_send_cells(lengths, part, known[-1], least, most, bits), by_cell.PACKED)
+        likely = by_cell.filter_of(materialize(by_cell.cells_with(sent, least), f"phrases-cells-{part}", paths), bits)
+        mined = dealt.mapInArrow(_mine(lengths, part, known[-1], likely, least, most), "lang string, key long, c long")
         mined = materialize(mined.groupBy("lang", "key").agg(F.sum("c").alias("c")), f"phrases-local-{part}", paths)
         hidden = mined.where("key is null").agg(F.max("c")).head()[0] or 0          # in all shards of a language, less than ``least``
         candidates = mined.where(F.col("key").isNotNull() & (F.col("c") + hidden >= least))

@@ -99,3 +99,40 @@ def test_phrases_that_their_task_does_not_find(spark, monkeypatch):
     monkeypatch.setattr(phrases, "_spell", elsewhere)
     rows = table(7)
     assert got(phrases.collocations(spark.createDataFrame(rows, "text string, lang string").repartition(3), 5)) == plain(rows, 5)
+
+
+def test_shards_report_no_chance_meetings(spark, monkeypatch):
+    """Phrases that meet twice in a shard but are rare in all of them do not become rows."""
+    rng = random.Random(5)
+    rows = [(" ".join(f"w{rng.randrange(150)}" for _ in range(60)) + " common pair", "en") for _ in range(400)]
+    reported = {}
+
+    def counting(df, name, paths=None, real=phrases.materialize):
+        written = real(df, name, paths)
+        if name.startswith("phrases-local"):
+            reported[name] = written.where("key is not null").count()
+        return written
+    monkeypatch.setattr(phrases, "materialize", counting)
+    found = got(phrases.collocations(spark.createDataFrame(rows, "text string, lang string").repartition(16), 30))
+    assert found == plain(rows, 30) and found
+    assert 0 < reported["phrases-local-1"] <= len(found) + 3
+
+
+def test_cells_of_frequent_keys(spark, monkeypatch):
+    """Ranges, repeats over many tasks and counts beyond the width of a byte."""
+    import numpy as np
+
+    from citegrid.llm import often
+    from citegrid.llm.textbatch import mix64
+    monkeypatch.setattr(often, "RANGE", 50)
+    keys = mix64(np.random.default_rng(3).integers(0, 400, 4000).astype(np.uint64)).view(np.int64)
+    names, counts = np.unique(keys, return_counts=True)
+    bits = often.range_bits(len(names))
+    assert bits == 3
+    for least in (1, 10, 300):
+        rows = [r for part in np.array_split(keys, 7) for b in often.pack(*np.unique(part, return_counts=True), bits, least) for r in b.to_pylist()]
+        rows += [r for b in often.pack(names[:1], np.array([500]), bits, least) for r in b.to_pylist()]
+        df = spark.createDataFrame([tuple(r.values()) for r in rows], often.PACKED)
+        total = counts + 500 * (np.arange(len(names)) == 0)
+        assert sorted(r.cell for r in often.cells_with(df, least).collect()) == sorted(often.cells(names[total >= least], bits).tolist())
+    assert often.range_bits(0) == 0 and not list(often.pack(keys[:0], counts[:0], 0, 3))
