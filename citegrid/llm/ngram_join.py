@@ -4,9 +4,12 @@ The n-grams of all documents have one global order: rising frequency, then
 hash.  Frequencies come from a counting sketch of fixed size summed over all
 documents.  The order is used three times:
 
-* the first n-grams of a document (its rarest) are its prefix; two documents
-  that link share a prefix n-gram, so groups by prefix n-gram hold all
-  candidates;
+* every set is cut into vertical fragments by hash, more non-empty ones than a
+  link may spoil, so two documents that link have some fragment in common whole.
+  The fragments of a set have one order, too (rarest n-gram, then most n-grams);
+  the first of them, one more than a link may spoil, are its tokens, and groups
+  by token hold all candidates.  Sets with too few fragments add their first
+  n-grams (their prefix), which meet in the same way;
 * every set is cut into small fragments by hash, of which only the parity of
   the number of n-grams is kept; differing parities are a lower bound of the
   number of n-grams that only one of two documents has, and candidates above
@@ -16,22 +19,25 @@ documents.  The order is used three times:
   separate rows and summed per pair.
 
 Copies (equal sets) are one class and never expanded.  Groups first test every
-member against four members of the group; components of those links are
+member against two members of the group; components of those links are
 known before the other pairs are looked at, and pairs inside a component are
 not tested again.  Hot groups are cut into blocks and tested block by block.
-Pairs are compared where the rows lie; only pairs that pass the bound become rows.
+Pairs are compared where the rows lie.  Of those that pass the bound some spanning
+forests of a block's components become rows; what they link is one component in the
+next round, which takes more forests, until no pair between two components is held back.
 """
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citegrid.llm import bitmap
+from citegrid.llm import bitmap, often
 from citegrid.llm.columns import fresh
 from citegrid.llm.components import components
 from citegrid.llm.textbatch import flat, mix64, shingle_hashes, slices, word_hashes
@@ -47,6 +53,10 @@ FRAGMENTS = 8
 GROUP_BLOCK = 2048
 #: Bytes of text that a task turns into n-grams at a time.
 SLICE = 2 << 20
+#: Sizes in a space differ by this factor or so; non-empty fragments of the largest set, times those needed.
+SPACE, SPARE = 2, 1.35
+#: Spanning forests of a tile that become pairs in the first round, and how many times more in the next.
+FORESTS, MORE = 2, 16
 #: Smallest groups of a set that its rows name, so that a pair is rarely emitted by a second group.
 NAMED = 16
 #: Parity bits per n-gram of a set (rounded up to a power of two), and at least.
@@ -71,6 +81,10 @@ class Rule:
     def prefix(self, n: int) -> int:
         return n - -(-self.num * n // self.den) + 1
 
+    def spoiled(self, total: int) -> int:
+        """Most n-grams that only one of two linked sets has whose sizes sum to ``total`` or less."""
+        return total * (self.den - self.num) // (self.num + self.den)
+
 
 def _fits(rule: Rule, x, y) -> Column:
     """Whether sets of these sizes can link."""
@@ -170,30 +184,74 @@ def _describe(rule: Rule, sketch) -> Callable:
         for batch in batches:
             for part in slices(batch, max_bytes=SLICE):
                 h, at = _batch_shingles(part, rule.k)
-                cls, size, prefixes, parity = [], [], [], []
+                cls, size, prefixes, parity, own = [], [], [], [], []
                 for i in range(part.num_rows):
                     s = np.unique(h[at[i]:at[i + 1]])
                     n = len(s)
                     size.append(n)
                     if not n:
-                        cls.append(None), prefixes.append(None), parity.append(None)
+                        cls.append(None), prefixes.append(None), parity.append(None), own.append(None)
                         continue
                     name = _class_of(s)
                     cls.append(name)
                     if name in seen:      # a copy: its class is described already
-                        prefixes.append(None), parity.append(None)
+                        prefixes.append(None), parity.append(None), own.append(None)
                         continue
                     seen.add(name)
-                    first = s[np.argsort(order_key(s, cells), kind="stable")[:rule.prefix(n)]]
-                    prefixes.append(first.view(np.int64))
+                    found, n_own = tokens(rule, s, cells)
+                    prefixes.append(found)
+                    own.append(n_own)
                     parity.append(parity_of(s))
                 yield pa.record_batch(
                     [part.column("doc_id"), part.column("k"), part.column("th"), pa.array(cls, pa.int64()), pa.array(size, pa.int64()),
-                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(parity, pa.binary())],
-                    ["doc_id", "k", "th", "cls", "n", "prefix", "parity"])
+                     pa.array(prefixes, pa.list_(pa.int64())), pa.array(parity, pa.binary()), pa.array(own, pa.int32())],
+                    ["doc_id", "k", "th", "cls", "n", "prefix", "parity", "own"])
     return run
 
 
+@lru_cache
+def spaces(rule: Rule) -> tuple[np.ndarray, list[int]]:
+    """Lower ends of the size spaces, and into how many fragments the sets of each are cut."""
+    step = max(1, round(np.log(SPACE) / np.log(rule.den / rule.num)))
+    low = size_bands(rule)[::step]
+    counts = []
+    for most in (low[1:] - 1).tolist():
+        need, f = SPARE * (rule.spoiled(2 * most) + 1), 1
+        while f < 4 * most and f * -np.expm1(-most / f) < need:
+            f += 1 + f // 20
+        counts.append(f)
+    return low, counts
+
+
+def tokens(rule: Rule, s: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, int]:
+    """Tokens of a set (its hashes, sorted), and how many of them are of its own
+    space; the others are of the next, where it may have links with larger sets.
+
+    Each n-gram that only one of two sets has spoils one fragment, so of the
+    fragments of linked sets all but ``spoiled`` are in both; as both sets have
+    them in one order, the first that is in both is no later than that."""
+    low, counts = spaces(rule)
+    n = len(s)
+    own, most = int(np.searchsorted(low, n, "right")) - 1, n * rule.den // rule.num
+    count = cells[(s & _U(CELLS - 1)).astype(np.int64)]
+    level, mixed = np.frexp(count.astype(np.float64))[1], mix64(s)
+    out, ends = [], []
+    for space, other in ((own, min(most, int(low[own + 1]) - 1)), (own + 1, most)):
+        if other >= low[space]:
+            place = ((s >> _U(32)) * _U(counts[space])) >> _U(32)       # rising, as s is sorted
+            at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            name = mix64(np.array([space], np.uint64) + _U(1))
+            key = mix64(np.add.reduceat(mixed, at) ^ mix64(place[at] + name))
+            need = rule.spoiled(n + other) + 1
+            size = np.diff(np.append(at, n))
+            out.append(key[np.lexsort((key, -size, np.minimum.reduceat(level, at)))[:need]])
+            if len(at) < need:
+                first = s[np.argsort(order_key(s, cells), kind="stable")[:rule.prefix(n)]]
+                out.append(mix64(first ^ mix64(~name)))
+        ends.append(sum(map(len, out)))
+    return np.concatenate(out).view(np.int64), ends[0]
+
+
 def parity_of(s: np.ndarray) -> bytes:
     """Parities of the number of n-grams per small fragment; both halves of a
     vector together (exclusive or) are the vector of half the length."""
@@ -295,30 +353,29 @@ def size_bands(rule: Rule, most: int = 1 << 40) -> np.ndarray:
     return np.array(out)
 
 
-def _entries(shared, rule: Rule, meeting=None) -> Callable:
-    """Prefix arrays to rows (sh, cls, n, up), without the n-grams that only one
-    document has in its prefix.  sh names an n-gram and a size band; a set goes
-    to its own band (up 0) and to the next (up 1), so only sets of like sizes
-    meet; two sets of one band meet in their own.  ``meeting`` has the sh that
-    more than one row has."""
-    bands = size_bands(rule)
+def _token_cells(bits: int) -> Callable:
+    """Token lists, packed as hash cells."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from often.pack(*np.unique(batch.column("prefix").flatten().to_numpy(), return_counts=True), bits, 2)
+    return run
+
+
+def _entries(meeting: tuple) -> Callable:
+    """Token lists to rows (sh, cls, n, up), without the tokens that only one row
+    has.  sh names a fragment's n-grams and a size space; up is 0 in the set's own
+    space and 1 in the next, so only sets of like sizes meet; two sets of one
+    space meet in their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prefix = batch.column("prefix")
-            at = prefix.offsets.to_numpy()
-            sh = prefix.values.to_numpy()[at[0]:at[-1]]
+            at, sh = prefix.offsets.to_numpy(), prefix.flatten().to_numpy()
             row = np.repeat(np.arange(batch.num_rows), np.diff(at))
-            keep = bitmap.has(shared.value, sh)
-            row, sh = row[keep], sh[keep].view(np.uint64)
-            band = np.searchsorted(bands, batch.column("n").to_numpy()[row], "right").astype(np.uint64)
-            key = np.concatenate([mix64(sh ^ mix64(band + _U(x))) for x in (0, 1)]).view(np.int64)
-            up, row = np.repeat(np.arange(2, dtype=np.int32), len(row)), np.concatenate([row, row])
-            if meeting is not None:
-                keep = bitmap.has(meeting.value, key)
-                key, up, row = key[keep], up[keep], row[keep]
-            row = pa.array(row)
-            yield pa.record_batch([pa.array(key), batch.column("cls").take(row), batch.column("n").take(row), pa.array(up)],
+            up = (np.arange(len(sh)) - (at[:-1] - at[0])[row] >= batch.column("own").to_numpy()[row]).astype(np.int32)
+            keep = often.may(meeting, sh)
+            row = pa.array(row[keep])
+            yield pa.record_batch([pa.array(sh[keep]), batch.column("cls").take(row), batch.column("n").take(row), pa.array(up[keep])],
                                   ["sh", "cls", "n", "up"])
     return run
 
@@ -336,10 +393,31 @@ def _met_before(sh: int, x: np.ndarray, up_x: np.ndarray, y: np.ndarray, up_y: n
     return bool(((both < sh) & ((up_x[i] == 0) | (up_y[j] == 0))).any())
 
 
-def _compare(rule: Rule) -> Callable:
-    """Rows sorted by (sh, tile); emits the pairs of a tile that lie in two
-    components and that size and parity bounds allow; a pair that the named groups
-    show to have met before is left to that group."""
+def forests(comps: np.ndarray, others: np.ndarray, most: int) -> np.ndarray:
+    """Which of the edges between components, in their order, are in the first ``most``
+    spanning forests: each takes the edges that join two of its trees."""
+    trees: list[dict[int, int]] = [{} for _ in range(most)]
+
+    def root(tree: dict[int, int], x: int) -> int:
+        while (y := tree.get(x, x)) != x:
+            tree[x] = tree.get(y, y)
+            x = y
+        return x
+
+    def fits(tree: dict[int, int], x: int, y: int) -> bool:
+        x, y = root(tree, x), root(tree, y)
+        if x != y:
+            tree[x] = y
+        return x != y
+
+    return np.array([any(fits(tree, x, y) for tree in trees) for x, y in zip(comps.tolist(), others.tolist())], bool)
+
+
+def _compare(rule: Rule, most: int) -> Callable:
+    """Rows sorted by (sh, tile); of the pairs of a tile that lie in two components
+    and that size and parity bounds allow emits those in the first ``most`` spanning
+    forests, likest first, and a row of nulls if others are held back; a pair that the
+    named groups show to have met before is left to that group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -387,14 +465,21 @@ def _compare(rule: Rule) -> Callable:
                     for x, m in folded.items():
                         at_x = np.flatnonzero(short == x)
                         apart[at_x] = np.bitwise_count(m[i[at_x]] ^ m[j[at_x]]).sum(axis=1)
-                    near = apart <= total - 2 * rule.least_overlap(total)
-                    i, j = i[near], j[near]
+                    bound = total - 2 * rule.least_overlap(total)
+                    near = apart <= bound
+                    i, j, room = i[near], j[near], (bound - apart)[near]
                     first = [not _met_before(sh[x], keys[x], ups[x], keys[y], ups[y]) for x, y in zip(i.tolist(), j.tolist())]
-                    i, j = i[first], j[first]
-                    found.append(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]))
+                    i, j, room = i[first], j[first], room[first]
+                    found.append(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j]), sh[i], tile[i], comp[i], comp[j], room]))
             d += 1
-        if found and (pairs := np.unique(np.concatenate(found, axis=1), axis=1)).shape[1]:
-            yield pa.record_batch([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
+        if found and (pairs := np.concatenate(found, axis=1)).shape[1]:
+            a, b, *_, room = pairs
+            pairs = pairs[:, np.lexsort((b, a, -room, pairs[3], pairs[2]))]
+            cut = np.flatnonzero((pairs[2:4, 1:] != pairs[2:4, :-1]).any(axis=0)) + 1
+            good = np.concatenate([forests(p[4], p[5], most) for p in np.split(pairs, cut, axis=1)])
+            pairs = np.unique(pairs[:2, good], axis=1)
+            held_back = pa.nulls(int(not good.all()), pa.int64())
+            yield pa.record_batch([pa.concat_arrays([pa.array(x, pa.int64()), held_back]) for x in pairs], ["a", "b"])
     return run
 
 
@@ -422,6 +507,22 @@ def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
                     F.when(low == high, 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
 
 
+def _near(many: DataFrame, known: DataFrame, known_sets: DataFrame, rule: Rule, most: int, paths: list[str]) -> DataFrame:
+    """Pairs (a, b) between the components ``known``, as _compare emits them; a row of nulls
+    where some tile holds pairs back."""
+    named = (many.join(known.withColumnRenamed("node", "cls"), "cls", "left")
+             .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "up", "comp"))
+    split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+             .where("lo != hi and size > 2").select("sh", "size"))
+    compared = materialize(named.join(split.select("sh"), "sh", "left_semi"), "join-compared", paths)
+    own = compared.groupBy("cls").agg(F.slice(F.array_sort(F.collect_list(F.struct("sh", "up"))), 1, NAMED).alias("k")).select(
+        "cls", F.col("k.sh").alias("keys"), F.col("k.up").alias("ups")).join(known_sets.select("cls", "parity"), "cls")
+    rest = _tiles(compared.join(own, "cls"), split)
+    tasks = max(1, int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (rest.repartition(tasks, "sh", "tile").sortWithinPartitions("sh", "tile", "cls")
+            .mapInArrow(_compare(rule, most), "a long, b long").distinct())
+
+
 @dataclass
 class Joined:
     """documents: (doc_id, k, th, cls, n) per row; links: (a, b) between classes
@@ -452,25 +553,20 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key().alias("k"),
                     F.xxhash64("text").alias("th"), "text")
         .mapInArrow(_describe(rule, sketch),
-                    "doc_id long, k long, th long, cls long, n long, prefix array<long>, parity binary"),
+                    "doc_id long, k long, th long, cls long, n long, prefix array<long>, parity binary, own int"),
         "join-described", paths)
     classes = described.where("parity is not null")
 
-    entries = described.where("prefix is not null")
-    shared = materialize(entries.select(F.explode("prefix").alias("sh")).groupBy("sh").count().where("count > 1").select("sh"),
-                         "join-shared", paths)
-    often = spark.sparkContext.broadcast(bitmap.build(shared, shared.count()))
-    keyed = entries.select("cls", "n", "prefix")
-    met = materialize(keyed.mapInArrow(_entries(often, rule), ENTRY).select("sh").groupBy("sh").count().where("count > 1")
-                      .select("sh"), "join-met", paths)
-    meeting = spark.sparkContext.broadcast(bitmap.build(met, met.count()))
-    prefix = keyed.mapInArrow(_entries(often, rule, meeting), ENTRY)
-    # four members of a group, the same in all groups of a family of copies: the least and the greatest, and the least by two hashes
-    leads = [(F.min, F.min_by, F.col("cls")), (F.max, F.max_by, F.col("cls"))] + [
-        (lambda c, by=F.xxhash64("cls", F.lit(i)): F.min_by(c, by), F.min_by, F.xxhash64("cls", F.lit(i))) for i in (1, 2)]
+    keyed = described.where("prefix is not null").select("cls", "n", "prefix", "own")
+    bits = often.range_bits(keyed.agg(F.sum(F.size("prefix"))).head()[0] or 0)
+    met = often.cells_with(keyed.select("prefix").mapInArrow(_token_cells(bits), often.PACKED), 2)
+    meeting = often.filter_of(materialize(met, "join-met", paths), bits)
+    prefix = keyed.mapInArrow(_entries(meeting), ENTRY)
+    # two members of a group, the same in most groups of a family of copies: the least and the greatest
+    leads = [(F.min, F.min_by), (F.max, F.max_by)]
     groups = (prefix.groupBy("sh").agg(
-        F.min("up").alias("up"), F.count(F.lit(1)).alias("rows"), *(first("cls").alias(f"lead_{i}") for i, (first, _, _) in enumerate(leads)),
-        *(best("n", by).alias(f"n_{i}") for i, (_, best, by) in enumerate(leads))).where("lead_0 != lead_1 and up = 0")
+        F.min("up").alias("up"), F.count(F.lit(1)).alias("rows"), *(first("cls").alias(f"lead_{i}") for i, (first, _) in enumerate(leads)),
+        *(best("n", "cls").alias(f"n_{i}") for i, (_, best) in enumerate(leads))).where("lead_0 != lead_1 and up = 0")
         .select("sh", "rows", F.array_distinct(F.array(*(F.struct(F.col(f"lead_{i}").alias("lead"), F.col(f"n_{i}").alias("lead_n"))
                                                          for i in range(len(leads))))).alias("leads")))
     fitting = F.filter("leads", lambda x: (x["lead"] != F.col("cls")) & _fits(rule, F.col("n"), x["lead_n"]))
@@ -485,22 +581,21 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     side = lambda x: known_sets.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}"))
     star = (star.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "p_a", "p_b")
             .mapInArrow(_within_bound(rule), "a long, b long"))
-    first = materialize(_linked(materialize(star, "join-star-near", paths), docs, classes, rule, sketch, cuts, paths), "join-links", paths)
-    known = components(first, paths=paths)
-
-    named = (many.join(known.withColumnRenamed("node", "cls"), "cls", "left")
-             .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "up", "comp"))
-    split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-             .where("lo != hi and size > 2").select("sh", "size"))
-    compared = materialize(named.join(split.select("sh"), "sh", "left_semi"), "join-compared", paths)
-    own = compared.groupBy("cls").agg(F.slice(F.array_sort(F.collect_list(F.struct("sh", "up"))), 1, NAMED).alias("k")).select(
-        "cls", F.col("k.sh").alias("keys"), F.col("k.up").alias("ups")).join(known_sets.select("cls", "parity"), "cls")
-    rest = _tiles(compared.join(own, "cls"), split)
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    near = (rest.repartition(tasks, "sh", "tile").sortWithinPartitions("sh", "tile", "cls")
-            .mapInArrow(_compare(rule), "a long, b long").distinct())
-    second = _linked(materialize(near, "join-near", paths), docs, classes, rule, sketch, cuts, paths)
-    links = materialize(first.unionByName(second), "join-all-links", kept)
+    links = materialize(_linked(materialize(star, "join-star-near", paths), docs, classes, rule, sketch, cuts, paths), "join-links", paths)
+    known, tested, most = components(links, paths=paths), None, FORESTS
+    while True:
+        near = materialize(_near(many, known, known_sets, rule, most, paths), "join-near", paths)
+        pairs = near.where("a is not null")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if not pairs.isEmpty():
+            pairs = materialize(pairs, "join-tested", paths)
+            found = materialize(_linked(pairs, docs, classes, rule, sketch, cuts, paths), "join-links", paths)
+            links, tested = links.unionByName(found), pairs if tested is None else tested.unionByName(pairs)
+        if near.where("a is null").isEmpty():
+            break
+        known, most = components(links, paths=paths), most * MORE
+    links = materialize(links, "join-all-links", kept)
     labels = components(links, paths=kept)
     documents = materialize(described.select("doc_id", "k", "th", "cls", "n"), "join-documents", kept)
     remove_tables(spark, paths)

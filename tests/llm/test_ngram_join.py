@@ -201,3 +201,53 @@ def test_scratch_tables_are_removed(spark, docs):
     kept.count()
     after = {str(x.getPath().getName()) for x in store.listStatus(fs)} - before
     assert {x.rsplit("-", 1)[0] for x in after} == {"keep-gone", "keep-repeated"} and tables()
+
+
+@pytest.mark.parametrize("rule", [ngram_join.Rule(3, 90, 100), ngram_join.Rule(5, 80, 100)])
+def test_linked_sets_share_a_token(rule):
+    """In the space of the larger set, where one of the two is in its own; sets with single n-grams in common share none."""
+    rng = np.random.default_rng(2)
+    cells = rng.integers(1, 60, ngram_join.CELLS)
+    low, _ = ngram_join.spaces(rule)
+    linked = 0
+    for i in range(600):
+        a = np.unique(rng.integers(0, 2 ** 63, int(rng.integers(1, 30 if i % 2 else 400))).astype(np.uint64) * np.uint64(2))
+        more = rng.integers(0, 2 ** 63, rng.integers(0, 2 + len(a) // 6)).astype(np.uint64)
+        b = np.unique(np.concatenate([a[rng.random(len(a)) > rng.random() * .2], more]))
+        both = len(np.intersect1d(a, b))
+        if not both * (rule.num + rule.den) >= (len(a) + len(b)) * rule.num:
+            continue
+        linked += 1
+        (x, own_x), (y, own_y) = (ngram_join.tokens(rule, s, cells) for s in (a, b))
+        assert set(x[:own_x].tolist()) & set(y.tolist()) or set(y[:own_y].tolist()) & set(x.tolist())
+        assert len(x) <= 2 * (rule.spoiled(len(a) + len(a) * rule.den // rule.num) + 1 + rule.prefix(len(a)))
+    assert linked > 100 and (np.diff(low) > 0).all()
+    a, b = (np.unique(np.concatenate([np.arange(1, 41, dtype=np.uint64) << np.uint64(57), rng.integers(0, 2 ** 63, 300).astype(np.uint64)])) for _ in (0, 1))
+    assert not set(ngram_join.tokens(rule, a, cells)[0].tolist()) & set(ngram_join.tokens(rule, b, cells)[0].tolist())
+
+
+def test_a_tile_emits_forests_of_its_components():
+    """Rows of pairs grow with the members of a group, not with their square; what is held back is told."""
+    import pyarrow as pa
+
+    m = 40
+    cls = np.arange(1, m + 1)
+    lists = lambda x: pa.array([[x]] * m, pa.list_(pa.int64()))
+    tile = pa.record_batch([pa.array(x) for x in (np.full(m, 7), np.zeros(m, int), cls, np.full(m, 100), np.zeros(m, int), cls, np.full(m, 2))]
+                           + [pa.array([bytes(32)] * m, pa.binary()), lists(7), lists(0)],
+                           ["sh", "tile", "cls", "n", "up", "comp", "side", "parity", "keys", "ups"])
+    rows = lambda most: [r for b in ngram_join._compare(ngram_join.Rule(), most)(iter([tile])) for r in b.to_pylist()]
+    for most in (1, 2):
+        got = rows(most)
+        assert got[-1] == {"a": None, "b": None} and m <= len(got) <= most * (m - 1) + 1
+        root = {r["b"]: r["a"] for r in got[:-1]}
+        assert set(root) | {1} == set(cls.tolist())
+    assert len(rows(m)) == m * (m - 1) // 2 and all(r["a"] < r["b"] for r in rows(m))
+
+
+def test_rounds_lose_nothing(spark, monkeypatch):
+    """Pairs held back in one round are looked at in the next."""
+    monkeypatch.setattr(ngram_join, "FORESTS", 1)
+    monkeypatch.setattr(ngram_join, "MORE", 2)
+    rows = near_copies(70, 90, 14, 9)
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows, ngram_join.Rule(3, 80, 100))
