@@ -24,7 +24,9 @@ known before the other pairs are looked at, and pairs inside a component are
 not tested again.  Hot groups are cut into blocks and tested block by block.
 Pairs are compared where the rows lie.  Of those that pass the bound some spanning
 forests of a block's components become rows; what they link is one component in the
-next round, which takes more forests, until no pair between two components is held back.
+next round, which takes more forests and looks at the groups that held pairs back alone,
+until no pair between two components is held back.  Of groups with the same members one is
+looked at, and groups of three have no pair without one of the two that all were tested with.
 """
 from __future__ import annotations
 
@@ -413,11 +415,12 @@ def forests(comps: np.ndarray, others: np.ndarray, most: int) -> np.ndarray:
     return np.array([any(fits(tree, x, y) for tree in trees) for x, y in zip(comps.tolist(), others.tolist())], bool)
 
 
-def _compare(rule: Rule, most: int) -> Callable:
+def _compare(rule: Rule, most: int, groups: bool = False) -> Callable:
     """Rows sorted by (sh, tile); of the pairs of a tile that lie in two components
     and that size and parity bounds allow emits those in the first ``most`` spanning
     forests, likest first, and a row of nulls if others are held back; a pair that the
-    named groups show to have met before is left to that group."""
+    named groups show to have met before is left to that group.  With ``groups`` there is
+    such a row for each group that holds pairs back, and a third column, sh, names it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -477,9 +480,12 @@ def _compare(rule: Rule, most: int) -> Callable:
             pairs = pairs[:, np.lexsort((b, a, -room, pairs[3], pairs[2]))]
             cut = np.flatnonzero((pairs[2:4, 1:] != pairs[2:4, :-1]).any(axis=0)) + 1
             good = np.concatenate([forests(p[4], p[5], most) for p in np.split(pairs, cut, axis=1)])
-            pairs = np.unique(pairs[:2, good], axis=1)
-            held_back = pa.nulls(int(not good.all()), pa.int64())
-            yield pa.record_batch([pa.concat_arrays([pa.array(x, pa.int64()), held_back]) for x in pairs], ["a", "b"])
+            found_in, pairs = pairs[2], np.unique(pairs[:2, good], axis=1)
+            held = pa.array(np.unique(found_in[~good]) if groups else found_in[~good][:1])
+            out = [pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(len(held), pa.int64())]) for x in pairs]
+            if groups:
+                out.append(pa.concat_arrays([pa.nulls(pairs.shape[1], pa.int64()), held]))
+            yield pa.record_batch(out, ["a", "b", "sh"][:len(out)])
     return run
 
 
@@ -507,20 +513,31 @@ def _tiles(members: DataFrame, sizes: DataFrame) -> DataFrame:
                     F.when(low == high, 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
 
 
-def _near(many: DataFrame, known: DataFrame, known_sets: DataFrame, rule: Rule, most: int, paths: list[str]) -> DataFrame:
-    """Pairs (a, b) between the components ``known``, as _compare emits them; a row of nulls
-    where some tile holds pairs back."""
-    named = (many.join(known.withColumnRenamed("node", "cls"), "cls", "left")
-             .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "up", "comp"))
-    split = (named.groupBy("sh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-             .where("lo != hi and size > 2").select("sh", "size"))
+def _split(named: DataFrame) -> DataFrame:
+    """The groups (sh, size) that have pairs to look at: members of several components, and some
+    pair without the least and the greatest member.  Of groups with the same members, told by
+    128 bits, one stays: each pair of the others is in it too."""
+    split = (named.groupBy("sh").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("cls", "up")).alias("name"), F.bit_xor(F.xxhash64("cls", "up", F.lit(1))).alias("more"))
+        .where("lo != hi and size > 3"))
+    return split.groupBy("name", "more", "size").agg(F.min("sh").alias("sh")).select("sh", "size")
+
+
+def _near(many: DataFrame, known: DataFrame, known_sets: DataFrame, rule: Rule, most: int, paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) between the components ``known``, as _compare emits them, with a row of nulls
+    and the group (sh) for each that holds pairs back; and the rows of ``many`` in the groups compared."""
+    named = materialize(many.join(known.withColumnRenamed("node", "cls"), "cls", "left")
+                        .withColumn("comp", F.coalesce("root", "cls")).select("sh", "cls", "n", "up", "comp"), "join-named", paths)
+    split = materialize(_split(named), "join-split", paths)
     compared = materialize(named.join(split.select("sh"), "sh", "left_semi"), "join-compared", paths)
     own = compared.groupBy("cls").agg(F.slice(F.array_sort(F.collect_list(F.struct("sh", "up"))), 1, NAMED).alias("k")).select(
         "cls", F.col("k.sh").alias("keys"), F.col("k.up").alias("ups")).join(known_sets.select("cls", "parity"), "cls")
     rest = _tiles(compared.join(own, "cls"), split)
     tasks = max(1, int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (rest.repartition(tasks, "sh", "tile").sortWithinPartitions("sh", "tile", "cls")
-            .mapInArrow(_compare(rule, most), "a long, b long").distinct())
+    near = (rest.repartition(tasks, "sh", "tile").sortWithinPartitions("sh", "tile", "cls")
+            .mapInArrow(_compare(rule, most, groups=True), "a long, b long, sh long").distinct())
+    return materialize(near, "join-near", paths), compared.select("sh", "cls", "n", "up")
 
 
 @dataclass
@@ -584,16 +601,18 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> Joined:
     links = materialize(_linked(materialize(star, "join-star-near", paths), docs, classes, rule, sketch, cuts, paths), "join-links", paths)
     known, tested, most = components(links, paths=paths), None, FORESTS
     while True:
-        near = materialize(_near(many, known, known_sets, rule, most, paths), "join-near", paths)
-        pairs = near.where("a is not null")
+        near, many = _near(many, known, known_sets, rule, most, paths)
+        pairs = near.where("a is not null").select("a", "b")
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         if not pairs.isEmpty():
             pairs = materialize(pairs, "join-tested", paths)
             found = materialize(_linked(pairs, docs, classes, rule, sketch, cuts, paths), "join-links", paths)
             links, tested = links.unionByName(found), pairs if tested is None else tested.unionByName(pairs)
-        if near.where("a is null").isEmpty():
+        held = near.where("a is null").select("sh")
+        if held.isEmpty():
             break
+        many = many.join(held, "sh", "left_semi")
         known, most = components(links, paths=paths), most * MORE
     links = materialize(links, "join-all-links", kept)
     labels = components(links, paths=kept)
@@ -617,10 +636,19 @@ def component_ids(joined: Joined) -> DataFrame:
         .select("doc_id", "k", "th", "n", "comp", "component_id"))
 
 
+def _sift(known, key: str, inside: bool) -> Callable:
+    """The rows whose ``key`` may be in the bitmap ``known``, or those whose key surely is not."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bitmap.has(known.value, batch.column(key).to_numpy()) == inside))
+    return run
+
+
 def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id
     (a hash of the text stands in for a null id); documents without words all
-    stay.  Of rows that repeat the document that stays, one stays."""
+    stay.  Of rows that repeat the document that stays, one stays.  Only rows
+    that may be among those that go or repeat are moved, the others stay where they lie."""
     joined, paths = join(docs, rule), []
     ids = materialize(component_ids(joined).where("comp is not null"), "keep-ids", paths)
     remove_tables(docs.sparkSession, joined.paths)
@@ -630,12 +658,15 @@ def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     repeated = materialize(marked.where("stays").groupBy("k", "th").count().where("count > 1").select("k", "th"),
                            "keep-repeated")
     remove_tables(docs.sparkSession, paths)
-    k, th = fresh(docs, "k"), fresh(docs, "th")
-    keyed = docs.withColumns({k: doc_key(), th: F.xxhash64("text")})
+    named = gone.unionByName(repeated).select(F.xxhash64("k", "th").alias("key"))
+    known = docs.sparkSession.sparkContext.broadcast(bitmap.build(named, named.count()))
+    k, th, key = fresh(docs, "k"), fresh(docs, "th"), fresh(docs, "key")
+    keyed = docs.withColumns({k: doc_key(), th: F.xxhash64("text"), key: F.xxhash64(doc_key(), F.xxhash64("text"))})
+    stay, may_go = (keyed.mapInArrow(_sift(known, key, inside), keyed.schema) for inside in (False, True))
     same = lambda t: t.select(F.col("k").alias(k), F.col("th").alias(th))
-    kept = keyed.join(same(gone), [k, th], "left_anti")
+    kept = may_go.join(same(gone), [k, th], "left_anti")
     if not repeated.isEmpty():
         kept = (kept.join(same(repeated), [k, th], "left_anti")
                 .unionByName(kept.join(same(repeated), [k, th], "left_semi").dropDuplicates([k, th])))
-    return kept.select(docs.columns)
+    return stay.select(docs.columns).unionByName(kept.select(docs.columns))
 

@@ -251,3 +251,46 @@ def test_rounds_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "MORE", 2)
     rows = near_copies(70, 90, 14, 9)
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows, ngram_join.Rule(3, 80, 100))
+
+
+def test_groups_that_hold_pairs_back_are_named(spark):
+    """The next round looks at these alone, not at all groups that have several components."""
+    alike, apart = range(1, 21), range(101, 106)
+    many = spark.createDataFrame([(sh, c, 100, 0) for sh, members in ((7, alike), (8, apart)) for c in members], "sh long, cls long, n long, up int")
+    parity = lambda c: bytes(32) if c in alike else bytes(255 if i // 6 == c - 101 else 0 for i in range(32))
+    sets = spark.createDataFrame([(c, 100, parity(c)) for c in (*alike, *apart)], "cls long, n long, parity binary")
+    known = spark.createDataFrame([], "node long, root long")
+    near, compared = ngram_join._near(many, known, sets, ngram_join.Rule(), 2, [])
+    rows = near.collect()
+    assert {r.sh for r in rows if r.a is None} == {7} and {r.sh for r in rows if r.a is not None} == {None}
+    assert {a for r in rows if r.a is not None for a in (r.a, r.b)} == set(alike)
+    assert compared.count() == 25
+    again, compared = ngram_join._near(compared.join(near.where("a is null").select("sh"), "sh", "left_semi"), known, sets, ngram_join.Rule(), 32, [])
+    assert compared.count() == 20 and again.where("a is null").isEmpty() and again.count() == 190
+
+
+def test_one_of_the_groups_with_the_same_members(spark):
+    """Groups of three, and of one component, have no pair left to look at."""
+    groups = {1: "abcd", 2: "abcd", 3: "abce", 4: "abc", 5: "abcde", 6: "aaaa"}
+    rows = [(sh, ord(c) * 10 + (i if sh == 6 else 0), 9, 0, ord(c)) for sh, members in groups.items() for i, c in enumerate(members)]
+    rows += [(7, ord(c) * 10, 9, int(c == "d"), ord(c)) for c in "abcd"]          # d is there from another space
+    got = ngram_join._split(spark.createDataFrame(rows, "sh long, cls long, n long, up int, comp long")).collect()
+    assert sorted((r.sh, r.size) for r in got) == [(1, 4), (3, 4), (5, 5), (7, 4)]
+
+
+def test_documents_that_surely_stay_are_not_moved(spark, docs):
+    """However many documents go, the texts of the others pass no exchange."""
+    plan = ngram_join.keep_one(docs)._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    first = plan.children().head().toString()
+    assert "MapInArrow" in first and "Join" not in first
+
+
+@pytest.mark.parametrize("inside", [False, True])
+def test_sift_keeps_every_row_on_one_side(spark, inside):
+    keys = spark.range(0, 400, 4).select("id")
+    known = spark.sparkContext.broadcast(bitmap.build(keys, 100))
+    got = {r.id for r in spark.range(400).mapInArrow(ngram_join._sift(known, "id", inside), "id long").collect()}
+    other = {r.id for r in spark.range(400).mapInArrow(ngram_join._sift(known, "id", not inside), "id long").collect()}
+    assert got | other == set(range(400)) and not got & other
+    assert set(range(0, 400, 4)) <= (got if inside else other)
