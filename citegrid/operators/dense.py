@@ -110,7 +110,8 @@ def knn_candidates(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid"
         ids, D = _vectors(block, did, dvec)
         parts = ((ids[lo:lo + rows_at_once], D[lo:lo + rows_at_once]) for lo in range(0, len(ids), rows_at_once))
         return pa.Table.from_batches([_best(*_vectors(strip, qid, qvec), parts, k, exclude_self, arrow, min(CHUNK, tile_rows))])
-    return tiles.meet(asked, n_asked * max(dim, 1), qid, found, docs.count() * max(dim, 1), did, score, schema)
+    return tiles.meet(asked, n_asked * max(dim, 1), qid, found, docs.count() * max(dim, 1), did, score, schema,
+                      lambda cand: top_k(cand, k, group=qid, item=did).drop("rank"))
 
 
 def knn(queries: DataFrame, docs: DataFrame, k: int, qid: str = "qid", qvec: str = "vector",

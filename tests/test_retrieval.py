@@ -314,3 +314,50 @@ def test_words_are_counted_a_few_documents_at_a_time():
     out = list(lexical._count_words(iter([batch])))
     assert [rb.num_rows for rb in out] == [lexical.COUNTED_DOCS, lexical.COUNTED_DOCS, 3]
     assert all(r == ["a", "b"] for rb in out for r in rb.column("terms").to_pylist()) and out[0].column("tfs")[0].as_py() == [1, 2]
+
+
+def test_strips_in_turns_agree_and_hold_one_turn(spark, monkeypatch, tmp_path):
+    """Where strips take turns, results are the same, and what travels at a time follows the documents, not strips times documents."""
+    from citegrid.operators import tiles
+    for asked, docs in ((18_000_000, 876_000_000), (180_000_000, 8_760_000_000)):
+        strips, blocks = tiles.grid(asked, docs, 48)
+        took = tiles.turns(asked, docs, strips, blocks)
+        assert [s for now in took for s in now] == list(range(strips))
+        assert max(len(now) for now in took) * (docs + blocks * asked // strips) <= max(tiles.TURN_NUMBERS, 3 * docs)
+    docvecs, vocab = retrieval.lexical_index(spark, SF001)
+    qs = retrieval.silver_questions(spark, SF001, n=60)
+    e = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+    d = e.select(F.col("vec_id").alias("neighbor"), F.col("embedding").alias("vector"))
+    search = lambda: [sorted(map(tuple, x.collect())) for x in (lexical.search(qs, docvecs, vocab, 5, tile_questions=10),
+                                                                  dense.knn(q, d, 5, did="neighbor", exclude_self=True, tile_rows=20))]
+    one, written = search(), []
+    monkeypatch.setattr(tiles, "SIDE_NUMBERS", 2000)
+    monkeypatch.setattr(tiles, "TURN_NUMBERS", 1)
+
+    def keep(df, name, **kw):
+        written.append(materialize(df, name, **kw))
+        return written[-1]
+    monkeypatch.setattr(tiles, "materialize", keep)
+    assert search() == one
+    assert len(written) > 2 and all(n <= 5 for w in written for n in [r["count"] for r in w.groupBy("qid").count().collect()])
+
+
+def test_a_write_frees_its_shuffle_files(spark):
+    import os
+    import time
+    from citegrid.session import materialize as write
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        return {f for d in disk.localDirsString() for _, _, fs in os.walk(d) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+    before = held()
+    write(spark.range(2000).repartition(7, "id"), "t-kept")
+    kept = held() - before
+    out = write(spark.range(2000).repartition(7, "id"), "t-freed", free=True)
+    end = time.time() + 20
+    while held() - before - kept and time.time() < end:                       # Spark deletes in the background
+        time.sleep(0.1)
+    assert kept and not held() - before - kept
+    assert out.count() == 2000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
