@@ -301,8 +301,8 @@ def test_many_questions_move_no_text_of_a_document(spark, tmp_path, monkeypatch)
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     written = []
 
-    def keep(df, name, *a):
-        out = materialize(df, name, *a)
+    def keep(df, name, *a, **kw):
+        out = materialize(df, name, *a, **kw)
         written.append(out.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0)
         return out
     for module in (catalog, A, EV):
